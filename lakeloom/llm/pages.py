@@ -34,7 +34,7 @@ SCAN = StructType(
         StructField("keys", ArrayType(LongType())),
         StructField("furniture", ArrayType(IntegerType())),
         StructField("decorated", BooleanType()),
-        StructField("langs", ArrayType(StructType([StructField("line_no", IntegerType()), StructField("lang", StringType()), StructField("confidence", DoubleType())]))),
+        StructField("langs", ArrayType(StructType([StructField("line_no", IntegerType()), StructField("lang", StringType()), StructField("confidence", DoubleType()), StructField("mislabelled", BooleanType())]))),
     ]
 )
 
@@ -90,11 +90,11 @@ def _prose(line: str) -> bool:
     return len(line) > 40 and bool(pl._ENDS.search(line.rstrip())) and line.count(" ") >= 7 or len(line) > 25 and line.rstrip().endswith("。")
 
 
-def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.5) -> DataFrame:
+def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.55) -> DataFrame:
     """The narrow table of :data:`SCAN`, one row a record, written to the shared folder.
 
-    With ``model``, ``langs`` has line 0 (the main language of the article, where the stored
-    label is missing or names another) and lines of at least ``min_line`` characters in
+    With ``model``, ``langs`` has line 0 (the main language of the article, ``mislabelled``
+    where the stored label is missing or names another) and lines of at least ``min_line`` characters in
     another language than the main one, for texts of at least ``min_chars`` characters.
     """
 
@@ -130,12 +130,10 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
                     if not weight:
                         continue
                     main = max(sorted(weight), key=weight.get)
-                    langs = []
-                    if not same_language(languages[at], main):
-                        langs.append((0, main, weight[main] / sum(weight.values())))
+                    langs = [(0, main, weight[main] / sum(weight.values()), not same_language(languages[at], main))]
                     for k in range(a, b):
                         if owners[k][3] >= min_line and which[k] not in (None, main) and sure[k] >= least:
-                            langs.append((owners[k][1], which[k], float(sure[k])))
+                            langs.append((owners[k][1], which[k], float(sure[k]), False))
                     out[7][at] = langs
             return out
 
