@@ -1,6 +1,6 @@
 """Problem 2: the language of a record and of its lines, with a confidence.
 
-Method: sparse multinomial logistic regression on TF-IDF character n-grams (one to four
+Method: sparse multinomial logistic regression on TF-IDF character n-grams (one to three
 characters, hashed), trained with follow-the-regularised-leader and elastic-net penalties,
 then calibrated by one temperature on held-out samples.
 
@@ -19,14 +19,11 @@ import unicodedata as ud
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from lakeloom.llm.forms import one_form
-
 CLASSES = ("en", "vi", "zh", "none")
 #: Buckets of hashed n-grams, as bits; the weight table stays within a CPU's cache.
 BITS = 16
-ORDERS = (1, 2, 3, 4)
+ORDERS = (1, 2, 3)
 _BREAK = 10
-_LETTERS = re.compile(r"[^\W\d_]")
 # Other names of the three languages.
 ALIASES = {"vie": "vi", "eng": "en", "zho": "zh", "chi": "zh", "cmn": "zh", "vietnamese": "vi", "english": "en", "chinese": "zh"}
 
@@ -42,27 +39,25 @@ def without_accents(text: str) -> str:
     return out.replace("đ", "d").replace("Đ", "D")
 
 
-class _Plain(dict):
-    """Translation of a character to its plain, lower form; digits become one figure."""
-
-    def __missing__(self, cp: int) -> str:
-        c = one_form(chr(cp)) if cp != _BREAK else "\n"
-        c = "".join("0" if x.isdigit() else x.lower() for x in c)
-        self[cp] = c
-        return c
+def plain(line: str) -> str:
+    """Lower case; stored decomposed or not, a letter with its accents is one character."""
+    return f" {ud.normalize('NFC', line).lower()} "
 
 
-_PLAIN = _Plain()
+def _codes(text: str) -> np.ndarray:
+    """Code points, with full-width forms as plain ones and all figures as one."""
+    c = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    c = np.where((c >= 0xFF01) & (c <= 0xFF5E), c - 0xFEE0, c)
+    return np.where((c >= 48) & (c <= 57), 48, c).astype(np.uint64)
 
 
-def plain(line: str) -> str:
-    # Stored decomposed or not, a letter with its accents is one character.
-    return f" {ud.normalize('NFC', line).translate(_PLAIN)} "
+#: Which code points of the basic plane are letters; those above it count as letters.
+_IS_LETTER = np.array([chr(i).isalpha() for i in range(0x10000)] + [True])
 
 
 def grams(lines: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per order: bucket of each n-gram, number of its line, and a mask of those within a line."""
-    codes = np.frombuffer("\n".join(lines).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    codes = _codes("\n".join(lines))
     line = np.cumsum(codes == _BREAK)
     out, h = [], np.zeros(len(codes), np.uint64)
     for n in ORDERS:
@@ -103,7 +98,10 @@ class LanguageModel:
         """Language (None: a line without one) and confidence of each line."""
         p = self.probabilities(lines)
         best = p.argmax(axis=1)
-        wordless = [len(_LETTERS.findall(x)) < 0.3 * len(x) for x in lines]
+        codes = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+        letters = np.concatenate(([0], np.cumsum(_IS_LETTER[np.minimum(codes, 0x10000)])))
+        ends = np.cumsum([len(x) for x in lines])
+        wordless = letters[ends] - letters[ends - [len(x) for x in lines]] < 0.3 * np.array([len(x) for x in lines])
         return [None if bare or CLASSES[k] == "none" else CLASSES[k] for k, bare in zip(best, wordless)], p[np.arange(len(p)), best]
 
     def content(self, lang: str, chars: int) -> float:
@@ -130,14 +128,18 @@ def _no_language(texts: list[str], rng: random.Random, n: int) -> list[str]:
 
 
 def _with_names(rows: list[tuple[str, str]], rng: random.Random) -> list[tuple[str, str]]:
-    """Pieces of the samples beside invented names, so that names tell nothing about a language."""
+    """Pieces of the samples beside invented names and between separators, so that these tell nothing of a language."""
     words = sorted({w for lang, t in rows for w in re.findall(r"[a-z]{4,9}", without_accents(t).lower())})
     out = []
     for lang, t in rows:
         at = rng.randrange(max(1, len(t) - 12))
         piece = t[at : at + rng.randint(12, 60)]
         name = " ".join((rng.choice(words) + rng.choice(("", rng.choice(words)[:4]))).capitalize() for _ in range(rng.randint(2, 4)))
-        out.append((lang, rng.choice((f"{name}{'' if lang == 'zh' else ' '}{piece}", f"{piece} {name}"))))
+        space = "" if lang == "zh" else " "
+        out.append((lang, rng.choice((f"{name}{space}{piece}", f"{piece}{space}{name}", f"{name}{space}{piece[:14]}"))))
+        # A menu: short pieces between separators.
+        bits = [t[i : i + rng.randint(2, 5)] for i in range(0, len(t) - 5, 9)] if lang == "zh" else [" ".join(t.split()[i : i + rng.randint(1, 2)]) for i in range(0, len(t.split()), 2)]
+        out.append((lang, rng.choice((" / ", " > ", " | ", " » ", "  ", " - ")).join(bits[:8])))
     return out
 
 
@@ -188,7 +190,7 @@ def train(samples: list[tuple[str, str]], epochs: int = 6, alpha: float = 0.5, b
             nb += p * p
     w = np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2))
     bias = -zb / ((beta + np.sqrt(nb)) / alpha + l2)
-    density = {c: float(np.median([len(t) for lang, t in rows if lang == c] or [1.0])) for c in CLASSES}
+    density = {c: float(np.median([len(t) for lang, t in samples if lang == c and t] or [1.0])) for c in CLASSES}
     model = LanguageModel((w * idf[:, None] * scale).astype(np.float32), bias, 1.0, density)
     # Calibrated on short pieces of the held-out texts, where the model does err.
     pieces, y = [], []

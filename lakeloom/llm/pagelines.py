@@ -110,6 +110,7 @@ FILLER_PHRASES = [
 ]
 _REPEATED = re.compile(r"(\S{2,8})(?: \1)+[.!]?")
 _WORD = re.compile(r"[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
+_HAN = re.compile(r"[㐀-鿿豈-﫿]")
 _LINK = re.compile(r"\[([^\]\n]*)\]\([^)\n]*\)|https?://\S+|www\.\S+")
 _LIST = re.compile(r"\s*(?:[-*•▶»›+·▪►]|\d{1,2}[.)]|[a-z]\)|\(\d{1,2}\))\s+")
 _ENDS = re.compile(r"[.!?。!?…][\"'”’」』)\]]*$")
@@ -122,8 +123,12 @@ _EDGES = " »›•|/>·-*"
 
 def _size(text: str) -> float:
     """Length in words; a Han character is about half a word."""
-    every = _WORD.findall(text)
-    return len(every) - 0.5 * sum(len(w) == 1 and w >= "㐀" for w in every)
+    words = len(_WORD.findall(text))
+    return words if text.isascii() else words - 0.5 * len(_HAN.findall(text))
+
+
+#: A menu or path of pages on one line has at most so many words.
+MENU_WORDS = 60
 
 
 def _automaton() -> ahocorasick.Automaton:
@@ -145,8 +150,7 @@ FEATURES = ("words", "link_density", "listed", "ends", "strong", "headline", "se
 
 def is_residue(folded: str, kinds: set[str]) -> bool:
     """A line of an error page, of an unfilled template or of filler text."""
-    words = folded.replace(".", " ").replace(",", " ").split()
-    if "residue" in kinds and len(words) <= 30 and len(folded) <= 240:
+    if "residue" in kinds and len(folded) <= 240 and folded.count(" ") < 30:
         return True
     if len(folded) < 160 and (_WHOLE.fullmatch(folded) or _REPEATED.fullmatch(folded)):
         return True
@@ -157,6 +161,9 @@ def is_residue(folded: str, kinds: set[str]) -> bool:
             left = len(_WORD.findall(rest))
             if left <= 4 * n + 3:
                 return n > 1 or not _ENDS.search(rest.rstrip()) or left <= 4
+    if not any(w.strip(".,") in FILLER for w in folded[:80].split()[:3]):
+        return False
+    words = folded.replace(".", " ").replace(",", " ").split()
     return len(words) >= 3 and sum(w in FILLER for w in words) >= 0.8 * len(words)
 
 
@@ -167,8 +174,8 @@ def _short_line(line: str) -> tuple[tuple[float, ...], bool]:
 
 def _describe(line: str) -> tuple[tuple[float, ...], bool]:
     """Own features of a line (those before ``words_before``) and whether it is residue."""
-    loose = fold(line.replace("\t", "|")).strip()
-    f = _BLANKS.sub(" ", loose)
+    loose = fold(line.replace("\t", "|") if "\t" in line else line).strip()
+    f = _BLANKS.sub(" ", loose) if "  " in loose else loose
     kinds: set[str] = set()
     strong = filler = 0
     for _, (kind, n) in _CUE_SCAN.iter(f):
@@ -181,7 +188,7 @@ def _describe(line: str) -> tuple[tuple[float, ...], bool]:
     linked = sum(_size(m.group(1) or m.group()) for m in _LINK.finditer(f)) if "](" in f or "http" in f or "www." in f else 0
     listed = _LIST.match(f)
     bare = f[listed.end() :] if listed else f
-    parts = [p for p in _PARTS.split(_LINK.sub(r"\1", bare).strip(_EDGES)) if p]
+    parts = [] if words > MENU_WORDS else [p for p in _PARTS.split(_LINK.sub(r"\1", bare).strip(_EDGES)) if p]
     if len(parts) == 1 and "  " in loose:
         wide = [p for p in _WIDE.split(loose.strip(_EDGES)) if p]
         parts = wide if sum(p in SECTIONS for p in wide) * 2 > len(wide) else parts
@@ -205,7 +212,7 @@ def features(text: str) -> tuple[list[int], np.ndarray, list[bool]]:
     numbers, own, residue = [], [], []
     for n, line in enumerate(text.split("\n"), 1):
         line = line.strip()
-        if line and (len(line) > 400 or fold(line).strip()):
+        if line:
             o, r = _short_line(line) if len(line) <= 120 else _describe(line)
             numbers.append(n)
             own.append(o)
@@ -323,6 +330,14 @@ def _is_site(part: str, tokens: set[str], joined: str) -> bool:
     return len(compact) >= 5 and compact in joined
 
 
+_DECOR = re.compile(r"[|»›•·_«\[\]（(【<–—/-]|::| : ")
+
+
+def decorated(title: str | None, domain: str | None) -> bool:
+    """The title holds more than the headline."""
+    return bool(title and _DECOR.search(title) and bare_headline(title, domain)[1])
+
+
 def bare_headline(title: str, domain: str) -> tuple[str, bool]:
     """``(headline, decorated)``: the title without the site's name, address or a section's name."""
     flat = _BLANKS.sub(" ", fold(title)).strip()

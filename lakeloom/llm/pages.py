@@ -9,6 +9,7 @@ afterwards, in the narrow table.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -44,9 +45,10 @@ def _key(text: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def template_key(folded: str, site: str) -> int:
+@lru_cache(maxsize=60_000)
+def template_key(line: str, site: str) -> int:
     """Hash of a line with its values (numbers, codes, the site's name) replaced by slots."""
-    line = pl._SLOT.sub("\x01", folded)
+    line = pl._SLOT.sub("\x01", pl.flat(line))
     if site:
         line = line.replace(site, "\x01")
     label = _LABEL.match(line)
@@ -70,12 +72,12 @@ def page_facts(text: str, domain: str | None) -> tuple:
     article = [n for n, lab in zip(numbers, labels) if lab == pl.ARTICLE]
     site = site_name(domain)
     short = all(len(lines[n - 1]) <= TEMPLATE_CHARS for n in article) and not any(_prose(lines[n - 1]) for n in article)
-    evidence = [template_key(pl.flat(lines[n - 1]), site) for n in residue] if short else []
+    evidence = [template_key(lines[n - 1].strip(), site) for n in residue] if short else []
     keys: list[int] = []
     for n in article:
         line = lines[n - 1]
         if len(line) <= TEMPLATE_CHARS and not _prose(line):
-            keys.append(template_key(pl.flat(line), site))
+            keys.append(template_key(line.strip(), site))
     if residue and not article:
         verdict = SURE
     elif residue and short:
@@ -90,7 +92,7 @@ def _prose(line: str) -> bool:
     return len(line) > 40 and bool(pl._ENDS.search(line.rstrip())) and line.count(" ") >= 7 or len(line) > 25 and line.rstrip().endswith("。")
 
 
-def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.55) -> DataFrame:
+def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.45) -> DataFrame:
     """The narrow table of :data:`SCAN`, one row a record, written to the shared folder.
 
     With ``model``, ``langs`` has line 0 (the main language of the article, ``mislabelled``
@@ -107,7 +109,7 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
             for at, (i, dom, title, text) in enumerate(zip(ids, domains, titles, texts)):
                 verdict, short, evidence, keys, numbers, labels = page_facts(text, dom)
                 furniture = [n for n, lab in zip(numbers, labels) if lab == pl.FURNITURE]
-                decorated = bool(title and title.strip()) and pl.bare_headline(title, dom)[1]
+                decorated = pl.decorated(title, dom)
                 for col, v in zip(out, (i, verdict, short, evidence, keys if short or verdict == GOOD else [], furniture, decorated, [])):
                     col.append(v)
                 if model is not None and len(text) >= min_chars and verdict != SURE:

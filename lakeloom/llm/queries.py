@@ -50,7 +50,7 @@ def p4_pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return mainbody.furniture(pages.scan(table(spark, sf, "corpus"))).distinct()
+    return mainbody.furniture(pages.scan(table(spark, sf, "corpus")))
 
 
 def p5_bodies(spark: SparkSession, sf: str) -> DataFrame:
