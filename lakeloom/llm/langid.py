@@ -24,6 +24,8 @@ CLASSES = ("en", "vi", "zh", "none")
 BITS = 16
 ORDERS = (1, 2, 3)
 _BREAK = 10
+_HAN_RUN = re.compile("[㐀-鿿][㐀-鿿，。：；、]{3}")
+_LATIN_RUN = re.compile("[A-Za-z][A-Za-z0-9 ]{2,}")
 # Other names of the three languages.
 ALIASES = {"vie": "vi", "eng": "en", "zho": "zh", "chi": "zh", "cmn": "zh", "vietnamese": "vi", "english": "en", "chinese": "zh"}
 
@@ -41,6 +43,8 @@ def without_accents(text: str) -> str:
 
 def plain(line: str) -> str:
     """Lower case; stored decomposed or not, a letter with its accents is one character."""
+    if _HAN_RUN.search(line):
+        line = _LATIN_RUN.sub(" a ", line)  # a Latin name in Chinese counts as one letter
     return f" {ud.normalize('NFC', line).lower()} "
 
 
