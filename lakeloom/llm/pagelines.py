@@ -108,7 +108,7 @@ FILLER_PHRASES = [
     "this is sample text", "dummy copy used for layout", "your subheading goes here", "this post is a draft", "real content will be added later", "replace this paragraph before launch",
     "正式内容稍后补充", "此处为示例文字", "这里填写副标题", "本文为草稿", "占位文字仅用于排版", "请替换本段内容", "bai dang duoc bien tap", "day la doan van ban mau", "chu giu cho dung de dan trang", "vui long thay doan nay", "tieu de phu cua bai mau", "noi dung that se duoc cap nhat sau",
 ]
-_REPEATED = re.compile(r"(\S{2,8})(?: \1)+[.!]?")
+_REPEATED = re.compile(r"(\S{2,8})(?: \1)+(?: [0-9a-z]{1,6})?[.!]?")
 _WORD = re.compile(r"[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
 _HAN = re.compile(r"[㐀-鿿豈-﫿]")
 _LINK = re.compile(r"\[([^\]\n]*)\]\([^)\n]*\)|https?://\S+|www\.\S+")
@@ -229,9 +229,9 @@ def features(text: str) -> tuple[list[int], np.ndarray, list[bool]]:
     x[1:, 13] = sign[:-1]
     x[:-1, 14] = sign[1:]
     head = (x[:, 5] > 0) & (x[:, 0] < 30) & (x[:, 9] == 0) & (x[:, 10] == 0)
-    near = head.astype(float)
-    near[1:] += head[:-1]
-    near[:-1] += head[1:]
+    near = head * np.where(x[:, 2] > 0, 1.6, 1.0)  # a listed headline is more of a link list
+    near[1:] += head[1:] & head[:-1]
+    near[:-1] += head[:-1] & head[1:]
     x[:, 15] = near
     x[1:, 16] = np.cumsum((x[:, 0] > 14) & (x[:, 4] == 0) & (x[:, 3] > 0))[:-1] > 0
     return numbers, x, residue
