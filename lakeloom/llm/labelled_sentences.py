@@ -8,7 +8,7 @@ EN = [
     "Lt. Poe, Ph.D., left the ward at 6.30 p.m. to rest.", "Was it really gout?!", "Stop taking it now!!!", "The ache grew slowly... and then reached the knee.", "Only 3.5 % (n = 45) stopped, mostly because of a rash...",
     '"Please wash hands often!" said Dr. Lee at the end of the visit.', '"Is it safe to stop?" many people ask.', 'She said, "I have nausea. It comes at night." and asked about the heart.', 'He told us: "The pain in my back is gone."',
     '"Please keep warm."', "“Drink enough water.”", "How many tablets are enough: 1.5 or 2.0?", "The code B.26 in list ICD-10.83 stands for gout.", "It belongs to group B.7.", "Always rest before asking for a higher dose!",
-    "The score rose from 2.5 to 7.25 (p < 0.05) after 32 hours.", "The liver plays a part (see Sect. 2.1).", "(See also Sect. 3.8 and Table A.2.)", "The U.S. trial ended in Jan. 2020 with no loss.", "In 2012, the clinic admitted 34 adults.",
+    "The score rose from 2.5 to 7.25 (p < 0.05) after 32 hours.", "The liver plays a part (see Sect. 2.1).", "(See also Sect. 3.8 and Table A.2.)", "The U.S. trial ended in Jan. 2020 with no loss.", "In 2012, the clinic admitted 34 adults.", "The nurse thanked Dr. Lee.", "He met Mr. Poe.", "She saw Ann.",
 ]
 VI = [
     "Người bệnh nên giữ ấm cơ thể và tái khám đúng hẹn.", "Thuốc được dùng với liều 8.5 mg mỗi ngày, kéo dài 54 giờ.", "Th.S Lê An nhắc rằng tỷ lệ 1:2.70 ở TX. Cồn Mây còn cao!!!", "TS.BS. Lê An cho biết gút có thể khởi phát từ mạch máu.",
@@ -16,7 +16,7 @@ VI = [
     "Thực đơn nên có bí đỏ, cháo loãng, sữa, v.v.", "Cần kiêng đồ chua, rượu, v.v. để tránh mờ mắt.", "Liều là 0,5 mg/kg, tối đa 3.5 mg, chia 2 lần (xem H. 2.1).", "Bảng phân loại ICD-10.55 xếp gút vào nhóm B.34.", "Cơn đau tăng dần... rồi lan sang cơ hoành.",
     "Chỉ 3,5% (n = 26) ngừng thuốc, đa số vì phát ban đỏ...", 'Chị ấy nói: "Tôi hay chướng hơi. Đêm nào cũng vậy." rồi xin khám tim.', '"Tôi bị ho khan từ lâu!", một bệnh nhân kể lại.', '"Có cần mổ không?" là câu hỏi hay đặt ra.', "“Hãy uống đủ nước.”", '"Hãy giữ ấm cơ thể."',
     "Sao lại đau thế này?!", "Uống bao nhiêu là đủ: 1.5 hay 2.0 viên?", "Hãy tập thở mỗi sáng trước khi tăng liều!", "Gửi thư tới ban.docgia@yte.example hoặc gọi số nội bộ 40.12 để hỏi.", "Xem www.yte.example/bai-46.html cho bản 2.5.", "Sau 5 ngày, phần lớn bệnh nhân không còn đau.",
-    "Ông N. V. Bình và bà Tr. Lan đến khám.", "Bác sĩ khuyên: “Đừng chủ quan.”", "Đ/c Lê An ở Q. 3 đã đến.", "Trong năm 2027, bệnh viện tiếp nhận hơn 64 ca.", "BS. Lê An hẹn khám lúc 8.30.",
+    "Ông N. V. Bình và bà Tr. Lan đến khám.", "Bác sĩ khuyên: “Đừng chủ quan.”", "Đ/c Lê An ở Q. 3 đã đến.", "Trong năm 2027, bệnh viện tiếp nhận hơn 64 ca.", "BS. Lê An hẹn khám lúc 8.30.", "Chị ấy gặp bác sĩ Lê An.", "Người bệnh khám ở Hồ Bạc.", "Bà về nhà cùng ông Lân.",
 ]
 ZH = [
     "诊断依靠体格检查、血液化验和胃部的影像资料。", "药物Panizol每日用量为2.5毫克，连续服用17周。", "在加大剂量之前，请务必多喝温水！", "服用Panizol期间可以吃鲜姜吗？", "难道真的是痛风吗？！", "别再吃Panizol了！！！", "疼痛逐渐加重……随后扩散到心脏。",

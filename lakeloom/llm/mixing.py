@@ -189,7 +189,7 @@ def _report(rows: DataFrame, targets: DataFrame, chosen: DataFrame) -> DataFrame
     whole = F.sum(F.coalesce("tokens", F.lit(0))).over(mixes)
     weight = F.sum(F.greatest(F.coalesce("target_weight", F.lit(0.0)), F.lit(0.0))).over(mixes)
     return t.select(
-        "mix_id", "source", (F.greatest(F.coalesce("target_weight", F.lit(0.0)), F.lit(0.0)) / weight).alias("target_share"),
+        "mix_id", "source", (F.greatest(F.coalesce("target_weight", F.lit(0.0)), F.lit(0.0)) / F.nullif(weight, F.lit(0.0))).alias("target_share"),
         F.when(whole > 0, F.coalesce("tokens", F.lit(0)) / whole).otherwise(F.lit(0.0)).alias("actual_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"),
         F.coalesce("available_tokens", F.lit(0)).alias("available_tokens"), F.coalesce("n_docs", F.lit(0)).alias("n_docs"), F.coalesce("max_used", F.lit(0)).alias("max_used"),
     )

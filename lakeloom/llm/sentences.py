@@ -156,6 +156,8 @@ def places(text: str) -> tuple[list[int], list[list[str]]]:
             first = following.split(" ", 1)[0]
             nofit = flowing and len(prev.rstrip()) + 1 + len(first) > width
             kind, then = _line_kind(prev), _line_kind(following) if following.strip() else "end"
+            if then == "item" and prev.count("(") > prev.count(")"):
+                then = "text"  # "(n =" goes on with "19)", which is no item's number
             nk = _kind(text[nxt : nxt + 1])
             marked = bool(ends) and ends[-1] == end
             f = [
@@ -335,13 +337,13 @@ BARE_CHARS = 40
 
 
 def _around(text: str, i: int) -> list[str]:
-    pad = f"\x02\x02{text}\x03\x03"
-    j = i + 2
-    return [f"l1:{pad[j]}", f"l2:{pad[j - 1 : j + 1]}", f"r1:{pad[j + 1]}", f"r2:{pad[j + 1 : j + 3]}", f"lr:{pad[j]}{pad[j + 1]}", f"l2r1:{pad[j - 1 : j + 2]}"]
+    pad = f"\x02\x02\x02{text}\x03\x03\x03"
+    j = i + 3
+    return [f"l3:{pad[j - 2 : j + 1]}", f"r3:{pad[j + 1 : j + 4]}", f"l2r2:{pad[j - 1 : j + 3]}", f"l1:{pad[j]}", f"l2:{pad[j - 1 : j + 1]}", f"r1:{pad[j + 1]}", f"r2:{pad[j + 1 : j + 3]}", f"lr:{pad[j]}{pad[j + 1]}", f"l2r1:{pad[j - 1 : j + 2]}"]
 
 
 @lru_cache(maxsize=1)
-def unmarked_model(documents: int = 600, seed: int = 4) -> Chain:
+def unmarked_model(documents: int = 900, seed: int = 4) -> Chain:
     """The chain over characters, trained on sentences stripped of their punctuation."""
     rng = random.Random(seed)
     bare = [re.sub(r"[^\w]", "", s) for s in table.ZH]
@@ -354,14 +356,14 @@ def unmarked_model(documents: int = 600, seed: int = 4) -> Chain:
             at += len(p)
             ends.add(at - 1)
         rows.append(([_around(text, i) for i in range(len(text))], [int(i in ends) for i in range(len(text))]))
-    return perceptron(rows, epochs=4)
+    return perceptron(rows, epochs=6)
 
 
 def sentence_ends(text: str | None) -> list[int]:
     """End of each sentence: the number of characters up to and including its last one."""
     if not text or not text.strip():
         return []
-    if len(text) >= BARE_CHARS and not _BARE.search(text.strip()) and len(_HAN.findall(text)) > 0.6 * len(text):
+    if len(text) >= BARE_CHARS and not _BARE.search(text.strip()) and len(_HAN.findall(text)) > 0.4 * len(text):
         body = text.rstrip()
         tags = unmarked_model().decode([_around(body, i) for i in range(len(body))])
         return [i + 1 for i, t in enumerate(tags) if t == BOUNDARY and i + 1 < len(body) and body[i].strip()] + [len(body)]
