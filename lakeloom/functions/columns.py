@@ -51,6 +51,11 @@ def fetch_key(url: Column) -> Column:
     return F.sha2(normalize_fetch_url(url), 256)
 
 
+def task_url(url: Column) -> Column:
+    """The URL a task is kept under: an unusable one stays as it is, so no row is lost."""
+    return F.coalesce(normalize_fetch_url(url), url)
+
+
 def is_pdf_like(url: Column) -> Column:
     return F.lower(_part(url, 3)).endswith(".pdf")
 
