@@ -54,19 +54,30 @@ def balance(work: dict[str, float], counts: dict[str, int], workers: int, thresh
         split.add(best[1])
 
 
+#: A domain with less than this share of a worker's load is planned together with others of its bucket.
+SMALL_SHARE = 1000
+BUCKETS = 4096
+
+
 def assign(links: DataFrame, work: DataFrame, workers: int = 6) -> DataFrame:
     """``links`` with ``worker_id`` and ``split_part``; ``work`` is ``(domain, estimated_work)``.
 
-    Only per-domain sums reach the driver. A split domain's rows go to its parts by the
-    stable hash of their id, so routing needs no order and no shuffle.
+    The driver plans ``workers * SMALL_SHARE`` large domains at most and ``BUCKETS`` buckets of
+    small ones, however many domains there are; a domain stays with one worker unless it is
+    split. A split domain's rows go to its parts by the stable hash of their id, so routing
+    needs no order.
     """
     rows = links.withColumn("domain", C.domain_from_url(F.col("url"))).filter("domain is not null")
-    sums = rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).join(work, "domain", "left").select("domain", "n", F.coalesce(F.col("estimated_work"), F.col("n").cast("double")).alias("w")).collect()
-    plan = balance({r.domain: r.w for r in sums}, {r.domain: r.n for r in sums}, workers)
-    table = links.sparkSession.createDataFrame(plan, "domain string, split_part int, split_parts int, worker_id int")
-    split = table.groupBy("domain").agg(F.first("split_parts").alias("k"))
-    routed = rows.join(split, "domain").withColumn("split_part", F.pmod(C.stable_int(F.col("doc_id"), "route"), F.col("k")).cast("int")).drop("k")
-    return routed.join(table.drop("split_parts"), ["domain", "split_part"])
+    sums = rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).join(work, "domain", "left").select("domain", "n", F.coalesce(F.col("estimated_work"), F.col("n").cast("double")).alias("w"))
+    total = sums.agg(F.sum("w")).first()[0] or 0.0
+    small = F.concat(F.lit("#"), F.pmod(F.xxhash64("domain"), F.lit(BUCKETS)).cast("string"))
+    sums = sums.withColumn("unit", F.when(F.col("w") < total / (workers * SMALL_SHARE), small).otherwise(F.col("domain")))
+    units = sums.groupBy("unit").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).collect()
+    plan = balance({r.unit: r.w for r in units}, {r.unit: r.n for r in units}, workers)
+    table = links.sparkSession.createDataFrame(plan, "unit string, split_part int, split_parts int, worker_id int")
+    routed = rows.join(sums.select("domain", "unit"), "domain").join(F.broadcast(table.groupBy("unit").agg(F.first("split_parts").alias("k"))), "unit")
+    routed = routed.withColumn("split_part", F.pmod(C.stable_int(F.col("doc_id"), "route"), F.col("k")).cast("int")).drop("k")
+    return routed.join(F.broadcast(table.drop("split_parts")), ["unit", "split_part"]).drop("unit")
 
 
 def worker_summary(assigned: DataFrame) -> DataFrame:

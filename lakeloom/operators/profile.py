@@ -99,8 +99,8 @@ def domain_profile(tasks: DataFrame, log: DataFrame, prior: float = 20.0, robots
     own = t.groupBy("domain", "category").agg(F.count(F.lit(1)).alias("n"), F.expr(f"0.7 * median(seconds) + 0.3 * {p95}").alias("own_cost"))
     over = t.groupBy("category").agg(F.expr(f"0.7 * median(seconds) + 0.3 * {p95}").alias("category_cost"))
     every = t.agg(F.expr(f"0.7 * median(seconds) + 0.3 * {p95}").alias("any_cost"))
-    x = rates.join(whole, "domain").join(own, ["domain", "category"], "left").join(F.broadcast(over), "category", "left").join(F.broadcast(every))
-    base = F.coalesce("category_cost", "any_cost")
+    x = rates.join(whole, "domain").join(own, ["domain", "category"], "left").join(F.broadcast(over), "category", "left")  # six categories
+    base = F.coalesce(F.col("category_cost"), every.scalar())
     weight = F.coalesce(F.col("n") / (F.col("n") + prior), F.lit(0.0))
     cost = F.when(F.col("category") == "ROBOTS_DENIED", F.lit(robots_seconds)).otherwise(weight * F.coalesce("own_cost", base) + (1 - weight) * base)
     per = x.groupBy("domain").agg(F.max("sample_count").alias("sample_count"), F.sum(F.col("k") / F.col("sample_count") * cost).alias("seconds_per_url"))
@@ -112,36 +112,39 @@ def risk_scores(corpus: DataFrame) -> DataFrame:
 
     Length, share of the download, repeated content, chrome phrases, title, structure, language.
     """
-    rows = corpus.filter("crawl_status = 'SUCCESS'").dropDuplicates(["doc_id"])
-    same = rows.filter("content_hash is not null").groupBy("content_hash").agg(F.count(F.lit(1)).alias("n_same"))
-    rows = rows.join(same, "content_hash", "left")
+    raw = corpus.filter("crawl_status = 'SUCCESS'")
     text, title = F.coalesce("text", F.lit("")), F.coalesce("title", F.lit(""))
     chars = F.when(F.coalesce("text_chars", F.lit(0)) > 0, F.col("text_chars")).otherwise(F.length(text))
-    ratio = chars / F.greatest(F.lit(1), F.coalesce("bytes_downloaded", F.lit(0)))
-    hits = F.size(F.filter(F.array(*(F.lit(x) for x in CHROME)), lambda m: F.contains(F.lower(text), m)))
-    lead, head = C.dedup_form(F.substring(text, 1, 4000)), C.dedup_form(title)
-    words = F.array_distinct(F.split(head, " "))
-    overlap = F.size(F.array_intersect(words, F.split(lead, " "))) / F.size(words)
     lines = F.filter(F.transform(F.split(text, "\n"), C.strip), lambda x: x != "")
-    structured = F.size(F.filter(lines, lambda x: x.rlike(r"^[#*|-]")))
     blocks = F.filter(F.transform(F.split(text, r"\n\s*\n"), C.strip), lambda x: x != "")
-    formed = F.transform(F.filter(blocks, lambda x: F.length(x) >= 30), C.dedup_form)
+    # Each fact once; the text itself goes no further than this stage.
+    facts = raw.select(
+        "doc_id", "domain", "content_hash", "language", chars.alias("chars"), (chars / F.greatest(F.lit(1), F.coalesce("bytes_downloaded", F.lit(0)))).alias("ratio"),
+        F.size(F.filter(F.array(*(F.lit(x) for x in CHROME)), lambda m: F.contains(F.lower(text), m))).alias("hits"),
+        C.dedup_form(F.substring(text, 1, 4000)).alias("lead"), C.dedup_form(title).alias("head"), lines.alias("lines"), blocks.alias("blocks"),
+    )
+    facts = facts.withColumns({"formed": F.transform(F.filter("blocks", lambda x: F.length(x) >= 30), C.dedup_form), "words": F.array_distinct(F.split("head", " "))})
+    chars, ratio, lead, head, lines, blocks, formed = (F.col(x) for x in ("chars", "ratio", "lead", "head", "lines", "blocks", "formed"))
+    overlap = F.size(F.array_intersect("words", F.split(lead, " "))) / F.size("words")
+    structured = F.size(F.filter(lines, lambda x: x.rlike(r"^[#*|-]")))
     repeated = (F.size(formed) - F.size(F.array_distinct(formed))) / F.size(formed)
     rules = [
         ("very_short_text", 30, chars < 300), ("short_text", 20, (chars >= 300) & (chars < 600)), ("brief_text", 10, (chars >= 600) & (chars < 1000)),
         ("very_low_text_ratio", 20, ratio < 0.003), ("low_text_ratio", 10, (ratio >= 0.003) & (ratio < 0.01)), ("moderate_text_ratio", 5, (ratio >= 0.01) & (ratio < 0.02)),
-        ("duplicate_content", 20, F.col("n_same") > 1), ("missing_title", 15, head == ""),
-        ("title_body_mismatch", 10, (head != "") & ~F.contains(lead, head) & (overlap < 0.35)),
+        ("missing_title", 15, head == ""), ("title_body_mismatch", 10, (head != "") & ~F.contains(lead, head) & (overlap < 0.35)),
         ("list_heading_dominant", 10, (F.size(lines) >= 6) & (structured / F.size(lines) > 0.6)),
         ("no_substantial_paragraph", 15, (F.size(blocks) > 0) & (F.array_max(F.transform(blocks, F.length)) < 120)),
         ("repeated_blocks", 10, (F.size(formed) > 0) & (repeated >= 0.2)),
         ("missing_language", 5, F.coalesce("language", F.lit("")) == ""), ("extreme_length", 5, chars > 50_000),
     ]
     made = [F.when(test, F.struct(F.lit(code).alias("code"), F.lit(points).alias("points"))) for code, points, test in rules]
-    made.append(F.when(hits > 0, F.struct(F.lit("boilerplate_markers").alias("code"), F.least(F.lit(20), 5 * hits).alias("points"))))
-    reasons = F.filter(F.array(*made), lambda r: r.isNotNull())
-    risk = F.least(F.lit(100), F.aggregate(reasons, F.lit(0), lambda a, r: a + r["points"]))
-    return rows.select("doc_id", "domain", chars.cast("int").alias("text_chars"), risk.alias("risk"), F.transform(reasons, lambda r: r["code"]).alias("reasons"))
+    made.append(F.when(F.col("hits") > 0, F.struct(F.lit("boilerplate_markers").alias("code"), F.least(F.lit(20), 5 * F.col("hits")).alias("points"))))
+    own = facts.select("doc_id", "domain", chars.cast("int").alias("text_chars"), "content_hash", F.filter(F.array(*made), lambda r: r.isNotNull()).alias("own")).dropDuplicates(["doc_id"])
+    same = own.filter("content_hash is not null").groupBy("content_hash").agg(F.count(F.lit(1)).alias("n_same")).filter("n_same > 1")
+    twice = F.when(F.col("n_same") > 1, F.array(F.struct(F.lit("duplicate_content").alias("code"), F.lit(20).alias("points")))).otherwise(F.slice("own", 1, 0))
+    rows = own.join(same, "content_hash", "left").withColumn("all", F.concat("own", twice))
+    risk = F.least(F.lit(100), F.aggregate("all", F.lit(0), lambda a, r: a + r["points"]))
+    return rows.select("doc_id", "domain", "text_chars", risk.alias("risk"), F.transform("all", lambda r: r["code"]).alias("reasons"))
 
 
 def offset_percentile(fraction: float, value: str, by: str) -> tuple[Column, Column]:

@@ -23,10 +23,14 @@ def smallest_hashes(df: DataFrame, by: str, key: str, n: int, seed: int = 7, pri
     return ranked.filter((F.col("rank_in_group") <= most) & (F.col("rank_in_group") <= limit))
 
 
-def interleave(df: DataFrame, groups: list[str], key: str, seed: int = 7) -> DataFrame:
-    """Rows with ``turn`` (position within their group by stable hash): sorting by it goes round the groups."""
+def interleave(df: DataFrame, groups: list[str], key: str, turns: int, seed: int = 7) -> DataFrame:
+    """The first ``turns`` rows of each group by stable hash, with their ``turn``: sorting by it goes round the groups.
+
+    The cap is known before the shuffle, so a hot group sends few rows.
+    """
     parts = [F.coalesce(F.col(g), F.lit("")) for g in groups]
-    return df.withColumn("score", C.stable_int(F.col(key), seed)).withColumn("turn", F.row_number().over(Window.partitionBy(*parts).orderBy("score", key)))
+    ranked = df.withColumn("score", C.stable_int(F.col(key), seed)).withColumn("turn", F.row_number().over(Window.partitionBy(*parts).orderBy("score", key)))
+    return ranked.filter(F.col("turn") <= turns)
 
 
 def capped_by_order(df: DataFrame, by: str, order: list[Column], cap: int, total: int) -> DataFrame:
@@ -79,21 +83,37 @@ def sqrt_quotas(sizes: dict[str, int], capacity: dict[str, int], total: int) ->
     return quota
 
 
-def stratified(df: DataFrame, by: str, key: str, total: int, seed: int = 7) -> DataFrame:
-    """``total`` rows, square-root quotas a group, the smallest hashes of each."""
-    counts = {r[by]: r["n"] for r in df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
+def stratified(df: DataFrame, by: str, key: str, total: int, seed: int = 7, max_groups: int = 1_000_000) -> DataFrame:
+    """``total`` rows, square-root quotas a group, the smallest hashes of each.
+
+    Quotas are planned from one count a group; above ``max_groups`` groups it raises.
+    """
+    found = df.filter(F.col(by).isNotNull()).groupBy(by).agg(F.count(F.lit(1)).alias("n")).limit(max_groups + 1).collect()
+    if len(found) > max_groups:
+        raise ValueError(f"more than {max_groups} groups")
+    counts = {r[by]: r["n"] for r in found}
     quota = sqrt_quotas(counts, counts, min(total, sum(counts.values())))
     plan = df.sparkSession.createDataFrame([(g, q) for g, q in quota.items() if q], f"{by} string, quota int")
     ranked = df.withColumn("score", C.stable_int(F.col(key), seed)).withColumn("rank_in_group", F.row_number().over(Window.partitionBy(by).orderBy("score", key)))
-    return ranked.join(plan, by).filter(F.col("rank_in_group") <= F.col("quota")).drop("quota")
+    most = max(quota.values(), default=0)
+    return ranked.filter(F.col("rank_in_group") <= most).join(plan, by).filter(F.col("rank_in_group") <= F.col("quota")).drop("quota")
 
 
 def spread_sample(df: DataFrame, by: str, value: str, key: str, n: int = 5) -> DataFrame:
-    """Per group the extremes, the median and evenly spread rows by ``value``: ``n`` rows at most."""
+    """Per group the extremes, the median and evenly spread rows by ``value``: ``n`` rows at most.
+
+    Places come from the histogram of values, so a hot group is never sorted as a whole; only
+    rows that share a wanted value are ranked among themselves.
+    """
+    hist = df.groupBy(by, value).agg(F.count(F.lit(1)).alias("at_value"))
     w = Window.partitionBy(by)
-    ranked = df.withColumn("place", F.row_number().over(w.orderBy(value, key))).withColumn("of", F.count(F.lit(1)).over(w))
-    steps = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (1 + F.floor(i * (F.col("of") - 1) / (n - 1))).cast("int"))
-    return ranked.filter(F.array_contains(steps, F.col("place"))).drop("of")
+    upto = F.sum("at_value").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    hist = hist.withColumn("before", upto - F.col("at_value")).withColumn("of", F.sum("at_value").over(w))
+    steps = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: 1 + F.floor(i * (F.col("of") - 1) / (n - 1))))
+    steps = F.filter(steps, lambda p: (p > F.col("before")) & (p <= F.col("before") + F.col("at_value")))
+    wanted = hist.withColumn("steps", steps).filter(F.size("steps") > 0).select(by, value, "before", "steps")
+    ranked = df.join(wanted, [by, value]).withColumn("place", (F.col("before") + F.row_number().over(Window.partitionBy(by, value).orderBy(key))).cast("int"))
+    return ranked.filter(F.array_contains("steps", F.col("place").cast("long"))).select(*df.columns, "place")
 
 
 def head_per_group(df: DataFrame, by: str, key: str, n: int) -> DataFrame:

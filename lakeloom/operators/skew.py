@@ -53,4 +53,4 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.05) -> DataFrame:
     per = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     top = per.orderBy(F.desc("n_rows"), F.asc(key)).limit(int(1 / share) + 1)
     total = df.agg(F.count(F.lit(1)).alias("total"))  # counted from the files' footers
-    return top.join(F.broadcast(total), F.col("n_rows") >= share * F.col("total")).select(key)
+    return top.filter(F.col("n_rows") >= F.lit(share) * total.scalar()).select(key)

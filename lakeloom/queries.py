@@ -130,7 +130,7 @@ def hash_sample(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def review_interleave(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "corpus").filter("crawl_status = 'SUCCESS'").select("doc_id", "domain", "content_type").distinct()
-    return sampling.interleave(rows, ["domain", "content_type"], "doc_id").select("domain", "content_type", "doc_id", "turn")
+    return sampling.interleave(rows, ["domain", "content_type"], "doc_id", 50).select("domain", "content_type", "doc_id", "turn")
 
 
 @query
