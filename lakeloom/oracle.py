@@ -197,4 +197,30 @@ def sql() -> dict[str, str]:
             g as (select *, sum(case when "offset" - before_end <= 65536 then 0 else 1 end) over (partition by filename order by "offset", length rows between unbounded preceding and current row) as group_no from e)
             select filename, cast(group_no as bigint) as group_no, min("offset") as "offset", max("offset" + length) - min("offset") as length, count(*) as n_records from g group by filename, group_no""",
         "newest_captures": f"with k as (select regexp_replace({u}, '^https?://', '') as lookup_key, doc_id, url, attempts from crawl_tasks) select lookup_key, doc_id from k where lookup_key is not null qualify row_number() over (partition by lookup_key order by attempts desc, url desc, doc_id desc) = 1",
+        "settled_state": f"""with o as (select fetch_key, status as outcome, retryable from timing_log qualify row_number() over (partition by fetch_key order by status desc, retryable desc nulls last) = 1),
+            t as (select *, outcome is not null and status in ('PENDING', 'FETCHING', 'RETRY_WAIT') as hit from crawl_tasks left join o using (fetch_key)), r as (select *, hit and coalesce(retryable, false) and attempts < 3 as again from t)
+            select doc_id, case when again then 'RETRY_WAIT' when hit then outcome else status end as status, attempts,
+            round(case when again then {NOW} + least(3600.0, 30 * pow(2, greatest(attempts, 1) - 1) + ({stable_int('fetch_key', 'retry')} % 1000) / 1000.0) when hit then null else next_retry_at end, 3) as next_retry_at from r""",
+        "error_breakdown": r"with e as (select status, upper(regexp_replace(" + strip("coalesce(error_type, '')") + r", '[\s-]+', '_', 'g')) as error, http_status, count(*) as n from crawl_tasks group by all) select * from e order by n desc, status, error, http_status nulls first limit 30",
+        "storage_projection": "select count(*) as n_tasks, count(*) filter (status = 'SUCCESS') as n_done, cast(sum(bytes_downloaded) filter (status = 'SUCCESS') as bigint) as bytes_done, cast(sum(text_chars) filter (status = 'SUCCESS') as bigint) as chars_done, round(sum(bytes_downloaded) filter (status = 'SUCCESS') * (count(*) / count(*) filter (status = 'SUCCESS')), 3) as bytes_projected from crawl_tasks",
+        "slow_domains": "select domain, count(*) as n_attempts, round(avg(elapsed_seconds) + 1e-9, 6) as mean_seconds from timing_log where elapsed_seconds is not null group by domain having count(*) >= 5 order by mean_seconds desc, domain limit 20",
+        "failing_domains": "select domain, count(*) filter (status <> 'SUCCESS') as n_failed, count(*) as n_attempts from timing_log group by domain having count(*) filter (status <> 'SUCCESS') > 0 order by n_failed desc, domain limit 20",
+        "robots_decisions": "select case when http_status is null then 'retry' when http_status between 200 and 299 then 'read' when http_status in (401, 403) then 'deny' when http_status between 400 and 499 then 'allow' when http_status between 520 and 529 then 'allow for an hour' else 'retry' end as decision, count(*) as n from crawl_tasks group by 1",
+        "composition": r"""with f as (select doc_id, text, substr(text, 1, 3000) as head from corpus where text is not null), g as (select distinct doc_id, length(text) >= 50 as has_text, case when length(text) < 20 then 'unknown'
+            when length(regexp_replace(head, '[^\x{3400}-\x{9fff}]', '', 'g')) > 0.3 * length(regexp_replace(head, '[^\p{L}]', '', 'g')) then 'zh'
+            when length(regexp_replace(lower(head), '[^ăâđêôơưàảãáạằẳẵắặầẩẫấậèẻẽéẹềểễếệìỉĩíịòỏõóọồổỗốộờởỡớợùủũúụừửữứựỳỷỹýỵ]', '', 'g')) > 0.05 * length(regexp_replace(head, '[^\p{L}]', '', 'g')) then 'vi'
+            when length(regexp_replace(head, '[^\p{L}]', '', 'g')) > 0.4 * length(head) then 'en' else 'unknown' end as language_guess from f) select language_guess, has_text, count(*) as n_docs from g group by all""",
+        "timing_gaps": f"""select 'no timing' as "check", 'error' as severity, fetch_key as key, '' as detail from (select fetch_key from crawl_tasks group by fetch_key having bool_or(status in {PROFILED})) where fetch_key not in (select fetch_key from timing_log)
+            union all select 'unknown target', 'error', fetch_key, '' from (select distinct fetch_key from timing_log) where fetch_key not in (select fetch_key from crawl_tasks)""",
+        "allocated_passages": f"""with {DENSE}, h as (select query_id, vec_id // 4 as doc_id, cast(vec_id % 4 as integer) as chunk_index, score from dense),
+            d as (select query_id, doc_id, row_number() over (partition by query_id order by max(score) desc, doc_id) as doc_rank from h group by query_id, doc_id),
+            b as (select *, first_value(chunk_index) over (partition by query_id, doc_id order by score desc, chunk_index) as best from h join d using (query_id, doc_id)),
+            p as (select query_id, doc_id, doc_rank, chunk_index, case when doc_rank <= 25 then 1 else 3 end as part from b where chunk_index = best
+                union all select query_id, doc_id, doc_rank, arg_min(chunk_index, row(-score, chunk_index)), 2 from b where doc_rank <= 25 and abs(chunk_index - best) >= 2 group by query_id, doc_id, doc_rank)
+            select query_id, doc_id, chunk_index, cast(row_number() over (partition by query_id order by part, doc_rank, doc_id) as integer) as slot from p qualify slot <= 30""",
+        "matched_captures": f"""with k as (select doc_id, url, attempts, regexp_replace({u}, '^https?://', '') as lookup_key from crawl_tasks),
+            i as (select lookup_key, url as captured_from from k where attempts >= 2 and lookup_key is not null qualify row_number() over (partition by lookup_key order by attempts desc, url desc, doc_id desc) = 1)
+            select doc_id, case when captured_from is not null then 'FOUND' else 'MISS' end as archive_status, captured_from from k left join i on coalesce(k.lookup_key, regexp_replace(k.url, '^https?://', '')) = i.lookup_key""",
+        "token_spread": f"with t as (select {token_count('text')} as n from documents where text is not null) select count(*) as n, round(avg(n), 6) as mean, median(n) as median, quantile_disc(n, 0.95) as p95, min(n) as least, max(n) as most from t",
+        "first_lines": "select source, doc_id, cast(row_number() over (partition by source order by doc_id) as integer) as place from documents qualify place <= 3",
     }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom import oracle
 from lakeloom.functions import columns as C
-from lakeloom.operators import archive, chunks, cleaning, corpus as merging, dense, extraction, fusion, lexical, planning, profile, results, sampling, selection, skew, state
+from lakeloom.operators import archive, chunks, cleaning, corpus as merging, dense, extraction, fusion, lexical, planning, profile, reports, results, sampling, selection, skew, state
 from lakeloom.session import table, written
 from lakeloom.streaming import flows
 
@@ -377,6 +377,73 @@ def newest_captures(spark: SparkSession, sf: str) -> DataFrame:
     return archive.newest_captures(rows).select("lookup_key", "doc_id")
 
 
+@query
+def error_breakdown(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.error_breakdown(table(spark, sf, "crawl_tasks"))
+
+
+@query
+def storage_projection(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.storage_projection(table(spark, sf, "crawl_tasks"))
+
+
+@query
+def slow_domains(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.slow_domains(table(spark, sf, "timing_log"))
+
+
+@query
+def failing_domains(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.failing_domains(table(spark, sf, "timing_log"))
+
+
+@query
+def robots_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "crawl_tasks").groupBy(reports.robots_decision(F.col("http_status")).alias("decision")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def composition(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.composition(table(spark, sf, "corpus").filter("text is not null"))
+
+
+@query
+def timing_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.timing_gaps(table(spark, sf, "timing_log"), table(spark, sf, "crawl_tasks"))
+
+
+@query
+def allocated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    hits = _dense(spark, sf).withColumn("doc_id", F.expr("vec_id div 4")).withColumn("chunk_index", (F.col("vec_id") % 4).cast("int"))
+    docs = dense.best_chunk_per_document(hits).select("query_id", "doc_id", F.col("rank").alias("doc_rank"))
+    return reports.allocate_passages(hits.select("query_id", "doc_id", "chunk_index", "score").join(docs, ["query_id", "doc_id"]), cap=30)
+
+
+@query
+def wide_passages(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "documents").filter("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("chunk_index", "text"))
+    return reports.wide_passages(lines.filter("trim(text) <> ''"), 60).select("doc_id", "chunk_index", "n_words", F.length("passage").alias("n_chars"))
+
+
+@query
+def matched_captures(spark: SparkSession, sf: str) -> DataFrame:
+    tasks = table(spark, sf, "crawl_tasks")
+    index = archive.newest_captures(tasks.filter("attempts >= 2").withColumn("captured_at", F.struct("attempts", "url", "doc_id")))
+    return reports.match_captures(tasks, index)
+
+
+@query
+def token_spread(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").filter("text is not null").select(C.token_count(F.col("text")).alias("n_tokens"))
+    return results.token_distribution(rows, "n_tokens").withColumn("mean", F.round("mean", 6))
+
+
+@query
+def first_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The first document of every source, by id."""
+    return sampling.head_per_group(table(spark, sf, "documents").select("source", "doc_id"), "source", "doc_id", 3).select("source", "doc_id", "place")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
