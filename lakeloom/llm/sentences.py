@@ -72,7 +72,7 @@ def _token(text: str, at: int) -> str:
         return "none"
     if _HAN.match(t[-1]):
         return "han"
-    t = _AFTER_HAN.search(t).group()
+    t = _AFTER_HAN.search(t).group().lstrip(".") or "."
     joined = _JOINED.match(t)
     t = t[joined.end() :] if joined and joined.end() < len(t) else t  # a stop without its space
     low = t.lower().rstrip(".")
@@ -159,6 +159,8 @@ def places(text: str) -> tuple[list[int], list[list[str]]]:
             if then == "item" and prev.count("(") > prev.count(")"):
                 then = "text"  # "(n =" goes on with "19)", which is no item's number
             nk = _kind(text[nxt : nxt + 1])
+            if nofit and then == "text" and nk in ("letter", "sign"):
+                nk = "lower"  # a stray word of another script says nothing of the sentence
             marked = bool(ends) and ends[-1] == end
             f = [
                 f"length:{min(len(prev) // 12, 9)}:{marked}:{then}:{nk}" if nofit else "fits", "blank" if gap > 1 else f"break:{flowing}:{nofit}:{then}:{nk}:{marked}", f"kinds:{kind}:{then}:{flowing and nofit}", f"flow:{flowing}:{nofit}:{nk}",
@@ -191,7 +193,7 @@ def places(text: str) -> tuple[list[int], list[list[str]]]:
         nk = _kind(text[nxt : nxt + 1]) if text[nxt : nxt + 1] != "\n" else "newline"
         spaced = nxt > end
         tok = _token(text, at)
-        f = [f"mark:{sort}:{tok}:{nk}:{spaced}", f"mark2:{sort}:{nk}", f"tok:{tok}:{nk if sort in ('stop', 'ellipsis') else sort}"]
+        f = [f"mark:{sort}:{tok}:{nk}:{spaced}", f"mark2:{sort}:{nk}", f"tok:{tok}:{nk if sort in ('stop', 'ellipsis') else sort}", f"tok-alone:{tok}:{sort}"]
         if within:
             f.append(f"quote-within:{sort}")
         if shut == '"':
