@@ -18,13 +18,42 @@ def newest_captures(index: DataFrame, url: str = "url", at: str = "captured_at")
     return rows.groupBy("lookup_key").agg(F.max_by(F.struct(*rows.columns), F.struct(at, url)).alias("c")).select("c.*")
 
 
-def coalesce_ranges(ranges: DataFrame, gap: int = 65_536) -> DataFrame:
-    """``(filename, group_no, offset, length, n_records)``: ranges of a file at most ``gap`` bytes apart are read together."""
+def _runs(ranges: DataFrame, gap: int) -> DataFrame:
     w = Window.partitionBy("filename").orderBy("offset", "length")
     end = F.max(F.col("offset") + F.col("length")).over(w.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(F.col("offset") - end <= gap, 0).otherwise(1)
-    groups = ranges.withColumn("group_no", F.sum(new).over(w))
-    return groups.groupBy("filename", "group_no").agg(F.min("offset").alias("offset"), (F.max(F.col("offset") + F.col("length")) - F.min("offset")).alias("length"), F.count(F.lit(1)).alias("n_records"))
+    return ranges.withColumn("group_no", F.sum(new).over(w))
+
+
+def coalesce_ranges(ranges: DataFrame, gap: int = 65_536) -> DataFrame:
+    """``(filename, group_no, offset, length, n_records)``: ranges of a file at most ``gap`` bytes apart are read together."""
+    return _runs(ranges, gap).groupBy("filename", "group_no").agg(F.min("offset").alias("offset"), (F.max(F.col("offset") + F.col("length")) - F.min("offset")).alias("length"), F.count(F.lit(1)).alias("n_records"))
+
+
+def bounded_ranges(ranges: DataFrame, gap: int = 65_536, max_bytes: int = 64_000_000) -> DataFrame:
+    """As :func:`coalesce_ranges`, with groups of ``max_bytes`` at most (a longer single range stays whole).
+
+    The bound makes a group's start depend on the one before, so each gap-bounded run of a
+    file is walked in order; runs, not files, are the unit of work.
+    """
+
+    def walk(pdf):
+        import pandas as pd
+
+        out, start, end, n = [], None, 0, 0
+        for r in pdf.sort_values(["offset", "length"]).itertuples():
+            if start is not None and max(end, r.offset + r.length) - start > max_bytes:
+                out.append((r.filename, r.group_no, start, end - start, n))
+                start = None
+            if start is None:
+                start, end, n = r.offset, r.offset, 0
+            end, n = max(end, r.offset + r.length), n + 1
+        out.append((pdf.filename.iloc[0], pdf.group_no.iloc[0], start, end - start, n))
+        return pd.DataFrame(out, columns=["filename", "run_no", "offset", "length", "n_records"])
+
+    runs = _runs(ranges, gap).select("filename", "group_no", "offset", "length")
+    kind = dict(ranges.dtypes)["filename"]
+    return runs.groupBy("filename", "group_no").applyInPandas(walk, f"filename {kind}, run_no long, offset long, length long, n_records long")
 
 
 def slice_records(groups: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -142,3 +142,13 @@ def inspect(query_id: int, rankings: dict[str, DataFrame], n: int = 10) -> DataF
         one = hits.filter((F.col("query_id") == query_id) & (F.col("rank") <= n)).select("rank", F.col("doc_id").alias(name))
         out = one if out is None else out.join(one, "rank", "full_outer")
     return out.orderBy("rank")
+
+
+def shard_check(rows: DataFrame, expected: DataFrame) -> DataFrame:
+    """Violations between the files that ``rows`` are read from and ``expected (shard_name, row_count)``."""
+    have = rows.groupBy(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("shard_name")).agg(F.count(F.lit(1)).alias("n"))
+    j = have.join(expected, "shard_name", "full_outer")
+    missing = violation(j.filter("n is null"), "shard is missing", F.col("shard_name"), F.col("row_count"))
+    foreign = violation(j.filter("row_count is null"), "shard is unknown", F.col("shard_name"), F.col("n"))
+    wrong = violation(j.filter("n <> row_count"), "row count differs", F.col("shard_name"), F.col("n"))
+    return missing.unionByName(foreign).unionByName(wrong)

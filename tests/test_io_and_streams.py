@@ -73,3 +73,33 @@ def test_retry_state_stream(spark, tmp_path):
 def test_written_tables_go_to_the_shared_folder(spark):
     df = written(spark.range(5).toDF("x"), "t")
     assert df.count() == 5 and spark.conf.get("spark.checkpoint.dir") in df.inputFiles()[0]
+
+
+def test_shards(spark, tmp_path):
+    from lakeloom.operators import reports
+
+    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "s"))
+    rows = spark.read.parquet(str(tmp_path / "s"))
+    name = rows.inputFiles()[0].split("/")[-1]
+    for expected, checks in (([(name, 10)], set()), ([(name, 9), ("x", 1)], {"row count differs", "shard is missing"}), ([("x", 1)], {"shard is unknown", "shard is missing"})):
+        assert {r["check"] for r in reports.shard_check(rows, spark.createDataFrame(expected, "shard_name string, row_count long")).collect()} == checks
+
+
+def test_reviews(spark):
+    from lakeloom.operators import reports
+
+    flags = ", ".join(f"{c} boolean" for c in reports.REVIEW)
+    df = spark.createDataFrame([("d", True, True, True, True, True), ("d", True, False, True, True, True), ("e", None, True, True, True, True)], f"domain string, {flags}")
+    got = {r.domain: (r.n_rows, r.n_reviewed, r.n_accepted, r.n_not_complete) for r in reports.review_summary(df).collect()}
+    assert got == {None: (3, 2, 1, 1), "d": (2, 2, 1, 1), "e": (1, 0, 0, None)} or got["e"][:3] == (1, 0, 0) and got["d"] == (2, 2, 1, 1)
+    assert reports.review_summary(df.withColumn(reports.REVIEW[0], reports.F.lit("true"))).filter("n_reviewed > 0").count() == 0
+
+
+def test_passages_and_needed_chunks(spark):
+    from lakeloom.operators import reports
+
+    c = spark.createDataFrame([(1, i, f"c{i}", "w " * 10) for i in range(9)] + [(2, 0, "d0", "x")], "doc_id long, chunk_index int, chunk_id string, text string")
+    wide = {(r.doc_id, r.chunk_index): r.n_words for r in reports.wide_passages(c, 35, 2).collect()}
+    assert wide[1, 4] == 40 and wide[1, 0] == 30 and wide[2, 0] == 1
+    ids = spark.createDataFrame([("c1",), ("d0",)], "chunk_id string")
+    assert sorted(r.chunk_id for r in reports.needed_chunks(c, ids, spark.createDataFrame([(2,)], "doc_id long")).collect()) == ["c1", "d0"]

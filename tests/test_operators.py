@@ -178,6 +178,8 @@ def test_extraction(spark):
 def test_ranges(spark):
     r = spark.createDataFrame([("f", 0, 10), ("f", 20, 10), ("f", 1000, 5), ("g", 25, 1)], "filename string, offset long, length long")
     assert rows(archive.coalesce_ranges(r, 50).select("filename", "offset", "length", "n_records")) == [("f", 0, 30, 2), ("f", 1000, 5, 1), ("g", 25, 1, 1)]
+    many = spark.createDataFrame([("f", i * 10, 10) for i in range(10)], "filename string, offset long, length long")
+    assert rows(archive.bounded_ranges(many, 50, 35).select("offset", "length", "n_records")) == [(0, 30, 3), (30, 30, 3), (60, 30, 3), (90, 10, 1)]
     g = spark.createDataFrame([("f", 0, 30, bytearray(b"0123456789..........abcdefghij"))], "filename string, offset long, length long, payload binary")
     assert {bytes(x.record) for x in archive.slice_records(g, r).collect()} == {b"0123456789", b"abcdefghij"}
     assert archive.probe_quotas({"a": 100, "b": 1}, 10) == {"a": 9, "b": 1}
