@@ -20,7 +20,8 @@ from lakeloom.llm import pagelines as pl
 from lakeloom.llm.langid import LanguageModel, same_language
 from lakeloom.session import written
 
-GOOD, OPEN, SURE = 0, 1, 2
+#: A page without flagged lines, with flagged and other short ones, with flagged ones only, and with blank slots.
+GOOD, OPEN, SURE, BLANK = 0, 1, 2, 3
 #: Template lines are at most so long; longer ones are prose.
 TEMPLATE_CHARS = 240
 _VALUES = re.compile(r"[0-9a-f]{6,}|\d+(?:[.:/-]\d+)*")
@@ -74,16 +75,20 @@ def page_facts(text: str, domain: str | None) -> tuple:
     short = all(len(lines[n - 1]) <= TEMPLATE_CHARS for n in article) and not any(_prose(lines[n - 1]) for n in article)
     evidence = [template_key(lines[n - 1].strip(), site) for n in residue] if short else []
     keys: list[int] = []
+    blank = False
     for n in article:
         line = lines[n - 1]
         if len(line) <= TEMPLATE_CHARS and not _prose(line):
             keys.append(template_key(line.strip(), site))
+            if short and line.rstrip()[-1:] in ":：" and _LABEL.fullmatch(pl.flat(line)):
+                blank = True
+                evidence.append(keys[-1])
     if residue and not article:
         verdict = SURE
     elif residue and short:
         verdict = OPEN
     else:
-        verdict = GOOD
+        verdict = BLANK if blank else GOOD
     return verdict, short, evidence, keys, numbers, labels
 
 

@@ -18,7 +18,9 @@ from lakeloom.llm import pages as pg
 
 def induced_templates(pages: DataFrame, min_support: int = 3, max_good_share: float = 0.05) -> DataFrame:
     """``key``: template lines seen with flagged lines in ``min_support`` records and hardly in articles."""
-    bad = pages.filter(F.col("verdict") != pg.GOOD).select(F.explode(F.array_distinct(F.concat("evidence", "keys"))).alias("key"), F.lit(1).alias("bad"), F.lit(0).alias("good"))
+    # A page with blank slots speaks for these slots only, one with flagged lines for all of its lines.
+    spoken = F.when(F.col("verdict") == pg.BLANK, F.col("evidence")).otherwise(F.concat("evidence", "keys"))
+    bad = pages.filter(F.col("verdict") != pg.GOOD).select(F.explode(F.array_distinct(spoken)).alias("key"), F.lit(1).alias("bad"), F.lit(0).alias("good"))
     good = pages.filter(F.col("verdict") == pg.GOOD).select(F.explode(F.array_distinct("keys")).alias("key"), F.lit(0).alias("bad"), F.lit(1).alias("good"))
     per = bad.unionByName(good).groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     return per.filter((F.col("bad") >= min_support) & (F.col("good") <= max_good_share * F.col("bad"))).select("key")
@@ -28,7 +30,7 @@ def excluded(pages: DataFrame, min_support: int = 3) -> DataFrame:
     """``doc_id`` of the records to exclude, from the table of :func:`lakeloom.llm.pages.scan`."""
     sure = pages.filter(F.col("verdict") == pg.SURE).select("doc_id")
     # Records of short lines only, not yet decided: are all of their lines induced?
-    todo = pages.filter((F.col("verdict") == pg.OPEN) | ((F.col("verdict") == pg.GOOD) & F.col("short") & (F.size("keys") > 0)))
+    todo = pages.filter(F.col("verdict").isin(pg.OPEN, pg.BLANK) | ((F.col("verdict") == pg.GOOD) & F.col("short") & (F.size("keys") > 0)))
     lines = todo.select("doc_id", F.explode(F.array_distinct("keys")).alias("key"))
     known = induced_templates(pages, min_support).withColumn("known", F.lit(1))
     rest = lines.join(known, "key", "left").groupBy("doc_id").agg(F.min(F.coalesce("known", F.lit(0))).alias("all_known")).filter("all_known = 1").select("doc_id")

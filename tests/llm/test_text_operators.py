@@ -182,6 +182,12 @@ def test_templates_are_induced(spark):
     assert (11,) in rows(kept.select("doc_id")) and kept.columns[-1] == "keys"
 
 
+def test_blank_slots_of_an_induced_template(spark):
+    filled = [(i, f"h{i}.example", None, f"Condition: {{{{ c{i} }}}}\nSummary: ${{s{i}}}", None) for i in range(1, 5)]
+    blank = [(10, "h.example", None, "Condition:\nSummary:", None), (11, "h.example", None, "Condition: gout of the left knee\nTrembling hands at night", None)]
+    assert rows(residue.excluded(pages.scan(corpus(spark, filled + blank)))) == [(1,), (2,), (3,), (4,), (10,)]
+
+
 # --- repeated lines ---------------------------------------------------------------------
 
 
