@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeloom.schemas import violation
+from lakeloom.schemas import TERMINAL, violation
 
 # Which status wins when a document was fetched several times.
 STATUS_RANK = {"FAILED": 1, "ROBOTS_DENIED": 2, "UNSUPPORTED": 3, "TOO_LARGE": 4, "EMPTY_CONTENT": 5, "NEEDS_JS": 6, "NEEDS_OCR": 7, "SUCCESS": 8}
@@ -57,8 +57,6 @@ def missing(wanted: DataFrame, kept: DataFrame, halves: int = 2) -> DataFrame:
 def verify(corpus: DataFrame, tasks: DataFrame) -> DataFrame:
     """Violations: documents without a task, finished tasks without a row, stale lengths, foreign statuses."""
     ids = corpus.select("doc_id").distinct()
-    from lakeloom.schemas import TERMINAL
-
     no_task = violation(ids.join(tasks, "doc_id", "left_anti"), "no task", F.col("doc_id"), F.lit(""))
     done = tasks.filter(F.col("status").isin(*TERMINAL)).select("doc_id", "status")
     no_row = violation(done.join(ids, "doc_id", "left_anti"), "no row", F.col("doc_id"), F.col("status"))

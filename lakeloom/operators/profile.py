@@ -71,11 +71,6 @@ def target_timings(log: DataFrame) -> DataFrame:
     return clean_timings(log).groupBy("fetch_key").agg(F.min("domain").alias("domain"), F.count(F.lit(1)).alias("attempts"), F.sum("elapsed_seconds").alias("seconds"), F.max_by("status", "attempt").alias("status"))
 
 
-def latency_cost(value: Column) -> Column:
-    """0.7 · median + 0.3 · nearest-rank 95th percentile."""
-    return 0.7 * F.median(value) + 0.3 * F.percentile_approx(value, F.lit(0.95), F.lit(1 << 30))
-
-
 def latency_profile(log: DataFrame) -> DataFrame:
     """``(domain, n, median_seconds, p95_seconds, cost)`` of the targets' seconds."""
     t = target_timings(log).filter("seconds is not null")
@@ -147,12 +142,6 @@ def risk_scores(corpus: DataFrame) -> DataFrame:
     return rows.select("doc_id", "domain", "text_chars", risk.alias("risk"), F.transform("all", lambda r: r["code"]).alias("reasons"))
 
 
-def offset_percentile(fraction: float, value: str, by: str) -> tuple[Column, Column]:
-    """``(rank, position)``: the value whose rank equals the position is the percentile by offset ``int((n−1)·f)``."""
-    w = Window.partitionBy(by)
-    return F.row_number().over(w.orderBy(value)), 1 + F.floor((F.count(F.lit(1)).over(w) - 1) * fraction)
-
-
 def risk_summary(scores: DataFrame) -> DataFrame:
     """Per domain: records, mean, offset percentiles and maximum of the risk, and its commonest flags.
 

@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lakeloom.functions import columns as C
 from lakeloom.schemas import UNFINISHED
 
-#: Buckets of the due time; claims rank within, so no domain is sorted in one task.
-_FIRST = "first"
-
 
 def due(tasks: DataFrame, now: float) -> DataFrame:
     """Tasks that may run: pending, or waiting for a retry whose time has come."""
