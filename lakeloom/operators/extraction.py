@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gzip
+import json
 import re
 import zlib
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -111,6 +113,138 @@ def extract_html(payload: bytes | str | None) -> tuple[str | None, str | None, f
     return p.headline or " ".join("".join(p.title).split()) or None, "\n\n".join(p.blocks) or None, p.linked / p.all if p.all else 0.0
 
 
+@dataclass(frozen=True)
+class Site:
+    """Where a host keeps its article: class or id names of the body, the lead and what to drop."""
+
+    hosts: tuple[str, ...]
+    body: tuple[str, ...]
+    lead: tuple[str, ...] = ()
+    drop: tuple[str, ...] = ()
+    #: class or id names of a question's labels, put before the body
+    labels: tuple[str, ...] = ()
+    least_block: int = 20
+    #: below so many characters the general extraction stands in
+    least_text: int = 200
+
+
+# Hosts and the names in their pages.
+SITES: list[Site] = [
+    Site(("baoquangtri.vn",), ("td-post-content", "content"), least_block=21),
+    Site(("baothanhhoa.vn",), ("dcontent", "article__body"), ("article__sapo", "sapo"), ("box-content", "content-list"), least_block=11),
+    Site(("qdnd.vn", "www.qdnd.vn"), ("articleContent", "post-content", "detail-post"), (), ("relate-news", "detail-related", "author-info", "float-image", "post-tool", "comment-box"), least_block=16, least_text=100),
+    Site(("thanhnien.vn",), ("detail-cmain", "detail-content"), ("detail-sapo",), ("box-detail-related", "detail__related", "detail__comment", "detail-social"), least_block=21),
+    Site(("ask.39.net", "wapask.39.net"), ("sele_txt", "zwAll", "ans_cont"), labels=("txt_label",), least_block=20, least_text=100),
+]
+
+
+class _SiteBlocks(HTMLParser):
+    """Text blocks of the named parts of a page, each once, and its linked data."""
+
+    def __init__(self, site: Site) -> None:
+        super().__init__(convert_charrefs=True)
+        self.site, self.stack = site, []
+        self.parts: dict[str, list[str]] = {"body": [], "lead": [], "labels": []}
+        self.data: list[str] = []
+        self.now: list[str] = []
+        self.headline: list[str] = []
+        self.shown = ""
+        self.seen: set[str] = set()
+
+    def _where(self) -> str | None:
+        names = [w for _, w, _ in self.stack if w]
+        return None if "drop" in names or any(t in NOISE_TAGS for t, _, _ in self.stack) else names[-1] if names else None
+
+    def _flush(self) -> None:
+        text, where = " ".join("".join(self.now).split()), self._where()
+        self.now = []
+        if where and text not in self.seen and len(text) >= (1 if where == "labels" else self.site.least_block):
+            self.seen.add(text)
+            self.parts[where].append(text)
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in _VOID:
+            a = dict(attrs)
+            if tag == "meta" and a.get("property") == "og:title":
+                self.shown = " ".join((a.get("content") or "").split())
+            self.now.append(" ")
+            return
+        if tag in _BLOCKS or tag == "a" and self._where() == "labels":
+            self._flush()
+        a = dict(attrs)
+        names = {*(a.get("class") or "").split(), a.get("id") or ""}
+        s = self.site
+        where = next((n for n, of in (("drop", s.drop), ("labels", s.labels), ("lead", s.lead), ("body", s.body)) if names & set(of)), None)
+        self.stack.append((tag, where, a.get("type") == "application/ld+json"))
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag not in {t for t, _, _ in self.stack}:
+            return
+        if tag in _BLOCKS or self._where() == "labels":
+            self._flush()
+        while self.stack and self.stack.pop()[0] != tag:
+            pass
+
+    def handle_data(self, data: str) -> None:
+        if any(linked for _, _, linked in self.stack):
+            self.data.append(data)
+        elif any(t == "h1" for t, _, _ in self.stack):
+            self.headline.append(data)
+        else:
+            self.now.append(data)
+
+
+def _linked_texts(scripts: list[str]) -> list[str]:
+    """Descriptions and texts in a page's linked data, in order."""
+    out: list[str] = []
+
+    def walk(x) -> None:
+        if isinstance(x, dict):
+            out.extend(v.strip() for k, v in x.items() if k in ("description", "text") and isinstance(v, str))
+            for v in x.values():
+                walk(v)
+        elif isinstance(x, list):
+            for v in x:
+                walk(v)
+
+    for s in scripts:
+        try:
+            walk(json.loads(s))
+        except ValueError:
+            continue
+    return out
+
+
+def extract_site(payload: bytes | str | None, host: str | None) -> tuple[str | None, str | None, float]:
+    """As :func:`extract_html`, by the host's own table where it has one and yields enough text."""
+    title, text, density = extract_html(payload)
+    site = next((s for s in SITES if (host or "").lower() in s.hosts), None)
+    if site is None or payload is None:
+        return title, text, density
+    p = _SiteBlocks(site)
+    p.feed(payload.decode("utf-8", "replace") if isinstance(payload, (bytes, bytearray)) else payload)
+    p.close()
+    p._flush()
+    blocks = p.parts["lead"] + p.parts["body"]
+    if sum(map(len, blocks)) < site.least_text:
+        blocks += [x for x in _linked_texts(p.data) if len(x) >= site.least_block and x not in p.seen]
+    if p.parts["labels"]:
+        blocks.insert(0, ", ".join(p.parts["labels"]))
+    made = "\n\n".join(blocks)
+    return (p.shown or " ".join("".join(p.headline).split()) or title, made, 0.0) if len(made) >= site.least_text else (title, text, density)
+
+
+def extracted_by_site(df: DataFrame, payload: str = "content", host: str = "domain") -> DataFrame:
+    """``df`` with ``page`` by the table of each row's host."""
+    ship(df.sparkSession)
+
+    @F.pandas_udf(EXTRACT)
+    def run(payloads: pd.Series, hosts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([extract_site(p, h) for p, h in zip(payloads, hosts)], columns=["title", "text", "link_density"])
+
+    return df.withColumn("page", run(F.col(payload), F.col(host)))
+
+
 def extracted(df: DataFrame, payload: str = "content", content_type: str = "content_type") -> DataFrame:
     """``df`` with a struct ``page`` of title, text and link density; plain text passes as it is."""
     ship(df.sparkSession)

@@ -175,6 +175,18 @@ def test_extraction(spark):
     assert extraction.decode_record(record) == b"abcde" and extraction.decode_record(b"junk") is None
 
 
+def test_extraction_by_site(spark):
+    long_ = "This paragraph of the article has quite enough characters to stay. " * 4
+    html = f"<h1>Head</h1><div class='detail-cmain'><div class='detail-social'><p>{long_} no</p></div><p>{long_}</p><p>short</p></div><p>outside of the body, long enough</p>"
+    df = spark.createDataFrame([(html, "thanhnien.vn"), ("<h1>H</h1><p>general text</p>", "thanhnien.vn"), (None, "qdnd.vn"), ("<p>x</p>", None)], "content string, domain string")
+    got = [r.page for r in extraction.extracted_by_site(df).collect()]
+    assert got[0].title == "Head" and got[0].text == long_.strip() and got[1].text.endswith("general text") and got[2].text is None and got[3].text == "x"
+    answer = "The answer in the linked data is long enough to be used. " * 3
+    page = f'<div class="txt_label"><a>gout</a><a>diet</a></div><p class="ans_cont">An answer of some twenty characters.</p><script type="application/ld+json">{{"acceptedAnswer": {{"text": "{answer}"}}}}</script>'
+    text = extraction.extract_site(page, "ask.39.net")[1]
+    assert text.startswith("gout, diet") and "An answer" in text and answer.strip() in text
+
+
 def test_ranges(spark):
     r = spark.createDataFrame([("f", 0, 10), ("f", 20, 10), ("f", 1000, 5), ("g", 25, 1)], "filename string, offset long, length long")
     assert rows(archive.coalesce_ranges(r, 50).select("filename", "offset", "length", "n_records")) == [("f", 0, 30, 2), ("f", 1000, 5, 1), ("g", 25, 1, 1)]
