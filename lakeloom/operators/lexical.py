@@ -10,7 +10,7 @@ block passes on its best ``k`` a query only: no posting is joined or shuffled.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,11 +63,16 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, boosts: dict[str, f
     uses: dict[str, list[tuple[int, int]]] = defaultdict(list)
     for r in rows:
         uses[r.token].append((at[r.query_id], r.uses))
-    plan = {t: (np.array([i for i, _ in sorted(x)]), np.array([c for _, c in sorted(x)], dtype=float)) for t, x in uses.items()}
-    shared = spark.sparkContext.broadcast((ids, plan, idf, {f: stats[f"avg_{f}"] or 1.0 for f in fields}, boosts))
+    # Terms by number, and as a sparse matrix the queries that use each.
+    vocabulary = {t: i for i, t in enumerate(sorted(uses))}
+    ends = np.cumsum([0] + [len(uses[t]) for t in vocabulary])
+    asking = np.array([i for t in vocabulary for i, _ in sorted(uses[t])], dtype=np.int64)
+    times = np.array([c for t in vocabulary for _, c in sorted(uses[t])], dtype=float)
+    weights = {f: np.array([boosts[f] * idf[f].get(t, 0.0) for t in vocabulary]) for f in fields}
+    shared = spark.sparkContext.broadcast((ids, vocabulary, ends, asking, times, weights, {f: stats[f"avg_{f}"] or 1.0 for f in fields}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, plan, idf, mean, boosts = shared.value
+        ids, vocabulary, ends, asking, times, weights, mean = shared.value
         best = [np.empty(0)] * len(ids)
         docs_of = [np.empty(0, dtype=np.int64)] * len(ids)
         for batch in batches:
@@ -75,13 +80,20 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, boosts: dict[str, f
             if not m or not ids:
                 continue
             score = np.zeros((m, len(ids)))
-            for f, column in zip(boosts, batch.columns[1:]):
-                weight = idf[f]
-                for d, words in enumerate(column.to_pylist()):
-                    norm = K1 * (1 - B + B * len(words) / mean[f])
-                    for t, tf in sorted(Counter(w for w in words if w in weight).items()):
-                        q, c = plan[t]
-                        score[d, q] += c * (boosts[f] * weight[t] * tf * (K1 + 1) / (tf + norm))
+            for f, column in zip(weights, batch.columns[1:]):
+                size = column.value_lengths().to_numpy(zero_copy_only=False)
+                words = column.flatten().dictionary_encode()
+                number = np.array([vocabulary.get(w, -1) for w in words.dictionary.to_pylist()], dtype=np.int64)
+                term = number[words.indices.to_numpy()] if len(words) else np.empty(0, dtype=np.int64)
+                doc = np.repeat(np.arange(m), size)[term >= 0]
+                pair, tf = np.unique(doc * len(vocabulary) + term[term >= 0], return_counts=True)
+                doc, term = np.divmod(pair, len(vocabulary))
+                norm = K1 * (1 - B + B * size[doc] / mean[f])
+                part = weights[f][term] * tf * (K1 + 1) / (tf + norm)
+                n = ends[term + 1] - ends[term]  # queries of each pair's term
+                row = np.repeat(np.arange(len(pair)), n)
+                slot = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[term], n)
+                np.add.at(score, (doc[row], asking[slot]), part[row] * times[slot])
             score = np.round(score, 6)
             doc = np.array(batch.column(0).to_pylist(), dtype=np.int64)
             for i in range(len(ids)):
