@@ -20,10 +20,12 @@ from lakeloom.llm import pagelines as pl
 from lakeloom.llm.langid import LanguageModel, same_language
 from lakeloom.session import written
 
-#: A page without flagged lines, with flagged and other short ones, with flagged ones only, and with blank slots.
+#: A page without flagged lines, with flagged and other ones, with flagged ones only, and with blank slots.
 GOOD, OPEN, SURE, BLANK = 0, 1, 2, 3
-#: Template lines are at most so long; longer ones are prose.
+#: Longer lines are prose.
 TEMPLATE_CHARS = 240
+#: Words at either end of a line that records are aligned by, and characters where words are Han.
+FRAME_WORDS, FRAME_HAN = 3, 6
 _VALUES = re.compile(r"[0-9a-f]{6,}|\d+(?:[.:/-]\d+)*")
 _LABEL = re.compile(r"([^:\s][^:]{0,38}):")
 
@@ -34,6 +36,8 @@ SCAN = StructType(
         StructField("short", BooleanType()),
         StructField("evidence", ArrayType(LongType())),
         StructField("keys", ArrayType(LongType())),
+        StructField("frames", ArrayType(ArrayType(LongType()))),
+        StructField("voter", LongType()),
         StructField("furniture", ArrayType(IntegerType())),
         StructField("decorated", BooleanType()),
         StructField("langs", ArrayType(StructType([StructField("line_no", IntegerType()), StructField("lang", StringType()), StructField("confidence", DoubleType()), StructField("mislabelled", BooleanType())]))),
@@ -58,6 +62,16 @@ def template_key(line: str, site: str) -> int:
     return _key(_VALUES.sub("\x01", line))
 
 
+def line_frames(line: str, structure: str) -> list[int]:
+    """Hashes of a line's first and last words within records of one ``structure``; what differs between them is a slot."""
+    line = _VALUES.sub("\x01", pl.flat(line))
+    words = pl._WORD.findall(line)
+    n = FRAME_HAN if pl._HAN.search(line) else FRAME_WORDS
+    if len(words) <= n:
+        return []
+    return [_key(f"first:{structure}:{' '.join(words[:n])}"), _key(f"last:{structure}:{' '.join(words[-n:])}")]
+
+
 def site_name(domain: str | None) -> str:
     """The name a site shows, from the registered part of its host."""
     labels = (domain or "").lower().split(".")
@@ -66,30 +80,41 @@ def site_name(domain: str | None) -> str:
 
 
 def page_facts(text: str, domain: str | None) -> tuple:
-    """``(verdict, short, evidence, keys, numbers, labels)`` of one page."""
+    """``(verdict, short, evidence, keys, frames, voter, numbers, labels)`` of one page.
+
+    ``keys`` has the template of every article line, prose too. A page with flagged lines also has ``frames``, by
+    which its lines are aligned with those of records with the same flagged templates and as many lines. ``voter``
+    is null unless prose outnumbers the flagged lines: then copies of the page, which may be
+    an article's, share one value.
+    """
     numbers, labels = pl.classify(text)
     lines = text.split("\n")
     residue = [n for n, lab in zip(numbers, labels) if lab == pl.RESIDUE]
     article = [n for n, lab in zip(numbers, labels) if lab == pl.ARTICLE]
     site = site_name(domain)
-    short = all(len(lines[n - 1]) <= TEMPLATE_CHARS for n in article) and not any(_prose(lines[n - 1]) for n in article)
-    evidence = [template_key(lines[n - 1].strip(), site) for n in residue] if short else []
+    prose = sum(len(lines[n - 1]) > TEMPLATE_CHARS or _prose(lines[n - 1]) for n in article)
+    short = not prose
+    evidence = [template_key(lines[n - 1].strip(), site) for n in residue]
     keys: list[int] = []
     blank = False
     for n in article:
         line = lines[n - 1]
-        if len(line) <= TEMPLATE_CHARS and not _prose(line):
-            keys.append(template_key(line.strip(), site))
-            if short and line.rstrip()[-1:] in ":：" and _LABEL.fullmatch(pl.flat(line)):
-                blank = True
-                evidence.append(keys[-1])
-    if residue and not article:
-        verdict = SURE
-    elif residue and short:
-        verdict = OPEN
+        # Prose hardly comes again: it would only drive short lines out of the cache.
+        keys.append((template_key if len(line) <= TEMPLATE_CHARS else template_key.__wrapped__)(line.strip(), site))
+        if short and line.rstrip()[-1:] in ":：" and _LABEL.fullmatch(pl.flat(line)):
+            blank = True
+            evidence.append(keys[-1])
+    frames, voter = None, None
+    if residue and article:
+        seeds = ",".join(map(str, sorted(set(evidence[: len(residue)]))))
+        frames = [line_frames(lines[n - 1], f"{seeds}:{len(article)}:{at}") for at, n in enumerate(article)]
+        if prose > len(residue):
+            voter = _key("\n".join(pl.flat(lines[n - 1]) for n in sorted(residue + article)))
+    if residue:
+        verdict = OPEN if article else SURE
     else:
         verdict = BLANK if blank else GOOD
-    return verdict, short, evidence, keys, numbers, labels
+    return verdict, short, evidence, keys, frames, voter, numbers, labels
 
 
 def _prose(line: str) -> bool:
@@ -112,10 +137,10 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
             out = [[] for _ in SCAN.fields]
             jobs, owners = [], []
             for at, (i, dom, title, text) in enumerate(zip(ids, domains, titles, texts)):
-                verdict, short, evidence, keys, numbers, labels = page_facts(text, dom)
+                verdict, short, evidence, keys, frames, voter, numbers, labels = page_facts(text, dom)
                 furniture = [n for n, lab in zip(numbers, labels) if lab == pl.FURNITURE]
                 decorated = pl.decorated(title, dom)
-                for col, v in zip(out, (i, verdict, short, evidence, keys if short or verdict == GOOD else [], furniture, decorated, [])):
+                for col, v in zip(out, (i, verdict, short, evidence, keys, frames, voter, furniture, decorated, [])):
                     col.append(v)
                 if model is not None and len(text) >= min_chars and verdict != SURE:
                     lines = text.split("\n")
@@ -141,7 +166,7 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
                     for k in range(a, b):
                         if owners[k][3] >= min_line and which[k] not in (None, main) and sure[k] >= least:
                             langs.append((owners[k][1], which[k], float(sure[k]), False))
-                    out[7][at] = langs
+                    out[-1][at] = langs
             return out
 
         return kernel

@@ -1,12 +1,15 @@
 """Problem 6: template residue, filler text and error pages.
 
-Method: records of one template are aligned line by line; what differs between them is a
-slot. A slot that still holds a variable's name, a default or nothing flags its line, as do
-error messages that repeat as a whole page. Lines that only ever go with flagged ones, in
-several records and never in an article, are induced as parts of the same template.
+Method: a slot that still holds a variable's name, a default or nothing flags its line, as do
+the phrases of error messages. These lines are seeds only. Records with the same flagged
+templates and as many other lines are aligned line by line; what differs between lines that
+begin or end alike is a slot. Lines that go with flagged ones in several records and hardly
+in an article, prose included, are induced as parts of the same template, so that whole
+pages of a template are found by their repetition, with a flagged line or without.
 
-A record is excluded if it has such a line and, furniture aside, nothing else. A null or
-blank text, a page of furniture only, and an article with a stray placeholder are kept.
+A record is excluded if it has such lines and, furniture aside, nothing else. A null or
+blank text, a page of furniture only, and an article with a stray placeholder are kept: an article's
+copies have one vote, and a page of prose that is not template throughout speaks as an article.
 """
 
 from __future__ import annotations
@@ -14,26 +17,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lakeloom.llm import pages as pg
+from lakeloom.session import written
 
 
-def induced_templates(pages: DataFrame, min_support: int = 3, max_good_share: float = 0.05) -> DataFrame:
-    """``key``: template lines seen with flagged lines in ``min_support`` records and hardly in articles."""
+def _votes(pages: DataFrame) -> DataFrame:
+    """``(voter, key)``: what pages with flagged lines or blank slots speak for."""
     # A page with blank slots speaks for these slots only, one with flagged lines for all of its lines.
     spoken = F.when(F.col("verdict") == pg.BLANK, F.col("evidence")).otherwise(F.concat("evidence", "keys"))
-    bad = pages.filter(F.col("verdict") != pg.GOOD).select(F.explode(F.array_distinct(spoken)).alias("key"), F.lit(1).alias("bad"), F.lit(0).alias("good"))
-    good = pages.filter(F.col("verdict") == pg.GOOD).select(F.explode(F.array_distinct("keys")).alias("key"), F.lit(0).alias("bad"), F.lit(1).alias("good"))
-    per = bad.unionByName(good).groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    return per.filter((F.col("bad") >= min_support) & (F.col("good") <= max_good_share * F.col("bad"))).select("key")
+    return pages.filter(F.col("verdict") != pg.GOOD).select(F.coalesce("voter", "doc_id").alias("voter"), F.explode(F.array_distinct(spoken)).alias("key"))
+
+
+def _supported(votes: DataFrame, min_support: int) -> DataFrame:
+    return votes.groupBy("key").agg(F.count_distinct("voter").alias("bad")).filter(F.col("bad") >= min_support)
+
+
+def aligned_frames(pages: DataFrame, min_support: int = 3) -> DataFrame:
+    """``key``: ends of lines that ``min_support`` aligned records share while the lines differ."""
+    lines = pages.filter(F.col("frames").isNotNull()).select(F.coalesce("voter", "doc_id").alias("voter"), F.explode(F.arrays_zip("keys", "frames")).alias("x"))
+    each = lines.select("voter", F.col("x.keys").alias("line"), F.explode("x.frames").alias("key"))
+    per = each.groupBy("key").agg(F.count_distinct("voter").alias("bad"), F.min("line").alias("lo"), F.max("line").alias("hi"))
+    return per.filter((F.col("bad") >= min_support) & (F.col("lo") != F.col("hi"))).select("key")
+
+
+def _all_known(pages: DataFrame, known: DataFrame) -> DataFrame:
+    """``doc_id`` of pages all of whose lines are known, by their template or as aligned."""
+    lines = pages.select("doc_id", F.size("keys").alias("n"), F.posexplode("keys").alias("at", "line"), "frames")
+    marks = F.concat(F.array("line"), F.coalesce(F.expr("frames[at]"), F.array().cast("array<bigint>")))
+    hit = lines.select("doc_id", "n", "at", F.explode(marks).alias("key")).join(known, "key")
+    return hit.groupBy("doc_id", "n").agg(F.count_distinct("at").alias("hits")).filter("hits = n").select("doc_id")
+
+
+def induced_templates(pages: DataFrame, min_support: int = 3, max_good_share: float = 0.05) -> DataFrame:
+    """``key``: template lines seen with flagged lines in ``min_support`` records and hardly in articles."""
+    bad = written(_supported(_votes(pages), min_support), "induced")
+    each = F.array_distinct("keys")
+    hits = written(pages.filter(F.col("verdict") == pg.GOOD).select("doc_id", F.size(each).alias("n"), F.explode(each).alias("key")).join(bad.select("key"), "key"), "hits")
+    # A page of such lines only is a further copy of the template, no article that speaks against it.
+    copies = hits.groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("hits")).filter("hits = n").select("doc_id")
+    good = hits.join(copies, "doc_id", "left_anti").groupBy("key").agg(F.count(F.lit(1)).alias("good"))
+    return bad.join(good, "key", "left").filter(F.coalesce("good", F.lit(0)) <= max_good_share * F.col("bad")).select("key")
 
 
 def excluded(pages: DataFrame, min_support: int = 3) -> DataFrame:
     """``doc_id`` of the records to exclude, from the table of :func:`lakeloom.llm.pages.scan`."""
     sure = pages.filter(F.col("verdict") == pg.SURE).select("doc_id")
-    # Records of short lines only, not yet decided: are all of their lines induced?
-    todo = pages.filter(F.col("verdict").isin(pg.OPEN, pg.BLANK) | ((F.col("verdict") == pg.GOOD) & F.col("short") & (F.size("keys") > 0)))
-    lines = todo.select("doc_id", F.explode(F.array_distinct("keys")).alias("key"))
-    known = induced_templates(pages, min_support).withColumn("known", F.lit(1))
-    rest = lines.join(known, "key", "left").groupBy("doc_id").agg(F.min(F.coalesce("known", F.lit(0))).alias("all_known")).filter("all_known = 1").select("doc_id")
+    aligned = written(aligned_frames(pages, min_support), "aligned")
+    # Pages of prose with flagged lines that are no template throughout are articles.
+    long = pages.filter((F.col("verdict") == pg.OPEN) & ~F.col("short"))
+    whole = written(_all_known(long, _supported(_votes(pages), min_support).select("key").unionByName(aligned)), "whole")
+    articles = long.join(whole, "doc_id", "left_anti").select("doc_id", F.lit(True).alias("article"))
+    ruled = pages.join(articles, "doc_id", "left")
+    ruled = ruled.withColumn("verdict", F.when(F.col("article"), F.lit(pg.GOOD)).otherwise(F.col("verdict"))).withColumn("frames", F.when(F.col("article").isNull(), F.col("frames"))).drop("article")
+    # Not yet decided: are all of their lines induced?
+    known = written(induced_templates(ruled, min_support).unionByName(aligned), "known")
+    rest = _all_known(ruled.filter(F.col("verdict") != pg.SURE), known)
     return sure.unionByName(rest).distinct()
 
 

@@ -188,6 +188,16 @@ def test_blank_slots_of_an_induced_template(spark):
     assert rows(residue.excluded(pages.scan(corpus(spark, filled + blank)))) == [(1,), (2,), (3,), (4,), (10,)]
 
 
+def test_templates_of_prose_are_aligned(spark):
+    names = ["Ann", "Bob Miller", "Carol", "Dan of Velora"]
+    filled = [(i, f"h{i}.example", None, f"Error 50{i}\nThe gremlins could not bring the page that {x} asked for on this occasion, so please go back.", None) for i, x in enumerate(names, 1)]
+    long = "The gremlins of this portal have taken the page away " + "and nobody has seen where they put it " * 6 + "so far."
+    whole = [(i, f"h{i}.example", None, f"404\n{long}", None) for i in range(11, 15)] + [(15, "h15.example", None, long, None)]
+    article = "Diagnosis rests on examination, blood tests and imaging of the joints.\nDoctors advise older adults to keep warm and to rest for some days."
+    copies = [(i, f"h{i}.example", None, f"Loading...\n{article}", None) for i in range(21, 25)] + [(25, "h25.example", None, article, None)]
+    assert rows(residue.excluded(pages.scan(corpus(spark, filled + whole + copies)))) == [(i,) for i in (1, 2, 3, 4, 11, 12, 13, 14, 15)]
+
+
 # --- repeated lines ---------------------------------------------------------------------
 
 
