@@ -14,7 +14,9 @@ A hot source is never gathered: supports combine map-side, and joins on a source
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from lakeloom.functions.arrow import map_slices
 from lakeloom.session import written
 
 #: Parts that a source's documents are spread over when they meet its frequent lines.
@@ -53,32 +55,110 @@ def occurrences(lines: DataFrame, frequent: DataFrame) -> DataFrame:
     return _beside_frequent(lines, frequent).select("doc_id", "frequent", F.posexplode("keys").alias("at", "key")).filter(F.array_contains("frequent", F.col("key"))).select("doc_id", (F.col("at") + 1).alias("line_no"))
 
 
-def frequent_sequences(lines: DataFrame, min_docs: int = 5, min_share: float = 0.2, max_len: int = 3, max_gap: int = 2) -> DataFrame:
-    """``(source, pattern, length, support)``: frequent line sequences of up to ``max_len`` lines.
+def frequent_sequences(lines: DataFrame, min_docs: int = 5, min_share: float = 0.2, max_len: int | None = None, max_gap: int | None = None) -> DataFrame:
+    """``(source, pattern, length, support)``: every frequent line, and the frequent sequences of more lines.
 
-    Consecutive members are at most ``max_gap`` frequent lines apart, which bounds a
-    position's extensions. Each level keeps positions only, one row a document, pattern and
-    end, and counts distinct documents before the next.
+    Without ``max_gap`` members may be any number of lines apart, and of the sequences of
+    more than one line the closed ones are given: those without a longer sequence of the same support, from which the
+    support of every frequent sequence follows. With it all are given whose consecutive members are
+    at most ``max_gap`` frequent lines apart. Levels grow until none is frequent, or to ``max_len`` lines.
     """
     first = written(frequent_lines(lines, min_docs, min_share), "frequent")
     kept = _beside_frequent(lines, first.select("source", "key"))
     items = F.expr("filter(keys, x -> x is not null and array_contains(frequent, x))")
     docs = lines.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
+    if max_gap is None:
+        return _closed_sequences(kept.select("source", items.alias("items")), docs, first, min_docs, min_share, max_len)
     sequences = written(kept.select("source", "doc_id", items.alias("items")), "sequences")
     level = sequences.select("source", "doc_id", "items", F.posexplode("items").alias("end", "key")).select("source", "doc_id", "items", "end", F.array("key").alias("pattern"))
     found = first.select("source", F.array("key").alias("pattern"), F.lit(1).alias("length"), "support")
-    for length in range(2, max_len + 1):
+    length = 1
+    while max_len is None or length < max_len:
+        length += 1
         grown = level.withColumn("next", F.explode(F.expr(f"sequence(end + 1, end + {max_gap})"))).filter(F.col("next") < F.size("items"))
         grown = grown.select("source", "doc_id", "items", F.col("next").alias("end"), F.concat("pattern", F.array(F.expr("items[next]"))).alias("pattern"))
         grown = written(grown, f"level-{length}")
         support = grown.select("source", "pattern", "doc_id").distinct().groupBy("source", "pattern").agg(F.count(F.lit(1)).alias("support"))
         good = support.filter(F.col("support") >= min_docs).join(docs, "source").filter(F.col("support") >= min_share * F.col("n_docs")).select("source", "pattern", "support")
         good = written(good, f"patterns-{length}")
+        if good.isEmpty():
+            break
         found = found.unionByName(good.select("source", "pattern", F.lit(length).alias("length"), "support"))
         level = grown.join(good.select("source", "pattern"), ["source", "pattern"], "left_semi")
     return found
 
 
+#: What :func:`_events` counts: lines that may follow, that may stand between, and that stand before a pattern's first place.
+FOLLOWS, BETWEEN, BEFORE = 0, 1, 2
+EVENTS = StructType([StructField("source", StringType()), StructField("pattern", ArrayType(LongType())), StructField("events", ArrayType(StructType([StructField("at", LongType()), StructField("key", LongType())]))), StructField("weight", LongType())])
+
+
+def _events(items: list[int], pattern: list[int]) -> list[tuple[int, int]]:
+    """``(3 * member + kind, line)``: the lines by which one sequence can extend ``pattern``, after BIDE.
+
+    A line that every sequence with the pattern has between the first place of the members
+    before ``member`` and the last place of that member makes a longer pattern of the same
+    support; where the last place is taken within the pattern's first occurrence, so does every longer one.
+    """
+    n = len(pattern)
+    first, at = [], -1
+    for x in pattern:
+        at = items.index(x, at + 1)
+        first.append(at)
+
+    def last(end: int) -> list[int]:
+        out = [0] * n
+        for i in range(n - 1, -1, -1):
+            end -= 1
+            while items[end] != pattern[i]:
+                end -= 1
+            out[i] = end
+        return out
+
+    out = {(FOLLOWS, x) for x in items[first[-1] + 1 :]}
+    for kind, ends in ((BETWEEN, last(len(items))), (BEFORE, last(first[-1] + 1))):
+        for i, end in enumerate(ends):
+            out.update((3 * i + kind, x) for x in items[first[i - 1] + 1 if i else 0 : end])
+    return sorted(out)
+
+
+def _closed_sequences(sequences: DataFrame, docs: DataFrame, first: DataFrame, min_docs: int, min_share: float, max_len: int | None) -> DataFrame:
+    """Closed sequences, level by level. Equal sequences of a source are one row with their number as weight."""
+    sequences = written(sequences.groupBy("source", "items").agg(F.count(F.lit(1)).alias("weight")), "sequences")
+    frequent = (F.col("n") >= min_docs) & (F.col("n") >= min_share * F.col("n_docs"))
+
+    def factory():
+        def kernel(sources, items, patterns, weights):
+            return [sources, patterns, [_events(x, p) for x, p in zip(items, patterns)], weights]
+
+        return kernel
+
+    found = first.select("source", F.array("key").alias("pattern"), F.lit(1).alias("length"), "support")
+    patterns = found.select("source", "pattern", "support")
+    level = sequences.select("source", "items", "weight", F.explode(F.array_distinct("items")).alias("key")).select("source", "items", "weight", F.array("key").alias("pattern"))
+    length = 1
+    while True:
+        events = map_slices(level, ["source", "items", "pattern", "weight"], EVENTS, factory)
+        per = events.select("source", "pattern", "weight", F.explode("events").alias("x")).groupBy("source", "pattern", "x.at", "x.key").agg(F.sum("weight").alias("n"))
+        per = written(per.join(patterns, ["source", "pattern"]).withColumn("all", F.col("n") == F.col("support")).join(docs, "source"), f"events-{length}")
+        if length > 1:
+            closed = patterns.join(per.filter(F.col("all") & (F.col("at") % 3 != BEFORE)).select("source", "pattern"), ["source", "pattern"], "left_anti")
+            found = found.unionByName(closed.select("source", "pattern", F.lit(length).alias("length"), "support"))
+        if length == max_len:
+            return found
+        # A pattern with a line before it in its first place of all sequences leads to no closed one.
+        grown = per.filter((F.col("at") == FOLLOWS) & frequent).join(per.filter(F.col("all") & (F.col("at") % 3 == BEFORE)).select("source", "pattern"), ["source", "pattern"], "left_anti")
+        length += 1
+        grown = written(grown.select("source", F.concat("pattern", F.array("key")).alias("pattern"), F.col("n").alias("support")), f"patterns-{length}")
+        if grown.isEmpty():
+            return found
+        longer = grown.select("source", F.slice("pattern", 1, length - 1).alias("pattern"), F.element_at("pattern", -1).alias("key"))
+        level = level.join(longer, ["source", "pattern"]).select("source", "items", "weight", F.concat("pattern", F.array("key")).alias("pattern"))
+        level = level.filter(f"aggregate(items, 0, (i, x) -> if(i < {length} and x = pattern[least(i, {length - 1})], i + 1, i)) = {length}")
+        level = written(level, f"level-{length}")
+        patterns = grown
+
+
 def repeated_lines(df: DataFrame, source: str = "domain", min_docs: int = 5, min_share: float = 0.2) -> DataFrame:
     """``(doc_id, line_no)`` of lines that ``source`` repeats excessively."""
     lines = line_keys(df, source)

@@ -233,6 +233,28 @@ def test_sequences_by_brute_force(spark):
     assert sorted((r.length, r.support) for r in found.collect()) == [(1, 4), (1, 5), (1, 5), (2, 4), (2, 4), (2, 4), (3, 3)]
 
 
+def test_closed_sequences_by_brute_force(spark):
+    from itertools import combinations
+
+    rng = random.Random(5)
+    notice = [f"notice {x}" for x in "abcdefgh"]
+    made = [[x for x in notice if rng.random() < 0.9] for _ in range(14)] + [["a", *notice], [*notice, "notice a"]] + [rng.choices("abc", k=4) for _ in range(6)]
+    support = defaultdict(set)
+    for i, x in enumerate(made):
+        for n in range(1, len(x) + 1):
+            for p in combinations(x, n):
+                support[p].add(i)
+    frequent = {p: len(ids) for p, ids in support.items() if len(ids) >= 5}
+
+    def within(p, q):
+        rest = iter(q)
+        return all(x in rest for x in p)
+
+    want = sorted((len(p), n) for p, n in frequent.items() if len(p) == 1 or not any(n == m and len(q) == len(p) + 1 and within(p, q) for q, m in frequent.items()))
+    found = sitelines.frequent_sequences(sitelines.line_keys(corpus(spark, [(i, "s", None, "\n".join(x), None) for i, x in enumerate(made)])))
+    assert sorted((r.length, r.support) for r in found.collect()) == want and want[-1][0] > 3
+
+
 # --- tokens -----------------------------------------------------------------------------
 
 
