@@ -158,19 +158,19 @@ def look_classes(df: DataFrame, min_chars: int = 200, key: str = "doc_id") -> Da
     return each.join(per, ["look_a", "look_b"]).select(key, "look_class", "n_records", "n_stored_forms")
 
 
-def same_look_pairs(df: DataFrame, min_chars: int = 200, key: str = "doc_id", max_copies: int = 1000) -> DataFrame:
+def same_look_pairs(df: DataFrame, min_chars: int = 200, key: str = "doc_id", max_copies: int | None = None) -> DataFrame:
     """Pairs ``(doc_id_a, doc_id_b)`` of records that print the same and are stored differently.
 
     Records are joined on the look's hash, so no pair of different looks is ever formed;
-    classes with a single stored form are left out before the join. A stored form that more
-    than ``max_copies`` records hold takes part through its smallest id only: its other
-    records are exact copies of it, whose class :func:`look_classes` gives.
+    classes with a single stored form are left out before the join. All pairs are given unless
+    ``max_copies`` is set: then a stored form that more records hold takes part through its smallest id only.
     """
     each = written(looks(df, min_chars, key), "looks")  # narrow, and read three times
     mixed = each.groupBy("look_a", "look_b").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).filter("lo <> hi").select("look_a", "look_b")
     each = each.join(mixed, ["look_a", "look_b"], "left_semi")
-    copies = each.groupBy("look_a", "look_b", "stored").agg(F.count(F.lit(1)).alias("copies"), F.min(key).alias("first"))
-    each = each.join(copies, ["look_a", "look_b", "stored"]).filter((F.col("copies") <= max_copies) | (F.col(key) == F.col("first")))
+    if max_copies is not None:
+        copies = each.groupBy("look_a", "look_b", "stored").agg(F.count(F.lit(1)).alias("copies"), F.min(key).alias("first"))
+        each = each.join(copies, ["look_a", "look_b", "stored"]).filter((F.col("copies") <= max_copies) | (F.col(key) == F.col("first")))
     a = each.select("look_a", "look_b", F.col(key).alias("doc_id_a"), F.col("stored").alias("stored_a"))
     b = each.select("look_a", "look_b", F.col(key).alias("doc_id_b"), F.col("stored").alias("stored_b"))
     pairs = a.join(b, ["look_a", "look_b"]).filter((F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("stored_a") != F.col("stored_b")))

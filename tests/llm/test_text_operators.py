@@ -57,6 +57,12 @@ def test_pairs_of_looks(spark):
     assert got.text_form is None and got.title_form == "T" and got.line_no == 9
 
 
+def test_pairs_of_many_copies(spark):
+    t = "Người bệnh nên giữ ấm cơ thể. " * 10
+    df = corpus(spark, [(i, "d", "T", t, None) for i in range(1001)] + [(2000, "d", "Ｔ", t, None)])
+    assert forms.same_look_pairs(df).count() == 1001
+
+
 # --- languages --------------------------------------------------------------------------
 
 
