@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, BooleanType, ByteType, DoubleType, Inte
 
 from lakeloom.functions.arrow import map_slices
 from lakeloom.llm import pagelines as pl
-from lakeloom.llm.langid import LanguageModel, same_language
+from lakeloom.llm.langid import CLASSES, LanguageModel, same_language
 from lakeloom.session import written
 
 #: A page without flagged lines, with flagged and other ones, with flagged ones only, and with blank slots.
@@ -122,12 +122,14 @@ def _prose(line: str) -> bool:
     return len(line) > 40 and bool(pl._ENDS.search(line.rstrip())) and line.count(" ") >= 7 or len(line) > 25 and line.rstrip().endswith("。")
 
 
-def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.45) -> DataFrame:
+def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.45, every: bool = False) -> DataFrame:
     """The narrow table of :data:`SCAN`, one row a record, written to the shared folder.
 
     With ``model``, ``langs`` has line 0 (the main language of the article, ``mislabelled``
     where the stored label is missing or names another) and lines of at least ``min_line`` characters in
-    another language than the main one, for texts of at least ``min_chars`` characters.
+    another language than the main one, for texts of at least ``min_chars`` characters. With ``every``
+    each record has line 0, whatever its length: without an article's language that of all its lines,
+    and without any the likeliest class of the whole text with its probability.
     """
 
     def factory():
@@ -142,11 +144,11 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
                 decorated = pl.decorated(title, dom)
                 for col, v in zip(out, (i, verdict, short, evidence, keys, frames, voter, furniture, decorated, [])):
                     col.append(v)
-                if model is not None and len(text) >= min_chars and verdict != SURE:
+                if model is not None and (every or len(text) >= min_chars and verdict != SURE):
                     lines = text.split("\n")
                     for n, lab in zip(numbers, labels):
                         line = lines[n - 1].strip()
-                        if lab == pl.ARTICLE or len(line) >= min_line:
+                        if every or lab == pl.ARTICLE or len(line) >= min_line:
                             jobs.append(line)
                             owners.append((at, n, lab, len(line)))
             if jobs:
@@ -159,6 +161,13 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
                     for k in range(a, b):
                         if owners[k][2] == pl.ARTICLE and which[k] is not None:
                             weight[which[k]] = weight.get(which[k], 0.0) + model.content(which[k], owners[k][3])
+                    if not weight and every:
+                        for k in range(a, b):
+                            if which[k] is not None:
+                                weight[which[k]] = weight.get(which[k], 0.0) + model.content(which[k], owners[k][3])
+                    if not weight and every:
+                        p = model.probabilities([" ".join(jobs[a:b])])[0]
+                        weight = {c: float(x) for c, x in zip(CLASSES, p) if c != "none"}
                     if not weight:
                         continue
                     main = max(sorted(weight), key=weight.get)

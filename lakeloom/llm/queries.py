@@ -23,8 +23,8 @@ def p1_classes(spark: SparkSession, sf: str) -> DataFrame:
     return forms.look_classes(table(spark, sf, "corpus"))
 
 
-def _languages(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    scanned = pages.scan(table(spark, sf, "corpus"), langid.fit(table(spark, sf, "lang_samples")))
+def _languages(spark: SparkSession, sf: str, every: bool = False) -> tuple[DataFrame, DataFrame]:
+    scanned = pages.scan(table(spark, sf, "corpus"), langid.fit(table(spark, sf, "lang_samples")), every=every)
     rows = scanned.filter(F.size("langs") > 0).select("doc_id", F.explode("langs").alias("x")).select("doc_id", "x.*")
     return scanned, rows
 
@@ -37,7 +37,7 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p2_languages(spark: SparkSession, sf: str) -> DataFrame:
     """Main language (line 0) of every record and language of every line in another, with confidence."""
-    return _languages(spark, sf)[1].select("doc_id", "line_no", "lang", F.round("confidence", 6).alias("confidence"))
+    return _languages(spark, sf, every=True)[1].select("doc_id", "line_no", "lang", F.round("confidence", 6).alias("confidence"))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:

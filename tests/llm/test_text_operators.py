@@ -91,6 +91,13 @@ def test_mixed_records(spark, sf):
     assert pages.scan(df.limit(0), model).count() == 0
 
 
+def test_every_record_is_labelled(spark, sf):
+    model = langid.fit(table(spark, sf, "lang_samples"))
+    df = corpus(spark, [(1, "d", "t", "Drink enough water.", None), (2, "d", "t", "Please turn on JavaScript to read Med Lake.\nLoading...", None), (3, "d", "t", "12 - 34 - 56", None)])
+    got = {r.doc_id: r.langs for r in pages.scan(df, model, every=True).collect()}
+    assert all(got[i][0].line_no == 0 and 0 < got[i][0].confidence <= 1 and got[i][0].lang in ("vi", "en", "zh") for i in (1, 2, 3)) and got[1][0].lang == got[2][0].lang == "en"
+
+
 # --- splitting --------------------------------------------------------------------------
 
 
