@@ -330,12 +330,12 @@ def _is_site(part: str, tokens: set[str], joined: str) -> bool:
     return len(compact) >= 5 and compact in joined
 
 
-_DECOR = re.compile(r"[|»›•·_«\[\]（(【<–—/-]|::| : ")
+_DECOR = re.compile(r"[|»›•·_«\[\]（(【<–—/-]|::|\s:+\s")
 
 
 def decorated(title: str | None, domain: str | None) -> bool:
     """The title holds more than the headline."""
-    return bool(title and _DECOR.search(title) and bare_headline(title, domain)[1])
+    return bool(title and _DECOR.search(fold(title)) and bare_headline(title, domain)[1])
 
 
 def bare_headline(title: str, domain: str) -> tuple[str, bool]:

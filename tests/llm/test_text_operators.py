@@ -152,6 +152,10 @@ def test_main_body(spark):
     assert rows(found) == [(1, n) for n in (0, 1, 2, 3, 4, 6, 11, 12, 13)]
 
 
+def test_folded_separators_of_titles():
+    assert all(pagelines.decorated(f"Diagnosing gout{x}Med Lake", "med-lake.example") for x in ("｜", " － ", " ／ ", "\u00a0:\u00a0", " \u2010 "))
+
+
 def test_held_out_page_lines():
     """The tree grown without a page still classifies that page's lines."""
     import numpy as np
