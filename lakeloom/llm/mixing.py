@@ -11,8 +11,9 @@ is checked against ``max_patterns``; documents never leave the cluster.
 Defined results: the total is the largest at which every source with weight and tokens gets
 its share within its repeats (or ``total`` where given and smaller). Sources without weight
 or without tokens get nothing and are reported; targets are relative to the sources that can
-be served. Documents without tokens or source are never chosen. Within a source the share is
-met to within one document.
+be served. Documents without tokens or source are never chosen. A document of several sources
+is given to one of them in each pass, its uses over all of them capped by the largest of their
+repeats. Within a source and pattern the quota is met to within one document.
 """
 
 from __future__ import annotations
@@ -22,8 +23,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-#: Slices of a source's seeded order; prefix sums run over slices, then within one.
+from lakeloom.session import written
+
+#: Slices of a pattern's seeded order; prefix sums run over slices, then within one.
 SLICES = 4096
+#: Rows of a plan up to which it is broadcast; a longer one is joined by a shuffle.
+MAX_BROADCAST = 20_000
+_AND = "\x1f"
 
 
 @dataclass
@@ -137,48 +143,67 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 17, totals: dict[str, f
     spark = docs.sparkSession
     rows = docs.filter("source is not null and n_tokens > 0").select("doc_id", "source", "n_tokens").distinct()
     wanted = [r.asDict() for r in targets.select("mix_id", "source", "target_weight", "max_repeats").distinct().limit(max_patterns + 1).collect()]
-    by_doc = rows.groupBy("doc_id").agg(F.array_sort(F.collect_set("source")).alias("pattern"), F.max("n_tokens").alias("n_tokens"))
-    found = by_doc.groupBy("pattern").agg(F.sum("n_tokens").alias("tokens")).limit(max_patterns + 1).collect()
+    # A source without weight or repeats takes nothing, so documents need not be told apart by it.
+    live = sorted({(r["mix_id"], r["source"]) for r in wanted if r["source"] is not None and (r["target_weight"] or 0) > 0 and (r["max_repeats"] or 0) > 0})
+    names = _small(spark.createDataFrame(live, "mix_id string, source string"), len(live))
+    own = rows.join(names, "source").groupBy("mix_id", "doc_id").agg(F.array_join(F.array_sort(F.collect_set("source")), _AND).alias("pattern"), F.max("n_tokens").alias("n_tokens"))
+    own = written(own, "patterns")
+    found = own.groupBy("mix_id", "pattern").agg(F.sum("n_tokens").alias("tokens")).limit(max_patterns + 1).collect()
     if max(len(found), len(wanted)) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns or targets")
     orders = []
-    for mix_id in sorted({r["mix_id"] for r in wanted}):
-        own = {r["source"]: r for r in wanted if r["mix_id"] == mix_id and r["source"] is not None}
-        weights = {s: max(0.0, r["target_weight"] or 0.0) for s, r in own.items()}
-        repeats = {s: max(0, r["max_repeats"] or 0) for s, r in own.items()}
-        weights = {s: w if repeats[s] else 0.0 for s, w in weights.items()}
-        patterns: dict[tuple[str, ...], float] = {}
-        for r in found:
-            p = tuple(s for s in r.pattern if s in own)
-            if p:
-                patterns[p] = patterns.get(p, 0.0) + r.tokens
+    for mix_id in sorted({m for m, _ in live}):
+        weights = {r["source"]: float(r["target_weight"]) for r in wanted if (r["mix_id"], r["source"]) in live and r["mix_id"] == mix_id}
+        repeats = {r["source"]: int(r["max_repeats"]) for r in wanted if r["source"] in weights and r["mix_id"] == mix_id}
+        patterns = {tuple(r.pattern.split(_AND)): float(r.tokens) for r in found if r.mix_id == mix_id}
         _, plan = route(patterns, weights, repeats, (totals or {}).get(mix_id))
-        for (p, s), tokens in plan.items():
-            orders.append((mix_id, s, "\x1f".join(p), float(tokens), repeats[s]))
-    plan = spark.createDataFrame(orders, "mix_id string, source string, pattern string, quota double, max_repeats int")
-    names = spark.createDataFrame([(m, s) for m, s in sorted({(r["mix_id"], r["source"]) for r in wanted if r["source"] is not None})], "mix_id string, source string")
-    chosen = _choose(rows, names, plan, seed)
+        orders += [(mix_id, _AND.join(p), s, a, b) for p, s, a, b in intervals(plan)]
+    plan = _small(spark.createDataFrame(orders, "mix_id string, pattern string, source string, low double, high double"), len(orders))
+    chosen = _choose(own, plan, seed)
     return chosen, _report(rows, targets, chosen)
 
 
-def _choose(rows: DataFrame, names: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
-    """Full passes over a pattern's documents, then its seeded order up to the rest of the quota."""
-    # A document's pattern within each mix: the sources of the mix that it counts for.
-    own = rows.join(F.broadcast(names), "source").groupBy("mix_id", "doc_id").agg(F.array_join(F.array_sort(F.collect_set("source")), "\x1f").alias("pattern"), F.max("n_tokens").alias("n_tokens"))
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """A table of the driver's own, broadcast up to ``MAX_BROADCAST`` rows."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST else df
+
+
+def intervals(plan: dict[tuple[tuple[str, ...], str], float]) -> list[tuple[tuple[str, ...], str, float, float]]:
+    """``(pattern, source, low, high)``: disjoint stretches of a tape on which a pattern's tokens come again and again.
+
+    Each place of the tape belongs to one source, so a pass over the pattern's documents gives
+    each of them to one source only, and a document is repeated no sooner than all are used.
+    """
+    at: dict[tuple[str, ...], float] = {}
+    out = []
+    for (pattern, source), tokens in sorted(plan.items()):
+        low = at.get(pattern, 0.0)
+        at[pattern] = low + tokens
+        out.append((pattern, source, low, at[pattern]))
+    return out
+
+
+def _choose(own: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """``(mix_id, source, doc_id, n_tokens, repeats)`` from ``(mix_id, doc_id, pattern, n_tokens)`` and the intervals.
+
+    A document's middle lies on the tape once a pass; it is used by the source whose interval
+    holds the place. Prefix sums run over slices of the seeded order, then within a slice.
+    """
     order = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1 << 40))
-    slices = own.join(F.broadcast(plan), ["mix_id", "pattern"]).withColumn("place", order).withColumn("slice", F.floor(F.col("place") / F.lit((1 << 40) // SLICES)).cast("int"))
-    sums = slices.groupBy("mix_id", "source", "pattern", "quota", "max_repeats", "slice").agg(F.sum("n_tokens").alias("tokens"))
-    over = Window.partitionBy("mix_id", "source", "pattern")
+    slices = own.withColumn("place", order).withColumn("slice", F.floor(F.col("place") / F.lit((1 << 40) // SLICES)).cast("int"))
+    sums = slices.groupBy("mix_id", "pattern", "slice").agg(F.sum("n_tokens").alias("tokens"))
+    over = Window.partitionBy("mix_id", "pattern")
     sums = sums.withColumn("before", F.sum("tokens").over(over.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))).withColumn("whole", F.sum("tokens").over(over))
-    sums = sums.select("mix_id", "source", "pattern", "slice", F.coalesce("before", F.lit(0)).alias("before"), "whole")
-    each = slices.join(sums, ["mix_id", "source", "pattern", "slice"])
-    within = Window.partitionBy("mix_id", "source", "pattern", "slice").orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    each = each.withColumn("at", F.col("before") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-    passes = F.floor(F.col("quota") / F.col("whole") + F.lit(1e-9)).cast("int")
-    rest = F.col("quota") - passes * F.col("whole")
-    # The document that the quota's end falls into is used where at least half of it fits.
-    used = F.least(passes + (F.col("at") + F.col("n_tokens") / 2 <= rest).cast("int"), F.col("max_repeats"))
-    return each.withColumn("repeats", used).filter("repeats > 0").select("mix_id", "source", "doc_id", "n_tokens", "repeats")
+    sums = sums.select("mix_id", "pattern", "slice", F.coalesce("before", F.lit(0)).alias("before"), "whole")
+    each = slices.join(sums, ["mix_id", "pattern", "slice"])
+    within = Window.partitionBy("mix_id", "pattern", "slice").orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    middle = F.col("before") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0)) + F.col("n_tokens") / 2
+    each = each.withColumn("middle", middle).join(plan, ["mix_id", "pattern"])
+
+    def passes(end):
+        return F.greatest(F.ceil((F.col(end) - F.col("middle")) / F.col("whole")), F.lit(0))
+
+    return each.withColumn("repeats", (passes("high") - passes("low")).cast("int")).filter("repeats > 0").select("mix_id", "source", "doc_id", "n_tokens", "repeats")
 
 
 def _report(rows: DataFrame, targets: DataFrame, chosen: DataFrame) -> DataFrame:

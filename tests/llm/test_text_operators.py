@@ -326,6 +326,45 @@ def test_mix(spark):
     assert mixing.mix(docs.limit(0), targets)[0].count() == 0
 
 
+def _overlapping(spark, owners, weights, repeats, n_tokens=lambda i: 10):
+    """``mix`` over documents of several sources; the chosen rows and the report by source."""
+    docs = spark.createDataFrame([(i, s, n_tokens(i)) for i, own in enumerate(owners) for s in own], "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("m", s, w, repeats[s]) for s, w in weights.items()], "mix_id string, source string, target_weight double, max_repeats int")
+    chosen, report = mixing.mix(docs, targets)
+    return chosen.collect(), {r.source: r for r in report.collect()}
+
+
+def test_two_overlapping_sources_use_every_document_once(spark):
+    rows, report = _overlapping(spark, ["ab"] * 100, {"a": 1.0, "b": 1.0}, {"a": 1, "b": 1})
+    assert len({r.doc_id for r in rows}) == len(rows) == 100 and all(r.repeats == 1 for r in rows)
+    assert report["a"].tokens == report["b"].tokens == 500
+
+
+@pytest.mark.parametrize("repeats", [{"a": 1, "b": 1, "c": 1}, {"a": 2, "b": 1, "c": 3}])
+def test_three_overlapping_sources_keep_shares_and_cap(spark, repeats):
+    owners = ["abc"] * 60 + ["ab"] * 40 + ["c"] * 30 + ["b"] * 5 + ["bc"] * 25
+    sizes = {i: 5 + i * 7 % 23 for i in range(len(owners))}
+    rows, report = _overlapping(spark, owners, {"a": 2.0, "b": 1.0, "c": 1.0}, repeats, sizes.get)
+    uses = {}
+    for r in rows:
+        assert r.source in owners[r.doc_id] and r.n_tokens == sizes[r.doc_id] and r.repeats <= repeats[r.source]
+        uses[r.doc_id] = uses.get(r.doc_id, 0) + r.repeats
+    assert all(n <= max(repeats[s] for s in owners[d]) for d, n in uses.items())
+    whole = sum(r.tokens for r in report.values())
+    for s, share in (("a", 0.5), ("b", 0.25), ("c", 0.25)):
+        # Each pattern of a source may be off by a document at either end of its interval.
+        assert abs(report[s].tokens - share * whole) <= 2 * max(sizes.values()) * len({o for o in owners if s in o})
+    fresh = sum(sizes[i] for i in range(len(owners)))
+    if max(repeats.values()) == 1:
+        assert whole <= fresh
+
+
+def test_long_plans_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_BROADCAST", 0)
+    rows, _ = _overlapping(spark, ["ab"] * 10, {"a": 1.0, "b": 1.0}, {"a": 1, "b": 1})
+    assert len({r.doc_id for r in rows}) == 10
+
+
 def test_flow_shares_documents_between_sources():
     total, plan = mixing.route({("a",): 100.0, ("a", "b"): 50.0}, {"a": 1.0, "b": 1.0}, {"a": 1, "b": 1})
     assert abs(total - 100) < 0.01 and abs(plan[("a", "b"), "b"] - 50) < 0.01 and abs(plan[("a",), "a"] - 50) < 0.01
