@@ -1,8 +1,13 @@
-"""What each line of a crawled page is: article, furniture or residue.
+"""What each line of a crawled page is: the article's or furniture.
 
-A page is cut into flat text blocks, its lines. Each has shallow features (words, link
-density, list mark, sentence end, cues of furniture, and the words, links and cues of the
-lines around it); a decision tree grown on the small labelled table ``PAGES`` classifies it.
+A page is cut into flat text blocks, its lines. Each block has its word count, link density,
+list and sentence marks, the words and links of the blocks around it and of the run of blocks
+of the same shape it stands in, and two scores of its words: how far they are furniture's
+rather than an article's, and how far they are a headline's rather than a sentence's or list
+item's. Words are learned from the labelled table of :mod:`lakeloom.llm.labelled_pages`; nothing here
+lists phrases. A committee of decision trees grown on pages composed of that table classifies
+the blocks. So that the trees do not take known words for granted, each fifth of the table is
+described with the words of the other four.
 
 Lines are compared in a folded form: skeleton of :mod:`lakeloom.llm.forms`, without marks and
 in lower case, so that look-alike characters and dropped accents make no difference.
@@ -10,17 +15,19 @@ in lower case, so that look-alike characters and dropped accents make no differe
 
 from __future__ import annotations
 
+import math
+import random
 import re
 import unicodedata as ud
+from collections import Counter, defaultdict
+from dataclasses import dataclass, field
 from functools import lru_cache
 
-import ahocorasick
 import numpy as np
+import xxhash
 
 from lakeloom.llm import forms
-from lakeloom.llm.labelled_pages import PAGES
-
-ARTICLE, FURNITURE, RESIDUE = 0, 1, 2
+from lakeloom.llm import labelled_pages as table
 
 
 class _Folds(dict):
@@ -42,199 +49,234 @@ def flat(line: str) -> str:
     return _BLANKS.sub(" ", fold(line)).strip()
 
 
-# Cues of page furniture in folded form, by kind.
-CUES = {
-    "consent": [
-        "use cookies", "rely on cookies", "dung tep cookie", "luu cookie", "su dung cookie", "cookie技术", "使用cookie", "store small files on your device", "保存小型文件",
-        "accept all or manage", "by scrolling on you agree", "继续访问即表示您接受", "可在隐私设置中更改", "同意”继续浏览", "dong y de tiep tuc", "tuy chon quyen rieng tu",
-        "tiep tuc xem trang nghia la", "[chap nhan]", "[tu choi]", "[ok] [reject]", "【接受】", "【拒绝】", "luu tep nho tren thiet bi",
-    ],
-    "byline": [
-        "bai: ", "anh: ", "tham van y khoa:", "kiem duyet:", " bien soan)", ", photos ", "written by", "checked by", "words: ", "review: ", "edited by", "作者 ", "核对 ", "撰文:", "审校:",
-        "来源:", "编辑:", "chiu trach nhiem noi dung", "medically reviewed", "nguon: ", "tac gia: ", "作者:",
-    ],
-    "counter": ["luot xem:", " - cap nhat ", "views, updated", "次 更新于", "阅读 ", "更新于"],
-    "contact": ["duong day nong", "dia chi: ", "lien he quang cao", "helpline", "advertise: ", "客服热线", "地址:", "广告合作", " row, lower fen", "ads@", "hotline:", "tel: ", "dien thoai: "],
-    "legal": [
-        "©", "(c) 20", "may be reused", "ban quyen", "giu toan quyen", "cam sao chep", "registered under licence", "giay phep trang thong tin", "is for information only", "chi de tham khao", "仅供参考", "版权所有",
-        "未经许可", "备案编号", "免责声明", "terms of use", "- privacy -", "隐私条款", "dieu khoan su dung", "all rights reserved", "may not be copied", "no part of", "khong thay the tu van",
-    ],
-    "share": [
-        "chia se bai viet", "hay chia se", " chia se ", "share this page", "tap to copy the link", " on every channel", " tren cac kenh", "dang ky nhan ban tin", "gui bai nay", "| in trang", "luu bai", "in bai", "gui gop y",
-        "tai ung dung", " app for ", "found this useful", "pass it on", "quang cao - ", "advertisement - ", "扫码分享", "分享到", "觉得有用", "转给家人", "公众频道", "订阅", "客户端", "打印本页", "收藏", "推荐给朋友",
-        "广告 ·", "print | save", "send to a friend", "sign up for", "subscribe", "newsletter", "like 0", "thich 0", " comments", "binh luan", "every morning", "点赞",
-    ],
-    "tags": ["the: ", "tu khoa: ", "tags: ", "filed under", "标签:", "chu de: ", "关键词:", "归类:", "topics: "],
-    "next": ["doc tiep: ", "xem them ve ", "tin lien quan: ", "read next: ", "more on ", "相关阅读:", "延伸阅读:", "更多:", "上一篇:", "下一篇:", "←", "→", "see also: ", "related: ", "bai truoc: ", "bai sau: "],
-    "headline": [
-        "vi sao", "dieu can biet ve", " o nguoi ", " o benh nhan ", " o phu nu ", " o tre ", " o thanh thieu nien", " o nhan vien ", " o van dong vien ", " among ", "facts about", ": why ", "写给", "篇)", "为何会", "个要点",
-    ],
-}
-#: Kinds that mark furniture by themselves.
-STRONG = ("consent", "byline", "counter", "contact", "legal", "share", "tags", "next")
-
-# Names of site sections, folded.
-SECTIONS = set(
-    "trang chu|gioi thieu|tin tuc|lien he|dang ky|dang nhap|video|thu vien anh|tra cuu|benh hoc|dinh duong|song khoe|me va be|chuyen gia|tu thuoc|dat lich kham|hoi dap|goc bac si|tuyen dung|bang gia|"
-    "home|about|news|contact|register|log in|gallery|look-up|conditions|nutrition|living well|parents|experts|medicines|book a visit|questions|doctor's corner|careers|prices|"
-    "首页|关于本站|资讯|联系我们|注册|登录|视频|图库|查询|疾病百科|营养|健康生活|母婴|专家|药品|预约挂号|问答|医生专栏|招聘|价格表".split("|")
-)
+def hash64(text: str) -> int:
+    h = xxhash.xxh3_64_intdigest(text)
+    return h - (1 << 64) if h >> 63 else h
 
-# Cues of pages that are no article, folded.
-RESIDUE_CUES = [
-    "vui long bat javascript", "please turn on javascript", "请启用javascript", "please enable javascript", "enable scripts to run", "scripts are switched off", "da tat script", "can script de hoat dong", "已禁用脚本", "需要脚本支持",
-    "khong phai la robot", "that you are human", "完成安全验证", "checking your browser", "dang kiem tra trinh duyet", "正在检查您的浏览器", "nhap cac ky tu trong hinh", "type the characters in the picture", "输入图中字符",
-    "khong tim thay trang", "the page is not here", "down for maintenance", "dang bao tri", "系统维护中", "address you typed was moved", "do not have permission to open", "trang ban yeu cau khong ton tai", "文章已被删除",
-    "oops!", "rat tiec! da co su co", "服务器开小差", "did not answer in time", "khong the ket noi co so du lieu", "数据库连接失败", "could not connect to the database", "fatal error:", "tu choi yeu cau", "拒绝了本次请求", "页面不存在",
-    "refused the request", "您没有权限", "ban khong co quyen", "您访问的", "database connection failed", "try again later", "vui long thu lai sau",
-]
-# Lines that go with such pages, whole and folded.
-_WHOLE = re.compile(
-    r"(?:undefined|null|nan(?:/nan)*|\[object object\]|none|http/[\d.]+ \d{3}.*|(?:error |loi |ma loi )?[345]\d\d(?: 错误| error)?|错误 ?[345]\d\d|nginy/[\d.]+|"
-    r"(?:request id|ma tra cuu|ma phien|session|请求编号|会话编号)[: ]*[0-9a-f]{6,}|<noscript>.*|window\.__.*|document\.get.*|at com\.[\w.]+\(.*|dang tai\.\.\.|loading\.\.\.|加载中\.+|"
-    r"tai lai trang sau khi .*|reload after .*|(?:更改|修改)设置后.*|todo: .*|[\w.]+\.(?:widget|label|title|text)(?:\.\w+)*|bam vao day de ve .*|try the search box .*|点击返回首页.*|vui long bao cho quan tri vien .*|please tell the .*|如有疑问请联系.*管理员.*|upstream .*|may chu .*|节点.*)"
-)
-_SLOT = re.compile(
-    r"\{\{[^{}\n]{1,40}\}\}|[$#]\{[^{}\n]{1,40}\}|\[\[[^\[\]\n]{1,40}\]\]|%%[^%\n]{1,40}%%|<%[^%\n]{1,60}%>|<insert [^<>\n]{1,40}>|__(?=[^\W_])[^\n]{1,38}?__|(?<!\{)\{[^{}\n]{1,40}\}(?!\})|%\([a-z_]{2,30}\)s|(?<!\])\[(?!\d+\])[^\[\]\n()]{1,30}\](?![(\[])|<[^<>\n]{2,40}>"
-)
-_SLOT_SIGNS = re.compile(r"[{\[%<_]")
 
-# Words of the usual filler texts, folded.
-FILLER = set(
-    "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo".split()
-)
-# Sentences that stand in for a text to come, folded.
-FILLER_PHRASES = [
-    "this is sample text", "dummy copy used for layout", "your subheading goes here", "this post is a draft", "real content will be added later", "replace this paragraph before launch",
-    "正式内容稍后补充", "此处为示例文字", "这里填写副标题", "本文为草稿", "占位文字仅用于排版", "请替换本段内容", "bai dang duoc bien tap", "day la doan van ban mau", "chu giu cho dung de dan trang", "vui long thay doan nay", "tieu de phu cua bai mau", "noi dung that se duoc cap nhat sau",
-]
-_REPEATED = re.compile(r"(\S{2,8})(?: \1)+(?: [0-9a-z]{1,6})?[.!]?")
 _WORD = re.compile(r"[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
 _HAN = re.compile(r"[㐀-鿿豈-﫿]")
 _LINK = re.compile(r"\[([^\]\n]*)\]\([^)\n]*\)|https?://\S+|www\.\S+")
-_LIST = re.compile(r"\s*(?:[-*•▶»›+·▪►]|\d{1,2}[.)]|[a-z]\)|\(\d{1,2}\))\s+")
+_LIST = re.compile(r"\s*([-*•▶»›+·▪►]|\d{1,2}[.)]|[a-z]\)|\(\d{1,2}\))\s+")
 _ENDS = re.compile(r"[.!?。!?…][\"'”’」』)\]]*$")
 _INNER_END = re.compile(r"[.!?][\"'”’」』)\]]* +(?=\S)|[。!?](?=.)")
-_PARTS = re.compile(r"\s*[»›•|/>·]\s*|\s+-\s+")
-_WIDE = re.compile(r" {2,}")
+_SEPARATOR = re.compile(r"[|/•·»›>–—_\t]| - |  +")
 _BLANKS = re.compile(r" {2,}")
-_EDGES = " »›•|/>·-*"
 
+# --- words ------------------------------------------------------------------------------
 
-def _size(text: str) -> float:
-    """Length in words; a Han character is about half a word."""
-    words = len(_WORD.findall(text))
-    return words if text.isascii() else words - 0.5 * len(_HAN.findall(text))
 
+def grams(words: list[str]) -> list[str]:
+    """Words and pairs of words; a Han character is a word, figures are one word."""
+    w = ["0" if x[0].isdigit() else x for x in words]
+    return w + [f"{a} {b}" for a, b in zip(["<", *w], w)]
 
-#: A menu or path of pages on one line has at most so many words.
-MENU_WORDS = 60
 
+def edges(folded: str) -> list[int]:
+    """Hashes of a line's first and last words, without its list mark."""
+    listed = _LIST.match(folded)
+    w = ["0" if x[0].isdigit() else x for x in _WORD.findall(folded[listed.end() :] if listed else folded)]
+    n = 3 if _HAN.search(folded) else 2
+    return [hash64("<" + " ".join(w[:n])), hash64(" ".join(w[-n:]) + ">")] if len(w) > n else []
 
-def _automaton() -> ahocorasick.Automaton:
-    a = ahocorasick.Automaton()
-    for kind, words in CUES.items():
-        for w in words:
-            a.add_word(w, (kind, len(w)))
-    for w in RESIDUE_CUES:
-        a.add_word(w, ("residue", len(w)))
-    for w in FILLER_PHRASES:
-        a.add_word(w, ("filler", len(w)))
-    a.make_automaton()
-    return a
 
+#: Groups of kinds that words are told apart by: furniture, menu, headline, list item or heading, prose.
+_GROUPS = {"menu": 1, "headline": 2, "item": 3, "heading": 3, "prose": 4, "row": 4}
+_PLACES = re.compile(r"\{\w\}")
 
-_CUE_SCAN = _automaton()
-FEATURES = ("words", "link_density", "listed", "ends", "strong", "headline", "sections", "path", "table", "heading", "sentences", "words_before", "words_after", "furniture_before", "furniture_after", "headlines_near", "after_text")
 
+def learn_words(lines: dict[str, dict[str, list[str]]], prior: float = 0.3) -> dict[str, tuple[float, float]]:
+    """Log odds of each gram: furniture against article, headline or menu against item and prose."""
+    count: dict[str, list[int]] = defaultdict(lambda: [0] * 5)
+    n = [0] * 5
+    for kinds in lines.values():
+        for kind, texts in kinds.items():
+            if kind == "subject":
+                continue
+            group = _GROUPS.get(kind, 0)
+            for text in texts:
+                n[group] += 1
+                for g in set(grams(_WORD.findall(flat(_PLACES.sub(lambda m: "0" if m.group() in ("{n}", "{m}") else "\x01 ", text))))):
+                    count[g][group] += 1
 
-def is_residue(folded: str, kinds: set[str]) -> bool:
-    """A line of an error page, of an unfilled template or of filler text."""
-    if "residue" in kinds and len(folded) <= 240 and folded.count(" ") < 30:
-        return True
-    if len(folded) < 160 and (_WHOLE.fullmatch(folded) or _REPEATED.fullmatch(folded)):
+    def odds(v: list[int], one: tuple[int, ...], other: tuple[int, ...]) -> float:
+        return math.log((sum(v[i] for i in one) + prior) / (sum(n[i] for i in one) + 1)) - math.log((sum(v[i] for i in other) + prior) / (sum(n[i] for i in other) + 1))
+
+    return {g: (odds(v, (0, 1), (2, 3, 4)), odds(v, (1, 2), (3, 4))) for g, v in count.items()}
+
+
+# --- slots and defaults -----------------------------------------------------------------
+
+# How templating languages write a slot.
+_SLOT = re.compile(
+    r"\{\{[^{}\n]{1,40}\}\}|[$#]\{[^{}\n]{1,40}\}|\[\[[^\[\]\n]{1,40}\]\]|%%[^%\n]{1,40}%%|<%[^%\n]{1,60}%>|<insert [^<>\n]{1,40}>|__(?=[^\W_])[^\n]{1,38}?__|(?<!\{)\{[^{}\n]{1,40}\}(?!\})|%\([a-z_]{2,30}\)s|(?<!\])\[(?!\d+\])[^\[\]\n()]{1,30}\](?![(\[])|<[^<>\n]{2,40}>"
+)
+_SLOT_SIGNS = re.compile(r"[{\[%<_]")
+#: A label before a slot has at most so many words.
+LABEL_WORDS = 5
+# Words of the usual filler text, folded.
+FILLER = set("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo".split())
+_REPEATED = re.compile(r"(\S{2,8})(?: \1)+(?: [0-9a-z]{1,6})?[.!]?")
+
+
+def unfilled(folded: str) -> bool:
+    """A line of slots that retain a variable's name or a default: placeholders, filler words, one token over and over."""
+    if _SLOT_SIGNS.search(folded) and "](" not in folded:
+        parts = _SLOT.split(folded)
+        n = len(parts) - 1
+        # A slot in a sentence is a stray one, and brackets after a sentence are buttons; a line of labels and slots is a template.
+        if n and not any(_ENDS.search(p.rstrip()) and _size(p) > LABEL_WORDS for p in parts):
+            left = len(_WORD.findall(" ".join(parts)))
+            if left <= 4 * n + 3 and (n > 1 or not _ENDS.search(parts[-1].rstrip()) or left <= 4):
+                return True
+    if _REPEATED.fullmatch(folded):
         return True
-    if _SLOT_SIGNS.search(folded):
-        rest, n = _SLOT.subn(" ", folded)
-        if n and "](" not in folded:
-            # A slot in a sentence is a stray one; a line of labels and slots is a template.
-            left = len(_WORD.findall(rest))
-            if left <= 4 * n + 3:
-                return n > 1 or not _ENDS.search(rest.rstrip()) or left <= 4
-    if not any(w.strip(".,") in FILLER for w in folded[:80].split()[:3]):
-        return False
     words = folded.replace(".", " ").replace(",", " ").split()
     return len(words) >= 3 and sum(w in FILLER for w in words) >= 0.8 * len(words)
 
 
-@lru_cache(maxsize=60_000)
-def _short_line(line: str) -> tuple[tuple[float, ...], bool]:
-    return _describe(line)
-
-
-def _describe(line: str) -> tuple[tuple[float, ...], bool]:
-    """Own features of a line (those before ``words_before``) and whether it is residue."""
-    loose = fold(line.replace("\t", "|") if "\t" in line else line).strip()
-    f = _BLANKS.sub(" ", loose) if "  " in loose else loose
-    kinds: set[str] = set()
-    strong = filler = 0
-    for _, (kind, n) in _CUE_SCAN.iter(f):
-        if kind in STRONG:
-            strong += kind not in kinds
-        elif kind == "filler":
-            filler += n
-        kinds.add(kind)
-    words = _size(f)
-    linked = sum(_size(m.group(1) or m.group()) for m in _LINK.finditer(f)) if "](" in f or "http" in f or "www." in f else 0
-    listed = _LIST.match(f)
-    bare = f[listed.end() :] if listed else f
-    parts = [] if words > MENU_WORDS else [p for p in _PARTS.split(_LINK.sub(r"\1", bare).strip(_EDGES)) if p]
-    if len(parts) == 1 and "  " in loose:
-        wide = [p for p in _WIDE.split(loose.strip(_EDGES)) if p]
-        parts = wide if sum(p in SECTIONS for p in wide) * 2 > len(wide) else parts
-    named = sum(p in SECTIONS for p in parts)
-    path = bool(parts) and len(parts) >= 3 and words <= 30 and parts[0] in ("trang chu", "home", "首页")
-    heading = f.startswith("#") or f.startswith("**") and f.endswith("**")
-    own = (
-        float(words), linked / words if words else 0.0, float(bool(listed)), float(bool(_ENDS.search(f))), float(strong), float("headline" in kinds), named / len(parts) if parts else 0.0,
-        float(path), float(f.startswith("|")), float(heading), float(len(_INNER_END.findall(f))),
-    )
-    residue = "consent" not in kinds and (filler > 0.6 * len(f) or is_residue(f, kinds) or "  " in loose and all(map(_residue_piece, _WIDE.split(loose))))
-    return own, residue
-
-
-def _residue_piece(piece: str) -> bool:
-    return is_residue(piece, {"residue"} if any(k[0] == "residue" for _, k in _CUE_SCAN.iter(piece)) else set())
-
-
-def features(text: str) -> tuple[list[int], np.ndarray, list[bool]]:
-    """Numbers of the non-blank lines, their feature rows, and which are residue."""
-    numbers, own, residue = [], [], []
-    for n, line in enumerate(text.split("\n"), 1):
-        line = line.strip()
-        if line:
-            o, r = _short_line(line) if len(line) <= 120 else _describe(line)
-            numbers.append(n)
-            own.append(o)
-            residue.append(r)
-    k = len(FEATURES)
-    m = len(numbers)
-    x = np.zeros((m, k))
+def slots_blank(folded: str) -> str:
+    """An unfilled line with its slots blank; nothing is left of filler words."""
+    rest, n = _SLOT.subn("\x01", folded)
+    return rest if n else ""
+
+
+# --- blocks -----------------------------------------------------------------------------
+
+OWN = ("words", "link_density", "listed", "ends", "separators", "label_words", "table", "heading", "sentences", "furniture_words", "headline_words", "headline_edges")
+FEATURES = (
+    *OWN, "names_site", "words_before", "words_after", "links_before", "links_after", "furniture_words_before", "furniture_words_after", "prose_before", "prose_after",
+    "run_length", "run_furniture_words", "run_headline_words", "run_headline_edges", "words_before_run", "words_after_run", "furniture_before_run", "furniture_after_run", "prose_before_run", "prose_after_run",
+)
+#: Words from which a block that ends as a sentence does is prose; runs and distances are told apart up to these lengths.
+PROSE_WORDS, RUN, FAR = 14, 12, 20
+
+
+def _size(text: str) -> float:
+    """Length in words; a Han character is about half a word."""
+    words = len(_WORD.findall(text))
+    return words if text.isascii() else words - 0.5 * len(_HAN.findall(text))
+
+
+def site_name(domain: str | None) -> str:
+    """The name a site shows, from the registered part of its host."""
+    labels = (domain or "").lower().split(".")
+    longest = max(labels[: max(1, len(labels) - 1)], key=len, default="")
+    return longest.replace("-", " ")
+
+
+class Blocks:
+    """Describes lines; short ones, which come again, are remembered."""
+
+    def __init__(self, words: dict[str, tuple[float, float]], headlines: frozenset[int] = frozenset()):
+        self.words, self.headlines = words, headlines
+        self.short = lru_cache(maxsize=60_000)(self.describe)
+
+    def __reduce__(self):
+        return Blocks, (self.words, self.headlines)
+
+    def scores(self, words: list[str]) -> tuple[float, float]:
+        """Mean log odds of a line's grams: furniture, headline."""
+        get, n, furniture, headline, before = self.words.get, 1, 0.0, 0.0, "<"
+        for word in words:
+            word = "0" if word[0].isdigit() else word
+            for g in (word, f"{before} {word}"):
+                known = get(g)
+                if known:
+                    n += 1
+                    furniture += known[0]
+                    headline += known[1]
+            before = word
+        return furniture / n, headline / n
+
+    def describe(self, line: str) -> tuple[tuple[float, ...], int, bool, str]:
+        """Own features, shape (0: stands alone), whether it is an unfilled template, and the folded line."""
+        f = fold(line.replace("\t", "|") if "\t" in line else line).strip()
+        tokens = _WORD.findall(f)
+        words = len(tokens) if f.isascii() else len(tokens) - 0.5 * len(_HAN.findall(f))
+        linked = sum(_size(m.group(1) or m.group()) for m in _LINK.finditer(f)) if "](" in f or "http" in f or "www." in f else 0
+        listed = _LIST.match(f)
+        bare = f[listed.end() :] if listed else f
+        colon = bare.find(":")
+        ends = bool(_ENDS.search(f[-8:]))
+        density = linked / words if words else 0.0
+        tabled = f.startswith("|")
+        furniture, headline = self.scores(tokens)
+        near = sum(e in self.headlines for e in edges(f)) / 2 if words <= 30 and self.headlines else 0.0
+        own = (
+            float(words), density, float(bool(listed)), float(ends), float(len(_SEPARATOR.findall(bare))), float(min(len(_WORD.findall(bare[:colon])), FAR) if 0 < colon < 200 else FAR),
+            float(tabled), float(f.startswith("#") or f.startswith("**") and f.endswith("**")), float(len(_INNER_END.findall(f))), furniture, headline, near,
+        )
+        if listed:
+            sign = listed.group(1)[0]
+            shape = 1 if sign.isalnum() or sign == "(" else 16 + ord(sign)
+        else:
+            shape = 2 if tabled else 3 if density > 0.5 else 4 if words < PROSE_WORDS and not ends else 0
+        return own, shape, unfilled(_BLANKS.sub(" ", f)), f
+
+    def features(self, pages: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, list[int], list[bool], list[str]]:
+        """Rows of :data:`FEATURES` of all non-blank lines of ``(text, site)`` pages, and each line's page, number, template flag and folded form."""
+        own, shapes, gaps, flags, folded, numbers, owner, named = [], [], [], [], [], [], [], []
+        for at, (text, site) in enumerate(pages):
+            names = [w for w in re.findall(r"[a-z0-9]+", site) if len(w) >= 4]
+            least, gap = max(1, len(names) - 1), False
+            for n, line in enumerate(text.split("\n"), 1):
+                line = line.strip()
+                if not line:
+                    gap = True
+                    continue
+                o, shape, flag, f = self.short(line) if len(line) <= 120 else self.describe(line)
+                own.append(o)
+                shapes.append(shape)
+                flags.append(flag)
+                folded.append(f)
+                numbers.append(n)
+                owner.append(at)
+                gaps.append(gap)
+                named.append(bool(names) and sum(w in f for w in names) >= least)
+                gap = False
+        page = np.array(owner, dtype=int)
+        return _with_context(np.array(own, dtype=float).reshape(-1, len(OWN)), np.array(shapes, dtype=int), np.array(gaps, dtype=bool), np.array(named, dtype=float), page), page, numbers, flags, folded
+
+
+def _with_context(own: np.ndarray, shape: np.ndarray, gap: np.ndarray, named: np.ndarray, page: np.ndarray) -> np.ndarray:
+    m = len(own)
     if not m:
-        return numbers, x, residue
-    x[:, :11] = own
-    x[1:, 11] = x[:-1, 0]
-    x[:-1, 12] = x[1:, 0]
-    sign = ((x[:, 4] > 0) | (x[:, 6] >= 0.5) | (x[:, 7] > 0) | (x[:, 1] > 0.5)) & (x[:, 0] < 60)
-    x[1:, 13] = sign[:-1]
-    x[:-1, 14] = sign[1:]
-    head = (x[:, 5] > 0) & (x[:, 0] < 30) & (x[:, 9] == 0) & (x[:, 10] == 0)
-    near = head * np.where(x[:, 2] > 0, 1.6, 1.0)  # a listed headline is more of a link list
-    near[1:] += head[1:] & head[:-1]
-    near[:-1] += head[:-1] & head[1:]
-    x[:, 15] = near
-    x[1:, 16] = np.cumsum((x[:, 0] > 14) & (x[:, 4] == 0) & (x[:, 3] > 0))[:-1] > 0
-    return numbers, x, residue
+        return np.zeros((0, len(FEATURES)))
+    at = np.arange(m)
+    words, links, furniture, headline, near = (own[:, OWN.index(c)] for c in ("words", "link_density", "furniture_words", "headline_words", "headline_edges"))
+
+    def beside(values: np.ndarray, place: np.ndarray) -> np.ndarray:
+        ok = (place >= 0) & (place < m)
+        there = np.where(ok, place, 0)
+        return np.where(ok & (page[there] == page), values[there], 0.0)
+
+    prose = (words >= PROSE_WORDS) & (own[:, OWN.index("ends")] > 0) & (own[:, OWN.index("separators")] < 3)
+    last = np.maximum.accumulate(np.where(prose, at, -1))
+    before = np.where((last >= 0) & (page[np.maximum(last, 0)] == page), at - last, FAR)
+    following = np.minimum.accumulate(np.where(prose, at, m)[::-1])[::-1]
+    after = np.where((following < m) & (page[np.minimum(following, m - 1)] == page), following - at, FAR)
+
+    starts = np.ones(m, dtype=bool)
+    starts[1:] = (page[1:] != page[:-1]) | (shape[1:] == 0) | (shape[1:] != shape[:-1]) | gap[1:]
+    run = np.cumsum(starts) - 1
+    size = np.bincount(run)
+    first = np.flatnonzero(starts)
+    lead, tail = (first - 1)[run], (first + size)[run]
+
+    def mean(values: np.ndarray) -> np.ndarray:
+        return (np.bincount(run, values) / size)[run]
+
+    long = ((words >= PROSE_WORDS) & (own[:, OWN.index("ends")] > 0)).astype(float)
+    return np.column_stack(
+        [
+            own, named, beside(words, at - 1), beside(words, at + 1), beside(links, at - 1), beside(links, at + 1), beside(furniture, at - 1), beside(furniture, at + 1), np.minimum(before, FAR), np.minimum(after, FAR),
+            np.minimum(size, RUN)[run], mean(furniture), mean(headline), mean(near), beside(words, lead), beside(words, tail), beside(furniture, lead), beside(furniture, tail), beside(long, lead), beside(long, tail),
+        ]
+    )
+
+
+# --- trees ------------------------------------------------------------------------------
 
 
 class Tree:
@@ -286,37 +328,112 @@ class Tree:
             at = np.where(go, left[at], right[at])
 
 
-def training_table() -> tuple[np.ndarray, np.ndarray]:
-    """Feature rows and labels (1: furniture) of the labelled pages."""
-    xs, ys = [], []
-    for page in PAGES:
-        lines = [line for line in page.strip("\n").split("\n")]
-        text = "\n".join(line[2:] for line in lines)
-        numbers, x, residue = features(text)
-        keep = [i for i, n in enumerate(numbers) if lines[n - 1][0] in "AF"]
-        xs.append(x[keep])
-        ys += [float(lines[numbers[i] - 1][0] == "F") for i in keep]
-    return np.concatenate(xs), np.array(ys)
+@dataclass
+class Committee:
+    """Decision trees, each grown on other rows and features; their mean share decides."""
 
+    trees: list[tuple[np.ndarray, Tree]] = field(default_factory=list)
 
-@lru_cache(maxsize=1)
-def tree() -> Tree:
-    return Tree(*training_table())
+    @classmethod
+    def grow(cls, x: np.ndarray, y: np.ndarray, trees: int = 32, features: int = 12, depth: int = 8, least: int = 20, seed: int = 5) -> Committee:
+        rng = np.random.default_rng(seed)
+        out = cls()
+        for _ in range(trees):
+            columns = np.sort(rng.choice(x.shape[1], features, replace=False))
+            rows = rng.integers(0, len(x), len(x) // 2)
+            out.trees.append((columns, Tree(x[rows][:, columns], y[rows], depth, least)))
+        return out
 
+    def share(self, x: np.ndarray) -> np.ndarray:
+        return sum(t.predict(x[:, c]) for c, t in self.trees) / len(self.trees)
+
+
+#: Shares of grams that are hidden from a training line: of most lines, and of lines as unknown as can be.
+HIDDEN, UNKNOWN = 0.15, 0.1
+
+
+def _parts(lines: dict[str, dict[str, list[str]]], folds: int, held: int) -> tuple[dict, dict]:
+    """The labelled table without its part ``held``, and that part alone."""
+    kept: dict[str, dict[str, list[str]]] = {}
+    out: dict[str, dict[str, list[str]]] = {}
+    for lang, kinds in lines.items():
+        kept[lang] = {k: v if k == "subject" else [x for i, x in enumerate(v) if i % folds != held] for k, v in kinds.items()}
+        out[lang] = {k: v if k in ("subject", "menu") else [x for i, x in enumerate(v) if i % folds == held] or v for k, v in kinds.items()}
+    return kept, out
+
+
+def composed(rng: random.Random, lines: dict, words: dict, pages: int, hide: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Feature rows and labels (1: furniture) of pages composed of ``lines``, described with ``words``."""
+    made = [table.compose(rng, lines) for _ in range(pages)]
+    seen = Counter(e for page in made for kind, line in page if kind == "headline" for e in edges(flat(line)))
+    headlines = frozenset(e for e, n in seen.items() if n > 1 and rng.random() > HIDDEN * hide)
+    blocks = Blocks(words, headlines)
+    if hide:
+
+        def scores(tokens: list[str]) -> tuple[float, float]:
+            share = 1.0 if rng.random() < UNKNOWN else HIDDEN
+            known = [words[g] for g in grams(tokens) if g in words and rng.random() > share]
+            n = len(known) + 1.0
+            return sum(x[0] for x in known) / n, sum(x[1] for x in known) / n
+
+        blocks.scores = scores
+        blocks.short = blocks.describe
+    sites = [next((s for s in table.SITES if any(s in line for _, line in page)), "") for page in made]
+    x, *_ = blocks.features([("\n".join(line for _, line in page), site.lower()) for page, site in zip(made, sites)])
+    return x, np.array([float(kind in table.FURNITURE_KINDS) for page in made for kind, line in page if line.strip()])
+
+
+@lru_cache(maxsize=4)
+def committee(folds: int = 5, pages: int = 240, seed: int = 7, held_out: int | None = None) -> tuple[Committee, dict]:
+    """The trees and the words they go with; the part ``held_out`` of the table takes no part."""
+    rng = random.Random(seed)
+    lines = table.LINES if held_out is None else _parts(table.LINES, folds, held_out)[0]
+    rows = []
+    for k in range(folds):
+        known, unknown = _parts(lines, folds, k)
+        rows.append(composed(rng, unknown, learn_words(known), pages))
+    return Committee.grow(np.concatenate([x for x, _ in rows]), np.concatenate([y for _, y in rows]), seed=seed), learn_words(lines)
+
+
+class LineModel:
+    """Tells furniture from article on whole slices of pages.
+
+    ``headlines`` are the edges of the corpus's titles (:func:`title_facts`), ``sections`` hashes
+    of its section names.
+    """
+
+    def __init__(self, headlines: frozenset[int] = frozenset(), sections: frozenset[int] = frozenset(), held_out: int | None = None):
+        self.trees, words = committee(held_out=held_out)
+        self.blocks = Blocks(words, headlines)
+        self.sections = sections | {hash64(flat(x)) for kinds in table.LINES.values() for x in kinds["menu"]}
+
+    def classify(self, pages: list[tuple[str, str]]) -> list[list[tuple[int, float, bool, str]]]:
+        """For each ``(text, site)``: ``(line number, furniture's share, unfilled, folded line)`` of its non-blank lines."""
+        x, page, numbers, flags, folded = self.blocks.features(pages)
+        out: list[list[tuple[int, float, bool, str]]] = [[] for _ in pages]
+        if len(x):
+            for at, n, share, flag, f in zip(page.tolist(), numbers, self.trees.share(x).tolist(), flags, folded):
+                out[at].append((n, 0.0 if flag else share, flag, f))
+        return out
 
-def classify(text: str) -> tuple[list[int], list[int]]:
-    """``(line numbers, labels)`` of the non-blank lines of one page."""
-    numbers, x, residue = features(text)
-    if not numbers:
-        return [], []
-    share = tree().predict(x)
-    labels = np.where(np.array(residue), RESIDUE, np.where(share > 0.5, FURNITURE, ARTICLE))
-    return numbers, labels.tolist()
 
+# --- titles -----------------------------------------------------------------------------
 
 _TITLE_CUTS = re.compile(r"\s*[|»›•·_«]+\s*|\s+[-–—/:]+\s+|\s*::\s*")
 _TITLE_BRACKETS = re.compile(r"[\[(（【<]([^\])）】>]{2,60})[\])）】>]")
 _LABELS = re.compile(r"[a-z0-9]+")
+_DECOR = re.compile(r"[|»›•·_«\[\]（(【<–—/-]|::|\s:+\s")
+#: A section's name has at most so many words.
+SECTION_WORDS = 6
+
+
+def title_parts(title: str) -> list[int]:
+    """Hashes of the short parts of a title of several parts: its sections' names are among them."""
+    f = flat(title)
+    parts = [m.group(1).strip() for m in _TITLE_BRACKETS.finditer(f) if m.start() == 0]
+    cut = [p.strip() for p in _TITLE_CUTS.split(f) if p.strip()]
+    parts += cut if len(cut) > 1 else []
+    return [hash64(p) for p in dict.fromkeys(parts) if len(_WORD.findall(p)) <= SECTION_WORDS]
 
 
 def _is_site(part: str, tokens: set[str], joined: str) -> bool:
@@ -330,30 +447,27 @@ def _is_site(part: str, tokens: set[str], joined: str) -> bool:
     return len(compact) >= 5 and compact in joined
 
 
-_DECOR = re.compile(r"[|»›•·_«\[\]（(【<–—/-]|::|\s:+\s")
-
-
-def decorated(title: str | None, domain: str | None) -> bool:
+def decorated(title: str | None, domain: str | None, sections: frozenset[int]) -> bool:
     """The title holds more than the headline."""
-    return bool(title and _DECOR.search(fold(title)) and bare_headline(title, domain)[1])
+    return bool(title and _DECOR.search(fold(title)) and bare_headline(title, domain, sections)[1])
 
 
-def bare_headline(title: str, domain: str) -> tuple[str, bool]:
+def bare_headline(title: str, domain: str | None, sections: frozenset[int]) -> tuple[str, bool]:
     """``(headline, decorated)``: the title without the site's name, address or a section's name."""
-    flat = _BLANKS.sub(" ", fold(title)).strip()
+    folded = flat(title)
     labels = (domain or "").lower().split(".")
     tokens = {w for x in labels[: max(1, len(labels) - 1)] for w in _LABELS.findall(x)}
     joined = re.sub(r"[^a-z0-9]", "", "".join(labels[: max(1, len(labels) - 1)]))
 
     def extra(part: str) -> bool:
-        return part in SECTIONS or _is_site(part, tokens, joined)
+        return hash64(part) in sections or _is_site(part, tokens, joined)
 
     shown = forms.one_form(title).strip()
-    brackets = [m for m in _TITLE_BRACKETS.finditer(flat) if (m.start() == 0 or m.end() == len(flat)) and extra(m.group(1).strip())]
-    if brackets and sum(m.end() - m.start() for m in brackets) < len(flat):
-        plain = _TITLE_BRACKETS.sub(lambda m: " " if extra(fold(m.group(1)).strip()) else m.group(), shown)
-        return bare_headline(plain.strip(), domain)[0], True
-    parts = [p.strip() for p in _TITLE_CUTS.split(flat) if p.strip()]
+    brackets = [m for m in _TITLE_BRACKETS.finditer(folded) if (m.start() == 0 or m.end() == len(folded)) and extra(m.group(1).strip())]
+    if brackets and sum(m.end() - m.start() for m in brackets) < len(folded):
+        plain = _TITLE_BRACKETS.sub(lambda m: " " if extra(flat(m.group(1))) else m.group(), shown)
+        return bare_headline(plain.strip(), domain, sections)[0], True
+    parts = [p.strip() for p in _TITLE_CUTS.split(folded) if p.strip()]
     if len(parts) > 1:
         keep = [not extra(p) for p in parts]
         if not all(keep) and any(keep):

@@ -1,7 +1,7 @@
 """One pass over crawled pages; the narrow table that problems 2, 5 and 6 work on.
 
-For each record with non-blank text: its furniture lines, whether its title is decorated,
-what :mod:`lakeloom.llm.residue` needs to align templates, and, if asked for, languages.
+For each record with non-blank text: its furniture lines, whether its title is decorated, the
+hashed pieces of its lines that :mod:`lakeloom.llm.residue` aligns, and, if asked for, languages.
 The pages' texts never shuffle; rows of one ``doc_id`` that are exact copies fall together
 afterwards, in the narrow table.
 """
@@ -9,120 +9,81 @@ afterwards, in the narrow table.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
-import xxhash
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, BooleanType, ByteType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from lakeloom.functions.arrow import map_slices
 from lakeloom.llm import pagelines as pl
 from lakeloom.llm.langid import CLASSES, LanguageModel, same_language
 from lakeloom.session import written
 
-#: A page without flagged lines, with flagged and other ones, with flagged ones only, and with blank slots.
-GOOD, OPEN, SURE, BLANK = 0, 1, 2, 3
-#: Longer lines are prose.
-TEMPLATE_CHARS = 240
-#: Words at either end of a line that records are aligned by, and characters where words are Han.
-FRAME_WORDS, FRAME_HAN = 3, 6
-_VALUES = re.compile(r"[0-9a-f]{6,}|\d+(?:[.:/-]\d+)*")
-_LABEL = re.compile(r"([^:\s][^:]{0,38}):")
+#: Furniture's share in the trees above which a line is furniture, and up to which a short one surely is the article's.
+FURNITURE, SURE = 0.5, 0.4
+#: From this length on a line that ends as a sentence is prose: surely the article's unless it is furniture.
+PROSE_CHARS = 60
 
 SCAN = StructType(
     [
         StructField("doc_id", LongType()),
-        StructField("verdict", ByteType()),
-        StructField("short", BooleanType()),
-        StructField("evidence", ArrayType(LongType())),
-        StructField("keys", ArrayType(LongType())),
-        StructField("frames", ArrayType(ArrayType(LongType()))),
         StructField("voter", LongType()),
+        StructField("pieces", ArrayType(StructType([StructField("line_no", IntegerType()), StructField("key", LongType())]))),
+        StructField("loose", ArrayType(IntegerType())),
+        StructField("n_unfilled", IntegerType()),
         StructField("furniture", ArrayType(IntegerType())),
         StructField("decorated", BooleanType()),
         StructField("langs", ArrayType(StructType([StructField("line_no", IntegerType()), StructField("lang", StringType()), StructField("confidence", DoubleType()), StructField("mislabelled", BooleanType())]))),
     ]
 )
 
+_PIECES = re.compile(r"[.!?。…]+[\"'”’」』)\]]*(?:\s+|$)|(?<=[。!?])|[,;、:]\s*| {2,}|\s*\|\s*")
+_VALUE = re.compile(r"(?<![^\s㐀-鿿豈-﫿])(?=[^\s㐀-鿿豈-﫿]*\d)[^\s㐀-鿿豈-﫿]+")
+_FIGURE = re.compile(r"\d")
+_TOKEN = re.compile(r"\x01|[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
 
-def _key(text: str) -> int:
-    h = xxhash.xxh3_64_intdigest(text)
-    return h - (1 << 64) if h >> 63 else h
 
+def line_pieces(folded: str, site: str) -> list[int]:
+    """Hashes of a line's sentences and clauses, with slots for figures, codes and the site's name; slots alone are none."""
+    if site and site in folded:
+        folded = folded.replace(site, "\x01")
+    if _FIGURE.search(folded):
+        folded = _VALUE.sub("\x01", folded)
+    out = []
+    for piece in _PIECES.split(folded):
+        words = _TOKEN.findall(piece)
+        if words and (words[0] != "\x01" or any(w != "\x01" for w in words)):
+            out.append(pl.hash64(" ".join(words)))
+    return out
 
-@lru_cache(maxsize=60_000)
-def template_key(line: str, site: str) -> int:
-    """Hash of a line with its values (numbers, codes, the site's name) replaced by slots."""
-    line = pl._SLOT.sub("\x01", pl.flat(line))
-    if site:
-        line = line.replace(site, "\x01")
-    label = _LABEL.match(line)
-    if label and not line[label.end() :].strip(" \x01."):
-        return _key(f"label:{label.group(1)}")
-    return _key(_VALUES.sub("\x01", line))
 
+def _doubtful(share: float, folded: str) -> bool:
+    """The line may be furniture."""
+    return share > (FURNITURE if len(folded) >= PROSE_CHARS and pl._ENDS.search(folded[-8:]) else SURE)
 
-def line_frames(line: str, structure: str) -> list[int]:
-    """Hashes of a line's first and last words within records of one ``structure``; what differs between them is a slot."""
-    line = _VALUES.sub("\x01", pl.flat(line))
-    words = pl._WORD.findall(line)
-    n = FRAME_HAN if pl._HAN.search(line) else FRAME_WORDS
-    if len(words) <= n:
-        return []
-    return [_key(f"first:{structure}:{' '.join(words[:n])}"), _key(f"last:{structure}:{' '.join(words[-n:])}")]
 
+def line_model(df: DataFrame, section_share: float = 5e-4, headline_share: float = 5e-5) -> pl.LineModel:
+    """The line classifier, with what the corpus's titles tell: how headlines begin and end, and sections' names.
 
-def site_name(domain: str | None) -> str:
-    """The name a site shows, from the registered part of its host."""
-    labels = (domain or "").lower().split(".")
-    longest = max(labels[: max(1, len(labels) - 1)], key=len, default="")
-    return longest.replace("-", " ")
+    What is kept of the titles is bounded by the shares: a title has two edges, and at most a
+    handful of short parts.
+    """
+    schema = StructType([StructField("edges", ArrayType(LongType())), StructField("parts", ArrayType(LongType()))])
+
+    def factory():
+        def kernel(titles):
+            return [[pl.edges(pl.flat(t)) for t in titles], [pl.title_parts(t) for t in titles]]
 
+        return kernel
 
-def page_facts(text: str, domain: str | None) -> tuple:
-    """``(verdict, short, evidence, keys, frames, voter, numbers, labels)`` of one page.
+    titles = map_slices(df.filter(F.col("title").rlike(r"\S")).select("title"), ["title"], schema, factory)
+    each = titles.select(F.explode(F.concat(F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"))), F.transform("edges", lambda x: F.struct(F.lit(1).alias("kind"), x.alias("key"))), F.transform("parts", lambda x: F.struct(F.lit(2).alias("kind"), x.alias("key"))))).alias("x")).select("x.*")
+    counts = written(each.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n")), "titles")
+    whole = (counts.filter("kind = 0").first() or {"n": 0})["n"]
+    kept = counts.filter(((F.col("kind") == 1) & (F.col("n") >= max(2, headline_share * whole))) | ((F.col("kind") == 2) & (F.col("n") >= max(3, section_share * whole)))).collect()
+    return pl.LineModel(frozenset(r.key for r in kept if r.kind == 1), frozenset(r.key for r in kept if r.kind == 2))
 
-    ``keys`` has the template of every article line, prose too. A page with flagged lines also has ``frames``, by
-    which its lines are aligned with those of records with the same flagged templates and as many lines. ``voter``
-    is null unless prose outnumbers the flagged lines: then copies of the page, which may be
-    an article's, share one value.
-    """
-    numbers, labels = pl.classify(text)
-    lines = text.split("\n")
-    residue = [n for n, lab in zip(numbers, labels) if lab == pl.RESIDUE]
-    article = [n for n, lab in zip(numbers, labels) if lab == pl.ARTICLE]
-    site = site_name(domain)
-    prose = sum(len(lines[n - 1]) > TEMPLATE_CHARS or _prose(lines[n - 1]) for n in article)
-    short = not prose
-    evidence = [template_key(lines[n - 1].strip(), site) for n in residue]
-    keys: list[int] = []
-    blank = False
-    for n in article:
-        line = lines[n - 1]
-        # Prose hardly comes again: it would only drive short lines out of the cache.
-        keys.append((template_key if len(line) <= TEMPLATE_CHARS else template_key.__wrapped__)(line.strip(), site))
-        if short and line.rstrip()[-1:] in ":：" and _LABEL.fullmatch(pl.flat(line)):
-            blank = True
-            evidence.append(keys[-1])
-    frames, voter = None, None
-    if residue and article:
-        seeds = ",".join(map(str, sorted(set(evidence[: len(residue)]))))
-        frames = [line_frames(lines[n - 1], f"{seeds}:{len(article)}:{at}") for at, n in enumerate(article)]
-        if prose > len(residue):
-            voter = _key("\n".join(pl.flat(lines[n - 1]) for n in sorted(residue + article)))
-    if residue:
-        verdict = OPEN if article else SURE
-    else:
-        verdict = BLANK if blank else GOOD
-    return verdict, short, evidence, keys, frames, voter, numbers, labels
-
-
-def _prose(line: str) -> bool:
-    """Several words that end as a sentence does."""
-    return len(line) > 40 and bool(pl._ENDS.search(line.rstrip())) and line.count(" ") >= 7 or len(line) > 25 and line.rstrip().endswith("。")
-
-
-def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.45, every: bool = False) -> DataFrame:
+
+def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.45, every: bool = False, lines: pl.LineModel | None = None) -> DataFrame:
     """The narrow table of :data:`SCAN`, one row a record, written to the shared folder.
 
     With ``model``, ``langs`` has line 0 (the main language of the article, ``mislabelled``
@@ -131,6 +92,7 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
     each record has line 0, whatever its length: without an article's language that of all its lines,
     and without any the likeliest class of the whole text with its probability.
     """
+    known = lines or line_model(df)
 
     def factory():
         import numpy as np
@@ -138,19 +100,24 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
         def kernel(ids, domains, titles, languages, texts):
             out = [[] for _ in SCAN.fields]
             jobs, owners = [], []
-            for at, (i, dom, title, text) in enumerate(zip(ids, domains, titles, texts)):
-                verdict, short, evidence, keys, frames, voter, numbers, labels = page_facts(text, dom)
-                furniture = [n for n, lab in zip(numbers, labels) if lab == pl.FURNITURE]
-                decorated = pl.decorated(title, dom)
-                for col, v in zip(out, (i, verdict, short, evidence, keys, frames, voter, furniture, decorated, [])):
+            names = [pl.site_name(d) for d in domains]
+            for at, (i, dom, title, text, site, found) in enumerate(zip(ids, domains, titles, texts, names, known.classify(list(zip(texts, names))))):
+                furniture = [n for n, share, _, _ in found if share > FURNITURE]
+                # Of an unfilled line the labels of its slots count, so that blank slots are known by them.
+                pieces = [(n, key) for n, _, flag, f in found for key in line_pieces(pl.slots_blank(f) if flag else f, site)]
+                # Copies of an article, whatever stands around it, speak with one voice.
+                voter = pl.hash64(pl.flat(pl.bare_headline(title, dom, known.sections)[0]) if title and title.strip() else "\n".join(f for *_, f in found))
+                values = (i, voter, pieces, [n for n, share, flag, f in found if flag or _doubtful(share, f)], sum(flag for _, _, flag, _ in found), furniture, pl.decorated(title, dom, known.sections), [])
+                for col, v in zip(out, values):
                     col.append(v)
-                if model is not None and (every or len(text) >= min_chars and verdict != SURE):
+                if model is not None and (every or len(text) >= min_chars):
                     lines = text.split("\n")
-                    for n, lab in zip(numbers, labels):
+                    for n, share, flag, _ in found:
                         line = lines[n - 1].strip()
-                        if every or lab == pl.ARTICLE or len(line) >= min_line:
+                        article = share <= FURNITURE and not flag
+                        if every or article or len(line) >= min_line:
                             jobs.append(line)
-                            owners.append((at, n, lab, len(line)))
+                            owners.append((at, n, article, len(line)))
             if jobs:
                 which, sure = model.predict(jobs)
                 rows = np.array([o[0] for o in owners])
@@ -159,7 +126,7 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
                     at = owners[a][0]
                     weight = {}
                     for k in range(a, b):
-                        if owners[k][2] == pl.ARTICLE and which[k] is not None:
+                        if owners[k][2] and which[k] is not None:
                             weight[which[k]] = weight.get(which[k], 0.0) + model.content(which[k], owners[k][3])
                     if not weight and every:
                         for k in range(a, b):
@@ -181,5 +148,5 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
         return kernel
 
     rows = df.filter(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\S")).select(F.col("doc_id").cast("long").alias("doc_id"), "domain", "title", "language", "text")
-    pages = map_slices(rows, ["doc_id", "domain", "title", "language", "text"], SCAN, factory)
-    return written(pages, "pages").dropDuplicates(["doc_id"])
+    found = map_slices(rows, ["doc_id", "domain", "title", "language", "text"], SCAN, factory)
+    return written(found, "pages").dropDuplicates(["doc_id"])
