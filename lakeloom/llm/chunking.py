@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from lakeloom.operators.copies import one_per_key
 from lakeloom.session import ship
 
 KINDS = ("section", "paragraph", "line", "sentence", "word")
@@ -81,12 +82,14 @@ def with_spans(df: DataFrame, limit: int = 4000, overlap: int = 200, column: str
 def pieces(df: DataFrame, limit: int = 4000, overlap: int = 200, key: str = "doc_id") -> DataFrame:
     """``(doc_id, piece_no, start, end, kind, piece)`` of every text; pieces count from 1.
 
-    ``start`` and ``end`` are character offsets; exact copies of a row give their pieces once.
+    ``start`` and ``end`` are character offsets; exact copies of a row give their pieces once,
+    and of an id with blank and other texts the others count.
     """
-    cut = with_spans(df.select(key, "text").filter(F.length("text") > 0), limit, overlap)
-    rows = cut.select(key, "text", F.posexplode("spans").alias("at", "span"))
-    out = rows.select(
+    rows = df.select(key, "text").filter(F.length("text") > 0).withColumn("full", F.col("text").rlike(r"\S"))
+    texts = one_per_key(rows.filter("full").drop("full"), key)
+    blank = one_per_key(rows.filter("not full").drop("full"), key).join(texts.select(key), key, "left_anti")
+    rows = with_spans(texts.unionByName(blank), limit, overlap).select(key, "text", F.posexplode("spans").alias("at", "span"))
+    return rows.select(
         key, (F.col("at") + 1).alias("piece_no"), F.col("span.start").alias("start"), F.col("span.end").alias("end"), F.col("span.kind").alias("kind"),
         F.expr("substring(text, span.start + 1, span.end - span.start)").alias("piece"),
     )
-    return out.dropDuplicates([key, "piece_no"])

@@ -32,9 +32,15 @@ LOOK_ALIKES = {
     # Greek
     "ο": "o", "ν": "v", "ϲ": "c", "ϳ": "j", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J",
     # Armenian
-    "օ": "o", "ս": "u", "հ": "h", "Օ": "O", "Ս": "U",
+    "օ": "o", "ս": "u", "հ": "h", "ո": "n", "զ": "q", "Օ": "O", "Ս": "U", "Ⴝ": "S",
+    # Cherokee
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꭱ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+    # Lisu
+    "ꓮ": "A", "ꓐ": "B", "ꓚ": "C", "ꓓ": "D", "ꓰ": "E", "ꓝ": "F", "ꓖ": "G", "ꓧ": "H", "ꓲ": "I", "ꓙ": "J", "ꓗ": "K", "ꓡ": "L", "ꓟ": "M", "ꓠ": "N", "ꓳ": "O", "ꓑ": "P", "ꓣ": "R", "ꓢ": "S", "ꓔ": "T", "ꓴ": "U", "ꓦ": "V", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓜ": "Z",
+    # Coptic, Gothic and Greek letters drawn alike
+    "Ⲁ": "A", "Ⲃ": "B", "Ⲉ": "E", "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "Ⲣ": "P", "Ⲥ": "C", "Ⲧ": "T", "Ⲩ": "Y", "Ⲭ": "X", "ⲟ": "o", "ⲣ": "p", "ⲥ": "c",
     # Latin letters and signs drawn alike
-    "ɡ": "g", "Ð": "Đ", "Ɖ": "Đ", "ǃ": "!", "ꞌ": "'", "‐": "-", "‑": "-", "﹣": "-", "⁃": "‐",
+    "ɡ": "g", "ɑ": "a", "ı": "i", "ȷ": "j", "Ð": "Đ", "Ɖ": "Đ", "ǃ": "!", "ꞌ": "'", "′": "'", "ʹ": "'", "‐": "-", "‑": "-", "﹣": "-", "−": "-", "⁃": "‐", "∶": ":", "։": ":", "∣": "|", "ǀ": "|", "⁄": "/", "∕": "/", "‚": ",", "∗": "*",
 }
 #: Compatibility forms that are drawn differently from their letters.
 _DRAWN_APART = ("<super>", "<sub>", "<circle>", "<fraction>")
@@ -77,7 +83,7 @@ class Prototypes(dict):
         elif cp in (0x2028, 0x2029, 0x85):
             out = "\n"
         else:
-            out = "".join(LOOK_ALIKES.get(x, x) for x in _decomposed(ch))
+            out = LOOK_ALIKES.get(ch) or "".join(LOOK_ALIKES.get(x, x) for x in _decomposed(ch))
             out = sort_marks("".join(y for x in out for y in _decomposed(x)))
         self[cp] = out
         return out
@@ -149,29 +155,33 @@ def looks(df: DataFrame, min_chars: int = 200, key: str = "doc_id") -> DataFrame
 
 
 def look_classes(df: DataFrame, min_chars: int = 200, key: str = "doc_id") -> DataFrame:
-    """``(doc_id, look_class, n_records, n_stored_forms)``: the class of records that print alike.
+    """``(doc_id, look_class, form_id, n_records, n_stored_forms)``: the class of records that print alike.
 
-    ``look_class`` is the class's smallest id. One row a record, of any class size.
+    ``look_class`` is the class's smallest id, ``form_id`` the smallest id of the records stored
+    alike. One row a record, of any class size; every pair of :func:`same_look_pairs` is two rows
+    of one ``look_class`` and different ``form_id``.
     """
     each = looks(df, min_chars, key)
-    per = each.groupBy("look_a", "look_b").agg(F.min(key).alias("look_class"), F.count(F.lit(1)).alias("n_records"), F.count_distinct("stored").alias("n_stored_forms"))
-    return each.join(per, ["look_a", "look_b"]).select(key, "look_class", "n_records", "n_stored_forms")
+    forms = each.groupBy("look_a", "look_b", "stored").agg(F.min(key).alias("form_id"), F.count(F.lit(1)).alias("n"))
+    per = forms.groupBy("look_a", "look_b").agg(F.min("form_id").alias("look_class"), F.sum("n").alias("n_records"), F.count(F.lit(1)).alias("n_stored_forms"))
+    return each.join(forms.drop("n"), ["look_a", "look_b", "stored"]).join(per, ["look_a", "look_b"]).select(key, "look_class", "form_id", "n_records", "n_stored_forms")
 
 
-def same_look_pairs(df: DataFrame, min_chars: int = 200, key: str = "doc_id", max_copies: int | None = None) -> DataFrame:
+#: Records of a class that meet another one's in one task; larger classes are spread.
+PART = 1000
+
+
+def same_look_pairs(df: DataFrame, min_chars: int = 200, key: str = "doc_id") -> DataFrame:
     """Pairs ``(doc_id_a, doc_id_b)`` of records that print the same and are stored differently.
 
     Records are joined on the look's hash, so no pair of different looks is ever formed;
-    classes with a single stored form are left out before the join. All pairs are given unless
-    ``max_copies`` is set: then a stored form that more records hold takes part through its smallest id only.
+    classes with a single stored form are left out before the join, and a large class is spread over
+    tasks by one side's id. All pairs are given; :func:`look_classes` has them as a membership.
     """
     each = written(looks(df, min_chars, key), "looks")  # narrow, and read three times
-    mixed = each.groupBy("look_a", "look_b").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).filter("lo <> hi").select("look_a", "look_b")
-    each = each.join(mixed, ["look_a", "look_b"], "left_semi")
-    if max_copies is not None:
-        copies = each.groupBy("look_a", "look_b", "stored").agg(F.count(F.lit(1)).alias("copies"), F.min(key).alias("first"))
-        each = each.join(copies, ["look_a", "look_b", "stored"]).filter((F.col("copies") <= max_copies) | (F.col(key) == F.col("first")))
-    a = each.select("look_a", "look_b", F.col(key).alias("doc_id_a"), F.col("stored").alias("stored_a"))
-    b = each.select("look_a", "look_b", F.col(key).alias("doc_id_b"), F.col("stored").alias("stored_b"))
-    pairs = a.join(b, ["look_a", "look_b"]).filter((F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("stored_a") != F.col("stored_b")))
+    mixed = each.groupBy("look_a", "look_b").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi"), F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts")).filter("lo <> hi").select("look_a", "look_b", "parts")
+    each = each.join(mixed, ["look_a", "look_b"])
+    a = each.select("look_a", "look_b", F.col(key).alias("doc_id_a"), F.col("stored").alias("stored_a"), F.pmod(F.xxhash64(key), F.col("parts")).cast("int").alias("part"))
+    b = each.select("look_a", "look_b", F.col(key).alias("doc_id_b"), F.col("stored").alias("stored_b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    pairs = a.join(b, ["look_a", "look_b", "part"]).filter((F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("stored_a") != F.col("stored_b")))
     return pairs.select("doc_id_a", "doc_id_b").distinct()

@@ -62,22 +62,31 @@ _ENDS = re.compile(r"[.!?。!?…][\"'”’」』)\]]*$")
 _INNER_END = re.compile(r"[.!?][\"'”’」』)\]]* +(?=\S)|[。!?](?=.)")
 _SEPARATOR = re.compile(r"[|/•·»›>–—_\t]| - |  +")
 _BLANKS = re.compile(r" {2,}")
+_FIGURE = re.compile(r"\d")
 
 # --- words ------------------------------------------------------------------------------
 
 
 def grams(words: list[str]) -> list[str]:
-    """Words and pairs of words; a Han character is a word, figures are one word."""
-    w = ["0" if x[0].isdigit() else x for x in words]
-    return w + [f"{a} {b}" for a, b in zip(["<", *w], w)]
+    """Words and pairs of words."""
+    return words + [f"{a} {b}" for a, b in zip(["<", *words], words)]
+
+
+def tokens(folded: str) -> list[str]:
+    """Words of a folded text; a Han character is a word, all figures are one word."""
+    words = _WORD.findall(folded)
+    return ["0" if x[0].isdigit() else x for x in words] if _FIGURE.search(folded) else words
+
+
+def edges_of(words: list[str], han: bool) -> list[int]:
+    n = 3 if han else 2
+    return [hash64("<" + " ".join(words[:n])), hash64(" ".join(words[-n:]) + ">")] if len(words) > n else []
 
 
 def edges(folded: str) -> list[int]:
     """Hashes of a line's first and last words, without its list mark."""
     listed = _LIST.match(folded)
-    w = ["0" if x[0].isdigit() else x for x in _WORD.findall(folded[listed.end() :] if listed else folded)]
-    n = 3 if _HAN.search(folded) else 2
-    return [hash64("<" + " ".join(w[:n])), hash64(" ".join(w[-n:]) + ">")] if len(w) > n else []
+    return edges_of(tokens(folded[listed.end() :] if listed else folded), bool(_HAN.search(folded)))
 
 
 #: Groups of kinds that words are told apart by: furniture, menu, headline, list item or heading, prose.
@@ -96,7 +105,7 @@ def learn_words(lines: dict[str, dict[str, list[str]]], prior: float = 0.3) -> d
             group = _GROUPS.get(kind, 0)
             for text in texts:
                 n[group] += 1
-                for g in set(grams(_WORD.findall(flat(_PLACES.sub(lambda m: "0" if m.group() in ("{n}", "{m}") else "\x01 ", text))))):
+                for g in set(grams(tokens(flat(_PLACES.sub(lambda m: "0" if m.group() in ("{n}", "{m}") else "\x01 ", text))))):
                     count[g][group] += 1
 
     def odds(v: list[int], one: tuple[int, ...], other: tuple[int, ...]) -> float:
@@ -131,8 +140,8 @@ def unfilled(folded: str) -> bool:
                 return True
     if _REPEATED.fullmatch(folded):
         return True
-    words = folded.replace(".", " ").replace(",", " ").split()
-    return len(words) >= 3 and sum(w in FILLER for w in words) >= 0.8 * len(words)
+    words = _WORD.findall(folded) if folded.isascii() else []
+    return len(words) >= 3 and not FILLER.isdisjoint(words) and sum(w in FILLER for w in words) >= 0.8 * len(words)
 
 
 def slots_blank(folded: str) -> str:
@@ -179,10 +188,16 @@ class Blocks:
         """Mean log odds of a line's grams: furniture, headline."""
         get, n, furniture, headline, before = self.words.get, 1, 0.0, 0.0, "<"
         for word in words:
-            word = "0" if word[0].isdigit() else word
-            for g in (word, f"{before} {word}"):
-                known = get(g)
-                if known:
+            known = get(word)
+            if known is None:  # nor is any pair with it known
+                before = None
+                continue
+            n += 1
+            furniture += known[0]
+            headline += known[1]
+            if before is not None:
+                known = get(f"{before} {word}")
+                if known is not None:
                     n += 1
                     furniture += known[0]
                     headline += known[1]
@@ -192,8 +207,9 @@ class Blocks:
     def describe(self, line: str) -> tuple[tuple[float, ...], int, bool, str]:
         """Own features, shape (0: stands alone), whether it is an unfilled template, and the folded line."""
         f = fold(line.replace("\t", "|") if "\t" in line else line).strip()
-        tokens = _WORD.findall(f)
-        words = len(tokens) if f.isascii() else len(tokens) - 0.5 * len(_HAN.findall(f))
+        said = tokens(f)
+        n_han = 0 if f.isascii() else len(_HAN.findall(f))
+        words = len(said) - 0.5 * n_han
         linked = sum(_size(m.group(1) or m.group()) for m in _LINK.finditer(f)) if "](" in f or "http" in f or "www." in f else 0
         listed = _LIST.match(f)
         bare = f[listed.end() :] if listed else f
@@ -201,8 +217,8 @@ class Blocks:
         ends = bool(_ENDS.search(f[-8:]))
         density = linked / words if words else 0.0
         tabled = f.startswith("|")
-        furniture, headline = self.scores(tokens)
-        near = sum(e in self.headlines for e in edges(f)) / 2 if words <= 30 and self.headlines else 0.0
+        furniture, headline = self.scores(said)
+        near = sum(e in self.headlines for e in edges_of(said[len(_WORD.findall(listed.group(1))) :] if listed else said, n_han > 0)) / 2 if words <= 30 and self.headlines else 0.0
         own = (
             float(words), density, float(bool(listed)), float(ends), float(len(_SEPARATOR.findall(bare))), float(min(len(_WORD.findall(bare[:colon])), FAR) if 0 < colon < 200 else FAR),
             float(tabled), float(f.startswith("#") or f.startswith("**") and f.endswith("**")), float(len(_INNER_END.findall(f))), furniture, headline, near,
@@ -370,9 +386,9 @@ def composed(rng: random.Random, lines: dict, words: dict, pages: int, hide: boo
     blocks = Blocks(words, headlines)
     if hide:
 
-        def scores(tokens: list[str]) -> tuple[float, float]:
+        def scores(said: list[str]) -> tuple[float, float]:
             share = 1.0 if rng.random() < UNKNOWN else HIDDEN
-            known = [words[g] for g in grams(tokens) if g in words and rng.random() > share]
+            known = [words[g] for g in grams(said) if g in words and rng.random() > share]
             n = len(known) + 1.0
             return sum(x[0] for x in known) / n, sum(x[1] for x in known) / n
 

@@ -9,6 +9,7 @@ afterwards, in the narrow table.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
@@ -36,26 +37,35 @@ SCAN = StructType(
     ]
 )
 
+#: Longer lines are aligned whole: paragraphs of which a template would repeat every clause.
+LONG_LINE = 240
 _PIECES = re.compile(r"[.!?。…]+[\"'”’」』)\]]*(?:\s+|$)|(?<=[。!?])|[,;、:]\s*| {2,}|\s*\|\s*")
 _VALUE = re.compile(r"(?<![^\s㐀-鿿豈-﫿])(?=[^\s㐀-鿿豈-﫿]*\d)[^\s㐀-鿿豈-﫿]+")
-_FIGURE = re.compile(r"\d")
 _TOKEN = re.compile(r"\x01|[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
 
 
 def line_pieces(folded: str, site: str) -> list[int]:
-    """Hashes of a line's sentences and clauses, with slots for figures, codes and the site's name; slots alone are none."""
+    """Hashes of a line's sentences and clauses, with slots for figures, codes and the site's name; slots alone are none.
+
+    A line of more than ``LONG_LINE`` characters is aligned as one piece.
+    """
     if site and site in folded:
         folded = folded.replace(site, "\x01")
-    if _FIGURE.search(folded):
+    if pl._FIGURE.search(folded):
         folded = _VALUE.sub("\x01", folded)
     out = []
-    for piece in _PIECES.split(folded):
+    for piece in _PIECES.split(folded) if len(folded) <= LONG_LINE else (folded,):
         words = _TOKEN.findall(piece)
         if words and (words[0] != "\x01" or any(w != "\x01" for w in words)):
             out.append(pl.hash64(" ".join(words)))
     return out
 
 
+@lru_cache(maxsize=60_000)
+def _short_pieces(folded: str, site: str) -> list[int]:
+    return line_pieces(folded, site)
+
+
 def _doubtful(share: float, folded: str) -> bool:
     """The line may be furniture."""
     return share > (FURNITURE if len(folded) >= PROSE_CHARS and pl._ENDS.search(folded[-8:]) else SURE)
@@ -104,7 +114,7 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
             for at, (i, dom, title, text, site, found) in enumerate(zip(ids, domains, titles, texts, names, known.classify(list(zip(texts, names))))):
                 furniture = [n for n, share, _, _ in found if share > FURNITURE]
                 # Of an unfilled line the labels of its slots count, so that blank slots are known by them.
-                pieces = [(n, key) for n, _, flag, f in found for key in line_pieces(pl.slots_blank(f) if flag else f, site)]
+                pieces = [(n, key) for n, _, flag, f in found for key in (_short_pieces if len(f) <= 120 else line_pieces)(pl.slots_blank(f) if flag else f, site)]
                 # Copies of an article, whatever stands around it, speak with one voice.
                 voter = pl.hash64(pl.flat(pl.bare_headline(title, dom, known.sections)[0]) if title and title.strip() else "\n".join(f for *_, f in found))
                 values = (i, voter, pieces, [n for n, share, flag, f in found if flag or _doubtful(share, f)], sum(flag for _, _, flag, _ in found), furniture, pl.decorated(title, dom, known.sections), [])

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeloom.llm import chunking, encode, forms, langid, mainbody, mixing, pages, residue, sentences, sitelines
+from lakeloom.operators.copies import one_per_key
 from lakeloom.session import table, written
 
 
@@ -16,7 +17,8 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p1_forms(spark: SparkSession, sf: str) -> DataFrame:
     """Every record's title and text in one form."""
-    return forms.unify(table(spark, sf, "corpus").select("doc_id", "title", "text").dropDuplicates(["doc_id", "text"])).select("doc_id", "title_form", "text_form")
+    rows = table(spark, sf, "corpus").select("doc_id", "title", "text", F.xxhash64("text").alias("stored"))
+    return forms.unify(one_per_key(rows, "doc_id", "stored").drop("stored")).select("doc_id", "title_form", "text_form")
 
 
 def p1_classes(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,7 +58,7 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 def p5_bodies(spark: SparkSession, sf: str) -> DataFrame:
     """Every page's bare headline and article."""
     corpus = table(spark, sf, "corpus").select("doc_id", "domain", "title", "text")
-    return mainbody.main_body(corpus.filter(F.col("text").isNotNull()).dropDuplicates(["doc_id"])).select("doc_id", "headline", "body")
+    return mainbody.main_body(one_per_key(corpus.filter(F.col("text").rlike(r"\S")), "doc_id")).select("doc_id", "headline", "body")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,5 +127,9 @@ _LINES = r"""
 def oracle_sql() -> dict[str, str]:
     return {
         "p4_found": "select distinct doc_id from corpus where length(text) > 4000",
+        "p7_clean": _LINES
+        + """, gone as (select doc_id, list(distinct line_no) as ns from lines join support using (domain, k) join sizes using (domain) where k <> '' and n >= 5 and n >= 0.2 * n_docs group by doc_id),
+        texts as (select doc_id, max_by(text, regexp_matches(text, '\\S')) as text from corpus where text is not null group by doc_id)
+        select doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: not coalesce(list_contains(ns, i), false)), chr(10)) as text_kept from texts left join gone using (doc_id)""",
         "p7_found": _LINES + "select distinct doc_id, line_no from lines join support using (domain, k) join sizes using (domain) where k <> '' and n >= 5 and n >= 0.2 * n_docs",
     }

@@ -26,7 +26,7 @@ from lakeloom.llm import pages as pg
 from lakeloom.session import written
 
 #: A key of more than one in so many records is hot; there are at most so many times the pieces of a record of them.
-HOT_SHARE = 500
+HOT_SHARE = 100
 #: Parts that the records of one signature are spread over.
 SALTS = 16
 

@@ -1,11 +1,11 @@
 """Problem 10: sentence boundaries across languages and scripts.
 
 Method: a linear-chain sequence model tags places as boundary or inside, decoded by Viterbi
-and trained as an averaged structured perceptron. Where a text has sentence marks or line
-breaks, the places are those marks (with the quotes and brackets that close with them) and
-breaks; all other characters are inside by construction. Texts of scripts without spaces that
-have no marks at all are tagged character by character by a second chain, trained on
-punctuation-stripped text.
+and trained as an averaged structured perceptron. The places are sentence marks (with the quotes
+and brackets that close with them) and line breaks; other characters are inside by
+construction, but for runs of a script without spaces that have no mark, comma or blank over
+:data:`BARE_CHARS` characters: these are tagged character by character by a second chain,
+trained on punctuation-stripped text, whatever marks stand elsewhere in the text.
 
 Training documents are composed from the small labelled table of
 :mod:`lakeloom.llm.labelled_sentences`, so their boundaries are known.
@@ -34,7 +34,9 @@ INSIDE, BOUNDARY = 0, 1
 TITLES = set("dr mr mrs ms prof st lt col gen rev hon sr jr th.s ths ts bs gs pgs gs.ts ts.bs pgs.ts bs.cki bscki ks cn đ.c tp tx bv q p tt h tr ô đ/c vs cf e.g i.e approx no nos ext ver fig figs sect tab vol al ed eds".split())
 NUMBERED = set("no nos ext ver fig figs sect tab vol p pp h q sept jan feb mar apr jun jul aug oct nov dec ch art par".split())
 CLOSING = set("etc v.v vv p.m a.m ph.d m.d u.s u.k al inc ltd co b.a v.v".split())
-_MARK = r"[.!?…。！？｡．‼⁇]"
+# Marks that end a sentence outright in scripts that have no full stop of their own, and their question marks.
+_FULL, _ASKING = "。｡।॥۔።።៕។။༎", "؟፧՞"
+_MARK = rf"[.!?…！？．‼⁇{_FULL}{_ASKING}]"
 _SCAN = re.compile(rf"(?P<break>[^\S\n]*\n\s*)|(?P<mark>{_MARK}+)|(?P<quote>[\"“”„«»「」『』])")
 _CLOSERS = set("”’»」』)]）】")
 _TOKEN = re.compile(r"[^\s(（\[“\"「,，;:：。！？｡]*$")
@@ -117,6 +119,13 @@ def _next_seen(text: str, at: int) -> int:
     return at
 
 
+def _before(text: str, at: int) -> int:
+    """End of what is not blank before ``at``."""
+    while at and text[at - 1].isspace():
+        at -= 1
+    return at
+
+
 def places(text: str) -> tuple[list[int], list[list[str]]]:
     """``(ends, features)`` of the places where a sentence may end, in order."""
     lines = text.split("\n")
@@ -139,8 +148,9 @@ def places(text: str) -> tuple[list[int], list[list[str]]]:
             ch = text[at]
             if ch in "“„«「『" or ch == '"' and opened < 0:
                 opened = at
-                before = text[:at].rstrip()[-1:] if at else ""
-                frame = "first" if ends and not text[ends[-1] : at].strip() or not before or at == line_start else "colon" if before in ":：" else "comma" if before in ",，" else "word"
+                last = _before(text, at)
+                before = text[last - 1] if last else ""
+                frame = "first" if ends and last <= ends[-1] or not before or at == line_start else "colon" if before in ":：" else "comma" if before in ",，" else "word"
             else:
                 opened = -1
             continue
@@ -148,8 +158,8 @@ def places(text: str) -> tuple[list[int], list[list[str]]]:
             prev = text[line_start:at]
             following = text[to : text.find("\n", to) if text.find("\n", to) >= 0 else len(text)]
             gap = m.group().count("\n")
-            end = len(text[:at].rstrip())
-            if not text[:end]:
+            end = _before(text, at)
+            if not end:
                 line_start = to
                 continue
             nxt = _next_seen(text, to)
@@ -187,7 +197,7 @@ def places(text: str) -> tuple[list[int], list[list[str]]]:
             shut = '"' if text[end] in '"”’»」』' else shut or ")"
             end += 1
         mark = m.group()
-        sort = "ellipsis" if mark[:2] in ("..", "……") or mark == "…" else "stop" if mark[-1] in ".．" else "full" if mark[-1] in "。｡" else "ask"
+        sort = "ellipsis" if mark[:2] in ("..", "……") or mark == "…" else "stop" if mark[-1] in ".．" else "full" if mark[-1] in _FULL else "ask"
         within = opened >= 0 and shut != '"'
         nxt = _next_seen(text, end)
         nk = _kind(text[nxt : nxt + 1]) if text[nxt : nxt + 1] != "\n" else "newline"
@@ -265,10 +275,19 @@ def perceptron(rows: list[tuple[list[list[str]], list[int]]], epochs: int = 6, s
     return Chain({x: w[x] - total[x] / step for x in w}, [[turn[i][j] - turn_total[i][j] / step for j in (0, 1)] for i in (0, 1)])
 
 
-def compose(rng: random.Random) -> tuple[str, list[int]]:
+POOLS = {"en": table.EN, "vi": table.VI, "zh": table.ZH}
+
+
+def split_pools(part: int, parts: int = 4) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
+    """The labelled sentences without one part, and that part."""
+    kept = {lang: [s for i, s in enumerate(pool) if i % parts != part] for lang, pool in POOLS.items()}
+    return kept, {lang: [s for i, s in enumerate(pool) if i % parts == part] for lang, pool in POOLS.items()}
+
+
+def compose(rng: random.Random, pools: dict[str, list[str]] | None = None) -> tuple[str, list[int]]:
     """A training document and the ends of its sentences."""
     lang = rng.choice(("en", "vi", "zh"))
-    pool = {"en": table.EN, "vi": table.VI, "zh": table.ZH}[lang]
+    pool = (pools or POOLS)[lang]
     stop = rng.choice((".", ". ", "｡")) if lang == "zh" and rng.random() < 0.4 else None
     wrap = lang != "zh" and rng.random() < 0.35
     text, ends = "", []
@@ -295,7 +314,7 @@ def compose(rng: random.Random) -> tuple[str, list[int]]:
         sentences = [rng.choice(pool) for _ in range(rng.randint(1, 5))]
         if rng.random() < 0.08:
             sentences[-1] = sentences[-1].rstrip(".。")
-        if asked:
+        if asked and any(s[-1] in "?？" for s in pool):
             sentences[0] = table.LABELS[lang][0] + next(s for s in rng.sample(pool, len(pool)) if s[-1] in "?？")
             add(sentences[0], joint)
             sentences = [table.LABELS[lang][1] + rng.choice(pool)] + sentences[1:]
@@ -320,22 +339,23 @@ def compose(rng: random.Random) -> tuple[str, list[int]]:
     return text, ends
 
 
-@lru_cache(maxsize=1)
-def marked_model(documents: int = 4000, seed: int = 3) -> Chain:
-    """The chain over marks and breaks, trained once a worker on ``documents`` composed texts."""
+@lru_cache(maxsize=8)
+def marked_model(documents: int = 4000, seed: int = 3, without: int | None = None) -> Chain:
+    """The chain over marks and breaks, trained on ``documents`` composed texts; part ``without`` of the labelled sentences takes no part."""
     rng = random.Random(seed)
+    pools = POOLS if without is None else split_pools(without)[0]
     rows = []
     for _ in range(documents):
-        text, ends = compose(rng)
+        text, ends = compose(rng, pools)
         at, feats = places(text)
         known = set(ends)
         rows.append((feats, [int(e in known) for e in at]))
     return perceptron(rows)
 
 
-_BARE = re.compile(rf"{_MARK}|\n")
-#: A text of a script without spaces is taken as unpunctuated from this many characters on.
+#: A run of a script without spaces that has no mark, blank or comma over so many characters is unpunctuated.
 BARE_CHARS = 40
+_BARE_RUN = re.compile(rf"[^\W_]{{{BARE_CHARS},}}")
 
 
 def _around(text: str, i: int) -> list[str]:
@@ -344,47 +364,64 @@ def _around(text: str, i: int) -> list[str]:
     return [f"l3:{pad[j - 2 : j + 1]}", f"r3:{pad[j + 1 : j + 4]}", f"l2r2:{pad[j - 1 : j + 3]}", f"l1:{pad[j]}", f"l2:{pad[j - 1 : j + 1]}", f"r1:{pad[j + 1]}", f"r2:{pad[j + 1 : j + 3]}", f"lr:{pad[j]}{pad[j + 1]}", f"l2r1:{pad[j - 1 : j + 2]}"]
 
 
-@lru_cache(maxsize=1)
-def unmarked_model(documents: int = 900, seed: int = 4) -> Chain:
+def bare_text(rng: random.Random, pool: list[str]) -> tuple[str, set[int]]:
+    """Sentences stripped of their punctuation and joined, and the places of their last characters."""
+    text, ends = "", set()
+    for _ in range(rng.randint(2, 6)):
+        text += re.sub(r"[^\w]", "", rng.choice(pool))
+        ends.add(len(text) - 1)
+    return text, ends
+
+
+@lru_cache(maxsize=8)
+def unmarked_model(documents: int = 900, seed: int = 4, without: int | None = None) -> Chain:
     """The chain over characters, trained on sentences stripped of their punctuation."""
     rng = random.Random(seed)
-    bare = [re.sub(r"[^\w]", "", s) for s in table.ZH]
+    pool = POOLS["zh"] if without is None else split_pools(without)[0]["zh"]
     rows = []
     for _ in range(documents):
-        parts = [rng.choice(bare) for _ in range(rng.randint(2, 6))]
-        text = "".join(parts)
-        ends, at = set(), 0
-        for p in parts:
-            at += len(p)
-            ends.add(at - 1)
+        text, ends = bare_text(rng, pool)
         rows.append(([_around(text, i) for i in range(len(text))], [int(i in ends) for i in range(len(text))]))
     return perceptron(rows, epochs=6)
 
 
-def sentence_ends(text: str | None) -> list[int]:
+def bare_ends(text: str, chain: Chain) -> list[int]:
+    """Boundaries within the unpunctuated runs of a text, whatever stands elsewhere in it."""
+    out = []
+    for m in _BARE_RUN.finditer(text):
+        run = m.group()
+        if len(_HAN.findall(run)) > 0.3 * len(run):
+            tags = chain.decode([_around(run, i) for i in range(len(run))])
+            out += [m.start() + i + 1 for i, t in enumerate(tags[:-1]) if t == BOUNDARY]
+    return out
+
+
+def sentence_ends(text: str | None, marked: Chain | None = None, unmarked: Chain | None = None) -> list[int]:
     """End of each sentence: the number of characters up to and including its last one."""
     if not text or not text.strip():
         return []
-    if len(text) >= BARE_CHARS and not _BARE.search(text.strip()) and len(_HAN.findall(text)) > 0.4 * len(text):
-        body = text.rstrip()
-        tags = unmarked_model().decode([_around(body, i) for i in range(len(body))])
-        return [i + 1 for i, t in enumerate(tags) if t == BOUNDARY and i + 1 < len(body) and body[i].strip()] + [len(body)]
     ends, feats = places(text)
-    tags = marked_model().decode(feats)
+    tags = (marked or marked_model()).decode(feats)
     out = [e for e, t in zip(ends, tags) if t == BOUNDARY]
     last = len(text.rstrip())
     if not out or out[-1] != last:
         out.append(last)
+    if last >= BARE_CHARS and not text.isascii() and _BARE_RUN.search(text):
+        out = sorted({*out, *bare_ends(text, unmarked or unmarked_model())})
     return out
 
 
 def with_sentence_ends(df: DataFrame, column: str = "text", to: str = "sent_ends") -> DataFrame:
-    """``df`` with ``to``: the array of sentence ends of ``column``."""
+    """``df`` with ``to``: the array of sentence ends of ``column``.
+
+    Both chains are trained on the driver and sent to the executors.
+    """
     ship(df.sparkSession)
+    marked, unmarked = marked_model(), unmarked_model()
 
     @F.pandas_udf(ArrayType(IntegerType()))
     def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([sentence_ends(t) for t in texts], dtype=object)
+        return pd.Series([sentence_ends(t, marked, unmarked) for t in texts], dtype=object)
 
     return df.withColumn(to, cut(F.col(column)))
 
@@ -394,4 +431,4 @@ def sentences(df: DataFrame, key: str = "doc_id") -> DataFrame:
     rows = with_sentence_ends(df.select(key, "text")).select(key, "text", "sent_ends", F.posexplode("sent_ends").alias("at", "sent_end"))
     start = F.when(F.col("at") == 0, F.lit(0)).otherwise(F.expr("sent_ends[at - 1]"))
     rows = rows.withColumn("sent_start", start)
-    return rows.select(key, (F.col("at") + 1).alias("sent_no"), "sent_start", "sent_end", F.trim(F.expr("substring(text, sent_start + 1, sent_end - sent_start)")).alias("sentence"))
+    return rows.select(key, (F.col("at") + 1).alias("sent_no"), "sent_start", "sent_end", F.regexp_replace(F.expr("substring(text, sent_start + 1, sent_end - sent_start)"), r"^(?U)\s+", "").alias("sentence"))

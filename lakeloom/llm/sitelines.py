@@ -2,8 +2,7 @@
 
 Method: distributed PrefixSpan over each source's line-identifier sequences. Lines become
 hashes of their normal form; frequent single lines are the first level, longer sequences grow
-from projected positions. Occurrences of frequent sequences are deleted; as every line of a
-frequent sequence is frequent itself, the first level already holds all lines to delete.
+from projected positions. Occurrences of the members of frequent sequences are deleted.
 
 Lines are the same after trimming, taking each run of white space as one space, ignoring
 case, and taking each run of the digits 0-9 as one number. Supports count distinct
@@ -19,8 +18,8 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from lakeloom.functions.arrow import map_slices
 from lakeloom.session import written
 
-#: Parts that a source's documents are spread over when they meet its frequent lines.
-SALTS = 32
+#: Parts that a large source's documents are spread over when they meet its frequent lines, and the share of a large one.
+SALTS, HOT_SHARE = 32, 1000
 
 
 def line_keys(df: DataFrame, source: str = "domain") -> DataFrame:
@@ -44,15 +43,24 @@ def frequent_lines(lines: DataFrame, min_docs: int = 5, min_share: float = 0.2)
 
 
 def _beside_frequent(lines: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Documents with their source's frequent keys. A source has at most lines-a-document / share of them."""
-    per = frequent.groupBy("source").agg(F.collect_set("key").alias("frequent"))
-    per = per.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return lines.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(per, ["source", "salt"])
+    """Documents with their source's frequent keys. A source has at most lines-a-document / share of them.
+
+    Sources of more than one document in ``HOT_SHARE``, of which there are at most so many, are spread over ``SALTS`` parts.
+    """
+    sizes = lines.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
+    least = sizes.agg(F.sum("n_docs")).first()[0] or 0
+    hot = F.broadcast(sizes.filter(F.col("n_docs") * HOT_SHARE > least).select("source", F.lit(SALTS).alias("salts")))
+    parts = F.coalesce("salts", F.lit(1))
+    per = frequent.groupBy("source").agg(F.collect_set("key").alias("frequent")).join(hot, "source", "left")
+    per = per.select("source", "frequent", F.explode(F.sequence(F.lit(0), parts - 1)).alias("salt"))
+    salted = lines.join(hot, "source", "left").withColumn("salt", F.pmod(F.xxhash64("doc_id"), parts).cast("int")).drop("salts")
+    return salted.join(per.hint("merge"), ["source", "salt"])  # their size is not known: never broadcast
 
 
-def occurrences(lines: DataFrame, frequent: DataFrame) -> DataFrame:
-    """``(doc_id, line_no)`` of the lines to delete."""
-    return _beside_frequent(lines, frequent).select("doc_id", "frequent", F.posexplode("keys").alias("at", "key")).filter(F.array_contains("frequent", F.col("key"))).select("doc_id", (F.col("at") + 1).alias("line_no"))
+def occurrences(lines: DataFrame, sequences: DataFrame) -> DataFrame:
+    """``(doc_id, line_no)`` of the lines to delete: the occurrences of the members of ``sequences``."""
+    members = sequences.select("source", F.explode("pattern").alias("key")).distinct()
+    return _beside_frequent(lines, members).select("doc_id", "frequent", F.posexplode("keys").alias("at", "key")).filter(F.array_contains("frequent", F.col("key"))).select("doc_id", (F.col("at") + 1).alias("line_no"))
 
 
 def frequent_sequences(lines: DataFrame, min_docs: int = 5, min_share: float = 0.2, max_len: int | None = None, max_gap: int | None = None) -> DataFrame:
@@ -160,14 +168,15 @@ def _closed_sequences(sequences: DataFrame, docs: DataFrame, first: DataFrame, m
 
 
 def repeated_lines(df: DataFrame, source: str = "domain", min_docs: int = 5, min_share: float = 0.2) -> DataFrame:
-    """``(doc_id, line_no)`` of lines that ``source`` repeats excessively."""
+    """``(doc_id, line_no)`` of lines that ``source`` repeats excessively: members of its frequent sequences, single lines included."""
     lines = line_keys(df, source)
-    return occurrences(lines, frequent_lines(lines, min_docs, min_share))
+    return occurrences(lines, frequent_sequences(lines, min_docs, min_share))
 
 
 def without_repeated_lines(df: DataFrame, source: str = "domain", min_docs: int = 5, min_share: float = 0.2) -> DataFrame:
     """``(doc_id, text_kept)``: each document's text without its source's repeated lines."""
     gone = repeated_lines(df, source, min_docs, min_share).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
-    rows = df.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text").dropDuplicates(["doc_id"])
+    # Texts with lines come first, so that a blank row of the same id does not stand for them.
+    rows = df.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).groupBy("doc_id").agg(F.max_by("text", F.col("text").rlike(r"(?U)\S")).alias("text"))
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), (i + 1).cast("int")))
     return rows.join(gone, "doc_id", "left").select("doc_id", F.array_join(kept, "\n").alias("text_kept"))
