@@ -9,6 +9,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from lakeloom.operators.copies import one_per_key
 from lakeloom.session import ship
 
 # Abbreviations whose full stop ends no sentence.
@@ -96,9 +97,15 @@ def chunk_document(title: str | None, text: str | None, target: int = 400, most:
 
 
 def chunked(docs: DataFrame, version: str = "v1", **limits: int) -> DataFrame:
-    """Chunks of ``docs`` ``(doc_id, title, text)``; exact copies of a row are chunked once."""
+    """Chunks of ``docs`` ``(doc_id, title, text)``; exact copies of a row are chunked once.
+
+    Rows without anything to chunk go first, so that none stands for another row of its id.
+    """
     ship(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "title", "text").filter("doc_id is not null").dropDuplicates(["doc_id"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "title", "text", F.coalesce(F.col("text").rlike(r"\S"), F.lit(False)).alias("full")).filter(F.col("doc_id").isNotNull() & (F.col("full") | F.col("title").rlike(r"\S")))
+    # A row with a title only counts where its id has no row with text.
+    texts = one_per_key(rows.filter("full").drop("full"), "doc_id")
+    rows = texts.unionByName(one_per_key(rows.filter("not full").drop("full"), "doc_id").join(texts.select("doc_id"), "doc_id", "left_anti"))
 
     def run(batches):
         for batch in batches:
