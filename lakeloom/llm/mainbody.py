@@ -36,7 +36,7 @@ def main_body(df: DataFrame, lines: pl.LineModel | None = None) -> DataFrame:
                 heads.append(pl.bare_headline(title, dom, model.sections)[0] if title and title.strip() else title)
                 if page:
                     lines = text.split("\n")
-                    text = "\n".join(lines[n - 1].rstrip("\r") for n, share, _, _ in page if share <= pg.FURNITURE)
+                    text = "\n".join(lines[n - 1].rstrip("\r") for n, share, *_ in page if share <= pg.FURNITURE)
                 bodies.append(text)
             return [*cols, heads, bodies]
 
@@ -48,6 +48,7 @@ def main_body(df: DataFrame, lines: pl.LineModel | None = None) -> DataFrame:
 def furniture(pages: DataFrame) -> DataFrame:
     """``(doc_id, line_no)``: furniture lines that are no residue, and line 0 for decorated titles outside residue."""
     gone, residue = residue_lines(pages)
-    lines = pages.select("doc_id", F.explode("furniture").alias("line_no")).join(residue, ["doc_id", "line_no"], "left_anti")
-    titles = pages.filter("decorated").select("doc_id", F.lit(0).alias("line_no")).join(gone, "doc_id", "left_anti")
+    one = pg.records(pages, "furniture", "decorated")
+    lines = one.select("doc_id", F.explode("furniture").alias("line_no")).join(residue, ["doc_id", "line_no"], "left_anti")
+    titles = one.filter("decorated").select("doc_id", F.lit(0).alias("line_no")).join(gone, "doc_id", "left_anti")
     return lines.unionByName(titles)

@@ -167,6 +167,10 @@ def _size(text: str) -> float:
     return words if text.isascii() else words - 0.5 * len(_HAN.findall(text))
 
 
+#: Longer lines are aligned whole: paragraphs of which a template would repeat every clause.
+LONG_LINE = 240
+
+
 def site_name(domain: str | None) -> str:
     """The name a site shows, from the registered part of its host."""
     labels = (domain or "").lower().split(".")
@@ -185,27 +189,27 @@ class Blocks:
         return Blocks, (self.words, self.headlines)
 
     def scores(self, words: list[str]) -> tuple[float, float]:
-        """Mean log odds of a line's grams: furniture, headline."""
-        get, n, furniture, headline, before = self.words.get, 1, 0.0, 0.0, "<"
-        for word in words:
-            known = get(word)
-            if known is None:  # nor is any pair with it known
-                before = None
-                continue
+        """Mean log odds of a line's grams: furniture, headline. No pair with an unknown word is known."""
+        known, n, furniture, headline, last, before = self.words, 1, 0.0, 0.0, -2, "<"
+        if words and words[0] in known:
+            last = -1  # the line's start is a word of its first pair
+        for i in [i for i, w in enumerate(words) if w in known]:
+            word = words[i]
+            one = known[word]
             n += 1
-            furniture += known[0]
-            headline += known[1]
-            if before is not None:
-                known = get(f"{before} {word}")
-                if known is not None:
+            furniture += one[0]
+            headline += one[1]
+            if last == i - 1:
+                pair = known.get(f"{before} {word}")
+                if pair is not None:
                     n += 1
-                    furniture += known[0]
-                    headline += known[1]
-            before = word
+                    furniture += pair[0]
+                    headline += pair[1]
+            last, before = i, word
         return furniture / n, headline / n
 
-    def describe(self, line: str) -> tuple[tuple[float, ...], int, bool, str]:
-        """Own features, shape (0: stands alone), whether it is an unfilled template, and the folded line."""
+    def describe(self, line: str) -> tuple[tuple[float, ...], int, bool, str, int | None]:
+        """Own features, shape (0: stands alone), whether it is an unfilled template, the folded line, and a long line's hash."""
         f = fold(line.replace("\t", "|") if "\t" in line else line).strip()
         said = tokens(f)
         n_han = 0 if f.isascii() else len(_HAN.findall(f))
@@ -228,10 +232,11 @@ class Blocks:
             shape = 1 if sign.isalnum() or sign == "(" else 16 + ord(sign)
         else:
             shape = 2 if tabled else 3 if density > 0.5 else 4 if words < PROSE_WORDS and not ends else 0
-        return own, shape, unfilled(_BLANKS.sub(" ", f)), f
+        whole = hash64(" ".join(said)) if len(f) > LONG_LINE and said else None
+        return own, shape, unfilled(_BLANKS.sub(" ", f) if "  " in f else f), f, whole
 
-    def features(self, pages: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, list[int], list[bool], list[str]]:
-        """Rows of :data:`FEATURES` of all non-blank lines of ``(text, site)`` pages, and each line's page, number, template flag and folded form."""
+    def features(self, pages: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, list[int], list[bool], list[tuple[str, int | None]]]:
+        """Rows of :data:`FEATURES` of all non-blank lines of ``(text, site)`` pages, and each line's page, number, template flag, and folded form with its hash if it is long."""
         own, shapes, gaps, flags, folded, numbers, owner, named = [], [], [], [], [], [], [], []
         for at, (text, site) in enumerate(pages):
             names = [w for w in re.findall(r"[a-z0-9]+", site) if len(w) >= 4]
@@ -241,11 +246,11 @@ class Blocks:
                 if not line:
                     gap = True
                     continue
-                o, shape, flag, f = self.short(line) if len(line) <= 120 else self.describe(line)
+                o, shape, flag, f, whole = self.short(line) if len(line) <= 120 else self.describe(line)
                 own.append(o)
                 shapes.append(shape)
                 flags.append(flag)
-                folded.append(f)
+                folded.append((f, whole))
                 numbers.append(n)
                 owner.append(at)
                 gaps.append(gap)
@@ -423,13 +428,13 @@ class LineModel:
         self.blocks = Blocks(words, headlines)
         self.sections = sections | {hash64(flat(x)) for kinds in table.LINES.values() for x in kinds["menu"]}
 
-    def classify(self, pages: list[tuple[str, str]]) -> list[list[tuple[int, float, bool, str]]]:
-        """For each ``(text, site)``: ``(line number, furniture's share, unfilled, folded line)`` of its non-blank lines."""
+    def classify(self, pages: list[tuple[str, str]]) -> list[list[tuple[int, float, bool, str, int | None]]]:
+        """For each ``(text, site)``: ``(line number, furniture's share, unfilled, folded line, a long line's hash)`` of its non-blank lines."""
         x, page, numbers, flags, folded = self.blocks.features(pages)
-        out: list[list[tuple[int, float, bool, str]]] = [[] for _ in pages]
+        out: list[list[tuple[int, float, bool, str, int | None]]] = [[] for _ in pages]
         if len(x):
             for at, n, share, flag, f in zip(page.tolist(), numbers, self.trees.share(x).tolist(), flags, folded):
-                out[at].append((n, 0.0 if flag else share, flag, f))
+                out[at].append((n, 0.0 if flag else share, flag, *f))
         return out
 
 

@@ -17,6 +17,7 @@ from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, L
 from lakeloom.functions.arrow import map_slices
 from lakeloom.llm import pagelines as pl
 from lakeloom.llm.langid import CLASSES, LanguageModel, same_language
+from lakeloom.operators.copies import one_per_key
 from lakeloom.session import written
 
 #: Furniture's share in the trees above which a line is furniture, and up to which a short one surely is the article's.
@@ -37,33 +38,38 @@ SCAN = StructType(
     ]
 )
 
-#: Longer lines are aligned whole: paragraphs of which a template would repeat every clause.
-LONG_LINE = 240
 _PIECES = re.compile(r"[.!?。…]+[\"'”’」』)\]]*(?:\s+|$)|(?<=[。!?])|[,;、:]\s*| {2,}|\s*\|\s*")
 _VALUE = re.compile(r"(?<![^\s㐀-鿿豈-﫿])(?=[^\s㐀-鿿豈-﫿]*\d)[^\s㐀-鿿豈-﫿]+")
 _TOKEN = re.compile(r"\x01|[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
 
 
+@lru_cache(maxsize=60_000)
 def line_pieces(folded: str, site: str) -> list[int]:
-    """Hashes of a line's sentences and clauses, with slots for figures, codes and the site's name; slots alone are none.
-
-    A line of more than ``LONG_LINE`` characters is aligned as one piece.
-    """
+    """Hashes of a line's sentences and clauses, with slots for figures, codes and the site's name; slots alone are none."""
     if site and site in folded:
         folded = folded.replace(site, "\x01")
     if pl._FIGURE.search(folded):
         folded = _VALUE.sub("\x01", folded)
     out = []
-    for piece in _PIECES.split(folded) if len(folded) <= LONG_LINE else (folded,):
+    for piece in _PIECES.split(folded):
         words = _TOKEN.findall(piece)
         if words and (words[0] != "\x01" or any(w != "\x01" for w in words)):
             out.append(pl.hash64(" ".join(words)))
     return out
 
 
-@lru_cache(maxsize=60_000)
-def _short_pieces(folded: str, site: str) -> list[int]:
-    return line_pieces(folded, site)
+def pieces_of(found: list[tuple[int, float, bool, str, int | None]], site: str) -> list[tuple[int, int]]:
+    """``(line number, hash)`` of the pieces of a page's lines.
+
+    A long line is one piece. Of an unfilled line the labels of its slots count, so that blank slots are known by them.
+    """
+    out = []
+    for n, _, flag, f, whole in found:
+        if whole is not None and not flag:
+            out.append((n, whole))
+        else:
+            out += [(n, key) for key in line_pieces(pl.slots_blank(f) if flag else f, site)]
+    return out
 
 
 def _doubtful(share: float, folded: str) -> bool:
@@ -94,7 +100,9 @@ def line_model(df: DataFrame, section_share: float = 5e-4, headline_share: float
 
 
 def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.45, every: bool = False, lines: pl.LineModel | None = None) -> DataFrame:
-    """The narrow table of :data:`SCAN`, one row a record, written to the shared folder.
+    """The narrow table of :data:`SCAN`, one row for each row with text, written to the shared folder.
+
+    Exact copies of a record give equal rows: see :func:`records`.
 
     With ``model``, ``langs`` has line 0 (the main language of the article, ``mislabelled``
     where the stored label is missing or names another) and lines of at least ``min_line`` characters in
@@ -112,17 +120,16 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
             jobs, owners = [], []
             names = [pl.site_name(d) for d in domains]
             for at, (i, dom, title, text, site, found) in enumerate(zip(ids, domains, titles, texts, names, known.classify(list(zip(texts, names))))):
-                furniture = [n for n, share, _, _ in found if share > FURNITURE]
-                # Of an unfilled line the labels of its slots count, so that blank slots are known by them.
-                pieces = [(n, key) for n, _, flag, f in found for key in (_short_pieces if len(f) <= 120 else line_pieces)(pl.slots_blank(f) if flag else f, site)]
+                furniture = [n for n, share, *_ in found if share > FURNITURE]
                 # Copies of an article, whatever stands around it, speak with one voice.
-                voter = pl.hash64(pl.flat(pl.bare_headline(title, dom, known.sections)[0]) if title and title.strip() else "\n".join(f for *_, f in found))
-                values = (i, voter, pieces, [n for n, share, flag, f in found if flag or _doubtful(share, f)], sum(flag for _, _, flag, _ in found), furniture, pl.decorated(title, dom, known.sections), [])
+                voter = pl.hash64(pl.flat(pl.bare_headline(title, dom, known.sections)[0]) if title and title.strip() else "\n".join(f for _, _, _, f, _ in found))
+                loose = [n for n, share, flag, f, _ in found if flag or _doubtful(share, f)]
+                values = (i, voter, pieces_of(found, site), loose, sum(x[2] for x in found), furniture, pl.decorated(title, dom, known.sections), [])
                 for col, v in zip(out, values):
                     col.append(v)
                 if model is not None and (every or len(text) >= min_chars):
                     lines = text.split("\n")
-                    for n, share, flag, _ in found:
+                    for n, share, flag, _, _ in found:
                         line = lines[n - 1].strip()
                         article = share <= FURNITURE and not flag
                         if every or article or len(line) >= min_line:
@@ -159,4 +166,9 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
 
     rows = df.filter(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\S")).select(F.col("doc_id").cast("long").alias("doc_id"), "domain", "title", "language", "text")
     found = map_slices(rows, ["doc_id", "domain", "title", "language", "text"], SCAN, factory)
-    return written(found, "pages").dropDuplicates(["doc_id"])
+    return written(found, "pages")
+
+
+def records(pages: DataFrame, *columns: str) -> DataFrame:
+    """``doc_id`` and ``columns`` of a scan, one row a record."""
+    return one_per_key(pages.select("doc_id", *columns), "doc_id")

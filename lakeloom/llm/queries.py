@@ -27,7 +27,7 @@ def p1_classes(spark: SparkSession, sf: str) -> DataFrame:
 
 def _languages(spark: SparkSession, sf: str, every: bool = False) -> tuple[DataFrame, DataFrame]:
     scanned = pages.scan(table(spark, sf, "corpus"), langid.fit(table(spark, sf, "lang_samples")), every=every)
-    rows = scanned.filter(F.size("langs") > 0).select("doc_id", F.explode("langs").alias("x")).select("doc_id", "x.*")
+    rows = pages.records(scanned, "langs").filter(F.size("langs") > 0).select("doc_id", F.explode("langs").alias("x")).select("doc_id", "x.*")
     return scanned, rows
 
 

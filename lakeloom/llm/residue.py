@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lakeloom.llm import pages as pg
+from lakeloom.operators.copies import one_per_key
 from lakeloom.session import written
 
 #: A key of more than one in so many records is hot; there are at most so many times the pieces of a record of them.
@@ -97,14 +98,14 @@ def excluded(pages: DataFrame, min_support: int = 3, min_share: float = 0.6) ->
 def residue_lines(pages: DataFrame, min_support: int = 3, min_share: float = 0.6) -> tuple[DataFrame, DataFrame]:
     """``(doc_id)`` of the records to exclude, and ``(doc_id, line_no)`` of their lines that make them so."""
     signed = _signed(pages)
-    one = written(signed.drop("doc_id").dropDuplicates(["sig"]), "signatures")
+    one = written(one_per_key(signed.drop("doc_id"), "sig"), "signatures")
     n_records = one.count()
     each = one.select("voter", F.explode(F.array_distinct("pieces.key")).alias("key"))
     frequent = written(_supported(each, min_support), "frequent-pieces")
     own = F.expr("array_distinct(transform(filter(pieces, x -> not array_contains(loose, x.line_no)), x -> x.key))")
     sized = one.select("sig", "n_unfilled", F.size(own).alias("n_sure"))
     hits = _all_frequent(one.select("sig", F.explode(own).alias("key")), frequent, n_records)
-    fit = written(sized.join(hits, "sig", "left").withColumn("hits", F.coalesce("hits", F.lit(0))).filter("2 * hits >= n_sure"), "fit")
+    fit = written(sized.join(hits, "sig", "left").withColumn("hits", F.coalesce("hits", F.lit(0))).filter("3 * hits >= 2 * n_sure"), "fit")
     slots = written(_aligned(one, fit.filter("hits < n_sure").select("sig"), frequent, min_support), "aligned")
     closed = fit.filter("hits = n_sure").select("sig", "n_unfilled").unionByName(fit.join(slots.select("sig"), "sig", "left_semi").select("sig", "n_unfilled"))
     rows = one.join(closed, "sig", "left_semi").select("sig", "voter", "loose", F.explode("pieces").alias("x")).select("sig", "voter", "x.key", (~F.array_contains("loose", F.col("x.line_no"))).alias("sure"))
@@ -117,7 +118,7 @@ def residue_lines(pages: DataFrame, min_support: int = 3, min_share: float = 0.6
     found = rest.filter("n_unfilled > 0").select("sig").unionByName(rest.join(rows.join(keys, "key", "left_semi").select("sig"), "sig", "left_semi").select("sig"))
     found = written(found.distinct(), "excluded")
     salted = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    gone = signed.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["sig", "salt"], "left_semi")
+    gone = one_per_key(signed.select("doc_id", "sig", "pieces"), "doc_id").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["sig", "salt"], "left_semi")
     lines = gone.select("doc_id", F.explode("pieces").alias("x")).select("doc_id", "x.line_no", "x.key").join(keys, "key", "left_semi").select("doc_id", "line_no").distinct()
     return gone.select("doc_id"), lines
 

@@ -93,7 +93,7 @@ def test_mixed_records(spark, sf):
     en = "The first step is to drink enough water, and only then should other medicines be considered."
     vi = "Người nhà nên nhắc bệnh nhân giữ ấm cơ thể, đồng thời ghi lại số lần đau đầu trong tuần."
     df = corpus(spark, [(1, "d", "t", f"{en}\n{en}\n{vi}", "vi"), (2, "d", "t", f"{vi}\n{vi}", "VI"), (3, "d", "t", None, "en"), (4, "d", "t", "short", None)])
-    got = pages.scan(df, model).select("doc_id", F.explode("langs").alias("x")).select("doc_id", "x.line_no", "x.lang", "x.mislabelled")
+    got = pages.records(pages.scan(df, model), "langs").select("doc_id", F.explode("langs").alias("x")).select("doc_id", "x.line_no", "x.lang", "x.mislabelled")
     assert rows(got) == [(1, 0, "en", True), (1, 3, "vi", False), (2, 0, "vi", False)]
     assert pages.scan(df.limit(0), model).count() == 0
 
