@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeloom.functions import columns as C
 
@@ -59,7 +59,9 @@ def bounded_ranges(ranges: DataFrame, gap: int = 65_536, max_bytes: int = 64_000
 def slice_records(groups: DataFrame, ranges: DataFrame) -> DataFrame:
     """Each record's bytes out of its group's payload."""
     j = ranges.alias("r").join(groups.alias("g"), (F.col("r.filename") == F.col("g.filename")) & (F.col("r.offset") >= F.col("g.offset")) & (F.col("r.offset") + F.col("r.length") <= F.col("g.offset") + F.col("g.length")))
-    return j.select("r.*", F.expr("substring(g.payload, cast(r.offset - g.offset + 1 as int), cast(r.length as int))").alias("record"))
+    record = F.expr("substring(g.payload, cast(r.offset - g.offset + 1 as int), cast(r.length as int))")
+    # A payload that ends too early is no record.
+    return j.select("r.*", F.when(F.octet_length(record) == F.col("r.length"), record).alias("record"))
 
 
 def probe_quotas(counts: dict[str, int], total: int) -> dict[str, int]:
@@ -87,3 +89,65 @@ def probe_quotas(counts: dict[str, int], total: int) -> dict[str, int]:
 def probe_outcome(coverage: float, downloaded: float, extracted: float, rate: float, live_rate: float = 3.11) -> dict[str, bool]:
     """Whether an archive passes the gates of coverage, download, extraction and speed."""
     return {"coverage": coverage >= 0.40, "download": downloaded >= 0.95, "extraction": extracted >= 0.85, "speed": rate >= 3 * live_rate}
+
+
+# States of an archive target.
+STATES = ("UNRESOLVED", "FOUND", "MISS", "FETCHING", "SUCCESS", "FALLBACK", "SKIPPED")
+
+
+def seed_states(tasks: DataFrame) -> DataFrame:
+    """``(doc_id, lookup_key, state, captured_from)`` of fetch tasks: those that ended are skipped, those without a usable URL too."""
+    key = F.regexp_replace(C.normalize_fetch_url(F.col("url")), "^https?://", "")
+    state = F.when(C.is_terminal(F.col("status")) | key.isNull(), "SKIPPED").otherwise("UNRESOLVED")
+    return tasks.select("doc_id", key.alias("lookup_key"), state.alias("state"), F.lit(None).cast("string").alias("captured_from"))
+
+
+def resolve(states: DataFrame, captures: DataFrame, searched: DataFrame | None = None) -> DataFrame:
+    """States after a search: unresolved targets that ``captures`` (:func:`newest_captures`) have are FOUND.
+
+    The others are MISS once their prefix ``(prefix)`` is in ``searched``; without it all prefixes were.
+    """
+    found = captures.select("lookup_key", F.col("url").alias("_from")).dropDuplicates(["lookup_key"])
+    j = states.join(found, "lookup_key", "left")
+    open_ = F.col("state") == "UNRESOLVED"
+    if searched is None:
+        over = F.lit(True)
+    else:
+        j = j.withColumn("prefix", F.regexp_extract("lookup_key", r"^([^/?]+/(?:[^/?]+/)?)", 1)).join(searched.select("prefix").distinct().withColumn("_over", F.lit(True)), "prefix", "left")
+        over = F.coalesce("_over", F.lit(False))
+    state = F.when(open_ & F.col("_from").isNotNull(), "FOUND").when(open_ & over, "MISS").otherwise(F.col("state"))
+    return j.select("doc_id", "lookup_key", state.alias("state"), F.when(state == "FOUND", F.coalesce("_from", "captured_from")).otherwise(F.col("captured_from")).alias("captured_from"))
+
+
+def advance(states: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """States after ``outcomes (doc_id, event)``: ``start`` FOUND → FETCHING, ``done`` → SUCCESS, ``failed`` → FALLBACK, ``crash`` → FOUND again.
+
+    Events that do not fit a state change nothing; of several events of one target the last of this order counts.
+    """
+    order = F.array_position(F.array(*(F.lit(e) for e in ("crash", "start", "failed", "done"))), F.col("event"))
+    last = outcomes.groupBy("doc_id").agg(F.max_by("event", order).alias("event"))
+    s, e = F.col("state"), F.col("event")
+    busy = s.isin("FOUND", "FETCHING")
+    state = F.when((s == "FOUND") & (e == "start"), "FETCHING").when(busy & (e == "done"), "SUCCESS").when(busy & (e == "failed"), "FALLBACK").when((s == "FETCHING") & (e == "crash"), "FOUND").otherwise(s)
+    return states.join(last, "doc_id", "left").select("doc_id", "lookup_key", state.alias("state"), "captured_from")
+
+
+def state_counts(runs: dict[str, DataFrame]) -> DataFrame:
+    """``(run, state, n)`` of several runs at once."""
+    each = [df.groupBy("state").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("run"), "state", "n") for name, df in sorted(runs.items())]
+    out = each[0]
+    for e in each[1:]:
+        out = out.unionByName(e)
+    return out
+
+
+def probe_rates(probes: DataFrame) -> DataFrame:
+    """One row of probes ``(found, downloaded, extracted, seconds)``: coverage, and download and extraction of what came before, and targets a second."""
+
+    def rate(part: Column, whole: Column) -> Column:
+        return F.sum((part & whole).cast("long")) / F.nullif(F.sum(whole.cast("long")), F.lit(0))
+
+    f, d, e = (F.coalesce(c, F.lit(False)) for c in ("found", "downloaded", "extracted"))
+    return probes.agg(
+        F.count(F.lit(1)).alias("n"), rate(f, F.lit(True)).alias("coverage"), rate(d, f).alias("downloaded"), rate(e, f & d).alias("extracted"), (F.count("seconds") / F.nullif(F.sum("seconds"), F.lit(0.0))).alias("rate")
+    )

@@ -13,7 +13,9 @@ from lakeloom.operators.copies import one_per_key
 from lakeloom.session import ship
 
 # Abbreviations whose full stop ends no sentence.
-ABBREVIATIONS = frozenset("bs ts pgs gs ths th.s bs.cki bs.ckii dr prof mr mrs ms e.g i.e etc v.v al tp p q no vs fig bv cdc who".split())
+ABBREVIATIONS = frozenset(
+    ("bs", "ts", "pgs", "gs", "ths", "th.s", "bs.cki", "bs.ckii", "dr", "prof", "mr", "mrs", "ms", "e.g", "i.e", "etc", "v.v", "al", "tp", "p", "q", "no", "vs", "fig", "bv", "cdc", "who")
+)
 _STOP = re.compile(r"[。！？；]+[”’\"'）)》\]]*|[.!?;]+[”’\"')\]]*(?=\s|$|[“\"'‘])")
 _HAN = re.compile(r"[㐀-鿿]")
 CHUNKS = "doc_id long, chunk_id string, chunk_index int, title string, heading string, text string, embed_text string, token_count int"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakeloom.functions import columns as C
 from lakeloom.schemas import TERMINAL, violation
 
 # Which status wins when a document was fetched several times.
@@ -63,3 +64,64 @@ def verify(corpus: DataFrame, tasks: DataFrame) -> DataFrame:
     stale = violation(corpus.filter(F.col("text_chars") != F.coalesce(F.length("text"), F.lit(0))).select("doc_id").distinct(), "stale length", F.col("doc_id"), F.lit(""), "warning")
     foreign = violation(corpus.filter(~F.col("crawl_status").isin(*TERMINAL)).select("doc_id", "crawl_status").distinct(), "foreign status", F.col("doc_id"), F.col("crawl_status"), "warning")
     return no_task.unionByName(no_row).unionByName(stale).unionByName(foreign)
+
+
+# The last identifier of the Vietnamese part of the link table, hosts that belong to it, and the host of abstracts.
+VIETNAMESE_UPTO = 766_441
+VIETNAMESE_HOSTS = ("hellobacsi.com", "youmed.vn", "thaythuocvietnam.vn")
+ABSTRACT_HOST = "pubmed.ncbi.nlm.nih.gov"
+
+
+def corpus_class(doc_id: Column, url: Column) -> Column:
+    """``abstract``, ``vi`` or ``zh``: the part of the corpus that a link belongs to."""
+    host = F.coalesce(C.domain_from_url(url), F.lit("unknown"))
+    known = host.endswith(".vn")
+    for h in VIETNAMESE_HOSTS:
+        known = known | F.contains(host, F.lit(h))
+    return F.when(F.contains(F.lower(F.coalesce(url, F.lit(""))), F.lit(ABSTRACT_HOST)), "abstract").when((doc_id <= VIETNAMESE_UPTO) | known, "vi").otherwise("zh")
+
+
+def classed_delta(wanted: DataFrame, kept: DataFrame, halves: int = 2) -> DataFrame:
+    """``(doc_id, url, corpus_class, part)`` of wanted links that are not kept; abstracts are split into ``halves`` by their identifier."""
+    gone = wanted.select("doc_id", "url").distinct().join(kept.select("doc_id"), "doc_id", "left_anti")
+    named = gone.withColumn("corpus_class", corpus_class(F.col("doc_id"), F.col("url")))
+    return named.withColumn("part", F.when(F.col("corpus_class") == "abstract", F.pmod(F.col("doc_id"), F.lit(halves))).otherwise(F.lit(0)).cast("int"))
+
+
+def abstract_id(url: Column) -> Column:
+    """The last segment of an abstract's URL, its identifier there."""
+    return F.element_at(F.split(F.regexp_replace(url, "/+$", ""), "/"), -1)
+
+
+def abstract_records(links: DataFrame, answers: DataFrame) -> DataFrame:
+    """Corpus rows of ``links (doc_id, url)`` from ``answers (pmid, title, abstract)``, one row a link.
+
+    The abstract is the text, else the title; without an answer the record is NOT_FOUND, without
+    either EMPTY_CONTENT. Of several answers of an identifier the one with the longest abstract counts.
+    """
+    best = answers.filter("pmid is not null").groupBy("pmid").agg(F.max_by(F.struct("title", "abstract"), F.struct(F.length(F.coalesce("abstract", F.lit(""))), F.coalesce("abstract", F.lit("")), F.coalesce("title", F.lit("")))).alias("a"))
+    rows = links.select("doc_id", "url").dropDuplicates(["doc_id"]).withColumn("pmid", abstract_id(F.col("url"))).join(best, "pmid", "left")
+    found = F.col("a").isNotNull()
+    title, body = F.coalesce("a.title", F.lit("")), F.coalesce("a.abstract", F.lit(""))
+    text = F.when(body != "", body).otherwise(title)
+    made = rows.select("doc_id", "url", F.lit(ABSTRACT_HOST).alias("domain"), title.alias("title"), text.alias("text"), found.alias("found"))
+    status = F.when(~F.col("found"), "NOT_FOUND").when(F.col("text") != "", "SUCCESS").otherwise("EMPTY_CONTENT")
+    return made.select(
+        "doc_id", "url", F.col("url").alias("final_url"), "domain", F.lit("application/json").alias("content_type"), "title", "text", F.lit("en").alias("language"), F.sha2("text", 256).alias("content_hash"),
+        F.when(F.col("found"), 200).otherwise(404).alias("http_status"), status.alias("crawl_status"), F.length("text").alias("text_chars"), F.octet_length("text").cast("long").alias("bytes_downloaded"),
+    )
+
+
+def merged(rows: DataFrame, tasks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(winners, violations)`` of a merge: rows whose URL is not their task's are rejected before it.
+
+    Violations: such rows, rows without a task, and finished tasks without any row.
+    """
+    known = tasks.groupBy("doc_id").agg(F.min("url").alias("task_url"), F.max(F.col("status").isin(*TERMINAL)).alias("done"))
+    j = rows.join(known, "doc_id", "left")
+    foreign = F.col("task_url").isNotNull() & (F.col("task_url") != F.col("url"))
+    good = j.filter(F.col("task_url").isNotNull() & ~foreign).select(*rows.columns)
+    bad = violation(j.filter(foreign), "another URL than the task's", F.col("doc_id"), F.col("url"))
+    lone = violation(j.filter("task_url is null"), "no task", F.col("doc_id"), F.col("url"))
+    lost = violation(known.filter("done").join(good.select("doc_id"), "doc_id", "left_anti"), "no row", F.col("doc_id"), F.col("task_url"))
+    return winners(good), bad.unionByName(lone).unionByName(lost)

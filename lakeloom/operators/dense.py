@@ -35,20 +35,56 @@ def hashing_encoder(dim: int = 64) -> Callable[[list[str]], np.ndarray]:
     return encode
 
 
-def encode(df: DataFrame, column: str, to: str = "vector", encoder: Callable[[list[str]], np.ndarray] | None = None, done: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
-    """``df`` with a vector of ``column``; rows whose ``key`` is in ``done`` are skipped (resume)."""
+def pooled(token_vectors: np.ndarray, mask: np.ndarray, how: str = "mean") -> np.ndarray:
+    """One vector a text from its tokens' ``(texts, tokens, dim)``: their mean, the first (``cls``) or the last one of the mask."""
+    if how == "mean":
+        return (token_vectors * mask[:, :, None]).sum(axis=1) / np.maximum(mask.sum(axis=1), 1)[:, None]
+    if how == "cls":
+        return token_vectors[:, 0]
+    if how == "last":
+        return token_vectors[np.arange(len(mask)), np.maximum(mask.shape[1] - 1 - mask[:, ::-1].argmax(axis=1), 0)]
+    raise ValueError(f"unknown pooling {how}")
+
+
+def encode(df: DataFrame, column: str, to: str = "vector", encoder: Callable[[list[str]], np.ndarray] | None = None, done: DataFrame | None = None, key: str = "doc_id", prefix: str = "", normalise: bool = True) -> DataFrame:
+    """``df`` with a vector of ``column``; rows whose ``key`` is in ``done`` are skipped (resume).
+
+    ``prefix`` (an instruction, for queries) stands before each text; a null text has a null vector.
+    Vectors have unit length with ``normalise``; a zero vector stays.
+    """
     ship(df.sparkSession)
     made = encoder or hashing_encoder()
 
     @F.pandas_udf(ArrayType(FloatType()))
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(made(list(texts))))
+        known = texts.notna()
+        v = np.asarray(made([prefix + t for t in texts[known]]), dtype=np.float32) if known.any() else np.empty((0, 1), dtype=np.float32)
+        if normalise:
+            size = np.linalg.norm(v, axis=1, keepdims=True)
+            v = v / np.where(size > 0, size, 1)
+        made_in_order = iter(v)
+        return pd.Series([next(made_in_order) if k else None for k in known], dtype=object)
 
     if done is not None:
         df = df.join(done.select(key), key, "left_anti")
     return df.withColumn(to, run(F.col(column)))
 
 
+def encode_in_parts(df: DataFrame, path: str, column: str, parts: int, key: str = "doc_id", **options) -> int:
+    """Encode ``df`` into ``path`` in ``parts`` by the hash of ``key``; parts that are complete are not made again. Their number."""
+    spark = df.sparkSession
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    made = 0
+    for p in range(parts):
+        place = f"{path}/part={p}"
+        done = fs_path(f"{place}/_SUCCESS")
+        if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+            continue
+        encode(df.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == p), column, **options).write.mode("overwrite").parquet(place)
+        made += 1
+    return made
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """``(query_id, vec_id, score, rank)`` by exact inner product; ties go to the smaller id.
 
@@ -56,10 +92,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_i
     best ``k`` a query. Null vectors and vectors of another length are left out.
     """
     ship(vectors.sparkSession)
-    rows = queries.filter(F.col(column).isNotNull()).select("query_id", column).collect()
-    dim = len(rows[0][column]) if rows else 0
-    if len(rows) * dim > MAX_QUERY_FLOATS:
+    asked = queries.filter(F.col(column).isNotNull()).select("query_id", column)
+    if (asked.agg(F.sum(F.size(column))).first()[0] or 0) > MAX_QUERY_FLOATS:
         raise ValueError("too many query vectors for one search; search in parts")
+    rows = asked.collect()
+    dim = len(rows[0][column]) if rows else 0
     shared = vectors.sparkSession.sparkContext.broadcast((np.array([r.query_id for r in rows], dtype=np.int64), np.array([r[column] for r in rows], dtype=np.float64).reshape(len(rows), dim)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,6 +138,15 @@ def second_best_apart(hits: DataFrame, index: str = "chunk_index", document: str
     return far.groupBy("query_id", document).agg(F.min("first_index").alias("first_index"), F.min_by(F.col(index), F.struct((-F.col("score")).alias("s"), F.col(index))).alias("second_index"))
 
 
+def snippets(chunks: DataFrame, least_words: int = 120, most_chars: int = 1200) -> DataFrame:
+    """``(doc_id, chunk_index, snippet)``: a chunk, with the next one if it has fewer than ``least_words`` words, cut to ``most_chars``."""
+    following = chunks.select("doc_id", (F.col("chunk_index") - 1).alias("chunk_index"), F.col("text").alias("following"))
+    words = F.size(F.split(F.trim(F.coalesce("text", F.lit(""))), r"\s+"))
+    joined = chunks.join(following, ["doc_id", "chunk_index"], "left")
+    whole = F.when((words < least_words) & F.col("following").isNotNull(), F.concat_ws(" ", "text", "following")).otherwise(F.coalesce("text", F.lit("")))
+    return joined.select("doc_id", "chunk_index", F.substring(whole, 1, most_chars).alias("snippet"))
+
+
 def rerank(hits: DataFrame, scorer: Callable[[DataFrame], DataFrame], top: int = 200, keep: int = 100) -> DataFrame:
     """The first ``top`` hits in the order of a plug-in score: ``scorer`` adds the column ``rerank_score``."""
     scored = scorer(hits.filter(F.col("rank") <= top))

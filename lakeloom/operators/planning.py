@@ -71,11 +71,14 @@ def assign(links: DataFrame, work: DataFrame, workers: int = 6) -> DataFrame:
     sums = rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).join(work, "domain", "left").select("domain", "n", F.coalesce(F.col("estimated_work"), F.col("n").cast("double")).alias("w"))
     total = sums.agg(F.sum("w")).first()[0] or 0.0
     small = F.concat(F.lit("#"), F.pmod(F.xxhash64("domain"), F.lit(BUCKETS)).cast("string"))
-    sums = sums.withColumn("unit", F.when(F.col("w") < total / (workers * SMALL_SHARE), small).otherwise(F.col("domain")))
+    is_small = F.col("w") < total / (workers * SMALL_SHARE)
+    large = F.broadcast(sums.filter(~is_small).select("domain", F.col("domain").alias("own")))  # at most workers * SMALL_SHARE rows
+    sums = sums.withColumn("unit", F.when(is_small, small).otherwise(F.col("domain")))
     units = sums.groupBy("unit").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).collect()
     plan = balance({r.unit: r.w for r in units}, {r.unit: r.n for r in units}, workers)
     table = links.sparkSession.createDataFrame(plan, "unit string, split_part int, split_parts int, worker_id int")
-    routed = rows.join(sums.select("domain", "unit"), "domain").join(F.broadcast(table.groupBy("unit").agg(F.first("split_parts").alias("k"))), "unit")
+    # A row's unit is its domain if that is large, else its bucket: no row moves for it.
+    routed = rows.join(large, "domain", "left").withColumn("unit", F.coalesce("own", small)).drop("own").join(F.broadcast(table.groupBy("unit").agg(F.first("split_parts").alias("k"))), "unit")
     routed = routed.withColumn("split_part", F.pmod(C.stable_int(F.col("doc_id"), "route"), F.col("k")).cast("int")).drop("k")
     return routed.join(F.broadcast(table.drop("split_parts")), ["unit", "split_part"]).drop("unit")
 
@@ -85,10 +88,19 @@ def worker_summary(assigned: DataFrame) -> DataFrame:
     return per.groupBy("worker_id").agg(F.sum("n").alias("n_urls"), F.count(F.lit(1)).alias("n_domains"), F.max("n").alias("largest_domain"))
 
 
-def check_assignment(links: DataFrame, assigned: DataFrame) -> DataFrame:
-    """Violations: rows lost, invented or assigned twice."""
+def check_assignment(links: DataFrame, assigned: DataFrame, plan: DataFrame | None = None) -> DataFrame:
+    """Violations: rows lost, invented or assigned twice, and domains at more workers than they have parts.
+
+    ``plan`` is ``(worker_id, n_urls)``: workers whose number of rows differs are violations too.
+    """
     a, b = links.select("doc_id"), assigned.select("doc_id")
     lost = violation(a.join(b, "doc_id", "left_anti"), "not assigned", F.col("doc_id"), F.lit(""))
     new = violation(b.join(a, "doc_id", "left_anti"), "not in the links", F.col("doc_id"), F.lit(""))
     twice = violation(b.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "assigned twice", F.col("doc_id"), F.col("n"))
-    return lost.unionByName(new).unionByName(twice)
+    homes = assigned.select("domain", "split_part", "worker_id").distinct().groupBy("domain", "split_part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    out = lost.unionByName(new).unionByName(twice).unionByName(violation(homes, "part at several workers", F.col("domain"), F.col("n")))
+    if plan is not None:
+        have = assigned.groupBy("worker_id").agg(F.count(F.lit(1)).alias("have"))
+        differ = have.join(plan.select("worker_id", "n_urls"), "worker_id", "full_outer").filter("coalesce(have, 0) <> coalesce(n_urls, 0)")
+        out = out.unionByName(violation(differ, "worker's total differs", F.col("worker_id"), F.coalesce("have", F.lit(0))))
+    return out

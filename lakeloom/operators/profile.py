@@ -71,11 +71,44 @@ def target_timings(log: DataFrame) -> DataFrame:
     return clean_timings(log).groupBy("fetch_key").agg(F.min("domain").alias("domain"), F.count(F.lit(1)).alias("attempts"), F.sum("elapsed_seconds").alias("seconds"), F.max_by("status", "attempt").alias("status"))
 
 
+#: Steps a doubling of the value by which quantiles are narrowed down.
+STEPS = 64
+
+
+def quantiles(rows: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """Per group ``n``, the exact median and the nearest-rank 95th percentile of ``value`` (>= 0); nulls are left out.
+
+    A histogram over a fixed scale tells in which step each wanted rank lies; only the distinct
+    values of those steps are counted and ordered. No group's values meet in one buffer.
+    """
+    v = F.col(value)
+    step = F.when(v > 0, F.floor(F.log2(v) * STEPS)).otherwise(F.lit(-(1 << 20))).cast("long")
+    seen = rows.filter(v.isNotNull()).select(*groups, v.alias("_v"), step.alias("_step"))
+    keys = [F.coalesce(F.col(g).cast("string"), F.lit("\x00")).alias(f"_k{i}") for i, g in enumerate(groups)]
+    names = [f"_k{i}" for i in range(len(groups))]
+    seen = seen.select(*groups, *keys, "_v", "_step")
+    w = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
+    bins = seen.groupBy(*groups, *names, "_step").agg(F.count(F.lit(1)).alias("_c"))
+    bins = bins.withColumn("_n", F.sum("_c").over(w)).withColumn("_to", F.sum("_c").over(w.orderBy("_step"))).withColumn("_from", F.col("_to") - F.col("_c"))
+    ranks = F.array(F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2), F.ceil(F.col("_n") * 0.95) - 1)
+    wanted = bins.select("*", F.posexplode(ranks).alias("_which", "_rank")).filter((F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
+    steps = wanted.select(*names, "_step").distinct()
+    values = seen.join(steps, [*names, "_step"], "left_semi").groupBy(*names, "_step", "_v").agg(F.count(F.lit(1)).alias("_m"))
+    upto = F.sum("_m").over(Window.partitionBy(*names, "_step").orderBy("_v"))
+    values = values.withColumn("_upto", upto).withColumn("_above", upto - F.col("_m"))
+    at = F.col("_rank") - F.col("_from")
+    found = wanted.join(values, [*names, "_step"]).filter((at >= F.col("_above")) & (at < F.col("_upto")))
+
+    def pick(which: int) -> Column:
+        return F.max(F.when(F.col("_which") == which, F.col("_v")))
+
+    out = found.groupBy(*groups, *names).agg(F.max("_n").alias("n"), pick(0).alias("_a"), pick(1).alias("_b"), pick(2).alias("p95"))
+    return out.select(*groups, "n", ((F.col("_a") + F.col("_b")) / 2).alias("median"), "p95")
+
+
 def latency_profile(log: DataFrame) -> DataFrame:
     """``(domain, n, median_seconds, p95_seconds, cost)`` of the targets' seconds."""
-    t = target_timings(log).filter("seconds is not null")
-    p95 = F.expr("percentile_disc(0.95) within group (order by seconds)")
-    per = t.groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.median("seconds").alias("median_seconds"), p95.alias("p95_seconds"))
+    per = quantiles(target_timings(log), ["domain"], "seconds").withColumnsRenamed({"median": "median_seconds", "p95": "p95_seconds"})
     return per.withColumn("cost", 0.7 * F.col("median_seconds") + 0.3 * F.col("p95_seconds"))
 
 
@@ -90,10 +123,10 @@ def domain_profile(tasks: DataFrame, log: DataFrame, prior: float = 20.0, robots
     rates = done.groupBy("domain", C.cost_category(F.col("status")).alias("category")).agg(F.count(F.lit(1)).alias("k"))
     whole = rates.groupBy("domain").agg(F.sum("k").alias("sample_count"))
     t = target_timings(log).filter("seconds is not null").withColumn("category", C.cost_category(F.col("status"))).filter("category <> 'ROBOTS_DENIED'")
-    p95 = "percentile_disc(0.95) within group (order by seconds)"
-    own = t.groupBy("domain", "category").agg(F.count(F.lit(1)).alias("n"), F.expr(f"0.7 * median(seconds) + 0.3 * {p95}").alias("own_cost"))
-    over = t.groupBy("category").agg(F.expr(f"0.7 * median(seconds) + 0.3 * {p95}").alias("category_cost"))
-    every = t.agg(F.expr(f"0.7 * median(seconds) + 0.3 * {p95}").alias("any_cost"))
+    cost = 0.7 * F.col("median") + 0.3 * F.col("p95")
+    own = quantiles(t, ["domain", "category"], "seconds").select("domain", "category", "n", cost.alias("own_cost"))
+    over = quantiles(t, ["category"], "seconds").select("category", cost.alias("category_cost"))
+    every = quantiles(t, [], "seconds").agg(F.max(cost).alias("any_cost"))
     x = rates.join(whole, "domain").join(own, ["domain", "category"], "left").join(F.broadcast(over), "category", "left")  # six categories
     base = F.coalesce(F.col("category_cost"), every.scalar())
     weight = F.coalesce(F.col("n") / (F.col("n") + prior), F.lit(0.0))

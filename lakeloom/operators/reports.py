@@ -27,8 +27,8 @@ def storage_projection(tasks: DataFrame) -> DataFrame:
 
 def slow_domains(log: DataFrame, n: int = 20, least: int = 5) -> DataFrame:
     """Domains with the longest mean attempt, of those with ``least`` timed attempts."""
-    per = log.filter("elapsed_seconds is not null").groupBy("domain").agg(F.count(F.lit(1)).alias("n_attempts"), F.round(F.avg("elapsed_seconds") + 1e-9, 6).alias("mean_seconds"))
-    return per.filter(F.col("n_attempts") >= least).orderBy(F.desc("mean_seconds"), "domain").limit(n)
+    per = log.filter("elapsed_seconds is not null").groupBy("domain").agg(F.count(F.lit(1)).alias("n_attempts"), F.avg("elapsed_seconds").alias("mean_seconds"))
+    return per.filter(F.col("n_attempts") >= least).orderBy(F.desc(F.round("mean_seconds", 9)), "domain").limit(n)
 
 
 def failing_domains(log: DataFrame, n: int = 20) -> DataFrame:
@@ -61,7 +61,7 @@ def robots_decision(http_status: Column) -> Column:
 
 def script_language(text: Column) -> Column:
     """vi, en, zh or unknown by script and letters alone; texts under 20 characters are unknown."""
-    head = F.substring(text, 1, 3000)
+    head = text
     han = F.length(F.regexp_replace(head, r"[^\x{3400}-\x{9fff}]", ""))
     marked = F.length(F.regexp_replace(F.lower(head), "[^ăâđêôơưàảãáạằẳẵắặầẩẫấậèẻẽéẹềểễếệìỉĩíịòỏõóọồổỗốộờởỡớợùủũúụừửữứựỳỷỹýỵ]", ""))
     letters = F.length(F.regexp_replace(head, r"[^\p{L}]", ""))

@@ -21,10 +21,11 @@ def targets(tasks: DataFrame) -> DataFrame:
     )
 
 
-def fair_claim(tasks: DataFrame, now: float, limit: int, per_domain: int | None = None, closed: list[str] | None = None) -> DataFrame:
+def fair_claim(tasks: DataFrame, now: float, limit: int, per_domain: int | None = None, closed: list[str] | None = None, in_flight: DataFrame | None = None) -> DataFrame:
     """``(fetch_key, domain, claim_no)`` of the next ``limit`` targets: due retries first, then in turn over domains.
 
     A domain's queue is cut to ``limit`` before ranks are compared, and domains of ``closed`` wait.
+    ``in_flight`` is ``(domain, n)``: what a domain has under way counts against ``per_domain``.
     """
     ready = targets(due(tasks, now)).filter(F.col("domain").isNotNull())
     if closed:
@@ -32,10 +33,19 @@ def fair_claim(tasks: DataFrame, now: float, limit: int, per_domain: int | None
     retry = F.when(F.col("status") == "RETRY_WAIT", 0).otherwise(1)
     turn = F.row_number().over(Window.partitionBy("domain").orderBy(retry, F.coalesce("next_retry_at", F.lit(0.0)), "first_doc", "fetch_key"))
     ranked = ready.withColumn("turn", turn).filter(F.col("turn") <= (per_domain or limit)).withColumn("late", retry)
+    if in_flight is not None and per_domain:
+        busy = in_flight.groupBy("domain").agg(F.sum("n").alias("under_way"))
+        ranked = ranked.join(busy, "domain", "left").filter(F.col("turn") + F.coalesce("under_way", F.lit(0)) <= per_domain).drop("under_way")
     first = ranked.orderBy("late", "turn", "domain", "fetch_key").limit(limit)
     return first.withColumn("claim_no", F.row_number().over(Window.orderBy("late", "turn", "domain", "fetch_key"))).select("fetch_key", "domain", "claim_no")
 
 
+def even_quota(tasks: DataFrame, now: float, limit: int) -> int:
+    """Targets a domain may claim of ``limit`` where all domains with due tasks share it evenly, rounded up."""
+    n = due(tasks, now).filter("domain is not null").agg(F.count_distinct("domain")).first()[0]
+    return -(-limit // n) if n else limit
+
+
 def claim(tasks: DataFrame, claimed: DataFrame) -> DataFrame:
     """State after a claim: all documents of a claimed target are being fetched, with one attempt more."""
     mark = claimed.select("fetch_key", F.lit(True).alias("taken"))
@@ -78,5 +88,29 @@ def recovery_targets(tasks: DataFrame, domains: list[str], statuses: list[str],
 
 
 def fan_out(tasks: DataFrame) -> DataFrame:
-    """``(fetch_key, n_docs, docs)`` of targets that several documents share."""
-    return tasks.groupBy("fetch_key").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("n_docs > 1")
+    """``(fetch_key, doc_id, n_docs)``: one row a document of each target that several documents share.
+
+    A target's documents are rows, never one array, so that no target is too large.
+    """
+    rows = tasks.filter("fetch_key is not null").select("fetch_key", "doc_id").distinct()
+    shared = rows.groupBy("fetch_key").agg(F.count(F.lit(1)).alias("n_docs")).filter("n_docs > 1")
+    return rows.join(shared, "fetch_key").select("fetch_key", "doc_id", "n_docs")
+
+
+def domain_queue(tasks: DataFrame, now: float, delay: float = 1.0) -> DataFrame:
+    """``(fetch_key, domain, place, not_before)``: each domain's waiting targets in order, ``delay`` seconds apart.
+
+    Retries that are due come first, then new targets by their first document. Places come from
+    counts over slices of the order, so a domain of any size is never sorted in one task.
+    """
+    ready = targets(due(tasks, now)).filter("domain is not null")
+    late = F.when(F.col("status") == "RETRY_WAIT", 0).otherwise(1)
+    ordered = ready.select("fetch_key", "domain", late.alias("late"), F.coalesce("next_retry_at", F.lit(0.0)).alias("since"), "first_doc")
+    # Retries go by time, new targets by document: both into slices that keep the order.
+    part = F.when(F.col("late") == 0, F.floor(F.col("since") / 3600)).otherwise(F.floor(F.col("first_doc") / 1024))
+    ordered = ordered.withColumn("slice", part.cast("long"))
+    sizes = ordered.groupBy("domain", "late", "slice").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("domain").orderBy("late", "slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = ordered.join(sizes.withColumn("before", before).drop("n"), ["domain", "late", "slice"])
+    within = F.row_number().over(Window.partitionBy("domain", "late", "slice").orderBy("since", "first_doc", "fetch_key"))
+    return placed.withColumn("place", F.col("before") + within).select("fetch_key", "domain", "place", (F.lit(now) + (F.col("place") - 1) * F.lit(delay)).alias("not_before"))

@@ -69,7 +69,7 @@ TIMED = """
 COST = "0.7 * median(seconds) + 0.3 * quantile_disc(seconds, 0.95)"
 
 
-def bm25(name: str, fields: dict[str, float], k: int = 10) -> str:
+def bm25(name: str, fields: dict[str, float], k: int = 1000) -> str:
     """CTEs of a search of documents by the titles of every fiftieth document."""
     out = [f"{name}_q as (select doc_id as query_id, unnest({tokens('title')}) as token from documents where doc_id % 50 = 0 and title is not null)", f"{name}_u as (select query_id, token, count(*) as uses from {name}_q group by all)"]
     scores = []
@@ -86,10 +86,13 @@ def bm25(name: str, fields: dict[str, float], k: int = 10) -> str:
     return ", ".join(out)
 
 
+#: The log with attempts logged a second time with another status.
+PLANTED = "select fetch_key, attempt, status from timing_log union all select fetch_key, attempt, 'PLANTED' from timing_log where attempt = 1 and fetch_key like '%0'"
+
 DENSE = """
     pairs as (select q.vec_id as query_id, v.vec_id, round(list_inner_product(cast(q.embedding as double[]), cast(v.embedding as double[])), 6) as score
         from embeddings q, embeddings v where q.vec_id % 50 = 0 and v.embedding is not null),
-    dense as (select query_id, vec_id, score, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from pairs qualify rank <= 40)
+    dense as (select query_id, vec_id, score, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from pairs qualify rank <= 500)
 """
 
 RISK = rf"""
@@ -141,9 +144,10 @@ def sql() -> dict[str, str]:
     u = normalized("url")
     best = f"row_number() over (partition by doc_id order by {RANK} desc, (content_hash is not null) desc, coalesce(text_chars, 0) desc, coalesce(http_status, 0) desc, coalesce(content_hash, '') desc, coalesce(text, '') desc, crawl_status desc, coalesce(bytes_downloaded, 0) desc)"
     matrix = ", ".join(f"count(*) filter (status = '{s}') as n_{s.lower()}" for s in PROFILED.strip("()").replace("'", "").split(","))
-    two = f"{bm25('lexical', {'text': 1.0})}, {bm25('titles', {'title': 1.0})}"
+    two = f"{bm25('lexical', {'title': 2.0, 'text': 1.0})}, {DENSE}, chunks as (select query_id, vec_id // 4 as doc_id, max(score) as score from dense group by all), vectors as (select query_id, doc_id, score, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from chunks qualify rank <= 1000)"
     fused = """, fused as (select coalesce(l.query_id, d.query_id) as query_id, coalesce(l.doc_id, d.doc_id) as doc_id, l.rank as lexical_rank, d.rank as dense_rank,
-        round(coalesce(1.0 / (60 + l.rank), 0) + coalesce(1.0 / (60 + d.rank), 0), 9) as fused_score from lexical l full join titles d on l.query_id = d.query_id and l.doc_id = d.doc_id)"""
+        round(coalesce(1.0 / (60 + l.rank), 0) + coalesce(1.0 / (60 + d.rank), 0), 9) as fused_score from lexical l full join vectors d on l.query_id = d.query_id and l.doc_id = d.doc_id),
+        first as (select *, cast(row_number() over (partition by query_id order by fused_score desc, coalesce(lexical_rank, 999999), doc_id) as integer) as final_rank from fused qualify final_rank <= 1000)"""
     return {
         "url_keys": f"select distinct doc_id, {u} as normalized_url, {host('url')} as host, sha256({u}) as fetch_key, lower({part('url', 3)}) like '%.pdf' as is_pdf from corpus",
         "source_report": f"with u as (select {u} as u, count(*) as n, sum(case when lower({part('url', 3)}) like '%.pdf' then 1 else 0 end) as pdf from crawl_tasks group by 1) select cast(sum(n) as bigint) as n_rows, count(u) as n_urls, cast(sum(case when u is not null then n - 1 else 0 end) as bigint) as n_repeats, cast(sum(case when u is null then n else 0 end) as bigint) as n_invalid, cast(sum(case when u is not null then pdf else 0 end) as bigint) as n_pdf from u",
@@ -152,10 +156,10 @@ def sql() -> dict[str, str]:
         "status_counts": "select coalesce(status, 'TOTAL') as status, count(*) as n from crawl_tasks group by rollup(status)",
         "domain_status_matrix": f"select domain, count(*) as n_tasks, {matrix} from crawl_tasks group by domain",
         "content_duplicates": "select content_hash, count(distinct doc_id) as n_docs, min(doc_id) as first_doc from corpus where content_hash is not null group by content_hash having count(distinct doc_id) > 1",
-        "fetch_fanout": "select fetch_key, count(*) as n_docs, min(doc_id) as first_doc, max(doc_id) as last_doc from crawl_tasks group by fetch_key having count(*) > 1",
+        "fetch_fanout": "with r as (select distinct fetch_key, doc_id from crawl_tasks where fetch_key is not null), n as (select fetch_key, count(*) as n_docs from r group by fetch_key having count(*) > 1) select fetch_key, doc_id, n_docs from r join n using (fetch_key)",
         "target_timings": f"with {TIMED} select fetch_key, domain, attempts, round(seconds, 6) as seconds, status from targets",
-        "timing_conflicts": "select fetch_key, attempt from timing_log group by all having min(status) <> max(status)",
-        "latency_profile": f"with {TIMED} select domain, count(*) as n, round(median(seconds) + 1e-9, 6) as median_seconds, round(quantile_disc(seconds, 0.95) + 1e-9, 6) as p95_seconds, round({COST} + 1e-9, 6) as cost from targets where seconds is not null group by domain",
+        "timing_conflicts": f"with l as ({PLANTED}) select fetch_key, attempt from l group by all having min(status) <> max(status)",
+        "latency_profile": f"with {TIMED} select domain, count(*) as n, round(median(seconds), 9) as median_seconds, round(quantile_disc(seconds, 0.95), 9) as p95_seconds, round({COST}, 9) as cost from targets where seconds is not null group by domain",
         "domain_work": f"""with {TIMED},
             rates as (select domain, {CATEGORY} as category, count(*) as k from crawl_tasks where status in {PROFILED} group by all),
             whole as (select domain, sum(k) as sample_count from rates group by all), total as (select domain, count(*) as n_urls from crawl_tasks group by all),
@@ -191,17 +195,36 @@ def sql() -> dict[str, str]:
         "fair_claim": f"with {READY} select fetch_key, domain, claim_no from claimed",
         "claimed_state": f"with {READY} select doc_id, case when c.fetch_key is not null then 'FETCHING' else status end as status, case when c.fetch_key is not null then attempts + 1 else attempts end as attempts from crawl_tasks t left join claimed c using (fetch_key)",
         "recovery_targets": "select doc_id, domain, status from crawl_tasks where domain = 'marrow-daily.test' or status in ('NEEDS_JS', 'FAILED') or (status = 'SUCCESS' and coalesce(text_chars, 0) < 200)",
-        "fetch_metrics": "with d as (select distinct on (fetch_key, attempt, finished_at) * from timing_log) select cast(epoch(date_trunc('hour', finished_at)) as bigint) as window_start, domain, count(*) as n_attempts, count(*) filter (status = 'SUCCESS') as n_success, round(avg(elapsed_seconds) + 1e-9, 6) as mean_seconds from d group by all",
+        "fetch_metrics": "with d as (select distinct on (fetch_key, attempt, finished_at) * from timing_log) select cast(epoch(date_trunc('hour', finished_at)) as bigint) as window_start, domain, count(*) as n_attempts, count(*) filter (status = 'SUCCESS') as n_success, round(avg(elapsed_seconds), 9) as mean_seconds from d group by all",
         "bm25_topk": f"with {bm25('hits', {'title': 2.0, 'text': 1.0})} select * from hits",
-        "bm25_levels": f"with {bm25('hits', {'title': 2.0, 'text': 1.0})} select cast(k as integer) as k, count(*) as n_hits, count(distinct doc_id) as n_docs, round(count(distinct doc_id) / count(*), 6) as unique_ratio from hits, (select unnest([1, 5, 10]) as k) where rank <= k group by k",
+        "bm25_levels": f"with {bm25('hits', {'title': 2.0, 'text': 1.0})} select cast(k as integer) as k, count(*) as n_hits, count(distinct doc_id) as n_docs, round(count(distinct doc_id) / count(*), 6) as unique_ratio from hits, (select unnest([1, 5, 10, 100, 1000]) as k) where rank <= k group by k",
         "bm25_union": f"with {bm25('hits', {'title': 2.0, 'text': 1.0})} select doc_id, count(*) as match_count, min(rank) as best_rank, max(score) as best_score, string_agg(cast(query_id as varchar), ',' order by query_id) as query_ids from hits group by doc_id",
         "dense_topk": f"with {DENSE} select query_id, vec_id, score, rank from dense",
         "dense_documents": f"""with {DENSE}, per as (select query_id, vec_id // 4 as doc_id, max(score) as score, arg_min(vec_id, rank) as best_chunk from dense group by all)
-            select query_id, doc_id, score, best_chunk, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from per qualify rank <= 10""",
+            select query_id, doc_id, score, best_chunk, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from per qualify rank <= 1000""",
         "dense_second": f"""with {DENSE}, h as (select query_id, vec_id // 4 as doc_id, vec_id % 4 as chunk_index, score from dense), f as (select *, first_value(chunk_index) over (partition by query_id, doc_id order by score desc, chunk_index) as first_index from h)
             select query_id, doc_id, min(first_index) as first_index, arg_min(chunk_index, row(-score, chunk_index)) as second_index from f where abs(chunk_index - first_index) >= 2 group by query_id, doc_id""",
-        "rrf_fusion": f"with {two}{fused} select query_id, doc_id, lexical_rank, dense_rank, fused_score, cast(row_number() over (partition by query_id order by fused_score desc, coalesce(lexical_rank, 999999), doc_id) as integer) as final_rank from fused",
-        "rrf_stats": f"with {two}{fused} select count(*) as n_hits, count(*) filter (lexical_rank is not null and dense_rank is not null) as n_both, count(*) filter (dense_rank is null) as n_lexical_only, count(*) filter (lexical_rank is null) as n_dense_only from fused",
+        "rrf_fusion": f"with {two}{fused} select query_id, doc_id, lexical_rank, dense_rank, fused_score, final_rank from first",
+        "rrf_stats": f"with {two}{fused} select count(*) as n_hits, count(*) filter (lexical_rank is not null and dense_rank is not null) as n_both, count(*) filter (dense_rank is null) as n_lexical_only, count(*) filter (lexical_rank is null) as n_dense_only from first",
+        "wide_passages": rf"""with l as (select doc_id, chunk_index, text, row_number() over (partition by doc_id order by chunk_index) as place from (select doc_id, cast(unnest(range(len(string_split(text, chr(10))))) as integer) as chunk_index, unnest(string_split(text, chr(10))) as text from documents where text is not null) where trim(text, ' ') <> ''),
+            o as (select * from (values (0, 0), (1, 1), (-1, 2), (2, 3), (-2, 4), (3, 5), (-3, 6), (4, 7), (-4, 8)) as t(far, turn)),
+            j as (select a.doc_id, a.chunk_index, far, turn, b.text, len(regexp_split_to_array({strip("b.text")}, '{WS}+')) as n from l a, o, l b where b.doc_id = a.doc_id and b.place = a.place + far),
+            k as (select *, coalesce(sum(n) over (partition by doc_id, chunk_index order by turn rows between unbounded preceding and 1 preceding), 0) as before from j)
+            select doc_id, chunk_index, cast(sum(n) as integer) as n_words, cast(length(string_agg(text, ' ' order by far)) as integer) as n_chars from k where before < 60 group by all""",
+        "result_violations": """with q as (select doc_id as q, (doc_id // 50) % 10 as c from documents where doc_id % 50 = 0)
+            select 'id is no integer' as "check", 'error' as severity, cast(q as varchar) as key, 'STRING' as detail from q where c = 1
+            union all select 'document twice', 'error', cast(q as varchar), cast(q as varchar) from q where c in (2, 9)
+            union all select 'query is missing', 'error', cast(q as varchar), '' from q where c = 3
+            union all select 'chunk without text', 'error', cast(q as varchar), '0' from q where c = 4
+            union all select 'prefix leaks', 'error', cast(q as varchar), '0' from q where c = 5
+            union all select 'forbidden field', 'error', cast(q as varchar), 'score' from q where c = 6
+            union all select 'chunk of no relevant document', 'warning', cast(q as varchar), cast(q + 7 as varchar) from q where c = 7
+            union all select 'relevant_docs is no array', 'error', cast(q as varchar), '' from q where c = 8
+            union all select 'chunk of no relevant document', 'warning', cast(q as varchar), cast(q as varchar) from q where c = 8
+            union all select 'query twice', 'error', cast(q as varchar), '2' from q where c = 9
+            union all select 'unknown query', 'error', '999999999', ''
+            union all select 'document is not in the corpus', 'warning', '999999999', '-1'
+            union all select 'not JSON', 'error', 'item 777', ''""",
         "neighbour_lines": "with l as (select doc_id, cast(unnest(range(len(string_split(text, chr(10))))) as integer) as chunk_index, unnest(string_split(text, chr(10))) as text from documents where text is not null) select a.doc_id, a.chunk_index, b.text as before, c.text as after from l a left join l b on a.doc_id = b.doc_id and a.chunk_index = b.chunk_index + 1 left join l c on a.doc_id = c.doc_id and a.chunk_index = c.chunk_index - 1",
         "archive_groups": """with r as (select l_suppkey as filename, l_orderkey * 1000 + l_linenumber as "offset", cast(l_quantity as bigint) as length from lineitem),
             e as (select *, max("offset" + length) over (partition by filename order by "offset", length rows between unbounded preceding and 1 preceding) as before_end from r),
@@ -224,15 +247,15 @@ def sql() -> dict[str, str]:
             round(case when again then {NOW} + least(3600.0, 30 * pow(2, greatest(attempts, 1) - 1) + ({stable_int('fetch_key', 'retry')} % 1000) / 1000.0) when hit then null else next_retry_at end, 3) as next_retry_at from r""",
         "error_breakdown": r"with e as (select status, upper(regexp_replace(" + strip("coalesce(error_type, '')") + r", '[\s-]+', '_', 'g')) as error, http_status, count(*) as n from crawl_tasks group by all) select * from e order by n desc, status, error, http_status nulls first limit 30",
         "storage_projection": "select count(*) as n_tasks, count(*) filter (status = 'SUCCESS') as n_done, cast(sum(bytes_downloaded) filter (status = 'SUCCESS') as bigint) as bytes_done, cast(sum(text_chars) filter (status = 'SUCCESS') as bigint) as chars_done, round(sum(bytes_downloaded) filter (status = 'SUCCESS') * (count(*) / count(*) filter (status = 'SUCCESS')), 3) as bytes_projected from crawl_tasks",
-        "slow_domains": "select domain, count(*) as n_attempts, round(avg(elapsed_seconds) + 1e-9, 6) as mean_seconds from timing_log where elapsed_seconds is not null group by domain having count(*) >= 5 order by mean_seconds desc, domain limit 20",
+        "slow_domains": "select domain, count(*) as n_attempts, round(avg(elapsed_seconds), 9) as mean_seconds from timing_log where elapsed_seconds is not null group by domain having count(*) >= 5 order by mean_seconds desc, domain limit 20",
         "failing_domains": "select domain, count(*) filter (status <> 'SUCCESS') as n_failed, count(*) as n_attempts from timing_log group by domain having count(*) filter (status <> 'SUCCESS') > 0 order by n_failed desc, domain limit 20",
         "robots_decisions": "select case when http_status is null then 'retry' when http_status between 200 and 299 then 'read' when http_status in (401, 403) then 'deny' when http_status between 400 and 499 then 'allow' when http_status between 520 and 529 then 'allow for an hour' else 'retry' end as decision, count(*) as n from crawl_tasks group by 1",
-        "composition": r"""with f as (select doc_id, text, substr(text, 1, 3000) as head from corpus where text is not null), g as (select distinct doc_id, length(text) >= 50 as has_text, case when length(text) < 20 then 'unknown'
+        "composition": r"""with f as (select doc_id, text, text as head from corpus where text is not null), g as (select distinct doc_id, length(text) >= 50 as has_text, case when length(text) < 20 then 'unknown'
             when length(regexp_replace(head, '[^\x{3400}-\x{9fff}]', '', 'g')) > 0.3 * length(regexp_replace(head, '[^\p{L}]', '', 'g')) then 'zh'
             when length(regexp_replace(lower(head), '[^ăâđêôơưàảãáạằẳẵắặầẩẫấậèẻẽéẹềểễếệìỉĩíịòỏõóọồổỗốộờởỡớợùủũúụừửữứựỳỷỹýỵ]', '', 'g')) > 0.05 * length(regexp_replace(head, '[^\p{L}]', '', 'g')) then 'vi'
             when length(regexp_replace(head, '[^\p{L}]', '', 'g')) > 0.4 * length(head) then 'en' else 'unknown' end as language_guess from f) select language_guess, has_text, count(*) as n_docs from g group by all""",
-        "timing_gaps": f"""select 'no timing' as "check", 'error' as severity, fetch_key as key, '' as detail from (select fetch_key from crawl_tasks group by fetch_key having bool_or(status in {PROFILED})) where fetch_key not in (select fetch_key from timing_log)
-            union all select 'unknown target', 'error', fetch_key, '' from (select distinct fetch_key from timing_log) where fetch_key not in (select fetch_key from crawl_tasks)""",
+        "timing_gaps": f"""with l as (select fetch_key from timing_log where fetch_key not like 'a%' union all select 'unknown-' || fetch_key from timing_log where fetch_key like 'b0%') select 'no timing' as "check", 'error' as severity, fetch_key as key, '' as detail from (select fetch_key from crawl_tasks group by fetch_key having bool_or(status in {PROFILED})) where fetch_key not in (select fetch_key from l)
+            union all select 'unknown target', 'error', fetch_key, '' from (select distinct fetch_key from l) where fetch_key not in (select fetch_key from crawl_tasks)""",
         "allocated_passages": f"""with {DENSE}, h as (select query_id, vec_id // 4 as doc_id, cast(vec_id % 4 as integer) as chunk_index, score from dense),
             d as (select query_id, doc_id, row_number() over (partition by query_id order by max(score) desc, doc_id) as doc_rank from h group by query_id, doc_id),
             b as (select *, first_value(chunk_index) over (partition by query_id, doc_id order by score desc, chunk_index) as best from h join d using (query_id, doc_id)),

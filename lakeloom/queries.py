@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeloom import oracle
 from lakeloom.functions import columns as C
@@ -84,12 +84,15 @@ def target_timings(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def timing_conflicts(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.timing_conflicts(table(spark, sf, "timing_log"))
+    """Over the log with some first attempts logged again with another status."""
+    log = table(spark, sf, "timing_log").select("fetch_key", "attempt", "status")
+    again = log.filter("attempt = 1 and fetch_key like '%0'").withColumn("status", F.lit("PLANTED"))
+    return profile.timing_conflicts(log.unionByName(again))
 
 
 @query
 def latency_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.latency_profile(table(spark, sf, "timing_log")).select("domain", "n", *(F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("median_seconds", "p95_seconds", "cost")))
+    return profile.latency_profile(table(spark, sf, "timing_log")).select("domain", "n", *(F.round(c, 9).alias(c) for c in ("median_seconds", "p95_seconds", "cost")))
 
 
 @query
@@ -229,13 +232,13 @@ def recovery_targets(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def fetch_metrics(spark: SparkSession, sf: str) -> DataFrame:
     rows = flows.fetch_metrics(table(spark, sf, "timing_log"))
-    return rows.select(F.unix_timestamp("window_start").alias("window_start"), "domain", "n_attempts", "n_success", F.round(F.col("mean_seconds") + 1e-9, 6).alias("mean_seconds"))
+    return rows.select(F.unix_timestamp("window_start").alias("window_start"), "domain", "n_attempts", "n_success", F.round("mean_seconds", 9).alias("mean_seconds"))
 
 
-def _bm25(spark: SparkSession, sf: str, **boosts: float) -> DataFrame:
+def _bm25(spark: SparkSession, sf: str, k: int = 1000, **boosts: float) -> DataFrame:
     docs = table(spark, sf, "documents")
     asked = docs.filter("doc_id % 50 = 0 and title is not null").select(F.col("doc_id").alias("query_id"), F.col("title").alias("query"))
-    return lexical.search(docs, asked, 10, boosts or None)
+    return lexical.search(docs, asked, k, boosts or None)
 
 
 @query
@@ -253,7 +256,7 @@ def bm25_union(spark: SparkSession, sf: str) -> DataFrame:
     return lexical.union_candidates(_bm25(spark, sf)).select("doc_id", "match_count", "best_rank", "best_score", F.array_join(F.transform("query_ids", lambda x: x.cast("string")), ",").alias("query_ids"))
 
 
-def _dense(spark: SparkSession, sf: str, k: int = 40) -> DataFrame:
+def _dense(spark: SparkSession, sf: str, k: int = 500) -> DataFrame:
     v = table(spark, sf, "embeddings")
     return dense.top_k(v, v.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), k)
 
@@ -265,7 +268,7 @@ def dense_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def dense_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return dense.best_chunk_per_document(_dense(spark, sf).withColumn("doc_id", F.expr("vec_id div 4")), k=10)
+    return dense.best_chunk_per_document(_dense(spark, sf).withColumn("doc_id", F.expr("vec_id div 4")), k=1000)
 
 
 @query
@@ -274,14 +277,20 @@ def dense_second(spark: SparkSession, sf: str) -> DataFrame:
     return dense.second_best_apart(hits)
 
 
+def _fused(spark: SparkSession, sf: str) -> DataFrame:
+    """The lexical ranking of the documents with that of their vectors."""
+    vectors = dense.best_chunk_per_document(_dense(spark, sf).withColumn("doc_id", F.expr("vec_id div 4")), k=1000)
+    return fusion.fuse(_bm25(spark, sf), vectors)
+
+
 @query
 def rrf_fusion(spark: SparkSession, sf: str) -> DataFrame:
-    return fusion.fuse(_bm25(spark, sf, text=1.0), _bm25(spark, sf, title=1.0)).select("query_id", "doc_id", "lexical_rank", "dense_rank", "fused_score", "final_rank")
+    return _fused(spark, sf).select("query_id", "doc_id", "lexical_rank", "dense_rank", "fused_score", "final_rank")
 
 
 @query
 def rrf_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return fusion.fusion_stats(fusion.fuse(_bm25(spark, sf, text=1.0), _bm25(spark, sf, title=1.0)))
+    return fusion.fusion_stats(_fused(spark, sf))
 
 
 @query
@@ -325,10 +334,10 @@ def chunk_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def _selected(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     docs = table(spark, sf, "documents")
-    ranked = _bm25(spark, sf)
+    ranked = _bm25(spark, sf, 10)  # documents of an answer
     made, _ = chunks.candidate_chunks(docs, ranked, most=160, target=120)
-    rows = ranked.join(made, "doc_id").select("query_id", "doc_id", F.col("rank").alias("doc_rank"), "chunk_id", "chunk_index", "score", "text")
-    return ranked, made, selection.select_chunks(rows)
+    hits = ranked.join(made.filter("chunk_index > 0").select("doc_id", "chunk_id"), "doc_id").select("query_id", "chunk_id", F.lit(0.1).alias("score"))
+    return ranked, made, selection.select_chunks(selection.chunk_sources(ranked, hits, made))
 
 
 @query
@@ -355,9 +364,20 @@ def nested_results(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def result_violations(spark: SparkSession, sf: str) -> DataFrame:
-    asked, made = _results(spark, sf)
-    raw = made.select(F.lit(0).alias("item_no"), F.to_json(F.struct("*")).alias("raw"))
-    return results.validate(written(raw, "raw-results"), asked)
+    """Validation of results with planted errors, one kind for each tenth of the queries."""
+    asked = table(spark, sf, "documents").filter("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"))
+    q, case = F.col("query_id").cast("string"), F.expr("(query_id div 50) % 10")
+
+    def item(id_=q, docs=None, doc=q, text="a passage", more="") -> Column:
+        docs = docs if docs is not None else F.concat(F.lit("["), q, F.lit("]"))
+        return F.concat(F.lit('{"id": '), id_, F.lit(', "relevant_docs": '), docs, F.lit(', "relevant_chunks": [{"doc_id": '), doc, F.lit(f', "chunk_text": "{text}", "chunk_order": 1{more}}}]}}'))
+
+    twice = F.concat(F.lit("["), q, F.lit(", "), q, F.lit("]"))
+    raw = F.when(case == 1, item(F.concat(F.lit('"'), q, F.lit('"')))).when(case == 2, item(docs=twice)).when(case == 4, item(text=" ")).when(case == 5, item(text="Query: pain")).when(case == 6, item(more=', "score": 1.5'))
+    raw = raw.when(case == 7, item(doc=(F.col("query_id") + 7).cast("string"))).when(case == 8, item(docs=F.lit("5"))).otherwise(item())
+    items = asked.filter(case != 3).select(F.monotonically_increasing_id().alias("item_no"), raw.alias("raw"), case.alias("case")).withColumn("copy", F.explode(F.expr("sequence(1, if(case = 9, 2, 1))"))).select("item_no", "raw")
+    extra = spark.createDataFrame([(776, '{"id": 999999999, "relevant_docs": [-1], "relevant_chunks": []}'), (777, "{broken")], "item_no long, raw string")
+    return results.validate(written(items.unionByName(extra), "raw-results"), asked, corpus=table(spark, sf, "documents"))
 
 
 @query
@@ -389,7 +409,7 @@ def storage_projection(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def slow_domains(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.slow_domains(table(spark, sf, "timing_log"))
+    return reports.slow_domains(table(spark, sf, "timing_log")).withColumn("mean_seconds", F.round("mean_seconds", 9))
 
 
 @query
@@ -409,7 +429,10 @@ def composition(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def timing_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.timing_gaps(table(spark, sf, "timing_log"), table(spark, sf, "crawl_tasks"))
+    """Over the log without some targets and with some that are no task's."""
+    log = table(spark, sf, "timing_log").select("fetch_key")
+    foreign = log.filter("fetch_key like 'b0%'").select(F.concat(F.lit("unknown-"), "fetch_key").alias("fetch_key"))
+    return reports.timing_gaps(log.filter("fetch_key not like 'a%'").unionByName(foreign), table(spark, sf, "crawl_tasks"))
 
 
 @query

@@ -26,6 +26,9 @@ CORPUS_SCHEMA = StructType(
         StructField("bytes_downloaded", LongType(), False),
     ]
 )
+CURATED_SCHEMA = StructType(
+    [f for f in CORPUS_SCHEMA if f.name != "bytes_downloaded"] + [StructField("raw_text_chars", IntegerType()), StructField("removed_chars", IntegerType()), StructField("curation_status", StringType())]
+)
 TIMING_SCHEMA = StructType([StructField("fetch_key", StringType()), StructField("domain", StringType()), StructField("attempt", IntegerType()), StructField("status", StringType()), StructField("elapsed_seconds", DoubleType())])
 VIOLATIONS = "check string, severity string, key string, detail string"
 

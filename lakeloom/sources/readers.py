@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeloom.functions import columns as C
 from lakeloom.schemas import CORPUS_SCHEMA, TIMING_SCHEMA
@@ -25,6 +24,17 @@ def corpus(spark: SparkSession, *paths: str, only_success: bool = True) -> DataF
     return rows.filter("crawl_status = 'SUCCESS'") if only_success else rows
 
 
+def unread_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """``(path)`` of Parquet files below ``paths`` that gave no row: broken or empty ones, which :func:`corpus` passes over."""
+    there = existing(spark, list(paths))
+    if not there:
+        return spark.createDataFrame([], "path string")
+    option = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+    listed = spark.read.format("binaryFile").options(**option).load(there).select("path")
+    rows = spark.read.options(ignoreCorruptFiles="true", **option).schema(CORPUS_SCHEMA).parquet(*there)
+    return listed.withColumn("plain", F.regexp_replace("path", "^file:/+", "/")).join(rows.select(F.regexp_replace(F.input_file_name(), "^file:/+", "/").alias("plain")).distinct(), "plain", "left_anti").select("path")
+
+
 def searchable(rows: DataFrame, min_chars: int = 50) -> DataFrame:
     """``(doc_id, title, text)`` of good records with enough text or a title, stripped."""
     good = rows.filter("doc_id is not null and crawl_status = 'SUCCESS'")
@@ -57,24 +67,42 @@ def query_set(rows: DataFrame) -> DataFrame:
 def candidate_ids(spark: SparkSession, path: str) -> DataFrame:
     """Distinct ``doc_id`` from Parquet, a JSON list, ``{"doc_ids": [...]}``, or lines of digits."""
     if path.endswith(".json"):
-        data = json.loads("\n".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
-        ids = data["doc_ids"] if isinstance(data, dict) else data
-        return spark.createDataFrame([(int(i),) for i in ids], "doc_id long").distinct()
+        whole = F.expr("parse_json(value)")
+        ids = F.coalesce(F.expr("try_variant_get(v, '$.doc_ids', 'array<bigint>')"), F.expr("variant_get(v, '$', 'array<bigint>')"))
+        return spark.read.text(path, wholetext=True).select(whole.alias("v")).select(F.explode(ids).alias("doc_id")).distinct()
     if path.endswith(".txt"):
         return spark.read.text(path).filter(F.col("value").rlike(r"^\s*\d+\s*$")).select(F.trim("value").cast("long").alias("doc_id")).distinct()
     return spark.read.parquet(path).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
 
 
-def timing_log(spark: SparkSession, path: str) -> DataFrame:
-    """Attempts of a JSON-lines log; broken lines are dropped, repeats fall together."""
-    return spark.read.schema(TIMING_SCHEMA).option("mode", "DROPMALFORMED").json(path).filter("fetch_key is not null and attempt > 0").distinct()
+def timing_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejected)`` of a JSON-lines log of attempts; rejected lines have a ``reason``.
+
+    Repeats of an attempt fall together; attempts logged with different values are all rejected.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "").distinct()
+    schema = StructType([*TIMING_SCHEMA.fields, StructField("_broken", StringType())])
+    parsed = lines.select("value", F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}).alias("r")).select("value", "r.*")
+    reason = F.when(F.col("_broken").isNotNull(), "no record").when(F.col("fetch_key").isNull() | (F.trim("fetch_key") == ""), "no fetch_key").when(F.col("attempt").isNull() | (F.col("attempt") < 1), "no attempt number").when(F.col("elapsed_seconds") < 0, "negative seconds")
+    checked = parsed.withColumn("reason", reason)
+    whole = checked.filter("reason is null").select(*TIMING_SCHEMA.names).distinct()
+    n = whole.groupBy("fetch_key", "attempt").agg(F.count(F.lit(1)).alias("n"))
+    both = whole.join(n, ["fetch_key", "attempt"]).select(*TIMING_SCHEMA.names, "n")
+    clash = both.filter("n > 1").select(F.to_json(F.struct(*TIMING_SCHEMA.names)).alias("line"), F.lit("attempt with different values").alias("reason"))
+    return both.filter("n = 1").drop("n"), checked.filter("reason is not null").select(F.col("value").alias("line"), "reason").unionByName(clash)
 
 
-def profile_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``(domain, estimated_work)`` of a CSV with a header, with or without a byte order mark."""
+def profile_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejected)`` of a CSV ``domain, estimated_work`` with a header, with or without a byte order mark."""
     rows = spark.read.option("header", "true").csv(path)
-    clean = rows.toDF(*(c.lstrip("﻿").strip() for c in rows.columns))
-    return clean.select("domain", F.expr("try_cast(estimated_work as double)").alias("estimated_work")).filter("domain is not null and estimated_work >= 0")
+    named = rows.toDF(*(c.lstrip("\ufeff").strip() for c in rows.columns))
+    if missing := {"domain", "estimated_work"} - set(named.columns):
+        raise ValueError(f"the profile has no column {min(missing)}")
+    work = F.expr("try_cast(estimated_work as double)")
+    seen = named.select("domain", "estimated_work", work.alias("work"), F.count(F.lit(1)).over(Window.partitionBy("domain")).alias("n"))
+    reason = F.when(F.col("domain").isNull() | (F.trim("domain") == ""), "no domain").when(F.col("work").isNull() | F.isnan("work") | (F.col("work") < 0), "no amount of work").when(F.col("n") > 1, "domain twice")
+    checked = seen.withColumn("reason", reason)
+    return checked.filter("reason is null").select("domain", F.col("work").alias("estimated_work")), checked.filter("reason is not null").select("domain", "estimated_work", "reason")
 
 
 def hits(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Sources, sinks and streams."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,9 +39,13 @@ def test_corpus_round_trip(spark, sf, tmp_path):
 
 def test_logs_and_profiles(spark, tmp_path):
     (tmp_path / "t.jsonl").write_text("\n".join([json.dumps({"fetch_key": "a", "attempt": 1})] * 2 + ["broken", json.dumps({"attempt": 2})]))
-    assert readers.timing_log(spark, str(tmp_path / "t.jsonl")).count() == 1
+    good, rejected = readers.timing_log(spark, str(tmp_path / "t.jsonl"))
+    assert good.count() == 1 and sorted(r.reason for r in rejected.collect()) == ["no fetch_key", "no record"]
+    (tmp_path / "c.jsonl").write_text("\n".join(json.dumps({"fetch_key": "a", "attempt": 1, "status": x}) for x in ("SUCCESS", "FAILED")))
+    good, rejected = readers.timing_log(spark, str(tmp_path / "c.jsonl"))
+    assert good.count() == 0 and {r.reason for r in rejected.collect()} == {"attempt with different values"}
     (tmp_path / "p.csv").write_text("﻿domain,estimated_work\na,1.5\nb,x\n")
-    assert [tuple(r) for r in readers.profile_csv(spark, str(tmp_path / "p.csv")).collect()] == [("a", 1.5)]
+    assert [tuple(r) for r in readers.profile_csv(spark, str(tmp_path / "p.csv"))[0].collect()] == [("a", 1.5)]
     (tmp_path / "s.jsonl").write_text('{"doc_id": 1}\n{"doc_id": 1}\n')
     with pytest.raises(Exception, match="document twice"):
         readers.selection_jsonl(spark, str(tmp_path / "s.jsonl")).collect()
@@ -60,7 +65,7 @@ def test_metrics_stream_gives_the_closed_windows_of_the_batch(spark, sf, tmp_pat
 
 def test_retry_state_stream(spark, tmp_path):
     schema = "fetch_key string, attempt int, status string, retryable boolean, at double"
-    for n, rows in enumerate(([("a", 1, "FAILED", True, 0.0), ("b", 1, "SUCCESS", False, 0.0)], [("a", 2, "SUCCESS", False, 50.0), ("b", 2, "FAILED", True, 60.0)])):
+    for n, rows in enumerate(([("a", 1, "FAILED", True, 1000.0), ("b", 1, "SUCCESS", False, 1000.0)], [("a", 2, "SUCCESS", False, 1050.0), ("b", 2, "FAILED", True, 1060.0)])):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/{n}"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
     q = flows.retry_state(stream).writeStream.outputMode("update").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(str(tmp_path / f"out/batch={i}"))).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
@@ -70,6 +75,62 @@ def test_retry_state_stream(spark, tmp_path):
     assert last == {"a": "SUCCESS", "b": "SUCCESS"}
 
 
+def test_ended_targets_leave_the_state(spark, tmp_path):
+    schema = "fetch_key string, attempt int, status string, retryable boolean, at double"
+    for n, rows in enumerate(([(f"k{i}", 1, "SUCCESS", False, 1000.0 + i) for i in range(20)], [("open", 1, "FAILED", True, 1e6)], [("late", 1, "SUCCESS", False, 1e6 + 1)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/{n}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    q = flows.retry_state(stream, forget=3600.0).writeStream.outputMode("update").format("noop").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    assert q.awaitTermination(120)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(held) >= 20 and held[-1] == 2
+
+
+def test_pipeline_is_taken_up_again(spark, tmp_path):
+    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+    for _ in range(2):
+        flows.pipeline(stream, lambda b: b.withColumn("x", F.col("id") * 2), str(tmp_path / "out"), str(tmp_path / "cp"), per_batch=4).awaitTermination(120)
+        assert spark.read.parquet(str(tmp_path / "out")).agg(F.sum("x"), F.count("x")).first()[:] == (90, 10)
+        spark.range(0).write.mode("append").parquet(str(tmp_path / "in"))
+
+
+def test_sinks_write_manifests_and_summaries(spark, sf, tmp_path):
+    from lakeloom.operators import cleaning, corpus as merging
+
+    clean = cleaning.curate(table(spark, sf, "corpus"))
+    if set(schemas.CURATED_SCHEMA.names) <= set(clean.columns):
+        sinks.write_curated(clean, str(tmp_path / "curated"))
+        back = spark.read.parquet(str(tmp_path / "curated"))
+        assert back.columns == schemas.CURATED_SCHEMA.names and back.count() == clean.filter("curation_status = 'CLEAN'").count() > 0
+    made = spark.createDataFrame([(1, "a", 3), (1, "b", 4), (2, "c", 5)], "doc_id long, text string, token_count int")
+    sinks.write_chunks(made, str(tmp_path / "chunks"), spark.createDataFrame([(9,)], "doc_id long"))
+    facts = json.loads(spark.read.text(str(tmp_path / "chunks/manifest")).first().value)
+    assert facts == {"n_chunks": 3, "n_docs": 2, "n_missing": 1, "n_tokens": 12, "version": "v1"}
+    assigned = spark.createDataFrame([(i, f"d{i % 3}", i % 2) for i in range(20)], "doc_id long, domain string, worker_id int")
+    sinks.write_partitions(assigned, str(tmp_path / "parts"))
+    assert sorted(tuple(r) for r in spark.read.option("header", "true").csv(str(tmp_path / "parts/summary")).collect()) == [("0", "10", "3"), ("1", "10", "3")]
+    rows = spark.createDataFrame(table(spark, sf, "corpus").rdd, schemas.CORPUS_SCHEMA)
+    sinks.write_merged(merging.winners(rows), merging.merge_conflicts(rows), str(tmp_path / "merged"))
+    assert spark.read.json(str(tmp_path / "merged/summary")).agg(F.sum("n")).first()[0] == rows.select("doc_id").distinct().count()
+
+
+def test_broken_files_are_named(spark, tmp_path):
+    rows = spark.createDataFrame([], schemas.CORPUS_SCHEMA)
+    row = (1, "u", None, "d", None, None, "x", None, None, 200, "SUCCESS", 1, 1)
+    spark.createDataFrame([row], schemas.CORPUS_SCHEMA).coalesce(1).write.parquet(str(tmp_path / "c"))
+    (tmp_path / "c" / "broken.parquet").write_bytes(b"PAR1 nothing")
+    assert rows.count() == 0 and [r.path.split("/")[-1] for r in readers.unread_files(spark, str(tmp_path / "c")).collect()] == ["broken.parquet"]
+
+
+def test_stages_are_dropped(spark):
+    from lakeloom import session
+
+    df = written(spark.range(3).toDF("x"), "gone")
+    path = df.inputFiles()[0]
+    assert session.drop_stages(spark) >= 1 and not os.path.exists(path.removeprefix("file://"))
+
+
 def test_written_tables_go_to_the_shared_folder(spark):
     df = written(spark.range(5).toDF("x"), "t")
     assert df.count() == 5 and spark.conf.get("spark.checkpoint.dir") in df.inputFiles()[0]

@@ -6,6 +6,8 @@ import pytest
 from lakeloom import queries as core
 
 SQL = core.oracle_sql()
+#: Queries without rows on the smallest tables.
+EMPTY = {"fetch_fanout"}
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +17,16 @@ def con(sf):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows_as_sql(spark, sf, con, name):
-    assert not harness.differences(core.queries()[name](spark, sf).toPandas(), con.sql(SQL[name]).df())
+    want = con.sql(SQL[name]).df()
+    assert not harness.differences(core.queries()[name](spark, sf).toPandas(), want)
+    assert len(want) or name in EMPTY
 
 
 @pytest.mark.parametrize("name", sorted(set(core.queries()) - set(SQL)))
 def test_runs_without_sql(spark, sf, name):
-    assert core.queries()[name](spark, sf).count() >= 0
+    """Rows without a null key; the operators' results are in the other tests."""
+    rows = core.queries()[name](spark, sf).toPandas()
+    assert len(rows) and rows.iloc[:, 0].notna().all()
 
 
 def test_keys_of_urls_are_those_of_the_task_table(spark, sf):
