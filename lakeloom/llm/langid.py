@@ -100,13 +100,18 @@ class LanguageModel:
 
     def predict(self, lines: list[str]) -> tuple[list[str | None], np.ndarray]:
         """Language (None: a line without one) and confidence of each line."""
+        which, p = self.judge(lines)
+        return which, p.max(axis=1)
+
+    def judge(self, lines: list[str]) -> tuple[list[str | None], np.ndarray]:
+        """Language (None: a line without one) and the calibrated probabilities of all classes of each line."""
         p = self.probabilities(lines)
         best = p.argmax(axis=1)
         codes = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
         letters = np.concatenate(([0], np.cumsum(_IS_LETTER[np.minimum(codes, 0x10000)])))
         ends = np.cumsum([len(x) for x in lines])
         wordless = letters[ends] - letters[ends - [len(x) for x in lines]] < 0.3 * np.array([len(x) for x in lines])
-        return [None if bare or CLASSES[k] == "none" else CLASSES[k] for k, bare in zip(best, wordless)], p[np.arange(len(p)), best]
+        return [None if bare or CLASSES[k] == "none" else CLASSES[k] for k, bare in zip(best, wordless)], p
 
     def content(self, lang: str, chars: int) -> float:
         """Amount of content: characters over the language's usual number for the same text."""
@@ -115,7 +120,7 @@ class LanguageModel:
 
 def _no_language(texts: list[str], rng: random.Random, n: int) -> list[str]:
     """Lines of names, figures or letter runs only, made from what the samples hold."""
-    names = sorted({w for t in texts for w in re.findall(r"(?<=[a-z一-鿿] )?[A-Z][a-z]{4,}", t)})
+    names = sorted({w for t in texts for w in re.findall(r"(?<=[a-z一-鿿] )?[A-Z][a-z]{4,}", t)}) or ["Velora"]
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     out = []
     for k in range(n):
@@ -133,7 +138,7 @@ def _no_language(texts: list[str], rng: random.Random, n: int) -> list[str]:
 
 def _with_names(rows: list[tuple[str, str]], rng: random.Random) -> list[tuple[str, str]]:
     """Pieces of the samples beside invented names and between separators, so that these tell nothing of a language."""
-    words = sorted({w for lang, t in rows for w in re.findall(r"[a-z]{4,9}", without_accents(t).lower())})
+    words = sorted({w for lang, t in rows for w in re.findall(r"[a-z]{4,9}", without_accents(t).lower())}) or ["velora"]
     out = []
     for lang, t in rows:
         at = rng.randrange(max(1, len(t) - 12))
@@ -147,15 +152,24 @@ def _with_names(rows: list[tuple[str, str]], rng: random.Random) -> list[tuple[s
     return out
 
 
-def train(samples: list[tuple[str, str]], epochs: int = 6, alpha: float = 0.5, beta: float = 1.0, l1: float = 2e-4, l2: float = 1e-3, seed: int = 7) -> LanguageModel:
+def _augmented(base: list[tuple[str, str]], rng: random.Random) -> list[tuple[str, str]]:
+    """The samples, Vietnamese ones without accents, capitals, pieces beside names, and lines without language."""
+    rows = list(base)
+    rows += [("vi", without_accents(t)) for lang, t in base if lang == "vi"]
+    rows += [(lang, t.upper()) for lang, t in base if lang in ("en", "vi")]
+    rows += _with_names(rows, rng)
+    return rows + [("none", t) for t in _no_language([t for _, t in base], rng, max(8, len(rows) // 4))]
+
+
+def train(samples: list[tuple[str, str]], epochs: int = 6, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.05, l2: float = 1e-3, seed: int = 7) -> LanguageModel:
     """Fit on ``(lang, text)`` rows; rows of other languages or without text are left out."""
     rng = random.Random(seed)
-    rows = [(lang, t) for lang, t in samples if lang in CLASSES and t and t.strip()]
-    texts = [t for _, t in rows]
-    rows += [("vi", without_accents(t)) for lang, t in rows if lang == "vi"]
-    rows += [("en", t.upper()) for lang, t in rows if lang == "en"] + [("vi", t.upper()) for lang, t in rows if lang == "vi"]
-    rows += _with_names(rows, rng)
-    rows += [("none", t) for t in _no_language(texts, rng, max(8, len(rows) // 4))]
+    base = [(lang, t) for lang, t in samples if lang in CLASSES and t and t.strip()]
+    rng.shuffle(base)
+    # Held out before anything is made of the samples: the temperature is fitted on texts of which training knows nothing.
+    n_held = max(1, len(base) // 5)
+    kept, base = base[:n_held], base[n_held:] or base
+    rows = _augmented(base, rng)
     rng.shuffle(rows)
     k, size = len(CLASSES), 1 << BITS
     features = []
@@ -167,12 +181,11 @@ def train(samples: list[tuple[str, str]], epochs: int = 6, alpha: float = 0.5, b
     for index, _ in features:
         df[index] += 1
     idf = np.log((1 + len(rows)) / (1 + df)) + 1
-    held = max(1, len(rows) // 5)
     scale = 20.0  # relative frequencies are small; one constant brings them to unit range
     z, n, w = np.zeros((size, k)), np.zeros((size, k)), np.zeros((size, k))
     zb, nb, bias = np.zeros(k), np.zeros(k), np.zeros(k)
     y = np.array([CLASSES.index(lang) for lang, _ in rows])
-    order = list(range(held, len(rows)))
+    order = list(range(len(rows)))
     for _ in range(epochs):
         rng.shuffle(order)
         for r in order:
@@ -198,7 +211,7 @@ def train(samples: list[tuple[str, str]], epochs: int = 6, alpha: float = 0.5, b
     model = LanguageModel((w * idf[:, None] * scale).astype(np.float32), bias, 1.0, density)
     # Calibrated on short pieces of the held-out texts, where the model does err.
     pieces, y = [], []
-    for lang, t in rows[:held]:
+    for lang, t in _augmented(kept, rng):
         for _ in range(4):
             at = rng.randrange(max(1, len(t) - 8))
             pieces.append(t[at : at + rng.randint(5, 24)])

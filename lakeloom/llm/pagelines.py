@@ -128,8 +128,8 @@ FILLER = set("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eius
 _REPEATED = re.compile(r"(\S{2,8})(?: \1)+(?: [0-9a-z]{1,6})?[.!]?")
 
 
-def unfilled(folded: str) -> bool:
-    """A line of slots that retain a variable's name or a default: placeholders, filler words, one token over and over."""
+def unfilled(folded: str, words: list[str]) -> bool:
+    """A line, with its words, of slots that retain a variable's name or a default: placeholders, filler words, one token over and over."""
     if _SLOT_SIGNS.search(folded) and "](" not in folded:
         parts = _SLOT.split(folded)
         n = len(parts) - 1
@@ -140,7 +140,6 @@ def unfilled(folded: str) -> bool:
                 return True
     if _REPEATED.fullmatch(folded):
         return True
-    words = _WORD.findall(folded) if folded.isascii() else []
     return len(words) >= 3 and not FILLER.isdisjoint(words) and sum(w in FILLER for w in words) >= 0.8 * len(words)
 
 
@@ -233,7 +232,7 @@ class Blocks:
         else:
             shape = 2 if tabled else 3 if density > 0.5 else 4 if words < PROSE_WORDS and not ends else 0
         whole = hash64(" ".join(said)) if len(f) > LONG_LINE and said else None
-        return own, shape, unfilled(_BLANKS.sub(" ", f) if "  " in f else f), f, whole
+        return own, shape, unfilled(_BLANKS.sub(" ", f) if "  " in f else f, said), f, whole
 
     def features(self, pages: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, list[int], list[bool], list[tuple[str, int | None]]]:
         """Rows of :data:`FEATURES` of all non-blank lines of ``(text, site)`` pages, and each line's page, number, template flag, and folded form with its hash if it is long."""

@@ -99,7 +99,7 @@ def line_model(df: DataFrame, section_share: float = 5e-4, headline_share: float
     return pl.LineModel(frozenset(r.key for r in kept if r.kind == 1), frozenset(r.key for r in kept if r.kind == 2))
 
 
-def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.45, every: bool = False, lines: pl.LineModel | None = None) -> DataFrame:
+def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100, min_line: int = 40, least: float = 0.55, every: bool = False, lines: pl.LineModel | None = None) -> DataFrame:
     """The narrow table of :data:`SCAN`, one row for each row with text, written to the shared folder.
 
     Exact copies of a record give equal rows: see :func:`records`.
@@ -136,7 +136,8 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
                             jobs.append(line)
                             owners.append((at, n, article, len(line)))
             if jobs:
-                which, sure = model.predict(jobs)
+                which, p = model.judge(jobs)
+                sure = p.max(axis=1)
                 rows = np.array([o[0] for o in owners])
                 cut = np.flatnonzero(np.diff(rows, prepend=-1, append=-1))
                 for a, b in zip(cut[:-1], cut[1:]):
@@ -150,12 +151,17 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
                             if which[k] is not None:
                                 weight[which[k]] = weight.get(which[k], 0.0) + model.content(which[k], owners[k][3])
                     if not weight and every:
-                        p = model.probabilities([" ".join(jobs[a:b])])[0]
-                        weight = {c: float(x) for c, x in zip(CLASSES, p) if c != "none"}
-                    if not weight:
+                        weight = {c: float(x) for c, x in zip(CLASSES, model.probabilities([" ".join(jobs[a:b])])[0]) if c != "none"}
+                        main = max(sorted(weight), key=weight.get)
+                        langs = [(0, main, weight[main], not same_language(languages[at], main))]
+                    elif weight:
+                        main = max(sorted(weight), key=weight.get)
+                        # The calibrated probability of the main language, over the lines that speak of it, by their length.
+                        said = [k for k in range(a, b) if which[k] is not None and owners[k][2]] or [k for k in range(a, b) if which[k] is not None]
+                        size = np.array([owners[k][3] for k in said], dtype=float)
+                        langs = [(0, main, float(p[said, CLASSES.index(main)] @ size / size.sum()), not same_language(languages[at], main))]
+                    else:
                         continue
-                    main = max(sorted(weight), key=weight.get)
-                    langs = [(0, main, weight[main] / sum(weight.values()), not same_language(languages[at], main))]
                     for k in range(a, b):
                         if owners[k][3] >= min_line and which[k] not in (None, main) and sure[k] >= least:
                             langs.append((owners[k][1], which[k], float(sure[k]), False))
