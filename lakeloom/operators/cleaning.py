@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from lakeloom.functions import columns as C
+from lakeloom.operators.copies import one_per_key
 from lakeloom.session import ship
 
 
@@ -142,14 +143,18 @@ def by_domain(df: DataFrame, text: str = "text", domain: str = "domain") -> Data
 
 
 def curate(corpus: DataFrame, min_chars: int = 50) -> DataFrame:
-    """SUCCESS records after all stages: ``(doc_id, url, domain, title, text, raw_text_chars, text_chars, removed_chars, content_hash, curation_status)``.
+    """SUCCESS records after all stages: ``(doc_id, url, domain, title, text, raw_text_chars, text_chars, removed_chars, content_hash, curation_status)``
+    and, where ``corpus`` has them, ``final_url, content_type, language, http_status, crawl_status``.
 
     ``CLEAN`` are texts of at least ``min_chars`` characters, the others ``LOW_QUALITY``; a
-    null text counts as empty.
+    null text counts as empty. Of an id's rows one with text counts; only repeated ids are compared.
     """
-    rows = corpus.filter("crawl_status = 'SUCCESS'").dropDuplicates(["doc_id"])
+    good = corpus.filter("crawl_status = 'SUCCESS'").withColumn("_full", F.coalesce(F.col("text").rlike(r"\S"), F.lit(False)))
+    full = one_per_key(good.filter("_full"), "doc_id")
+    rows = full.unionByName(one_per_key(good.filter("not _full"), "doc_id").join(full.select("doc_id"), "doc_id", "left_anti"))
+    rest = [c for c in ("final_url", "content_type", "language", "http_status", "crawl_status") if c in corpus.columns]
     raw = F.coalesce("text", F.lit(""))
-    rows = rows.select("doc_id", "url", "domain", C.strip(unicode_stage(F.coalesce("title", F.lit("")))).alias("title"), F.length(raw).alias("raw_text_chars"), unicode_stage(raw).alias("text"))
+    rows = rows.select(*rest, "doc_id", "url", "domain", C.strip(unicode_stage(F.coalesce("title", F.lit("")))).alias("title"), F.length(raw).alias("raw_text_chars"), unicode_stage(raw).alias("text"))
     rows = by_domain(rows).withColumn("text", C.strip(F.regexp_replace("text", r"\n{3,}", "\n\n")))
     n = F.length("text")
     return rows.withColumns(
