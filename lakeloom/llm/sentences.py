@@ -68,8 +68,12 @@ def _kind(ch: str) -> str:
 
 
 def _token(text: str, at: int) -> str:
-    """Class of the token that ends at ``at``."""
-    t = _TOKEN.search(text, max(0, at - 24), at).group()
+    """Class of the token that ends at ``at``; of a longer one its last 24 characters tell."""
+    return _token_class(_TOKEN.search(text, max(0, at - 24), at).group())
+
+
+@lru_cache(maxsize=100_000)
+def _token_class(t: str) -> str:
     if not t:
         return "none"
     if _HAN.match(t[-1]):
@@ -126,7 +130,20 @@ def _before(text: str, at: int) -> int:
     return at
 
 
-def places(text: str) -> tuple[list[int], list[list[str]]]:
+@lru_cache(maxsize=50_000)
+def _mark_features(sort: str, tok: str, nk: str, spaced: bool, within: bool, shut: str, frame: str, following: str) -> tuple[str, ...]:
+    """Features of a cluster of marks: its sort, the token before, what follows, and the quotation it stands in or closes."""
+    if shut == '"':
+        return (f"quote:{frame}:{sort}:{nk}", f"quote2:{frame}:{nk}", f"quote-next:{following}:{frame}")
+    f = [f"mark:{sort}:{tok}:{nk}:{spaced}", f"mark2:{sort}:{nk}", f"tok:{tok}:{nk if sort in ('stop', 'ellipsis') else sort}", f"tok-alone:{tok}:{sort}"]
+    if within:
+        f.append(f"quote-within:{sort}")
+    if shut:
+        f.append(f"mark-shut:{sort}:{nk}")
+    return tuple(f)
+
+
+def places(text: str) -> tuple[list[int], list[tuple[str, ...]]]:
     """``(ends, features)`` of the places where a sentence may end, in order."""
     lines = text.split("\n")
     # The width that lines are wrapped at, where some line goes on in lower case on the next.
@@ -134,7 +151,7 @@ def places(text: str) -> tuple[list[int], list[list[str]]]:
     flowing = 0 < width <= 120
     width = max((len(a.rstrip()) for a in lines if len(a.rstrip()) <= width + 8), default=width)
     ends: list[int] = []
-    feats: list[list[str]] = []
+    feats: list[tuple[str, ...]] = []
     opened, frame, start_of_unit = -1, "", True
     line_start, skip = 0, -1
     m0 = _LIST.match(text)
@@ -180,10 +197,10 @@ def places(text: str) -> tuple[list[int], list[list[str]]]:
             elif not nofit or then not in ("text", "asked"):
                 f.append("break-plain")
             if marked:
-                feats[-1] = [*(x for x in feats[-1] if x.startswith(("mark", "tok", "quote"))), *f]
+                feats[-1] = (*(x for x in feats[-1] if x.startswith(("mark", "tok", "quote"))), *f)
             else:
                 ends.append(end)
-                feats.append(f)
+                feats.append(tuple(f))
             if gap > 1:
                 opened = -1
             line_start = to
@@ -203,21 +220,15 @@ def places(text: str) -> tuple[list[int], list[list[str]]]:
         nk = _kind(text[nxt : nxt + 1]) if text[nxt : nxt + 1] != "\n" else "newline"
         spaced = nxt > end
         tok = _token(text, at)
-        f = [f"mark:{sort}:{tok}:{nk}:{spaced}", f"mark2:{sort}:{nk}", f"tok:{tok}:{nk if sort in ('stop', 'ellipsis') else sort}", f"tok-alone:{tok}:{sort}"]
-        if within:
-            f.append(f"quote-within:{sort}")
-        if shut == '"':
-            f = [f"quote:{frame}:{sort}:{nk}", f"quote2:{frame}:{nk}", f"quote-next:{text[nxt : nxt + 2] if nk == 'han' else nk}:{frame}"]
-        elif shut:
-            f.append(f"mark-shut:{sort}:{nk}")
+        f = _mark_features(sort, tok, nk, spaced, within, shut, frame, text[nxt : nxt + 2] if shut == '"' and nk == "han" else nk)
         ends.append(end)
         feats.append(f)
     last = len(text.rstrip())
     if last and (not ends or ends[-1] != last):
         ends.append(last)
-        feats.append(["end"])
+        feats.append(("end",))
     elif last and ends:
-        feats[-1] = [*feats[-1], "end"]
+        feats[-1] = (*feats[-1], "end")
     return ends, feats
 
 
@@ -226,19 +237,35 @@ class Chain:
 
     def __init__(self, weights: dict[str, float], turn: list[list[float]]):
         self.weights, self.turn = weights, turn
+        self.sums: dict[tuple[str, ...], float] | None = None
+
+    def __reduce__(self):
+        return _frozen, (self.weights, self.turn)
+
+    def score(self, f: tuple[str, ...]) -> float:
+        """Sum of the weights of a place's features; places are much alike, so a frozen chain remembers sums."""
+        if self.sums is None:
+            w = self.weights
+            return sum(w.get(x, 0.0) for x in f)
+        s = self.sums.get(f)
+        if s is None:
+            w = self.weights
+            s = sum(w.get(x, 0.0) for x in f)
+            if len(self.sums) < 100_000:
+                self.sums[f] = s
+        return s
 
-    def decode(self, feats: list[list[str]]) -> list[int]:
+    def decode(self, feats: list[tuple[str, ...]]) -> list[int]:
         """The best tags by Viterbi; a feature's weight counts for the boundary tag."""
         if not feats:
             return []
-        w, turn = self.weights, self.turn
+        (stay, rise), (fall, again) = self.turn
         back: list[tuple[int, int]] = []
-        a, b = 0.0, sum(w.get(x, 0.0) for x in feats[0])
+        a, b = 0.0, self.score(feats[0])
         for f in feats[1:]:
-            s = sum(w.get(x, 0.0) for x in f)
-            ka = a + turn[0][0] >= b + turn[1][0]
-            kb = a + turn[0][1] >= b + turn[1][1]
-            a, b, pair = (a + turn[0][0] if ka else b + turn[1][0]), (a + turn[0][1] if kb else b + turn[1][1]) + s, (0 if ka else 1, 0 if kb else 1)
+            ka = a + stay >= b + fall
+            kb = a + rise >= b + again
+            a, b, pair = (a + stay if ka else b + fall), (a + rise if kb else b + again) + self.score(f), (0 if ka else 1, 0 if kb else 1)
             back.append(pair)
         tag = INSIDE if a >= b else BOUNDARY
         out = [tag]
@@ -248,7 +275,14 @@ class Chain:
         return out[::-1]
 
 
-def perceptron(rows: list[tuple[list[list[str]], list[int]]], epochs: int = 6, seed: int = 5) -> Chain:
+def _frozen(weights: dict[str, float], turn: list[list[float]]) -> Chain:
+    """A chain whose weights do not change any more."""
+    chain = Chain(weights, turn)
+    chain.sums = {}
+    return chain
+
+
+def perceptron(rows: list[tuple[list[tuple[str, ...]], list[int]]], epochs: int = 6, seed: int = 5) -> Chain:
     """Averaged structured perceptron."""
     rng = random.Random(seed)
     w: dict[str, float] = defaultdict(float)
@@ -272,7 +306,7 @@ def perceptron(rows: list[tuple[list[list[str]], list[int]]], epochs: int = 6, s
                             turn[tags[i - 1]][tags[i]] += d
                             turn_total[tags[i - 1]][tags[i]] += d * step
             step += 1
-    return Chain({x: w[x] - total[x] / step for x in w}, [[turn[i][j] - turn_total[i][j] / step for j in (0, 1)] for i in (0, 1)])
+    return _frozen({x: w[x] - total[x] / step for x in w}, [[turn[i][j] - turn_total[i][j] / step for j in (0, 1)] for i in (0, 1)])
 
 
 POOLS = {"en": table.EN, "vi": table.VI, "zh": table.ZH}
@@ -358,10 +392,10 @@ BARE_CHARS = 40
 _BARE_RUN = re.compile(rf"[^\W_]{{{BARE_CHARS},}}")
 
 
-def _around(text: str, i: int) -> list[str]:
+def _around(text: str, i: int) -> tuple[str, ...]:
     pad = f"\x02\x02\x02{text}\x03\x03\x03"
     j = i + 3
-    return [f"l3:{pad[j - 2 : j + 1]}", f"r3:{pad[j + 1 : j + 4]}", f"l2r2:{pad[j - 1 : j + 3]}", f"l1:{pad[j]}", f"l2:{pad[j - 1 : j + 1]}", f"r1:{pad[j + 1]}", f"r2:{pad[j + 1 : j + 3]}", f"lr:{pad[j]}{pad[j + 1]}", f"l2r1:{pad[j - 1 : j + 2]}"]
+    return (f"l3:{pad[j - 2 : j + 1]}", f"r3:{pad[j + 1 : j + 4]}", f"l2r2:{pad[j - 1 : j + 3]}", f"l1:{pad[j]}", f"l2:{pad[j - 1 : j + 1]}", f"r1:{pad[j + 1]}", f"r2:{pad[j + 1 : j + 3]}", f"lr:{pad[j]}{pad[j + 1]}", f"l2r1:{pad[j - 1 : j + 2]}")
 
 
 def bare_text(rng: random.Random, pool: list[str]) -> tuple[str, set[int]]:
