@@ -139,6 +139,20 @@ def retry_delay(attempt: Column, base: float = 30.0, jitter: Column | None = Non
     return F.least(F.lit(most), F.lit(base) * F.pow(F.lit(2.0), attempt - 1) + (jitter if jitter is not None else F.lit(0.0)))
 
 
+def retry_after(header: Column, now: Column, most: float = 300.0) -> Column:
+    """Seconds that a ``Retry-After`` header asks for, as a number or an HTTP date, from 0 to ``most``; null without a usable one."""
+    value = strip(header)
+    date = F.unix_timestamp(F.try_to_timestamp(F.regexp_replace(value, r"^[A-Za-z]{3}, | GMT$", ""), F.lit("dd MMM yyyy HH:mm:ss")))
+    seconds = F.when(value.rlike(r"^\d{1,9}$"), F.expr("0.0") + value.try_cast("double")).otherwise(date - now)
+    return F.when(seconds.isNotNull(), F.least(F.lit(most), F.greatest(F.lit(0.0), seconds)))
+
+
+def qa_form(c: Column) -> Column:
+    """NFKC, case folded, words joined by single blanks."""
+    low = F.regexp_replace(F.regexp_replace(F.lower(unicode_form(c, "NFKC")), "ß", "ss"), "ς", "σ")
+    return strip(F.regexp_replace(low, r"[^\p{L}\p{M}\p{N}_]+", " "))
+
+
 def archive_prefix(url: Column) -> Column:
     """``host/first-segment/`` of a URL."""
     return F.regexp_extract(normalize_fetch_url(url), r"^https?://([^/?]+/(?:[^/?]+/)?)", 1)

@@ -132,3 +132,14 @@ def candidate_chunks(docs: DataFrame, candidates: DataFrame, **limits: int) -> t
     """``(chunks, missing)``: chunks of the candidate documents and the ids that have no document."""
     ids = candidates.select("doc_id").distinct()
     return chunked(docs.join(ids, "doc_id", "left_semi"), **limits), ids.join(docs, "doc_id", "left_anti")
+
+
+def lookup(chunks: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Chunks by ``wanted (chunk_id)`` or ``(doc_id)``, in order of document and index; ids without chunks give none."""
+    key = "chunk_id" if "chunk_id" in wanted.columns else "doc_id"
+    return chunks.join(wanted.select(key).distinct(), key, "left_semi").orderBy("doc_id", "chunk_index")
+
+
+def first_chunks(chunks: DataFrame) -> DataFrame:
+    """The chunk of the lowest index of each document."""
+    return chunks.groupBy("doc_id").agg(F.min_by(F.struct(*chunks.columns), F.struct("chunk_index", "chunk_id")).alias("c")).select("c.*")

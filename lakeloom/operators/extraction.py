@@ -6,12 +6,13 @@ import gzip
 import json
 import re
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from lakeloom.functions import columns as C
 from lakeloom.session import ship
@@ -23,7 +24,7 @@ NOISE_WORDS = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset("p blockquote pre li h1 h2 h3 h4 h5 h6 div section article main td th tr table ul ol dt dd figcaption".split())
-EXTRACT = StructType([StructField("title", StringType()), StructField("text", StringType()), StructField("link_density", DoubleType())])
+EXTRACT = StructType([StructField("title", StringType()), StructField("text", StringType()), StructField("link_density", DoubleType()), StructField("pages", IntegerType())])
 JS_MARKS = ("__next_data__", 'id="__next"', 'id="root"', 'id="app"', "enable javascript", "requires javascript")
 
 
@@ -245,19 +246,83 @@ def extracted_by_site(df: DataFrame, payload: str = "content", host: str = "doma
     return df.withColumn("page", run(F.col(payload), F.col(host)))
 
 
-def extracted(df: DataFrame, payload: str = "content", content_type: str = "content_type") -> DataFrame:
-    """``df`` with a struct ``page`` of title, text and link density; plain text passes as it is."""
+_PDF_STREAM = re.compile(rb"<<(?:[^<>]|<<[^<>]*>>|<[^<>]*>)*>>\s*stream\r?\n(.*?)endstream", re.S)
+_PDF_PAGE = re.compile(rb"/Type\s*/Page(?![a-zA-Z])")
+_PDF_TOKEN = re.compile(rb"\((?:\\.|[^\\()]|\((?:\\.|[^\\()])*\))*\)|<[0-9A-Fa-f\s]*>|-?\d*\.?\d+|\[|\]|[A-Za-z'\"*]+", re.S)
+_PDF_ESCAPES = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"", b"f": b"", b"\n": b""}
+
+
+def _pdf_string(token: bytes) -> str:
+    if token[:1] == b"<":
+        raw = bytes.fromhex(re.sub(rb"\s", b"", token[1:-1]).decode() + ("0" if len(re.sub(rb"\s", b"", token[1:-1])) % 2 else ""))
+    else:
+        raw = re.sub(rb"\\([0-7]{1,3}|.)", lambda m: bytes([int(m[1], 8) & 255]) if m[1][:1].isdigit() else _PDF_ESCAPES.get(m[1], m[1]), token[1:-1], flags=re.S)
+    return raw[2:].decode("utf-16-be", "replace") if raw[:2] == b"\xfe\xff" else raw.decode("latin-1")
+
+
+def extract_pdf(payload: bytes) -> tuple[str, int]:
+    """``(text, pages)`` of a PDF: strings of its content streams in reading order, from the top and the left.
+
+    Fonts with an encoding of their own give no useful characters, so that such a file needs OCR or a
+    fuller reader.
+    """
+    out = []
+    for m in _PDF_STREAM.finditer(payload):
+        try:
+            data = zlib.decompress(m[1])
+        except zlib.error:
+            data = m[1]
+        if b"BT" not in data:
+            continue
+        blocks: list[tuple[float, float, str]] = []
+        x = y = 0.0
+        numbers: list[float] = []
+        strings: list[str] = []
+        for t in _PDF_TOKEN.findall(data):
+            if t[:1] in b"(<" and len(t) > 1:
+                strings.append(_pdf_string(t))
+            elif t[:1] in b"-.0123456789":
+                numbers.append(float(t))
+            elif t == b"BT":
+                x = y = 0.0
+            elif t in (b"Td", b"TD") and len(numbers) >= 2:
+                x, y = x + numbers[-2], y + numbers[-1]
+            elif t == b"Tm" and len(numbers) >= 6:
+                x, y = numbers[-2], numbers[-1]
+            elif t in (b"Tj", b"TJ", b"'", b'"'):
+                text = "".join(strings).strip()
+                if text:
+                    blocks.append((-y, x, text))
+            if t[:1].isalpha() or t in (b"'", b'"'):
+                numbers, strings = [], []
+        lines: dict[float, list[str]] = {}
+        for top, _, text in sorted(blocks):
+            lines.setdefault(top, []).append(text)
+        out.append("\n".join(" ".join(v) for v in lines.values()))
+    return "\n\n".join(p for p in out if p), max(1, len(_PDF_PAGE.findall(payload)))
+
+
+def extracted(df: DataFrame, payload: str = "content", content_type: str = "content_type", pdf: Callable[[bytes], tuple[str, int]] | None = None) -> DataFrame:
+    """``df`` with ``page``: title, text, link density and, of PDFs, the number of pages."""
     ship(df.sparkSession)
+    read_pdf = pdf or extract_pdf
 
     @F.pandas_udf(EXTRACT)
     def run(payloads: pd.Series, types: pd.Series) -> pd.DataFrame:
         rows = []
         for p, t in zip(payloads, types):
-            if p is not None and (t or "").startswith("text/plain"):
-                rows.append((None, bytes(p).decode("utf-8", "replace") if not isinstance(p, str) else p, 0.0))
+            kind = t or ""
+            if p is not None and kind == "application/pdf" and not isinstance(p, str):
+                try:
+                    rows.append((None, *read_pdf(bytes(p))))
+                except Exception:
+                    rows.append((None, "", 1))
+                rows[-1] = (rows[-1][0], rows[-1][1], 0.0, rows[-1][2])
+            elif p is not None and kind.startswith("text/plain"):
+                rows.append((None, bytes(p).decode("utf-8", "replace") if not isinstance(p, str) else p, 0.0, None))
             else:
-                rows.append(extract_html(p))
-        return pd.DataFrame(rows, columns=["title", "text", "link_density"])
+                rows.append((*extract_html(p), None))
+        return pd.DataFrame(rows, columns=["title", "text", "link_density", "pages"]).astype({"pages": "Int32"})
 
     return df.withColumn("page", run(F.col(payload), F.col(content_type)))
 
@@ -270,14 +335,30 @@ def looks_like_script_shell(html: Column, text: Column) -> Column:
     return (F.length(C.strip(F.coalesce(text, F.lit("")))) < 100) & marks
 
 
-def route(df: DataFrame, min_chars: int = 100, max_bytes: int = 5_000_000, max_pdf_bytes: int = 25_000_000) -> DataFrame:
-    """``df`` with ``page`` and ``status`` of a fetched payload ``(content, content_type)``."""
+# Host and path of a page that asks visitors to prove themselves.
+CHALLENGE = ("image.39.net", "/verify.html")
+
+
+def is_challenge(url: Column) -> Column:
+    """The URL is that of a check of the visitor."""
+    path = F.lower(F.regexp_replace(F.regexp_extract(url, r"^(?i)https?://[^/?#]*([^?#]*)", 1), "/+$", ""))
+    return F.coalesce((C.domain_from_url(url) == CHALLENGE[0]) & (path == CHALLENGE[1]), F.lit(False))
+
+
+def route(df: DataFrame, min_chars: int = 100, max_bytes: int = 5_000_000, max_pdf_bytes: int = 25_000_000, url: str = "final_url", pdf: Callable[[bytes], tuple[str, int]] | None = None) -> DataFrame:
+    """``df`` with ``page`` and ``status`` of a fetched payload ``(content, content_type)``.
+
+    Where ``df`` has the column ``url``, pages of a visitor check are NEEDS_JS whatever they hold. ``pdf`` reads
+    a PDF's text and number of pages; the built-in reader knows PDFs whose text is stored as plain strings.
+    """
     kind = C.sniff_type(F.col("content"), F.col("content_type"))
-    pages = extracted(df.withColumn("content_type", kind))
+    pages = extracted(df.withColumn("content_type", kind), pdf=pdf)
     size, text = F.length("content"), F.col("page.text")
+    useful = F.length(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s", ""))
     status = (
         F.when(F.col("content").isNull(), "FAILED")
-        .when(F.col("content_type") == "application/pdf", F.when(size > max_pdf_bytes, "TOO_LARGE").otherwise("NEEDS_OCR"))
+        .when(F.col("content_type") == "application/pdf", F.when(size > max_pdf_bytes, "TOO_LARGE").when(needs_ocr(useful, F.coalesce("page.pages", F.lit(1))), "NEEDS_OCR").otherwise("SUCCESS"))
+        .when(is_challenge(F.col(url)) if url in df.columns else F.lit(False), "NEEDS_JS")
         .when(size > max_bytes, "TOO_LARGE")
         .when(F.col("content_type").isNotNull() & ~F.col("content_type").rlike("^text/|html|xml"), "UNSUPPORTED")
         .when(F.length(F.coalesce(C.strip(text), F.lit(""))) >= min_chars, "SUCCESS")
@@ -292,6 +373,14 @@ def needs_ocr(useful_chars: Column, pages: Column) -> Column:
     return useful_chars < F.greatest(F.lit(100), 50 * pages)
 
 
+def _inflated(body: bytes) -> bytes:
+    """A deflated body, with or without the zlib header."""
+    try:
+        return zlib.decompress(body)
+    except zlib.error:
+        return zlib.decompress(body, -zlib.MAX_WBITS)
+
+
 def decode_record(record: bytes | None) -> bytes | None:
     """The body of a gzip-compressed archive record, unchunked and decompressed; None where it is broken."""
     if record is None:
@@ -312,7 +401,7 @@ def decode_record(record: bytes | None) -> bytes | None:
                 at = end + 4 + n
             body = out
         encoding = fields.get(b"content-encoding", b"")
-        return gzip.decompress(body) if encoding == b"gzip" else zlib.decompress(body) if encoding == b"deflate" else body
+        return gzip.decompress(body) if encoding == b"gzip" else _inflated(body) if encoding == b"deflate" else body
     except (OSError, ValueError, EOFError, zlib.error):
         return None
 

@@ -30,6 +30,16 @@ def source_report(links: DataFrame) -> DataFrame:
     )
 
 
+def scheme_counts(links: DataFrame) -> DataFrame:
+    """``(scheme, n)`` of the URLs as stored; without a scheme it is empty."""
+    return links.groupBy(F.lower(F.regexp_extract(C.strip(F.coalesce("url", F.lit(""))), r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)).alias("scheme")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def invalid_urls(links: DataFrame, n: int = 20) -> DataFrame:
+    """``n`` rows whose URL cannot be fetched, those of the smallest ids."""
+    return links.filter(C.normalize_fetch_url(F.col("url")).isNull()).orderBy("doc_id").limit(n)
+
+
 def query_params(links: DataFrame) -> DataFrame:
     """Names of query parameters with their number of uses; blank values count."""
     q = F.regexp_extract(C.normalize_fetch_url(F.col("url")), r"\?(.*)$", 1)
@@ -188,5 +198,5 @@ def risk_summary(scores: DataFrame) -> DataFrame:
         return F.min(F.when(F.col("upto") > F.floor((F.col("all") - 1) * f), F.col("risk")))
 
     ranks = bins.groupBy("domain").agg(F.sum("n").alias("n_docs"), (F.sum(F.col("n") * F.col("risk")) / F.sum("n")).alias("mean_risk"), at(0.5).alias("p50_risk"), at(0.9).alias("p90_risk"), F.max("risk").alias("max_risk"))
-    flags = scores.groupBy("domain").agg(*(F.sum(F.array_contains("reasons", r).cast("long")).alias(f"n_{r}") for r in ("very_short_text", "duplicate_content", "missing_title", "missing_language")))
+    flags = scores.groupBy("domain").agg(*(F.sum(F.array_contains("reasons", r).cast("long")).alias(f"n_{r}") for r in ("very_short_text", "duplicate_content", "missing_title", "missing_language", "boilerplate_markers", "very_low_text_ratio", "title_body_mismatch")))
     return ranks.join(flags, "domain")

@@ -118,3 +118,18 @@ def spread_sample(df: DataFrame, by: str, value: str, key: str, n: int = 5) -> D
 
 def head_per_group(df: DataFrame, by: str, key: str, n: int) -> DataFrame:
     return df.withColumn("place", F.row_number().over(Window.partitionBy(by).orderBy(key))).filter(F.col("place") <= n)
+
+
+def disjoint_audit(scores: DataFrame, by: str, key: str, order: list[Column], sizes: tuple[int, int, int] = (100, 100, 100), cap: int = 10, seed: int = 7) -> DataFrame:
+    """``scores`` rows with ``sample``: ``high-risk`` by ``order`` with ``cap`` a group, then ``random``, then ``stratified``; no row twice.
+
+    Each sample is drawn from what the ones before left. A null key is in no sample.
+    """
+    rows = scores.filter(F.col(key).isNotNull())
+    first = capped_by_order(rows, by, order, cap, sizes[0]).select(*scores.columns).withColumn("sample", F.lit("high-risk"))
+    rest = rows.join(first.select(key), key, "left_anti").select(*scores.columns)
+    hashed = rest.withColumn("_score", C.stable_int(F.col(key), seed))
+    second = hashed.orderBy("_score", key).limit(sizes[1]).drop("_score").withColumn("sample", F.lit("random"))
+    rest = rest.join(second.select(key), key, "left_anti").select(*scores.columns)
+    third = stratified(rest, by, key, sizes[2], seed + 1).select(*scores.columns).withColumn("sample", F.lit("stratified"))
+    return first.unionByName(second).unionByName(third)

@@ -173,7 +173,8 @@ def sql() -> dict[str, str]:
         "risk_summary": f"""with {RISK}, ranked as (select *, row_number() over (partition by domain order by risk) as rn, count(*) over (partition by domain) as n from scored)
             select domain, count(*) as n_docs, round(avg(risk), 6) as mean_risk, min(risk) filter (rn = 1 + floor((n - 1) * 0.5)) as p50_risk, min(risk) filter (rn = 1 + floor((n - 1) * 0.9)) as p90_risk, max(risk) as max_risk,
             count(*) filter (list_contains(reasons, 'very_short_text')) as n_very_short_text, count(*) filter (list_contains(reasons, 'duplicate_content')) as n_duplicate_content,
-            count(*) filter (list_contains(reasons, 'missing_title')) as n_missing_title, count(*) filter (list_contains(reasons, 'missing_language')) as n_missing_language from ranked group by domain""",
+            count(*) filter (list_contains(reasons, 'missing_title')) as n_missing_title, count(*) filter (list_contains(reasons, 'missing_language')) as n_missing_language, count(*) filter (list_contains(reasons, 'boilerplate_markers')) as n_boilerplate_markers,
+            count(*) filter (list_contains(reasons, 'very_low_text_ratio')) as n_very_low_text_ratio, count(*) filter (list_contains(reasons, 'title_body_mismatch')) as n_title_body_mismatch from ranked group by domain""",
         "hash_sample": f"with d as (select distinct doc_id, domain from corpus) select domain, doc_id, {stable_int('doc_id', 7)} as score, cast(row_number() over (partition by domain order by {stable_int('doc_id', 7)}, doc_id) as integer) as rank_in_group from d qualify rank_in_group <= 20",
         "review_interleave": f"with d as (select distinct doc_id, domain, content_type from corpus where crawl_status = 'SUCCESS') select domain, content_type, doc_id, cast(row_number() over (partition by coalesce(domain, ''), coalesce(content_type, '') order by {stable_int('doc_id', 7)}, doc_id) as integer) as turn from d qualify turn <= 50",
         "spread_sample": "with d as (select distinct doc_id, domain, length(text) as n from corpus where text is not null), r as (select *, row_number() over (partition by domain order by n, doc_id) as place, count(*) over (partition by domain) as of_ from d) select domain, doc_id, cast(n as integer) as n, cast(place as integer) as place from r where list_contains([1 + floor(i * (of_ - 1) / 4) for i in range(5)], place)",

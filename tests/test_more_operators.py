@@ -168,3 +168,57 @@ def test_export_and_reports(spark):
     assert (c.n_queries, c.n_same, c.n_more, c.net_change, c.n_other_ranking) == (2, 2, 0, 0, 0)
     unknown = results.validate(spark.createDataFrame([(0, '{"id": 1, "relevant_docs": [10, 77], "relevant_chunks": []}')], "item_no int, raw string"), asked, corpus=spark.createDataFrame([(10,)], "doc_id long"))
     assert ("document is not in the corpus", "77") in {(r.check, r.detail) for r in unknown.collect()}
+
+
+def _pdf(pages):
+    """A small PDF: one deflated content stream a page."""
+    import zlib
+
+    out = [b"%PDF-1.4\n"]
+    for p in pages:
+        data = zlib.compress(b"BT " + b" ".join(f"1 0 0 1 {x} {y} Tm ({t}) Tj".encode("latin-1") for x, y, t in p) + b" ET")
+        out.append(b"1 0 obj\n<< /Type /Page >>\nendobj\n2 0 obj\n<< /Length %d /Filter /FlateDecode >>\nstream\n" % len(data) + data + b"\nendstream\nendobj\n")
+    return b"".join(out) + b"%%EOF"
+
+
+def test_pdf_text_and_challenges(spark):
+    from lakeloom.operators import extraction
+
+    made = _pdf([[(50, 700, "Second \\(line\\)"), (50, 720, "First line"), (200, 720, "goes on")], [(50, 700, "Page two")]])
+    assert extraction.extract_pdf(made) == ("First line goes on\nSecond (line)\n\nPage two", 2)
+    long = _pdf([[(50, 700, "x" * 400)]])
+    page = b"<html><body><p>" + b"Rest and drink enough water. " * 9 + b"</p></body></html>"
+    rows_ = [(1, long, "application/pdf", "http://a/x.pdf"), (2, made, "text/html", "http://a/y"), (3, page, "text/html", "https://image.39.net/verify.html/"), (4, page, "text/html", "https://x.39.net/verify.html"), (5, b"%PDF-broken", "application/pdf", None)]
+    got = {r.doc_id: r.status for r in extraction.route(spark.createDataFrame(rows_, "doc_id long, content binary, content_type string, final_url string")).collect()}
+    assert got == {1: "SUCCESS", 2: "NEEDS_OCR", 3: "NEEDS_JS", 4: "SUCCESS", 5: "NEEDS_OCR"}
+    import zlib
+
+    raw = zlib.compressobj(wbits=-15)
+    assert extraction._inflated(raw.compress(b"abc") + raw.flush()) == b"abc"
+
+
+def test_retry_after_and_forms(spark):
+    from lakeloom.functions import columns as C
+
+    df = spark.createDataFrame([(1, " 120 "), (2, "9000"), (3, "Thu, 01 Jan 1970 00:01:40 GMT"), (4, "soon"), (5, None), (6, "Thu, 01 Jan 1970 00:00:01 GMT")], "i int, h string")
+    assert [r[0] for r in df.orderBy("i").select(C.retry_after(F.col("h"), F.lit(40.0))).collect()] == [120.0, 300.0, 60.0, None, None, 0.0]
+    assert spark.createDataFrame([("Ｓtraße—ΟΔΌΣ ok",)], "t string").select(C.qa_form(F.col("t"))).first()[0] == "strasse οδόσ ok"
+
+
+def test_disjoint_audit_samples(spark):
+    from lakeloom.operators import sampling
+
+    scores = spark.createDataFrame([(i, f"d{i % 4}", i % 50) for i in range(200)] + [(None, "d1", 99)], "doc_id long, domain string, risk int")
+    got = sampling.disjoint_audit(scores, "domain", "doc_id", [F.desc("risk"), F.asc("doc_id")], (20, 30, 40)).collect()
+    assert len({r.doc_id for r in got}) == len(got) == 90 and [sum(r.sample == s for r in got) for s in ("high-risk", "random", "stratified")] == [20, 30, 40]
+    assert min(r.risk for r in got if r.sample == "high-risk") >= 40
+
+
+def test_lookups_and_invalid_urls(spark):
+    from lakeloom.operators import chunks
+
+    made = spark.createDataFrame([(1, "1_1", 1), (1, "1_0", 0), (2, "2_3", 3)], "doc_id long, chunk_id string, chunk_index int")
+    assert [r.chunk_id for r in chunks.lookup(made, spark.createDataFrame([(1,), (7,)], "doc_id long")).collect()] == ["1_0", "1_1"]
+    assert rows(chunks.first_chunks(made)) == [(1, "1_0", 0), (2, "2_3", 3)]
+    links = spark.createDataFrame([(1, "http://a"), (2, "ftp://b"), (3, None), (4, "HTTPS://c")], "doc_id long, url string")
+    assert rows(profile.scheme_counts(links)) == [("", 1), ("ftp", 1), ("http", 1), ("https", 1)] and [r.doc_id for r in profile.invalid_urls(links).collect()] == [2, 3]
