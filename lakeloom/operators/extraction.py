@@ -241,7 +241,7 @@ def extracted_by_site(df: DataFrame, payload: str = "content", host: str = "doma
 
     @F.pandas_udf(EXTRACT)
     def run(payloads: pd.Series, hosts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([extract_site(p, h) for p, h in zip(payloads, hosts)], columns=["title", "text", "link_density"])
+        return pd.DataFrame([extract_site(p, h) for p, h in zip(payloads, hosts)], columns=["title", "text", "link_density"]).assign(pages=pd.Series(dtype="Int32"))
 
     return df.withColumn("page", run(F.col(payload), F.col(host)))
 
