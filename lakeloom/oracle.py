@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 WS = r"[\t\n\x0b\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+PYTHON_WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 URL = r"^(?i)(https?)://([^/?#]*)([^?#]*)(\?[^#]*)?"
 AUTHORITY = r"^(\[[0-9A-Fa-f:.]+\]|[^:@\[\]\s]+)(?::(\d*))?$"
 
@@ -212,6 +213,11 @@ def sql() -> dict[str, str]:
             j as (select a.doc_id, a.chunk_index, far, turn, b.text, len(regexp_split_to_array({strip("b.text")}, '{WS}+')) as n from l a, o, l b where b.doc_id = a.doc_id and b.place = a.place + far),
             k as (select *, coalesce(sum(n) over (partition by doc_id, chunk_index order by turn rows between unbounded preceding and 1 preceding), 0) as before from j)
             select doc_id, chunk_index, cast(sum(n) as integer) as n_words, cast(length(string_agg(text, ' ' order by far)) as integer) as n_chars from k where before < 60 group by all""",
+        "extracted_pages": rf"""with d as (select doc_id, title, regexp_split_to_array(coalesce(text, ''), '\n+') as ls, lower(coalesce(title, '') || coalesce(text, '')) as low from documents),
+            b as (select doc_id, title, low, list_filter(list_transform(ls, lambda x: trim(regexp_replace(x, '{PYTHON_WS}+', ' ', 'g'), ' ')), lambda x: x <> '') as bs from d),
+            p as (select doc_id, low, nullif(trim(regexp_replace(coalesce(title, ''), '{PYTHON_WS}+', ' ', 'g'), ' '), '') as title, array_to_string(list_filter(bs, lambda x, i: i = 1 or x <> bs[i - 1]), chr(10) || chr(10)) as body from b)
+            select doc_id, case when length({strip("body")}) >= 100 then 'SUCCESS' when contains(low, '__next_data__') or contains(low, 'id="__next"') or contains(low, 'id="root"') or contains(low, 'id="app"') or contains(low, 'enable javascript') or contains(low, 'requires javascript') then 'NEEDS_JS' else 'EMPTY_CONTENT' end as status,
+            title, cast(nullif(length(body), 0) as integer) as n_chars from p""",
         "result_violations": """with q as (select doc_id as q, (doc_id // 50) % 10 as c from documents where doc_id % 50 = 0)
             select 'id is no integer' as "check", 'error' as severity, cast(q as varchar) as key, 'STRING' as detail from q where c = 1
             union all select 'document twice', 'error', cast(q as varchar), cast(q as varchar) from q where c in (2, 9)
