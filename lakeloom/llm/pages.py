@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from lakeloom.functions.arrow import map_slices
@@ -91,11 +91,16 @@ def line_model(df: DataFrame, section_share: float = 5e-4, headline_share: float
 
         return kernel
 
-    titles = map_slices(df.filter(F.col("title").rlike(r"\S")).select("title"), ["title"], schema, factory)
-    each = titles.select(F.explode(F.concat(F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"))), F.transform("edges", lambda x: F.struct(F.lit(1).alias("kind"), x.alias("key"))), F.transform("parts", lambda x: F.struct(F.lit(2).alias("kind"), x.alias("key"))))).alias("x")).select("x.*")
-    counts = written(each.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n")), "titles")
-    whole = (counts.filter("kind = 0").first() or {"n": 0})["n"]
-    kept = counts.filter(((F.col("kind") == 1) & (F.col("n") >= max(2, headline_share * whole))) | ((F.col("kind") == 2) & (F.col("n") >= max(3, section_share * whole)))).collect()
+    held = df.filter(F.col("title").rlike(r"\S")).select("title")
+    whole = held.count()
+    titles = map_slices(held, ["title"], schema, factory)
+
+    def each(kind: int, column: str) -> Column:
+        return F.transform(column, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))
+
+    counts = titles.select(F.explode(F.concat(each(1, "edges"), each(2, "parts"))).alias("x")).groupBy("x.kind", "x.key").agg(F.count(F.lit(1)).alias("n"))
+    least = F.when(F.col("kind") == 1, F.lit(max(2, headline_share * whole))).otherwise(F.lit(max(3, section_share * whole)))
+    kept = counts.filter(F.col("n") >= least).collect()
     return pl.LineModel(frozenset(r.key for r in kept if r.kind == 1), frozenset(r.key for r in kept if r.kind == 2))
 
 

@@ -56,16 +56,14 @@ def _templates(rows: DataFrame, frequent: DataFrame, min_support: int, min_share
 
     ``rows`` are ``(sig, voter, key, sure)`` of records all of whose sure pieces are frequent.
     """
-    spark = rows.sparkSession
-    bad = spark.createDataFrame([], "sig long")
-    size = None
+    bad, size = None, None
     while True:
-        left = rows.join(bad, "sig", "left_anti")
+        left = rows if bad is None else rows.join(bad, "sig", "left_anti")
         seen = left.groupBy("key").agg(F.count_distinct("voter").alias("seen")).join(frequent, "key")
         keys = written(seen.filter((F.col("seen") >= min_support) & (F.col("seen") >= min_share * F.col("n"))).select("key"), "template-keys")
         bad = written(rows.filter("sure").join(keys, "key", "left_anti").select("sig").distinct(), "template-not")
         # Fewer pieces make more records unfit, and the other way round, until neither changes.
-        now = keys.count(), bad.count()
+        now = tuple(keys.select(F.lit(1).alias("k")).unionByName(bad.select(F.lit(0).alias("k"))).agg(F.sum("k"), F.count(F.lit(1))).first())
         if now == size:
             return keys, bad
         size = now
@@ -85,7 +83,7 @@ def _aligned(one: DataFrame, near: DataFrame, frequent: DataFrame, min_support:
     )
     holes = written(frames.select("sig", "voter", F.xxhash64("frame").alias("frame"), F.explode("holes").alias("hole")).select("sig", "voter", "frame", "hole.at", "hole.key"), "holes")
     slots = holes.groupBy("frame", "at").agg(F.count_distinct("voter").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).filter((F.col("n") >= min_support) & (F.col("lo") != F.col("hi"))).select("frame", "at", "n")
-    filled = written(holes.join(slots, ["frame", "at"], "left"), "slots")
+    filled = holes.join(slots, ["frame", "at"], "left")
     whole = filled.groupBy("sig").agg(F.min(F.col("n").isNotNull()).alias("whole")).filter("whole").select("sig")
     return filled.join(whole, "sig", "left_semi").select("sig", "voter", F.xxhash64("frame", "at").alias("key"), "n")
 
