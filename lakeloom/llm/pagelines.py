@@ -166,6 +166,8 @@ def _size(text: str) -> float:
     return words if text.isascii() else words - 0.5 * len(_HAN.findall(text))
 
 
+#: Short lines whose description is kept, some 15 MB of a worker's memory.
+REMEMBERED = 20_000
 #: Longer lines are aligned whole: paragraphs of which a template would repeat every clause.
 LONG_LINE = 240
 
@@ -182,7 +184,7 @@ class Blocks:
 
     def __init__(self, words: dict[str, tuple[float, float]], headlines: frozenset[int] = frozenset()):
         self.words, self.headlines = words, headlines
-        self.short = lru_cache(maxsize=60_000)(self.describe)
+        self.seen: dict[str, tuple] = {}
 
     def __reduce__(self):
         return Blocks, (self.words, self.headlines)
@@ -207,6 +209,15 @@ class Blocks:
             last, before = i, word
         return furniture / n, headline / n
 
+    def short(self, line: str) -> tuple:
+        """:meth:`describe`, remembered for at most ``REMEMBERED`` lines at a time."""
+        found = self.seen.get(line)
+        if found is None:
+            if len(self.seen) >= REMEMBERED:
+                self.seen.clear()
+            found = self.seen[line] = self.describe(line)
+        return found
+
     def describe(self, line: str) -> tuple[tuple[float, ...], int, bool, str, int | None]:
         """Own features, shape (0: stands alone), whether it is an unfilled template, the folded line, and a long line's hash."""
         f = fold(line.replace("\t", "|") if "\t" in line else line).strip()

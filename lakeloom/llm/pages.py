@@ -43,7 +43,7 @@ _VALUE = re.compile(r"(?<![^\s㐀-鿿豈-﫿])(?=[^\s㐀-鿿豈-﫿]*\d)[^\s㐀-
 _TOKEN = re.compile(r"\x01|[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
 
 
-@lru_cache(maxsize=60_000)
+@lru_cache(maxsize=20_000)
 def line_pieces(folded: str, site: str) -> list[int]:
     """Hashes of a line's sentences and clauses, with slots for figures, codes and the site's name; slots alone are none."""
     if site and site in folded:
