@@ -7,7 +7,7 @@ from lakeloom import queries as core
 
 SQL = core.oracle_sql()
 #: Queries without rows on the smallest tables.
-EMPTY = {"fetch_fanout"}
+EMPTY = {"fetch_fanout", "merge_conflicts"}
 
 
 @pytest.fixture(scope="module")
