@@ -2,7 +2,8 @@
 
 Method: distributed PrefixSpan over each source's line-identifier sequences. Lines become
 hashes of their normal form; frequent single lines are the first level, longer sequences grow
-from projected positions. Occurrences of the members of frequent sequences are deleted.
+from projected positions: level by level where a source's are many, else in one task for all
+levels. Occurrences of the members of frequent sequences are deleted.
 
 Lines are the same after trimming, taking each run of white space as one space, ignoring
 case, and taking each run of the digits 0-9 as one number. Supports count distinct
@@ -12,11 +13,15 @@ A hot source is never gathered: supports combine map-side, and joins on a source
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from lakeloom.functions.arrow import map_slices
-from lakeloom.session import written
+from lakeloom.session import ship, written
 
 #: Parts that a large source's documents are spread over when they meet its frequent lines, and the share of a large one.
 SALTS, HOT_SHARE = 32, 1000
@@ -130,9 +135,72 @@ def _events(items: list[int], pattern: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+#: Sequences of a source with a common beginning that hold at most so many lines are mined in one task, some 5 MB of a worker's memory.
+LOCAL_LINES = 50_000
+SEQUENCES = StructType([StructField("source", StringType()), StructField("pattern", ArrayType(LongType())), StructField("length", IntegerType()), StructField("support", LongType())])
+
+
+def _mined(rows: list[tuple[list[int], int]], pattern: list[int], least: float, max_len: int | None) -> list[tuple[list[int], int]]:
+    """``(pattern, support)`` of the closed sequences of more than one line that begin with ``pattern``.
+
+    ``rows`` are all ``(items, weight)`` that hold ``pattern``; ``least`` is the least support.
+    """
+    out, open_ = [], [(pattern, rows)]
+    while open_:
+        p, held = open_.pop()
+        support = sum(w for _, w in held)
+        follows: Counter = Counter()
+        if p:
+            events: Counter = Counter()
+            for items, w in held:
+                for e in _events(items, p):
+                    events[e] += w
+            every = [at % 3 for (at, _), n in events.items() if n == support]
+            if len(p) > 1 and all(kind == BEFORE for kind in every):
+                out.append((p, support))
+            # A pattern with a line before it in its first place of all sequences leads to no closed one.
+            if BEFORE in every or len(p) == max_len:
+                continue
+            follows.update({x: n for (at, x), n in events.items() if at == FOLLOWS})
+        else:
+            for items, w in held:
+                for x in set(items):
+                    follows[x] += w
+        for x in sorted(x for x, n in follows.items() if n >= least):
+            longer = [*p, x]
+            open_.append((longer, [r for r in held if _holds(r[0], longer)]))
+    return out
+
+
+def _holds(items: list[int], pattern: list[int]) -> bool:
+    rest = iter(items)
+    return all(x in rest for x in pattern)
+
+
+def _mined_locally(level: DataFrame, min_docs: int, min_share: float, max_len: int | None) -> DataFrame:
+    """Closed sequences of ``(source, n_docs, pattern, items, weight)``, a task for a source's sequences with ``pattern``."""
+    ship(level.sparkSession)
+    target = to_arrow_schema(SEQUENCES)
+
+    def run(group: pa.Table) -> pa.Table:
+        source, n_docs, pattern = (group.column(c)[0].as_py() for c in ("source", "n_docs", "pattern"))
+        found = _mined(list(zip(group.column("items").to_pylist(), group.column("weight").to_pylist())), pattern, max(min_docs, min_share * n_docs), max_len)
+        values = [source] * len(found), [p for p, _ in found], [len(p) for p, _ in found], [n for _, n in found]
+        return pa.Table.from_arrays([pa.array(v, type=f.type) for v, f in zip(values, target, strict=True)], schema=target)
+
+    # By number, so that small groups, which take time, aren't put together in one task.
+    parts = int(level.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return level.repartition(parts, "source", "pattern").groupBy("source", "pattern").applyInArrow(run, SEQUENCES)
+
+
 def _closed_sequences(sequences: DataFrame, docs: DataFrame, first: DataFrame, min_docs: int, min_share: float, max_len: int | None) -> DataFrame:
-    """Closed sequences, level by level. Equal sequences of a source are one row with their number as weight."""
-    sequences = written(sequences.groupBy("source", "items").agg(F.count(F.lit(1)).alias("weight")), "sequences")
+    """Closed sequences. Equal sequences of a source are one row with their number as weight.
+
+    Sequences with a common beginning are grown level by level while they hold more than ``LOCAL_LINES`` lines;
+    what is left of a source then is mined in one task, so that levels do not cost jobs.
+    """
+    sequences = sequences.filter(F.size("items") > 0).groupBy("source", "items").agg(F.count(F.lit(1)).alias("weight"))
+    level = written(sequences.join(docs, "source").select("source", "n_docs", F.array().cast("array<bigint>").alias("pattern"), "items", "weight"), "sequences")
     frequent = (F.col("n") >= min_docs) & (F.col("n") >= min_share * F.col("n_docs"))
 
     def factory():
@@ -143,15 +211,26 @@ def _closed_sequences(sequences: DataFrame, docs: DataFrame, first: DataFrame, m
 
     found = first.select("source", F.array("key").alias("pattern"), F.lit(1).alias("length"), "support")
     patterns = found.select("source", "pattern", "support")
-    level = sequences.select("source", "items", "weight", F.explode(F.array_distinct("items")).alias("key")).select("source", "items", "weight", F.array("key").alias("pattern"))
-    length = 1
+    length = 0
     while True:
+        large = level.groupBy("source", "pattern").agg(F.sum(F.size("items")).alias("n")).filter(F.col("n") > LOCAL_LINES).select("source", "pattern")
+        large = F.broadcast(written(large, f"large-{length}"))  # at most so many as the lines hold LOCAL_LINES
+        found = found.unionByName(written(_mined_locally(level.join(large, ["source", "pattern"], "left_anti"), min_docs, min_share, max_len), f"mined-{length}"))
+        if large.isEmpty():
+            return found
+        level = level.join(large, ["source", "pattern"], "left_semi")
+        if not length:
+            level = level.select("source", "n_docs", "items", "weight", F.explode(F.array_distinct("items")).alias("key"))
+            level = written(level.select("source", "n_docs", F.array("key").alias("pattern"), "items", "weight"), "level-1")
+            length = 1
+            continue
+        patterns = patterns.join(large, ["source", "pattern"], "left_semi")
         events = map_slices(level, ["source", "items", "pattern", "weight"], EVENTS, factory)
         per = events.select("source", "pattern", "weight", F.explode("events").alias("x")).groupBy("source", "pattern", "x.at", "x.key").agg(F.sum("weight").alias("n"))
         per = written(per.join(patterns, ["source", "pattern"]).withColumn("all", F.col("n") == F.col("support")).join(docs, "source"), f"events-{length}")
         if length > 1:
             closed = patterns.join(per.filter(F.col("all") & (F.col("at") % 3 != BEFORE)).select("source", "pattern"), ["source", "pattern"], "left_anti")
-            found = found.unionByName(closed.select("source", "pattern", F.lit(length).alias("length"), "support"))
+            found = found.unionByName(written(closed.select("source", "pattern", F.lit(length).alias("length"), "support"), f"closed-{length}"))
         if length == max_len:
             return found
         # A pattern with a line before it in its first place of all sequences leads to no closed one.
@@ -161,7 +240,7 @@ def _closed_sequences(sequences: DataFrame, docs: DataFrame, first: DataFrame, m
         if grown.isEmpty():
             return found
         longer = grown.select("source", F.slice("pattern", 1, length - 1).alias("pattern"), F.element_at("pattern", -1).alias("key"))
-        level = level.join(longer, ["source", "pattern"]).select("source", "items", "weight", F.concat("pattern", F.array("key")).alias("pattern"))
+        level = level.join(longer, ["source", "pattern"]).select("source", "n_docs", F.concat("pattern", F.array("key")).alias("pattern"), "items", "weight")
         level = level.filter(f"aggregate(items, 0, (i, x) -> if(i < {length} and x = pattern[least(i, {length - 1})], i + 1, i)) = {length}")
         level = written(level, f"level-{length}")
         patterns = grown

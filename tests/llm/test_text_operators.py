@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from lakeloom import session
 from lakeloom.llm import chunking, encode, forms, langid, mainbody, mixing, pagelines, pages, queries, residue, sentences, sitelines
 from lakeloom.session import table
 
@@ -293,6 +294,31 @@ def test_closed_sequences_by_brute_force(spark):
     assert sorted((r.length, r.support) for r in found.collect()) == want and want[-1][0] > 3
 
 
+@pytest.mark.parametrize("most", [0, 12, 60, 50_000])
+def test_sequences_of_large_and_small_sources(spark, monkeypatch, most):
+    rng = random.Random(3)
+    made = [(i, "hot" if i < 30 else f"s{i % 2}", None, "\n".join(x for x in "abcdef" if rng.random() < 0.8) or "q", None) for i in range(44)]
+    lines = sitelines.line_keys(corpus(spark, made))
+    want = rows(sitelines.frequent_sequences(lines))
+    monkeypatch.setattr(sitelines, "LOCAL_LINES", most)
+    got = sitelines.frequent_sequences(lines)
+    assert rows(got) == want and max(r.length for r in got.collect()) > 3
+    assert max(r.length for r in sitelines.frequent_sequences(lines, max_len=2).collect()) == 2
+
+
+def test_long_sequences_need_no_more_stages(spark):
+    """Each level took four stages before, and their plans filled the driver's memory."""
+
+    def stages(n):
+        made = [(i, "s", None, "\n".join(f"line {chr(97 + k)}" for k in range(n)), None) for i in range(6)]
+        session.drop_stages(spark)
+        found = sitelines.frequent_sequences(sitelines.line_keys(corpus(spark, made)))
+        assert max(r.length for r in found.collect()) == n
+        return session.drop_stages(spark)
+
+    assert stages(12) == stages(3)
+
+
 # --- tokens -----------------------------------------------------------------------------
 
 
