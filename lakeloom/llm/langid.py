@@ -15,6 +15,7 @@ from __future__ import annotations
 import random
 import re
 import unicodedata as ud
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -23,6 +24,8 @@ CLASSES = ("en", "vi", "zh", "none")
 #: Buckets of hashed n-grams, as bits; the weight table stays within a CPU's cache.
 BITS = 16
 ORDERS = (1, 2, 3)
+#: Characters of lines that are looked at together.
+AT_ONCE = 1 << 15
 _BREAK = 10
 _HAN_RUN = re.compile("[㐀-鿿][㐀-鿿，。：；、]{3}")
 _LATIN_RUN = re.compile("[A-Za-z][A-Za-z0-9 ]{2,}")
@@ -43,6 +46,8 @@ def without_accents(text: str) -> str:
 
 def plain(line: str) -> str:
     """Lower case; stored decomposed or not, a letter with its accents is one character."""
+    if line.isascii():
+        return f" {line.lower()} "
     if _HAN_RUN.search(line):
         line = _LATIN_RUN.sub(" a ", line)  # a Latin name in Chinese counts as one letter
     return f" {ud.normalize('NFC', line).lower()} "
@@ -59,18 +64,24 @@ def _codes(text: str) -> np.ndarray:
 _IS_LETTER = np.array([chr(i).isalpha() for i in range(0x10000)] + [True])
 
 
-def grams(lines: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per order: bucket of each n-gram, number of its line, and a mask of those within a line."""
-    codes = _codes("\n".join(lines))
-    line = np.cumsum(codes == _BREAK)
-    out, h = [], np.zeros(len(codes), np.uint64)
+def _buckets(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each order and the bucket of each of its n-grams."""
+    h = np.zeros(len(codes), np.uint64)
     for n in ORDERS:
         if len(codes) < n:
             break
         h = h[: len(codes) - n + 1] * np.uint64(1_000_003) + codes[n - 1 :] + np.uint64(n)
-        bucket = ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
-        first = line[: len(h)]
-        out.append((bucket, first, (first == line[n - 1 :]) & (codes[: len(h)] != _BREAK)))
+        yield n, ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def grams(lines: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per order: bucket of each n-gram, number of its line, and a mask of those within a line."""
+    codes = _codes("\n".join(lines))
+    line = np.cumsum(codes == _BREAK)
+    out = []
+    for n, bucket in _buckets(codes):
+        first = line[: len(bucket)]
+        out.append((bucket, first, (first == line[n - 1 :]) & (codes[: len(bucket)] != _BREAK)))
     return out
 
 
@@ -81,16 +92,33 @@ class LanguageModel:
         self.weights, self.bias, self.temperature, self.density = weights, bias, temperature, density
 
     def logits(self, lines: list[str]) -> np.ndarray:
-        texts = [plain(x.replace("\n", " ")) for x in lines]
+        """Scores of all classes of each line, some lines at a time, so that their n-grams stay in a CPU's cache."""
+        z, texts, size, at = np.empty((len(lines), len(CLASSES))), [], 0, 0
+        for line in lines:
+            texts.append(plain(line.replace("\n", " ")))
+            size += len(texts[-1])
+            if size >= AT_ONCE:
+                z[at : at + len(texts)] = self._logits(texts)
+                at, texts, size = at + len(texts), [], 0
+        if texts:
+            z[at:] = self._logits(texts)
+        return z
+
+    def _logits(self, texts: list[str]) -> np.ndarray:
         z = np.zeros((len(texts), len(CLASSES)))
+        size = np.array([len(t) for t in texts])
+        ends = np.cumsum(size + 1) - 1
+        starts = ends - size
         total = np.zeros(len(texts))
-        starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
-        for bucket, _, inside in grams(texts):
-            part = self.weights[bucket] * inside[:, None]
+        for n, bucket in _buckets(_codes("\n".join(texts))):
+            part = self.weights.take(bucket, axis=0)
+            for k in range(n):  # n-grams that reach beyond their line; each line is at least as long as its two blanks
+                beyond = ends - k
+                part[beyond[beyond < len(part)]] = 0
             # reduceat needs starts within the array; a line too short for the order has none
             ok = starts < len(part)
             z[ok] += np.add.reduceat(part, starts[ok], axis=0)
-            total[ok] += np.add.reduceat(inside.astype(np.float64), starts[ok])
+            total += np.maximum(size - n + 1, 0)
         return z / np.maximum(total, 1)[:, None] + self.bias
 
     def probabilities(self, lines: list[str]) -> np.ndarray:

@@ -22,6 +22,7 @@ import unicodedata as ud
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import xxhash
@@ -60,7 +61,11 @@ _LINK = re.compile(r"\[([^\]\n]*)\]\([^)\n]*\)|https?://\S+|www\.\S+")
 _LIST = re.compile(r"\s*([-*•▶»›+·▪►]|\d{1,2}[.)]|[a-z]\)|\(\d{1,2}\))\s+")
 _ENDS = re.compile(r"[.!?。!?…][\"'”’」』)\]]*$")
 _INNER_END = re.compile(r"[.!?][\"'”’」』)\]]* +(?=\S)|[。!?](?=.)")
+_CLOSED = re.compile(r"\.[\"'”’」』)\]]")
+_LAST_MARK = ".!?。…"
+_LAST = _LAST_MARK + "\"'”’」』)]"
 _SEPARATOR = re.compile(r"[|/•·»›>–—_\t]| - |  +")
+_SIGNS = "|/•·»›>–—_\t"
 _BLANKS = re.compile(r" {2,}")
 _FIGURE = re.compile(r"\d")
 
@@ -168,6 +173,7 @@ def _size(text: str) -> float:
 
 #: Short lines whose description is kept, some 15 MB of a worker's memory.
 REMEMBERED = 20_000
+SHORT_LINE = 120
 #: Longer lines are aligned whole: paragraphs of which a template would repeat every clause.
 LONG_LINE = 240
 
@@ -179,63 +185,208 @@ def site_name(domain: str | None) -> str:
     return longest.replace("-", " ")
 
 
+def _counts(folded: str) -> tuple[int, int]:
+    """Numbers of Han characters and of ``_SIGNS`` in a text."""
+    return len(_HAN.findall(folded)), sum(map(folded.count, _SIGNS))
+
+
+def separators(text: str, signs: int) -> int:
+    """Number of ``_SEPARATOR`` in a text with so many ``_SIGNS``; only runs of blanks need the pattern."""
+    return len(_SEPARATOR.findall(text)) if "  " in text else signs + text.count(" - ")
+
+
+def ends_sentence(folded: str) -> bool:
+    """``_ENDS`` is found at the end of a trimmed text."""
+    last = folded[-1:]
+    return last in _LAST and (last in _LAST_MARK or bool(_ENDS.search(folded[-8:]))) if last else False
+
+
+def inner_ends(folded: str) -> int:
+    """Number of ``_INNER_END`` in a folded, trimmed text; the pattern is only needed where marks are closed, doubled or other ones."""
+    if "!" in folded or "?" in folded or "  " in folded or "\n" in folded or "\r" in folded or _CLOSED.search(folded):
+        return len(_INNER_END.findall(folded))
+    return folded.count(". ") + folded.count("。") - folded.endswith("。")
+
+
+class _Codes:
+    """Code points folded, and what the folded ones are; filled as they come."""
+
+    DELETED, LONGER = 0x110000, 0x110001
+    KNOWN, WORD, HAN, DIGIT, DECIMAL, SIGN = 1, 2, 4, 8, 16, 32
+
+    def __init__(self):
+        self.folds = np.zeros(0x110000, dtype=np.uint32)  # 0: not yet known
+        self.kinds = np.zeros(0x110000, dtype=np.uint8)
+        self.folds[0] = self.DELETED
+
+    def folded(self, codes: np.ndarray) -> np.ndarray:
+        out = self.folds[codes]
+        if not out.all():
+            for cp in np.unique(codes[out == 0]).tolist():
+                f = _FOLDS[cp]
+                self.folds[cp] = ord(f) if len(f) == 1 else self.LONGER if f else self.DELETED
+            out = self.folds[codes]
+        return out
+
+    def kinds_of(self, codes: np.ndarray) -> np.ndarray:
+        out = self.kinds[codes]
+        if not out.all():
+            for cp in np.unique(codes[out == 0]).tolist():
+                c = chr(cp)
+                han = bool(_HAN.match(c))
+                self.kinds[cp] = self.KNOWN | self.WORD * bool(_WORD.match(c)) | self.HAN * han | self.DIGIT * c.isdigit() | self.DECIMAL * c.isdecimal() | self.SIGN * (c in _SIGNS)
+            out = self.kinds[codes]
+        return out
+
+
+_CODES = _Codes()
+#: Characters of lines that are folded and cut into words at once; longer lines are on their own.
+AT_ONCE = 1 << 15
+
+
+def _folded_words(lines: list[str]) -> tuple[list[str], list[str], list[int], list[tuple[int, int]]]:
+    """Each line folded and trimmed, the :func:`tokens` of all lines, where each line's begin, and the last one's end, and each line's :func:`_counts`.
+
+    The arrays take some 60 bytes a character of ``lines``.
+    """
+    text = "\n".join(lines)
+    codes = _CODES.folded(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32))
+    begins = np.zeros(len(lines) + 1, dtype=np.int64)
+    np.cumsum([len(x) + 1 for x in lines], out=begins[1:])
+    begins[-1] -= 1
+    longer = np.flatnonzero(codes == _Codes.LONGER).tolist()
+    if longer:
+        size = np.ones(len(codes), dtype=np.int64)
+        several = [_FOLDS[ord(text[at])] for at in longer]
+        size[longer] = [len(x) for x in several]
+        ends = np.cumsum(size)
+        codes = np.repeat(codes, size)
+        for at, x in zip(ends[longer].tolist(), several):
+            codes[at - len(x) : at] = [ord(c) for c in x]
+        begins += np.concatenate(([0], np.cumsum(size - 1)))[begins]
+    gone = codes == _Codes.DELETED
+    if gone.any():
+        begins -= np.concatenate(([0], np.cumsum(gone)))[begins]
+        codes = codes[~gone]
+    whole = codes.tobytes().decode("utf-32-le")
+    at = begins.tolist()
+    folded = [whole[a:b].strip() for a, b in zip(at, at[1:])]
+
+    kinds = _CODES.kinds_of(codes)
+    word, han = (kinds & _Codes.WORD) > 0, (kinds & _Codes.HAN) > 0
+    plain = word & ~han
+    first = plain.copy()
+    first[1:] &= ~plain[:-1]
+    first |= han
+    starts = np.flatnonzero(first)
+    shown = np.where(word, codes, 32).astype(np.uint32)
+    digits = (kinds[starts] & _Codes.DIGIT) > 0
+    if digits.any():
+        # A word that begins with a figure is the word 0, in lines with a decimal figure.
+        decimals = np.concatenate(([0], np.cumsum((kinds & _Codes.DECIMAL) > 0)))
+        line = np.searchsorted(begins, starts, side="right") - 1
+        line = np.minimum(line, len(lines) - 1)
+        digits &= decimals[begins[line + 1]] > decimals[begins[line]]
+        number = np.cumsum(first) - 1
+        shown[plain & ~first & digits[np.maximum(number, 0)]] = 32
+        shown[starts[digits]] = 48
+    if han.any():
+        apart = han.copy()
+        apart[:-1] |= han[1:] & word[:-1]
+        size = 1 + apart.astype(np.int64)
+        ends = np.cumsum(size)
+        shown = np.repeat(shown, size)
+        shown[ends[apart] - 1] = 32
+    words = shown.tobytes().decode("utf-32-le").split()
+    counts = [np.diff(np.concatenate(([0], np.cumsum(x)))[begins]).tolist() for x in (han, (kinds & _Codes.SIGN) > 0)]
+    return folded, words, np.searchsorted(starts, begins).tolist(), list(zip(*counts))
+
+
 class Blocks:
     """Describes lines; short ones, which come again, are remembered."""
 
+    #: Whether lines are remembered.
+    remembers = True
+
     def __init__(self, words: dict[str, tuple[float, float]], headlines: frozenset[int] = frozenset()):
         self.words, self.headlines = words, headlines
         self.seen: dict[str, tuple] = {}
+        ones = [w for w in words if " " not in w]
+        self.number = {w: i for i, w in enumerate(ones, 2)}  # 0: unknown, 1: before the first word
+        self.odds = np.zeros((len(ones) + 2, 2))
+        if ones:
+            self.odds[2:] = [words[w] for w in ones]
+        pairs = [(self.number.get(a, 1 if a == "<" else 0), self.number[b], *words[g]) for g in words if " " in g for a, b in [g.split(" ")]]
+        pairs.sort()
+        self.pairs = np.array([a * len(self.odds) + b for a, b, *_ in pairs] + [len(self.odds) ** 2], dtype=np.int64)
+        self.pair_odds = np.array([x[2:] for x in pairs] + [(0.0, 0.0)])
 
     def __reduce__(self):
         return Blocks, (self.words, self.headlines)
 
-    def scores(self, words: list[str]) -> tuple[float, float]:
-        """Mean log odds of a line's grams: furniture, headline. No pair with an unknown word is known."""
-        known, n, furniture, headline, last, before = self.words, 1, 0.0, 0.0, -2, "<"
-        if words and words[0] in known:
-            last = -1  # the line's start is a word of its first pair
-        for i in [i for i, w in enumerate(words) if w in known]:
-            word = words[i]
-            one = known[word]
-            n += 1
-            furniture += one[0]
-            headline += one[1]
-            if last == i - 1:
-                pair = known.get(f"{before} {word}")
-                if pair is not None:
-                    n += 1
-                    furniture += pair[0]
-                    headline += pair[1]
-            last, before = i, word
-        return furniture / n, headline / n
-
-    def short(self, line: str) -> tuple:
-        """:meth:`describe`, remembered for at most ``REMEMBERED`` lines at a time."""
-        found = self.seen.get(line)
-        if found is None:
-            if len(self.seen) >= REMEMBERED:
-                self.seen.clear()
-            found = self.seen[line] = self.describe(line)
-        return found
+    def scores(self, words: list[str], bounds: list[int]) -> list[tuple[float, float]]:
+        """Mean log odds of each line's grams: furniture, headline; a line's words are between two of the ``bounds``. No pair with an unknown word is known."""
+        n = len(bounds) - 1
+        at = np.fromiter(map(self.number.get, words, repeat(0)), dtype=np.int64, count=len(words))
+        line = np.repeat(np.arange(n), np.diff(bounds))
+        before = np.zeros(len(at), dtype=np.int64)
+        before[1:] = at[:-1]
+        firsts = np.array(bounds[:-1], dtype=np.int64)
+        before[firsts[np.diff(bounds) > 0]] = 1
+        key = before * len(self.odds) + at
+        place = np.searchsorted(self.pairs, key)
+        paired = self.pairs[place] == key
+        # In the words' order, each before the pair that it ends: the sums are those of a loop.
+        odds = np.zeros((len(at), 2, 2))
+        odds[:, 0] = self.odds[at]
+        odds[paired, 1] = self.pair_odds[place[paired]]
+        twice = np.repeat(line, 2)
+        size = 1 + np.bincount(line, at > 0, n) + np.bincount(line, paired, n)
+        furniture, headline = (np.bincount(twice, odds[:, :, k].ravel(), n) / size for k in (0, 1))
+        return list(zip(furniture.tolist(), headline.tolist()))
+
+    def described(self, lines: list[str]) -> list[tuple]:
+        """:meth:`describe` of many lines, some ten thousand characters at a time."""
+        out: list[tuple] = []
+        chunk, size = [], 0
+        for line in lines:
+            if chunk and size + len(line) > AT_ONCE:
+                out += self._chunk(chunk)
+                chunk, size = [], 0
+            chunk.append(line)
+            size += len(line) + 1
+        return out + self._chunk(chunk) if chunk else out
 
     def describe(self, line: str) -> tuple[tuple[float, ...], int, bool, str, int | None]:
         """Own features, shape (0: stands alone), whether it is an unfilled template, the folded line, and a long line's hash."""
-        f = fold(line.replace("\t", "|") if "\t" in line else line).strip()
-        said = tokens(f)
-        n_han = 0 if f.isascii() else len(_HAN.findall(f))
+        return self.described([line])[0]
+
+    def _chunk(self, lines: list[str]) -> list[tuple]:
+        lines = [x.replace("\t", "|") if "\t" in x else x for x in lines]
+        if len(lines[0]) > AT_ONCE:
+            folded = [fold(lines[0]).strip()]
+            words = tokens(folded[0])
+            bounds, counts = [0, len(words)], [_counts(folded[0])]
+        else:
+            folded, words, bounds, counts = _folded_words(lines)
+        scores = self.scores(words, bounds)
+        return [self._described(f, words[a:b], *c, *s) for f, a, b, c, s in zip(folded, bounds, bounds[1:], counts, scores)]
+
+    def _described(self, f: str, said: list[str], n_han: int, signs: int, furniture: float, headline: float) -> tuple:
         words = len(said) - 0.5 * n_han
         linked = sum(_size(m.group(1) or m.group()) for m in _LINK.finditer(f)) if "](" in f or "http" in f or "www." in f else 0
         listed = _LIST.match(f)
         bare = f[listed.end() :] if listed else f
+        if listed and signs:
+            signs -= _counts(listed.group())[1]
         colon = bare.find(":")
-        ends = bool(_ENDS.search(f[-8:]))
+        ends = ends_sentence(f)
         density = linked / words if words else 0.0
         tabled = f.startswith("|")
-        furniture, headline = self.scores(said)
         near = sum(e in self.headlines for e in edges_of(said[len(_WORD.findall(listed.group(1))) :] if listed else said, n_han > 0)) / 2 if words <= 30 and self.headlines else 0.0
         own = (
-            float(words), density, float(bool(listed)), float(ends), float(len(_SEPARATOR.findall(bare))), float(min(len(_WORD.findall(bare[:colon])), FAR) if 0 < colon < 200 else FAR),
-            float(tabled), float(f.startswith("#") or f.startswith("**") and f.endswith("**")), float(len(_INNER_END.findall(f))), furniture, headline, near,
+            float(words), density, float(bool(listed)), float(ends), float(separators(bare, signs)), float(min(len(_WORD.findall(bare[:colon])), FAR) if 0 < colon < 200 else FAR),
+            float(tabled), float(f.startswith("#") or f.startswith("**") and f.endswith("**")), float(inner_ends(f)), furniture, headline, near,
         )
         if listed:
             sign = listed.group(1)[0]
@@ -245,29 +396,52 @@ class Blocks:
         whole = hash64(" ".join(said)) if len(f) > LONG_LINE and said else None
         return own, shape, unfilled(_BLANKS.sub(" ", f) if "  " in f else f, said), f, whole
 
+    def _descriptions(self, lines: list[str]) -> list[tuple]:
+        """:meth:`described`; short lines are remembered, at most ``REMEMBERED`` at a time."""
+        if not self.remembers:
+            return self.described(lines)
+        found = {x: self.seen.get(x) for x in lines}
+        new = [x for x, o in found.items() if o is None]
+        for at in range(0, len(new), REMEMBERED):
+            part = new[at : at + REMEMBERED]
+            short = {}
+            for x, o in zip(part, self.described(part)):
+                found[x] = o
+                if len(x) <= SHORT_LINE:
+                    short[x] = o
+            if len(self.seen) + len(short) > REMEMBERED:
+                self.seen.clear()
+            self.seen.update(short)
+        return [found[x] for x in lines]
+
     def features(self, pages: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, list[int], list[bool], list[tuple[str, int | None]]]:
         """Rows of :data:`FEATURES` of all non-blank lines of ``(text, site)`` pages, and each line's page, number, template flag, and folded form with its hash if it is long."""
-        own, shapes, gaps, flags, folded, numbers, owner, named = [], [], [], [], [], [], [], []
-        for at, (text, site) in enumerate(pages):
-            names = [w for w in re.findall(r"[a-z0-9]+", site) if len(w) >= 4]
-            least, gap = max(1, len(names) - 1), False
+        lines, gaps, numbers, owner, bounds = [], [], [], [], [0]
+        for at, (text, _) in enumerate(pages):
+            gap = False
             for n, line in enumerate(text.split("\n"), 1):
                 line = line.strip()
                 if not line:
                     gap = True
                     continue
-                o, shape, flag, f, whole = self.short(line) if len(line) <= 120 else self.describe(line)
-                own.append(o)
-                shapes.append(shape)
-                flags.append(flag)
-                folded.append((f, whole))
+                lines.append(line)
                 numbers.append(n)
                 owner.append(at)
                 gaps.append(gap)
-                named.append(bool(names) and sum(w in f for w in names) >= least)
                 gap = False
+            bounds.append(len(lines))
+        described = self._descriptions(lines)
+        named = np.zeros(len(lines))
+        for (_, site), a, b in zip(pages, bounds, bounds[1:]):
+            names = [w for w in re.findall(r"[a-z0-9]+", site) if len(w) >= 4]
+            if len(names) > 2:
+                named[a:b] = [sum(w in x[3] for w in names) >= len(names) - 1 for x in described[a:b]]
+            elif names:
+                named[a:b] = [any(w in x[3] for w in names) if len(names) > 1 else names[0] in x[3] for x in described[a:b]]
+        own, shapes = [x[0] for x in described], [x[1] for x in described]
+        flags, folded = [x[2] for x in described], [x[3:] for x in described]
         page = np.array(owner, dtype=int)
-        return _with_context(np.array(own, dtype=float).reshape(-1, len(OWN)), np.array(shapes, dtype=int), np.array(gaps, dtype=bool), np.array(named, dtype=float), page), page, numbers, flags, folded
+        return _with_context(np.array(own, dtype=float).reshape(-1, len(OWN)), np.array(shapes, dtype=int), np.array(gaps, dtype=bool), named, page), page, numbers, flags, folded
 
 
 def _with_context(own: np.ndarray, shape: np.ndarray, gap: np.ndarray, named: np.ndarray, page: np.ndarray) -> np.ndarray:
@@ -364,6 +538,8 @@ class Committee:
     """Decision trees, each grown on other rows and features; their mean share decides."""
 
     trees: list[tuple[np.ndarray, Tree]] = field(default_factory=list)
+    _walks: list | None = field(default=None, repr=False, compare=False)
+    ROWS = 1024
 
     @classmethod
     def grow(cls, x: np.ndarray, y: np.ndarray, trees: int = 32, features: int = 12, depth: int = 8, least: int = 20, seed: int = 5) -> Committee:
@@ -375,8 +551,39 @@ class Committee:
             out.trees.append((columns, Tree(x[rows][:, columns], y[rows], depth, least)))
         return out
 
+    def _paths(self) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Each tree: its depth, and of each node the column, the limit, where its left child is, and the share; the right child comes next."""
+        out = []
+        for chosen, t in self.trees:
+            order, depth, level = [0], 0, [0]
+            while level := [c for at in level if t.feature[at] >= 0 for c in (t.left[at], t.right[at])]:
+                order += level
+                depth += 1
+            place = {at: i for i, at in enumerate(order)}
+            # A leaf is its own left child, and all rows go left.
+            leaf = [t.feature[at] < 0 for at in order]
+            out.append((
+                depth, np.array([0 if x else int(chosen[t.feature[at]]) for at, x in zip(order, leaf)]), np.array([np.inf if x else t.limit[at] for at, x in zip(order, leaf)]),
+                np.array([i if x else place[t.left[at]] for i, (at, x) in enumerate(zip(order, leaf))]), np.array([t.share[at] for at in order]),
+            ))
+        return out
+
     def share(self, x: np.ndarray) -> np.ndarray:
-        return sum(t.predict(x[:, c]) for c, t in self.trees) / len(self.trees)
+        """Mean share of the trees, some rows at a time, so that these stay in a CPU's cache."""
+        if self._walks is None:
+            self._walks = self._paths()
+        out = np.zeros(len(x))
+        for start in range(0, len(x), self.ROWS):
+            values = np.ascontiguousarray(x[start : start + self.ROWS])
+            total, rows, values = out[start : start + len(values)], np.arange(len(values)) * x.shape[1], values.ravel()
+            for depth, column, limit, left, share in self._walks:
+                at = np.zeros(len(rows), dtype=np.int64)
+                for _ in range(depth):
+                    right = values.take(rows + column.take(at)) > limit.take(at)
+                    at = left.take(at)
+                    at += right
+                total += share.take(at)
+        return out / len(self.trees)
 
 
 #: Shares of grams that are hidden from a training line: of most lines, and of lines as unknown as can be.
@@ -401,14 +608,14 @@ def composed(rng: random.Random, lines: dict, words: dict, pages: int, hide: boo
     blocks = Blocks(words, headlines)
     if hide:
 
-        def scores(said: list[str]) -> tuple[float, float]:
+        def odds(said: list[str]) -> tuple[float, float]:
             share = 1.0 if rng.random() < UNKNOWN else HIDDEN
             known = [words[g] for g in grams(said) if g in words and rng.random() > share]
             n = len(known) + 1.0
             return sum(x[0] for x in known) / n, sum(x[1] for x in known) / n
 
-        blocks.scores = scores
-        blocks.short = blocks.describe
+        blocks.scores = lambda said, bounds: [odds(said[a:b]) for a, b in zip(bounds, bounds[1:])]
+        blocks.remembers = False
     sites = [next((s for s in table.SITES if any(s in line for _, line in page)), "") for page in made]
     x, *_ = blocks.features([("\n".join(line for _, line in page), site.lower()) for page, site in zip(made, sites)])
     return x, np.array([float(kind in table.FURNITURE_KINDS) for page in made for kind, line in page if line.strip()])
@@ -478,6 +685,12 @@ def _is_site(part: str, tokens: set[str], joined: str) -> bool:
     return len(compact) >= 5 and compact in joined
 
 
+def headline_of(title: str, domain: str | None, sections: frozenset[int]) -> tuple[str, bool]:
+    """The bare headline, and whether the title is :func:`decorated`."""
+    headline, more = bare_headline(title, domain, sections)
+    return headline, bool(more and _DECOR.search(fold(title)))
+
+
 def decorated(title: str | None, domain: str | None, sections: frozenset[int]) -> bool:
     """The title holds more than the headline."""
     return bool(title and _DECOR.search(fold(title)) and bare_headline(title, domain, sections)[1])

@@ -8,6 +8,7 @@ afterwards, in the narrow table.
 
 from __future__ import annotations
 
+import gc
 import re
 from functools import lru_cache
 
@@ -43,6 +44,22 @@ _VALUE = re.compile(r"(?<![^\s㐀-鿿豈-﫿])(?=[^\s㐀-鿿豈-﫿]*\d)[^\s㐀-
 _TOKEN = re.compile(r"\x01|[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
 
 
+#: For plain ASCII: marks that always end a piece as line breaks, all else that is in no word as blanks.
+_PLAIN = {i: "\n" if chr(i) in ",;:|!?\n" else chr(i) if i == 1 or chr(i).isalnum() else " " for i in range(128)}
+_LINES = re.compile(r"[\t\n\r]")
+_CLOSED = re.compile(r"\.[\"')\]]+(?=\s|$)")
+
+
+def _plain_pieces(folded: str) -> list[str]:
+    """The parts ``_PIECES`` cuts an ASCII line into, with blanks between words; line breaks are not in it."""
+    if "  " in folded:
+        folded = folded.replace("  ", "\n")
+    if "." in folded:
+        folded = _CLOSED.sub("\n", folded).replace(". ", "\n").replace(".\n", "\n")
+    folded = folded.translate(_PLAIN)
+    return (folded.replace("\x01", " \x01 ") if "\x01" in folded else folded).split("\n")
+
+
 @lru_cache(maxsize=20_000)
 def line_pieces(folded: str, site: str) -> list[int]:
     """Hashes of a line's sentences and clauses, with slots for figures, codes and the site's name; slots alone are none."""
@@ -51,8 +68,9 @@ def line_pieces(folded: str, site: str) -> list[int]:
     if pl._FIGURE.search(folded):
         folded = _VALUE.sub("\x01", folded)
     out = []
-    for piece in _PIECES.split(folded):
-        words = _TOKEN.findall(piece)
+    plain = folded.isascii() and not _LINES.search(folded)
+    for piece in _plain_pieces(folded) if plain else _PIECES.split(folded):
+        words = piece.split() if plain else _TOKEN.findall(piece)
         if words and (words[0] != "\x01" or any(w != "\x01" for w in words)):
             out.append(pl.hash64(" ".join(words)))
     return out
@@ -73,8 +91,8 @@ def pieces_of(found: list[tuple[int, float, bool, str, int | None]], site: str)
 
 
 def _doubtful(share: float, folded: str) -> bool:
-    """The line may be furniture."""
-    return share > (FURNITURE if len(folded) >= PROSE_CHARS and pl._ENDS.search(folded[-8:]) else SURE)
+    """The line may be furniture; a longer one that ends as a sentence only if it is more likely than not."""
+    return share > SURE and (share > FURNITURE or not (len(folded) >= PROSE_CHARS and pl.ends_sentence(folded)))
 
 
 def line_model(df: DataFrame, section_share: float = 5e-4, headline_share: float = 5e-5) -> pl.LineModel:
@@ -120,16 +138,25 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
     def factory():
         import numpy as np
 
-        def kernel(ids, domains, titles, languages, texts):
+        def kernel(*columns):
+            # The rows of a slice are many small objects without cycles: collecting among them finds nothing.
+            gc.disable()
+            try:
+                return scanned(*columns)
+            finally:
+                gc.enable()
+
+        def scanned(ids, domains, titles, languages, texts):
             out = [[] for _ in SCAN.fields]
             jobs, owners = [], []
             names = [pl.site_name(d) for d in domains]
             for at, (i, dom, title, text, site, found) in enumerate(zip(ids, domains, titles, texts, names, known.classify(list(zip(texts, names))))):
                 furniture = [n for n, share, *_ in found if share > FURNITURE]
                 # Copies of an article, whatever stands around it, speak with one voice.
-                voter = pl.hash64(pl.flat(pl.bare_headline(title, dom, known.sections)[0]) if title and title.strip() else "\n".join(f for _, _, _, f, _ in found))
+                headline, decorated = pl.headline_of(title, dom, known.sections) if title and title.strip() else (None, False)
+                voter = pl.hash64("\n".join(f for _, _, _, f, _ in found) if headline is None else pl.flat(headline))
                 loose = [n for n, share, flag, f, _ in found if flag or _doubtful(share, f)]
-                values = (i, voter, pieces_of(found, site), loose, sum(x[2] for x in found), furniture, pl.decorated(title, dom, known.sections), [])
+                values = (i, voter, pieces_of(found, site), loose, sum(x[2] for x in found), furniture, decorated, [])
                 for col, v in zip(out, values):
                     col.append(v)
                 if model is not None and (every or len(text) >= min_chars):
@@ -142,7 +169,7 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
                             owners.append((at, n, article, len(line)))
             if jobs:
                 which, p = model.judge(jobs)
-                sure = p.max(axis=1)
+                sure = p.max(axis=1).tolist()
                 rows = np.array([o[0] for o in owners])
                 cut = np.flatnonzero(np.diff(rows, prepend=-1, append=-1))
                 for a, b in zip(cut[:-1], cut[1:]):
@@ -169,7 +196,7 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
                         continue
                     for k in range(a, b):
                         if owners[k][3] >= min_line and which[k] not in (None, main) and sure[k] >= least:
-                            langs.append((owners[k][1], which[k], float(sure[k]), False))
+                            langs.append((owners[k][1], which[k], sure[k], False))
                     out[-1][at] = langs
             return out
 

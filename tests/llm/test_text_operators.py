@@ -5,6 +5,7 @@ import unicodedata as ud
 from collections import defaultdict
 
 import harness
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -85,6 +86,18 @@ def test_language_accuracy_on_held_out_samples(spark, sf):
     assert model.predict(["34CY/ae8Fmk5TnbDb94GHg8PS/FQ6m9WhFh8FVkaMgC4", "| --- | 12.5 | 33 |", "2001 - 2002 - 2003"])[0] == [None] * 3
 
 
+def test_languages_of_lines_in_parts(monkeypatch):
+    """Lines looked at in parts, one at a time and all together score alike; short, blank and broken lines are lines."""
+    model = langid.train([("en", "the doctor will see you in the morning"), ("vi", "bác sĩ sẽ khám cho bạn vào buổi sáng"), ("zh", "医生早上会给你看病")] * 3)
+    lines = ["", "a", "中", "see\nyou", "bác sĩ sẽ khám", "１２ mg", "医生早上会给你看病", "the doctor will see you", "x" * 70, ""]
+    whole = model.logits(lines)
+    assert np.allclose(whole, [model.logits([x])[0] for x in lines], atol=1e-5)
+    for size in (1, 20, 60):
+        monkeypatch.setattr(langid, "AT_ONCE", size)
+        assert np.allclose(whole, model.logits(lines), atol=1e-5)
+    assert model.logits([]).shape == (0, len(langid.CLASSES))
+
+
 def test_labels():
     assert langid.same_language("vi_VN", "vi") and langid.same_language(" ZH-Hans", "zh") and not langid.same_language(None, "vi") and not langid.same_language("unknown", "vi") and not langid.same_language("fr", "en")
 
@@ -164,6 +177,42 @@ def test_folded_separators_of_titles():
     assert all(pagelines.decorated(f"Diagnosing gout{x}Med Lake", "med-lake.example", frozenset()) for x in ("｜", " － ", " ／ ", "\u00a0:\u00a0", " \u2010 "))
 
 
+ODD = ["a", "b0", "²", "１", "é", "ế", "đ", "İ", "ﬁ", "…", "中", "文", "。", "、", "💊", "·", "–", "_", "|", "/", " ", "  ", " - ", ". ", '."', ".) ", "! ", "?", ",", ":", "\u200b", "\u2028", "\r", "{x}", "1. ", "\u0301"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ODD), max_size=20).map("".join), min_size=1, max_size=5))
+def test_lines_folded_together(lines):
+    """Folded words, counts, ends and word scores of many lines at once are those of each line alone."""
+    folded, words, bounds, counts = pagelines._folded_words(lines)
+    assert folded == [pagelines.fold(x).strip() for x in lines]
+    assert [words[a:b] for a, b in zip(bounds, bounds[1:])] == [pagelines.tokens(x) for x in folded]
+    known = {"a": (1.0, -0.5), "b0": (0.25, 2.0), "中": (-3.0, 0.1), "< a": (0.7, 0.7), "a b0": (0.3, -0.9), "中 中": (1.5, 0.0), "0": (0.1, 0.2)}
+    for f, (han, signs), a, b, score in zip(folded, counts, bounds, bounds[1:], pagelines.Blocks(known).scores(words, bounds)):
+        assert (han, pagelines.separators(f, signs)) == (len(pagelines._HAN.findall(f)), len(pagelines._SEPARATOR.findall(f)))
+        assert pagelines.inner_ends(f) == len(pagelines._INNER_END.findall(f)) and pagelines.ends_sentence(f) == bool(pagelines._ENDS.search(f[-8:]))
+        odds = [known[g] for g in pagelines.grams(words[a:b]) if g in known]
+        assert score == pytest.approx([sum(x[k] for x in odds) / (len(odds) + 1) for k in (0, 1)])
+
+
+def test_long_and_short_lines_are_described_alike(monkeypatch):
+    """In parts, alone, remembered or not, a line's description is the same."""
+    blocks = pagelines.Blocks({"gout": (1.0, 2.0), "the gout": (0.5, 0.25), "the": (0.0, 0.1)}, frozenset(pagelines.edges("the gout of the knee")))
+    lines = ["The gout of the knee", "- Home", "Tên\tbệnh 12", "㎎ ½ của … ﬁt", "中文。中文", "The gout. " * 40]
+    want = [blocks.describe(x) for x in lines]
+    for size in (1, 30, 10_000):
+        monkeypatch.setattr(pagelines, "AT_ONCE", size)
+        assert blocks.described(lines) == want == blocks._descriptions(lines) == blocks._descriptions(lines[::-1])[::-1]
+    monkeypatch.setattr(pagelines, "REMEMBERED", 2)
+    assert blocks._descriptions(lines * 2) == want * 2 and len(blocks.seen) <= 2
+
+
+def test_the_committee_is_the_mean_of_its_trees():
+    trees, _ = pagelines.committee()
+    x = np.random.default_rng(1).normal(5, 9, (3000, len(pagelines.FEATURES)))
+    assert (trees.share(x) == sum(t.predict(x[:, c]) for c, t in trees.trees) / len(trees.trees)).all() and len(trees.share(x[:0])) == 0
+
+
 def test_sections_are_learned_from_titles(spark):
     made = [(i, "h.example", f"Gout in group number {i} of the ward | Heart matters", "Some text.", None) for i in range(5)]
     model = pages.line_model(corpus(spark, made))
@@ -213,6 +262,15 @@ def test_repeated_error_pages_are_found_by_repetition(spark):
     assert rows(residue.excluded(pages.scan(corpus(spark, errors + article + copies)))) == [(i,) for i in (0, 1, 2, 3, 10, 11, 12)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([x for x in ODD if x.isascii()] + ["\x01", "\x01x", "\t", "med lake", ";", "..."]), max_size=20).map("".join))
+def test_pieces_of_plain_lines(line):
+    """ASCII lines are cut as the pattern cuts them."""
+    if not pages._LINES.search(line):
+        want = [w for x in pages._PIECES.split(line) if (w := pages._TOKEN.findall(x))]
+        assert [w for x in pages._plain_pieces(line) if (w := x.split())] == want
+
+
 def test_templates_are_induced(spark):
     pages_ = [(i, f"h{i}.example", None, f"Error 50{i}\nThe gremlins took page {i * 31}", None) for i in range(1, 5)]
     other = [(10, "h.example", None, "The gremlins took page 7", None), (11, "h.example", None, "Trembling hands at night", None)]
