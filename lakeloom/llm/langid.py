@@ -21,6 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 CLASSES = ("en", "vi", "zh", "none")
+NONE = CLASSES.index("none")
 #: Buckets of hashed n-grams, as bits; the weight table stays within a CPU's cache.
 BITS = 16
 ORDERS = (1, 2, 3)
@@ -44,11 +45,11 @@ def without_accents(text: str) -> str:
     return out.replace("đ", "d").replace("Đ", "D")
 
 
-def plain(line: str) -> str:
-    """Lower case; stored decomposed or not, a letter with its accents is one character."""
+def plain(line: str, han: bool = True) -> str:
+    """Lower case; stored decomposed or not, a letter with its accents is one character. ``han``: it may hold Han characters."""
     if line.isascii():
         return f" {line.lower()} "
-    if _HAN_RUN.search(line):
+    if han and _HAN_RUN.search(line):
         line = _LATIN_RUN.sub(" a ", line)  # a Latin name in Chinese counts as one letter
     return f" {ud.normalize('NFC', line).lower()} "
 
@@ -64,14 +65,45 @@ def _codes(text: str) -> np.ndarray:
 _IS_LETTER = np.array([chr(i).isalpha() for i in range(0x10000)] + [True])
 
 
+def _contents(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of letters of each line, and whether it holds Han characters."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+    bounds = np.cumsum([0] + [len(x) for x in lines])
+    letters = np.concatenate(([0], np.cumsum(_IS_LETTER.take(codes, mode="clip"))))
+    han = np.flatnonzero((codes >= 0x3400) & (codes <= 0x9FFF))
+    return np.diff(letters[bounds]), np.diff(np.searchsorted(han, bounds)) > 0
+
+
+def _parts(lines: list[str]) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of lines that have some ``AT_ONCE`` characters."""
+    at = size = 0
+    for n, line in enumerate(lines, 1):
+        size += len(line)
+        if size >= AT_ONCE:
+            yield at, n
+            at, size = n, 0
+    if at < len(lines):
+        yield at, len(lines)
+
+
+_FACTOR, _SPREAD = 1_000_003, 0x9E3779B97F4A7C15
+
+
 def _buckets(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each order and the bucket of each of its n-grams."""
-    h = np.zeros(len(codes), np.uint64)
+    """Each order and the bucket of each of its n-grams.
+
+    An n-gram's hash is that of its first characters times ``_FACTOR``, plus the last one and n; the bucket is its upper
+    bits times ``_SPREAD``. Characters are multiplied by that beforehand.
+    """
+    spread = codes * np.uint64(_SPREAD)
+    h = np.zeros(len(codes) + 1, np.uint64)
     for n in ORDERS:
         if len(codes) < n:
             break
-        h = h[: len(codes) - n + 1] * np.uint64(1_000_003) + codes[n - 1 :] + np.uint64(n)
-        yield n, ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
+        h = h[:-1] * np.uint64(_FACTOR)
+        h += spread[n - 1 :]
+        h += np.uint64(n * _SPREAD % (1 << 64))
+        yield n, (h >> np.uint64(64 - BITS)).view(np.int64)
 
 
 def grams(lines: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -92,17 +124,16 @@ class LanguageModel:
         self.weights, self.bias, self.temperature, self.density = weights, bias, temperature, density
 
     def logits(self, lines: list[str]) -> np.ndarray:
-        """Scores of all classes of each line, some lines at a time, so that their n-grams stay in a CPU's cache."""
-        z, texts, size, at = np.empty((len(lines), len(CLASSES))), [], 0, 0
-        for line in lines:
-            texts.append(plain(line.replace("\n", " ")))
-            size += len(texts[-1])
-            if size >= AT_ONCE:
-                z[at : at + len(texts)] = self._logits(texts)
-                at, texts, size = at + len(texts), [], 0
-        if texts:
-            z[at:] = self._logits(texts)
-        return z
+        """Scores of all classes of each line."""
+        return self._scores(lines)[0]
+
+    def _scores(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`logits` and the number of letters of each line, some lines at a time, so that their n-grams stay in a CPU's cache."""
+        z, letters = np.empty((len(lines), len(CLASSES))), np.empty(len(lines), dtype=np.int64)
+        for a, b in _parts(lines):
+            letters[a:b], han = _contents(lines[a:b])
+            z[a:b] = self._logits([plain(x.replace("\n", " "), h) for x, h in zip(lines[a:b], han.tolist())])
+        return z, letters
 
     def _logits(self, texts: list[str]) -> np.ndarray:
         z = np.zeros((len(texts), len(CLASSES)))
@@ -122,28 +153,31 @@ class LanguageModel:
         return z / np.maximum(total, 1)[:, None] + self.bias
 
     def probabilities(self, lines: list[str]) -> np.ndarray:
-        z = self.logits(lines) / self.temperature
+        return self._calibrated(self.logits(lines))
+
+    def _calibrated(self, z: np.ndarray) -> np.ndarray:
+        z = z / self.temperature
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
     def predict(self, lines: list[str]) -> tuple[list[str | None], np.ndarray]:
         """Language (None: a line without one) and confidence of each line."""
-        which, p = self.judge(lines)
-        return which, p.max(axis=1)
-
-    def judge(self, lines: list[str]) -> tuple[list[str | None], np.ndarray]:
-        """Language (None: a line without one) and the calibrated probabilities of all classes of each line."""
-        p = self.probabilities(lines)
+        best, p = self.judge(lines)
+        return [None if k == NONE else CLASSES[k] for k in best.tolist()], p.max(axis=1)
+
+    def judge(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Class (``NONE``: a line without language) and the calibrated probabilities of all classes of each line; equal lines are scored once."""
+        place: dict[str, int] = {}
+        at = np.array([place.setdefault(x, len(place)) for x in lines], dtype=np.int64)
+        z, letters = self._scores(list(place))
+        p = self._calibrated(z)
         best = p.argmax(axis=1)
-        codes = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
-        letters = np.concatenate(([0], np.cumsum(_IS_LETTER[np.minimum(codes, 0x10000)])))
-        ends = np.cumsum([len(x) for x in lines])
-        wordless = letters[ends] - letters[ends - [len(x) for x in lines]] < 0.3 * np.array([len(x) for x in lines])
-        return [None if bare or CLASSES[k] == "none" else CLASSES[k] for k, bare in zip(best, wordless)], p
-
-    def content(self, lang: str, chars: int) -> float:
-        """Amount of content: characters over the language's usual number for the same text."""
-        return chars / self.density.get(lang, 1.0)
+        best[letters < 0.3 * np.array([len(x) for x in place])] = NONE
+        return best[at], p[at]
+
+    def content(self, best: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """Amount of content: characters over the usual number of the class's language for the same text."""
+        return chars / np.array([self.density.get(c, 1.0) for c in CLASSES])[best]
 
 
 def _no_language(texts: list[str], rng: random.Random, n: int) -> list[str]:

@@ -125,7 +125,6 @@ def learn_words(lines: dict[str, dict[str, list[str]]], prior: float = 0.3) -> d
 _SLOT = re.compile(
     r"\{\{[^{}\n]{1,40}\}\}|[$#]\{[^{}\n]{1,40}\}|\[\[[^\[\]\n]{1,40}\]\]|%%[^%\n]{1,40}%%|<%[^%\n]{1,60}%>|<insert [^<>\n]{1,40}>|__(?=[^\W_])[^\n]{1,38}?__|(?<!\{)\{[^{}\n]{1,40}\}(?!\})|%\([a-z_]{2,30}\)s|(?<!\])\[(?!\d+\])[^\[\]\n()]{1,30}\](?![(\[])|<[^<>\n]{2,40}>"
 )
-_SLOT_SIGNS = re.compile(r"[{\[%<_]")
 #: A label before a slot has at most so many words.
 LABEL_WORDS = 5
 # Words of the usual filler text, folded.
@@ -135,7 +134,7 @@ _REPEATED = re.compile(r"(\S{2,8})(?: \1)+(?: [0-9a-z]{1,6})?[.!]?")
 
 def unfilled(folded: str, words: list[str]) -> bool:
     """A line, with its words, of slots that retain a variable's name or a default: placeholders, filler words, one token over and over."""
-    if _SLOT_SIGNS.search(folded) and "](" not in folded:
+    if ("[" in folded or "{" in folded or "<" in folded or "_" in folded or "%" in folded) and "](" not in folded:
         parts = _SLOT.split(folded)
         n = len(parts) - 1
         # A slot in a sentence is a stray one, and brackets after a sentence are buttons; a line of labels and slots is a template.
@@ -143,9 +142,12 @@ def unfilled(folded: str, words: list[str]) -> bool:
             left = len(_WORD.findall(" ".join(parts)))
             if left <= 4 * n + 3 and (n > 1 or not _ENDS.search(parts[-1].rstrip()) or left <= 4):
                 return True
-    if _REPEATED.fullmatch(folded):
+    # What is repeated stands before the first blank and after it.
+    first = folded.find(" ", 0, 9)
+    if first > 1 and folded.startswith(folded[:first], first + 1) and _REPEATED.fullmatch(folded):
         return True
-    return len(words) >= 3 and not FILLER.isdisjoint(words) and sum(w in FILLER for w in words) >= 0.8 * len(words)
+    # Of so many filler words one is in the first fifth, or next.
+    return len(words) >= 3 and not FILLER.isdisjoint(words[: len(words) // 5 + 1]) and sum(w in FILLER for w in words) >= 0.8 * len(words)
 
 
 def slots_blank(folded: str) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, L
 
 from lakeloom.functions.arrow import map_slices
 from lakeloom.llm import pagelines as pl
-from lakeloom.llm.langid import CLASSES, LanguageModel, same_language
+from lakeloom.llm.langid import CLASSES, NONE, LanguageModel, same_language
 from lakeloom.operators.copies import one_per_key
 from lakeloom.session import written
 
@@ -86,7 +86,8 @@ def pieces_of(found: list[tuple[int, float, bool, str, int | None]], site: str)
         if whole is not None and not flag:
             out.append((n, whole))
         else:
-            out += [(n, key) for key in line_pieces(pl.slots_blank(f) if flag else f, site)]
+            line = pl.slots_blank(f) if flag else f
+            out += [(n, key) for key in line_pieces(line, site if site in line else "")]
     return out
 
 
@@ -148,7 +149,7 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
 
         def scanned(ids, domains, titles, languages, texts):
             out = [[] for _ in SCAN.fields]
-            jobs, owners = [], []
+            jobs, rows, numbers, articles = [], [], [], []
             names = [pl.site_name(d) for d in domains]
             for at, (i, dom, title, text, site, found) in enumerate(zip(ids, domains, titles, texts, names, known.classify(list(zip(texts, names))))):
                 furniture = [n for n, share, *_ in found if share > FURNITURE]
@@ -166,40 +167,45 @@ def scan(df: DataFrame, model: LanguageModel | None = None, min_chars: int = 100
                         article = share <= FURNITURE and not flag
                         if every or article or len(line) >= min_line:
                             jobs.append(line)
-                            owners.append((at, n, article, len(line)))
+                            rows.append(at)
+                            numbers.append(n)
+                            articles.append(article)
             if jobs:
-                which, p = model.judge(jobs)
-                sure = p.max(axis=1).tolist()
-                rows = np.array([o[0] for o in owners])
-                cut = np.flatnonzero(np.diff(rows, prepend=-1, append=-1))
-                for a, b in zip(cut[:-1], cut[1:]):
-                    at = owners[a][0]
-                    weight = {}
-                    for k in range(a, b):
-                        if owners[k][2] and which[k] is not None:
-                            weight[which[k]] = weight.get(which[k], 0.0) + model.content(which[k], owners[k][3])
-                    if not weight and every:
-                        for k in range(a, b):
-                            if which[k] is not None:
-                                weight[which[k]] = weight.get(which[k], 0.0) + model.content(which[k], owners[k][3])
-                    if not weight and every:
-                        weight = {c: float(x) for c, x in zip(CLASSES, model.probabilities([" ".join(jobs[a:b])])[0]) if c != "none"}
-                        main = max(sorted(weight), key=weight.get)
-                        langs = [(0, main, weight[main], not same_language(languages[at], main))]
-                    elif weight:
-                        main = max(sorted(weight), key=weight.get)
-                        # The calibrated probability of the main language, over the lines that speak of it, by their length.
-                        said = [k for k in range(a, b) if which[k] is not None and owners[k][2]] or [k for k in range(a, b) if which[k] is not None]
-                        size = np.array([owners[k][3] for k in said], dtype=float)
-                        langs = [(0, main, float(p[said, CLASSES.index(main)] @ size / size.sum()), not same_language(languages[at], main))]
-                    else:
-                        continue
-                    for k in range(a, b):
-                        if owners[k][3] >= min_line and which[k] not in (None, main) and sure[k] >= least:
-                            langs.append((owners[k][1], which[k], sure[k], False))
-                    out[-1][at] = langs
+                for at, found in languages_of(jobs, np.array(rows), numbers, np.array(articles), languages).items():
+                    out[-1][at] = found
             return out
 
+        def languages_of(jobs, rows, numbers, articles, languages):
+            """``langs`` of each row that has a main language; ``jobs`` are lines, in the order of their rows."""
+            best, p = model.judge(jobs)
+            sure, size = p.max(axis=1), np.array([len(x) for x in jobs], dtype=float)
+            spoken = best != NONE
+            amount = model.content(best, size)
+
+            def weights(of):
+                return np.bincount(rows[of] * len(CLASSES) + best[of], amount[of], len(languages) * len(CLASSES)).reshape(-1, len(CLASSES))
+
+            weight = weights(spoken & articles)
+            article = weight.any(axis=1)
+            if every:
+                weight[~article] = weights(spoken)[~article]
+            # Of equal weights the first name counts; those of CLASSES are in order.
+            main, has = weight.argmax(axis=1), weight.any(axis=1)
+            # The calibrated probability of the main language, over the lines that speak of it, by their length.
+            said = spoken & (articles | ~article[rows])
+            told = np.bincount(rows[said], p[said, main[rows[said]]] * size[said], len(languages))
+            confidence = (told / np.maximum(np.bincount(rows[said], size[said], len(languages)), 1)).tolist()
+            langs = {at: [(0, CLASSES[main[at]], confidence[at], not same_language(languages[at], CLASSES[main[at]]))] for at in np.flatnonzero(has).tolist()}
+            if every:
+                for at in np.unique(rows[~has[rows]]).tolist():
+                    a, b = np.searchsorted(rows, (at, at + 1))
+                    shares = model.probabilities([" ".join(jobs[a:b])])[0, :NONE]
+                    k = int(shares.argmax())
+                    langs[at] = [(0, CLASSES[k], float(shares[k]), not same_language(languages[at], CLASSES[k]))]
+            for k in np.flatnonzero(spoken & has[rows] & (best != main[rows]) & (size >= min_line) & (sure >= least)).tolist():
+                langs[int(rows[k])].append((numbers[k], CLASSES[best[k]], float(sure[k]), False))
+            return langs
+
         return kernel
 
     rows = df.filter(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\S")).select(F.col("doc_id").cast("long").alias("doc_id"), "domain", "title", "language", "text")

@@ -98,6 +98,38 @@ def test_languages_of_lines_in_parts(monkeypatch):
     assert model.logits([]).shape == (0, len(langid.CLASSES))
 
 
+def test_equal_lines_are_scored_once(monkeypatch):
+    model = langid.train([("en", "the doctor will see you in the morning"), ("vi", "bác sĩ sẽ khám cho bạn vào buổi sáng"), ("zh", "医生早上会给你看病")] * 3)
+    lines = ["the doctor will see you", "医生早上会给你看病", "", "12 - 34", "the doctor will see you", "bác sĩ sẽ khám", "12 - 34"]
+    each = [model.judge([x]) for x in lines]
+    scored, old = [], langid.LanguageModel._logits
+    monkeypatch.setattr(langid.LanguageModel, "_logits", lambda self, texts: scored.extend(texts) or old(self, texts))
+    best, p = model.judge(lines)
+    assert len(scored) == len(set(lines)) and best.tolist() == [int(b[0]) for b, _ in each] and np.allclose(p, np.concatenate([q for _, q in each]), atol=1e-5)
+    got = model.predict(lines)[0]
+    assert got[:2] + got[3:] == ["en", "zh", None, "en", "vi", None]
+    assert [len(x) for x in model.judge([])] == [0, 0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aZ0 é中鿿㐀ΣİếA💊\u0301\n，", max_size=80))
+def test_buckets_and_contents_of_lines(text):
+    """Buckets are those of the formula; letters and Han characters are counted line by line."""
+    codes, h = langid._codes(text), 0
+    for n, bucket in langid._buckets(codes):
+        want = []
+        for at in range(len(text) - n + 1):
+            h = 0
+            for k in range(n):
+                h = (h * 1_000_003 + int(codes[at + k]) + k + 1) % (1 << 64)
+            want.append((h * 0x9E3779B97F4A7C15 % (1 << 64)) >> (64 - langid.BITS))
+        assert bucket.tolist() == want
+    lines = text.split("\n")
+    letters, han = langid._contents(lines)
+    assert letters.tolist() == [sum(c.isalpha() or ord(c) > 0xFFFF for c in x) for x in lines] and han.tolist() == [any("㐀" <= c <= "鿿" for c in x) for x in lines]
+    assert [langid.plain(x, h) for x, h in zip(lines, han.tolist())] == [langid.plain(x) for x in lines]
+
+
 def test_labels():
     assert langid.same_language("vi_VN", "vi") and langid.same_language(" ZH-Hans", "zh") and not langid.same_language(None, "vi") and not langid.same_language("unknown", "vi") and not langid.same_language("fr", "en")
 
@@ -207,6 +239,24 @@ def test_long_and_short_lines_are_described_alike(monkeypatch):
     assert blocks._descriptions(lines * 2) == want * 2 and len(blocks.seen) <= 2
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["lorem", "ipsum", "dolor", "gout", "ab", "ab", "x", "wordwordx", "{{ a }}", "[b]", "%(c)s", "_", ".", "!", "中", " "]), max_size=14))
+def test_unfilled_lines_by_the_patterns(words):
+    """What is looked at first leaves out no repeated token and no filler."""
+    line = " ".join(words).strip()
+    said = pagelines.tokens(line)
+    plain = not set("{[%<_") & set(line)
+    want = bool(pagelines._REPEATED.fullmatch(line)) or len(said) >= 3 and sum(w in pagelines.FILLER for w in said) >= 0.8 * len(said)
+    assert pagelines.unfilled(line, said) is want if plain else pagelines.unfilled(line, said) >= want
+
+
+def test_pieces_are_remembered_for_all_sites():
+    """Only a line that has the site's name is cut anew for another site."""
+    pages.line_pieces.cache_clear()
+    got = [pages.pieces_of([(1, 0.0, False, "home and news", None), (2, 0.0, False, "read med lake, daily", None)], site) for site in ("med lake", "gout club", "")]
+    assert pages.line_pieces.cache_info().misses == 3 and got[1] == got[2] and got[0][0] == got[1][0] and got[0] != got[1]
+
+
 def test_the_committee_is_the_mean_of_its_trees():
     trees, _ = pagelines.committee()
     x = np.random.default_rng(1).normal(5, 9, (3000, len(pagelines.FEATURES)))
